@@ -154,6 +154,16 @@ def find_passages(
     return out
 
 
+def _is_clean(shared, error_rate: float, least_piece: int):
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(shared.value, error_rate, least_piece)
+        for texts in batches:
+            yield pd.Series([not matcher.find(t) for t in texts], dtype=bool)
+
+    return clean
+
+
 def keep_uncontaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -168,11 +178,5 @@ def keep_uncontaminated(
     for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            matcher = Matcher(shared.value, error_rate, least_piece)
-            for texts in batches:
-                yield pd.Series([not matcher.find(t) for t in texts], dtype=bool)
-
-        docs = docs.filter(clean(F.col(text_col).cast("string")))
+        docs = docs.filter(_is_clean(shared, error_rate, least_piece)(F.col(text_col).cast("string")))
     return docs

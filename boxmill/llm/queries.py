@@ -7,13 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, packing, quality_rules, sharding
+from . import chat, decontaminate, html_wrapper, langid, neardup, packing, quality_ordinal, quality_rules, sharding, toxicity
+from .common import crc32_of_id
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Insults that mark the second link of the toxicity chain among labelled rows.
+INSULTS = r"(?i)\\b(idiot|stupid|moron|loser|trash|scum|clown|pathetic|worthless|disgusting)"
+
+
+def graded_labels(labels: DataFrame) -> DataFrame:
+    """Grades 0 (poor), 1 (good but toxic), 2 (good)."""
+    return labels.select("doc_id", F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2).alias("grade"))
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality_ordinal.OrdinalModel:
+    return quality_ordinal.train(_table(spark, sf_dir, "documents"), graded_labels(_table(spark, sf_dir, "labels")))
+
+
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality_model(spark, sf_dir)
+    graded = _table(spark, sf_dir, "documents").select("doc_id", quality_ordinal.grade(model, F.col("text")).alias("g"))
+    return graded.select("doc_id", "g.expected_grade", F.col("g.tails")[0].alias("p_good"), (F.col("g.tails")[0] >= 0.5).alias("kept"))
+
+
+def op2_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return docs.select("doc_id", quality_rules.line_report(F.col("text")).alias("r")).select("doc_id", "r.*")
@@ -25,6 +49,22 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    categories = {"toxic": "toxic", "insult": f"toxic * int(text rlike '{INSULTS}')"}
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), categories)
+    scored = docs.select("doc_id", toxicity.score(model, F.col("text")).alias("p"))
+    return scored.select("doc_id", F.col("p.toxic").alias("p_toxic"), F.col("p.insult").alias("p_insult"), (F.col("p.toxic") >= model.cuts[0]).alias("toxic"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    part = F.coalesce(crc32_of_id("doc_id"), F.lit(0)) % 4
+    model = langid.train(docs.filter(part != 2))
+    found = docs.select("doc_id", (part == 2).alias("held_out"), langid.identify(model, F.col("text")).alias("p"))
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -33,8 +73,27 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract_text(_table(spark, sf_dir, "pages"))
+
+
+def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate_perspectives(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_line_rules, op4_pack, op7_shard, op8_near_duplicates)
+    f.__name__: f for f in (
+        op1_ordinal_quality,
+        op2_benchmark_passages,
+        op3_line_rules,
+        op4_pack,
+        op5_toxicity_chain,
+        op6_language,
+        op7_shard,
+        op8_near_duplicates,
+        op9_main_text,
+        op10_perspectives,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
