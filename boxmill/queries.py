@@ -728,11 +728,11 @@ LINES = (
     CORNERS_OF
     + f""", z AS (SELECT c.image_id, c.det_id, cl.class_id, k, greatest(0, least(1, x / width)) AS x, greatest(0, least(1, y / height)) AS y FROM crn c JOIN detections d ON c.image_id = d.image_id AND c.det_id = d.det_id
   JOIN classes cl ON lower(trim(d.label)) = cl.label JOIN images i ON c.image_id = i.image_id WHERE d.score >= CASE WHEN source LIKE 'yolo%' THEN CAST(0.25 AS DOUBLE) ELSE CAST(0.45 AS DOUBLE) END),
- fl AS (SELECT image_id, det_id, class_id, {sql_corners(digits=12)} FROM z GROUP BY 1, 2, 3)"""
+ fl AS (SELECT image_id, det_id, class_id, {sql_corners(digits=9)} FROM z GROUP BY 1, 2, 3)"""
 )
 
 
-@query(LINES + " SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY det_id) - 1 AS object_index, class_id, " + ", ".join(f"round({k}{i}, 9) AS {k}{i}" for i in range(1, 5) for k in "xy") + " FROM fl")
+@query(LINES + " SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY det_id) - 1 AS object_index, class_id, " + ", ".join(f"{k}{i}" for i in range(1, 5) for k in "xy") + " FROM fl")
 def job_label_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = label_boxes(table(spark, sf_dir, "detections"), table(spark, sf_dir, "images"), table(spark, sf_dir, "classes"))
     return rows.select("image_id", "object_index", "class_id", *flat(F.col("corners"), 9))
