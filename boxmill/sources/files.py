@@ -212,7 +212,7 @@ def write_per_class_csv(per_class: DataFrame, path: str) -> bool:
 
 def report_rows(per_class: DataFrame, overall: DataFrame) -> DataFrame:
     """line_no, line: `name & AP50 & AP` per class, then the means; missing numbers are `--`."""
-    shown = lambda c: F.coalesce(F.format_string("%.3f", F.col(c)), F.lit("--"))
+    shown = lambda c: F.when(F.col(c).isNull(), "--").otherwise(F.format_string("%.3f", F.col(c)))
     rows = per_class.select("class_id", F.concat_ws(" & ", "class_name", shown("ap50"), shown("ap")).alias("line"))
     total = overall.select(F.lit(None).cast("long").alias("class_id"), F.concat_ws(" & ", F.lit("mean"), shown("map50"), shown("map")).alias("line"))
     # A row per class: one partition is enough.
