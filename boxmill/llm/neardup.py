@@ -8,8 +8,8 @@
 3. In every bucket each member is paired with the least member only, so a bucket of m
    members gives m - 1 candidates. Candidates are confirmed on the full sets.
 4. Links of two members that the star did not join are found exactly: only buckets
-   whose members still lie in several components are looked at again, in blocks of
-   bounded size, and only confirmed links leave the block.
+   whose members still lie in several components are looked at again: those outside
+   the largest component against all members, in blocks of bounded size.
 5. Components by the least id, with pointer jumping.
 
 Bands are chosen so that a pair at the threshold is missed by all with a probability
@@ -19,6 +19,7 @@ under 2e-6 (72 bands of 6 bins: (1 - 0.75**6)**72 = 7e-7).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -33,7 +34,7 @@ from .common import materialise, mix64
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
 CASE = bytes.maketrans(UPPER, LOWER)
-BLOCK = 256
+BLOCK = 512
 
 
 def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
@@ -52,41 +53,61 @@ def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
     h = np.fromiter(map(digest, words), np.uint64, len(words))
     size = min(k, len(words))
     n = len(words) - size + 1
-    with np.errstate(over="ignore"):
-        total = np.zeros(n, np.uint64)
-        for i in range(size):
-            factor = mix64(np.array([i + 1 + 1000 * size], np.uint64))[0] | np.uint64(1)
-            total += h[i : i + n] * factor
+    total = np.zeros(n, np.uint64)
+    for i, factor in enumerate(_factors(size)):
+        total += h[i : i + n] * factor
     return np.unique(mix64(total))
 
 
+@lru_cache
+def _factors(size: int) -> np.ndarray:
+    """Odd multipliers for the words of a shingle."""
+    return mix64(np.arange(1, size + 1, dtype=np.uint64) + np.uint64(1000 * size)) | np.uint64(1)
+
+
 class Sketch:
     """One-permutation sketch with optimal densification, cut into bands."""
 
+    #: Attempts that are looked up at once, one stretch after another.
+    STRETCHES = ((0, 12), (12, 48), (48, 256))
+
     def __init__(self, bands: int, rows: int):
         self.bands, self.rows, self.bins = bands, rows, bands * rows
         step = (1 << 64) // self.bins
         self.edges = np.array([i * step for i in range(self.bins)], np.uint64)
         self.weights = mix64(np.arange(1, self.bins + 1, dtype=np.uint64)) | np.uint64(1)
+        self.donors = np.array([self._donor(np.arange(self.bins), t) for t in range(self.STRETCHES[-1][1])])
+
+    def _donor(self, empty: np.ndarray, attempt: int) -> np.ndarray:
+        """The bin that an empty bin copies at an attempt: a universal hash of both."""
+        return (mix64((empty + attempt * self.bins).astype(np.uint64)) % np.uint64(self.bins)).astype(np.int64)
 
     def values(self, hashes: np.ndarray) -> np.ndarray:
         """One hash for every bin; hashes: sorted, distinct, at least one."""
         at = np.searchsorted(hashes, self.edges)
-        ends = np.append(at[1:], len(hashes))
-        full = ends > at
-        out = np.zeros(self.bins, np.uint64)
-        out[full] = hashes[at[full]]
-        known, empty = np.flatnonzero(full), np.flatnonzero(~full)
-        if len(known) == 1:
-            out[:] = out[known[0]]
+        full = np.append(at[1:], len(hashes)) > at
+        out = hashes[np.minimum(at, len(hashes) - 1)]
+        if full.all():
             return out
-        attempt = 0
+        known = np.flatnonzero(full)
+        if len(known) == 1:
+            return np.full(self.bins, out[known[0]])
+        empty = np.flatnonzero(~full)
+        for low, high in self.STRETCHES:
+            donors = self.donors[low:high, empty]
+            works = full[donors]
+            first, all_of = works.argmax(axis=0), np.arange(len(empty))
+            found = works[first, all_of]
+            out[empty[found]] = out[donors[first, all_of][found]]
+            empty = empty[~found]
+            if not len(empty):
+                return out
+        attempt = self.STRETCHES[-1][1]
         while len(empty):
-            attempt += 1
-            donor = (mix64((empty + attempt * self.bins).astype(np.uint64)) % np.uint64(self.bins)).astype(np.int64)
+            donor = self._donor(empty, attempt)
             found = full[donor]
             out[empty[found]] = out[donor[found]]
-            empty = empty[~found]
+            empty, attempt = empty[~found], attempt + 1
         return out
 
     def keys(self, hashes: np.ndarray) -> np.ndarray:
@@ -120,15 +141,21 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int,
     )
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """doc_id, hashes (binary, sorted uint64) of the wanted documents."""
+def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int, broadcast_ids: int) -> DataFrame:
+    """doc_id, hashes (binary, sorted uint64) of the wanted documents.
+
+    Up to broadcast_ids ids are sent to the texts; more, and the texts are shuffled to
+    them.
+    """
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch.doc_id, "hashes": [shingle_set(t, k).tobytes() for t in batch.text]})
 
+    few = wanted.limit(broadcast_ids + 1).count() <= broadcast_ids
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInPandas(encode, "doc_id long, hashes binary")
+    found = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+    return found.mapInPandas(encode, "doc_id long, hashes binary")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -152,48 +179,65 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb").mapInPandas(check, "a long, b long")
 
 
-def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, bands: int, rows: int) -> DataFrame:
+def _links_between(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> set[tuple[int, int]]:
+    """Linked pairs of different components, on full sets.
+
+    Hashes are numbered once; each row of left marks its own, and all rows of right
+    count theirs among the marked ones together.
+    """
+    sets = [np.frombuffer(x, np.uint64) for x in (*left.hashes, *right.hashes)]
+    sizes = np.array([len(x) for x in sets])
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    n = len(left)
+    other, from_other = numbers[starts[n] :], starts[n:] - starts[n]
+    ids, comps = right.doc_id.to_numpy(), right.comp.to_numpy()
+    out: set[tuple[int, int]] = set()
+    marks = np.zeros(numbers.max() + 1, bool)
+    for i, (doc, comp) in enumerate(zip(left.doc_id, left.comp, strict=True)):
+        mine = numbers[starts[i] : starts[i] + sizes[i]]
+        marks[mine] = True
+        shared = np.add.reduceat(marks[other], from_other, dtype=np.int64)
+        marks[mine] = False
+        linked = (100 * shared >= percent * (sizes[i] + sizes[n:] - shared)) & (comps != comp)
+        out.update((int(doc), int(x)) for x in ids[linked])
+    return out
+
+
+def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links across components inside the buckets that still hold several.
 
-    A bucket of m members is dealt out in blocks of about BLOCK members; a task sees
-    two blocks, never the bucket.
+    The members outside a bucket's largest component are compared with all its members.
+    Both sides are dealt out in blocks of about BLOCK rows and a task sees two blocks at
+    a time, never the bucket. Only confirmed links come out.
     """
 
-    def links(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        sketch = Sketch(bands, rows)
-        i, j = key[2], key[3]
-        left, right = (block[block.side == s].sort_values("doc_id") for s in (0, 1))
-        right = left if i == j else right
-        unpack = lambda frame: [np.frombuffer(x, np.uint64) for x in frame.hashes]
-        a, b = unpack(left), unpack(right)
-        va, vb = (np.array([sketch.values(x) for x in y]).reshape(-1, sketch.bins) for y in (a, b))
-        ids, others, comp, comps = left.doc_id.to_numpy(), right.doc_id.to_numpy(), left.comp.to_numpy(), right.comp.to_numpy()
-        out = []
-        # Sketches agree in about the share of the similarity; 0.25 below it is over ten deviations.
-        least = (percent / 100 - 0.25) * sketch.bins
-        for x in range(len(a)):
-            near = np.flatnonzero((comps != comp[x]) & ((vb == va[x]).sum(axis=1) >= least)) if len(a[x]) > 64 else np.flatnonzero(comps != comp[x])
-            out += [(ids[x], others[y]) for y in near if similar(a[x], b[y], percent)]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    def links(units: pd.DataFrame) -> pd.DataFrame:
+        out: set[tuple[int, int]] = set()
+        for _, unit in units.groupby(["band", "bucket", "i", "j"], sort=False):
+            left, right = unit[unit.side == 0], unit[unit.side == 1]
+            if len(left) and len(right):
+                out |= _links_between(left, right, percent)
+        return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
 
     labelled = members.join(labels, "doc_id")
+    by_comp = labelled.groupBy("band", "bucket", "comp").agg(F.count("*").alias("n"))
     open_buckets = (
-        labelled.groupBy("band", "bucket")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m"))
-        .filter("low <> high and m > 2")
-        .select("band", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    )
-    dealt = labelled.join(open_buckets, ["band", "bucket"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    placed = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band",
-        "bucket",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
-        "doc_id",
-        "comp",
+        by_comp.groupBy("band", "bucket")
+        .agg(F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"))
+        .filter("comps > 1 and m > 2")
+        .select("band", "bucket", "top", F.ceil(F.col("m") / BLOCK).cast("int").alias("js"), F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("is"))
     )
-    return placed.join(sets, "doc_id").groupBy("band", "bucket", "i", "j").applyInPandas(links, "a long, b long")
+    dealt = labelled.join(open_buckets, ["band", "bucket"])
+    mark = F.xxhash64("doc_id")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["band", "bucket", "i", "j", "side", "doc_id", "comp"]
+    outside = dealt.filter("comp <> top").withColumns({"i": F.pmod(mark, F.col("is")).cast("int"), "side": F.lit(0)}).withColumn("j", every("js")).select(columns)
+    inside = dealt.withColumns({"j": F.pmod(mark, F.col("js")).cast("int"), "side": F.lit(1)}).withColumn("i", every("is")).select(columns)
+    placed = materialise(outside.unionByName(inside))
+    tasks = 1 + placed.count() // 8192
+    unit = F.pmod(F.xxhash64("band", "bucket", "i", "j"), F.lit(tasks)).alias("unit")
+    return placed.join(sets, "doc_id").groupBy(unit).applyInPandas(links, "a long, b long").distinct()
 
 
 def components(nodes: DataFrame, links: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -217,7 +261,7 @@ def components(nodes: DataFrame, links: DataFrame, id_col: str = "doc_id") -> Da
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, bands: int = 72, rows: int = 6
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, bands: int = 72, rows: int = 6, broadcast_ids: int = 2_000_000
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs.
 
@@ -234,10 +278,11 @@ def near_duplicates(
     crowd = materialise(members.join(hubs, ["band", "bucket"]))
     pairs = materialise(crowd.filter("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct())
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = materialise(_sets_of(docs, wanted, id_col, text_col, k))
+    # Of rows with one id, the least set stands for it.
+    sets = materialise(_sets_of(docs, wanted, id_col, text_col, k, broadcast_ids).groupBy("doc_id").agg(F.min("hashes").alias("hashes")))
     stars = materialise(_confirm(pairs, sets, percent))
     first = components(reps, stars)
-    rest = materialise(_rest(crowd.select("band", "bucket", "doc_id"), first, sets, percent, bands, rows))
+    rest = materialise(_rest(crowd.select("band", "bucket", "doc_id"), first, sets, percent))
     final = first if rest.isEmpty() else components(reps, stars.union(rest))
     classes = reps.select(F.col("doc_id"), "set_key").join(final, "doc_id").select("set_key", "comp")
     return sig.join(classes, "set_key", "left").select(
