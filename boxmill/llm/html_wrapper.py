@@ -1,7 +1,7 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-1. Each page is parsed once: its tree of block elements, with runs of like siblings
-   taken as one node, gives a short skeleton; its texts become blocks that know their
+1. Each page is parsed once: its tree of block elements, with runs of like paragraphs,
+   items or cells taken as one node, gives a short skeleton; its texts become blocks that know their
    node. Elements that by their tag, role, class or id hold menus, notices, adverts,
    forms or comments are left out.
 2. The commonest skeleton of a host is its wrapper. Every other skeleton of the host is
@@ -55,6 +55,9 @@ DROPPED_NAMES = frozenset(
 LASTING = frozenset("comment comments respond reply replies disqus discussion aside sidebar related recommended".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 DEEPEST = 100
+# Siblings of these tags are one node; of others, the first APART of a run are nodes of their own.
+RUNS = frozenset("p li tr td th dt dd option pre blockquote".split())
+APART = 8
 
 
 class Element:
@@ -162,7 +165,7 @@ def parse(html: str | None) -> tuple[list, list[tuple[int, str]]]:
         label, parent = tag + signature, above.node
         if len(stack) > DEEPEST:
             node = parent
-        elif parent[1] and parent[1][-1][0] == label:
+        elif parent[1] and parent[1][-1][0] == label and (tag in RUNS or all(n[0] == label for n in parent[1][-APART:]) and len(parent[1]) >= APART):
             node = parent[1][-1]
         else:
             node = [label, [], count]
