@@ -40,7 +40,7 @@ class OrdinalModel:
 def fit_cumulative(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, bits: int, steps: int = 200, penalty: float = 1e-4, rate: float = 0.3) -> OrdinalModel:
     """Maximum likelihood by Adam on all rows at once; thresholds as a first one and positive gaps."""
     n, top = len(rows), int(grades.max(initial=1))
-    used, index = np.unique(np.concatenate([np.zeros(1, np.int64), *[i for i, _ in rows]]), return_inverse=True)
+    used, index = np.unique(np.concatenate([np.zeros(1, np.int64), *[np.asarray(i, np.int64) for i, _ in rows]]), return_inverse=True)
     index = index[1:]
     value = np.concatenate([np.empty(0), *[v for _, v in rows]])
     owner = np.repeat(np.arange(n), [len(i) for i, _ in rows])
@@ -61,7 +61,7 @@ def fit_cumulative(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray
         np.add.at(by_theta, grades, lower * (1 - lower) / p)
         by_theta = by_theta[1:-1]
         ahead = np.cumsum(by_theta[::-1])[::-1]  # a gap moves all later thresholds
-        slope = np.concatenate([-np.bincount(index, by_score[owner] * value, len(used)) * -1 / n + penalty * w, ahead[:1] / n, ahead[1:] * np.exp(params[len(used) + 1 :]) / n])
+        slope = np.concatenate([np.bincount(index, by_score[owner] * value, len(used)) / n + penalty * w, ahead[:1] / n, ahead[1:] * np.exp(params[len(used) + 1 :]) / n])
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         params = params - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     weights = np.zeros(1 << bits)
