@@ -1,0 +1,173 @@
+"""Line rules, graded quality, toxicity and language: brute force and held-out accuracy."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from boxmill.llm import langid, quality_ordinal, quality_rules, queries, text_features, toxicity
+
+SCHEMA = "doc_id long, text string"
+PROSE = "The quick brown fox jumped over a lazy dog and then it slept for some hours in the warm sun.\n"
+
+
+def plain_counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed
+
+
+def test_counts_of_all_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = queries.op3_line_rules(spark, sf_dir).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert tuple(r)[1:7] == plain_counts(texts[r.doc_id])
+        assert not (r.kept and r.base_failed)
+
+
+def test_counts_of_odd_texts(spark):
+    r = random.Random(0)
+    texts = [None, "", " \n\n", "a\x1cb c", "x\n x\nx\n\n", "a b c a b c a b c", "a b a b", "é|<é \x0b# ß", "w " * 70_000]
+    texts += [" ".join(r.choice("ab\n") for _ in range(r.randint(1, 80))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA).select("doc_id", quality_rules.line_report(F.col("text")).alias("r"))
+    for row in df.collect():
+        assert tuple(row.r)[:6] == plain_counts(texts[row.doc_id])
+
+
+def prose(n=8, seed=0):
+    r = random.Random(seed)
+    words = [f"{a}{b}" for a in "bcdfgl" for b in ("an", "et", "ilo", "orm", "usk")]
+    return "\n".join(" ".join(r.choice(words) for _ in range(14)).capitalize() + "." for _ in range(n))
+
+
+@pytest.mark.parametrize(
+    ("line", "rule"),
+    [
+        ("Home | About | News | Contact", "navigation"),
+        ("### *** $$$", "symbols"),
+        ("All rights reserved by the owner.", "boilerplate"),
+        ("BUY!! THIS!! NOW!! OR!! NEVER!!", "shouting"),
+        ("In. In. In. In. In. In. In. In.", "repetition"),
+        ("Menu", "punctuation"),
+        ("A plain sentence with some words in it.", None),
+        ("A heading without a stop at its end", None),
+    ],
+)
+def test_rules_of_lines(line, rule):
+    assert quality_rules.failing_rule(line) == rule
+
+
+def test_documents_that_lose_too_much_are_rejected_and_columns_stay(spark):
+    good, bad = prose(), prose(2) + "\n" + "Home | About | News | Contact\n" * 20
+    df = spark.createDataFrame([(1, good, True), (2, bad, True), (3, None, True)], f"{SCHEMA}, kept boolean")
+    assert [tuple(r) for r in quality_rules.keep_clean(df).collect()] == [(1, good, True)]
+    cleaned = df.select("doc_id", quality_rules.clean_text(F.col("text")).alias("t")).orderBy("doc_id").collect()
+    assert [r.t for r in cleaned] == [good, prose(2) + "\n", None]
+    assert quality_rules.keep_clean(df.limit(0)).collect() == []
+
+
+def test_ordinal_model_orders_three_grades():
+    r = random.Random(3)
+    rows, grades = [], []
+    for i in range(600):
+        g = i % 3
+        text = " ".join(r.choice(["good", "fine"] if r.random() < (0.1, 0.5, 0.9)[g] else ["poor", "junk"]) + str(r.randrange(3)) for _ in range(60))
+        rows.append(text)
+        grades.append(g)
+    features = [text_features.graded_features(t, 12) for t in rows]
+    model = quality_ordinal.fit_cumulative(features[:400], np.array(grades[:400]), 12)
+    assert (np.diff(model.thresholds) > 0).all()
+    tails = model.tails(rows[400:])
+    assert (tails[:, 0] >= tails[:, 1]).all()
+    assert (np.rint(tails.sum(axis=1)) == np.array(grades[400:])).mean() > 0.9
+
+
+def test_ordinal_quality_on_held_out_labels(spark, sf_dir):
+    docs, labels = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet"), spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/labels.parquet")
+    held = F.pmod(F.col("doc_id"), F.lit(3)) == 0
+    model = quality_ordinal.train(docs, queries.graded_labels(labels.filter(~held)))
+    got = docs.join(labels.filter(held), "doc_id").select("quality", quality_ordinal.grade(model, F.col("text"))["tails"][0].alias("p")).collect()
+    assert np.mean([(r.p >= 0.5) == (r.quality == 1) for r in got]) > 0.95
+
+
+def test_models_on_odd_rows(spark):
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "a\n" * 30_000), (None, "b"), (3, "a")], SCHEMA)
+    none = spark.createDataFrame([], "doc_id long, grade int")
+    model = quality_ordinal.train(docs, none)
+    tails = docs.select(quality_ordinal.grade(model, F.col("text")).alias("g")).collect()
+    assert [r.g.tails for r in tails] == [[0.5]] * 5
+    assert quality_ordinal.keep_good(docs.limit(0), model).collect() == []
+    graded = spark.createDataFrame([(1, 0), (2, 1), (None, 1), (3, None)], "doc_id long, grade int")
+    assert quality_ordinal.train(docs, graded).thresholds.shape == (1,)
+    chain = toxicity.train(docs, spark.createDataFrame([(1, 1), (3, None)], "doc_id long, toxic int"), {"toxic": "toxic"})
+    assert docs.select(toxicity.score(chain, F.col("text")).alias("p")).count() == 5
+    lang = langid.train(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {r.p.lang_pred for r in docs.select(langid.identify(lang, F.col("text")).alias("p")).collect()} == {"und"}
+
+
+def test_chain_learns_from_out_of_fold_probabilities():
+    r = random.Random(5)
+    texts, labels = [], []
+    for i in range(900):
+        toxic = i % 4 == 0
+        severe = toxic and i % 8 == 0
+        words = [f"w{r.randrange(300)}" for _ in range(40)] + (["nasty"] if toxic else []) + (["kill"] if severe or (not toxic and r.random() < 0.2) else [])
+        r.shuffle(words)
+        texts.append(" ".join(words))
+        labels.append([int(toxic), int(severe)])
+    rows, y = [text_features.presence_features(t, 16) for t in texts], np.array(labels)
+    chain = toxicity.fit_chain(rows[:600], y[:600], ["toxic", "severe"], 16)
+    assert chain.models[1].links.shape == (1,) and chain.models[1].links[0] > 0
+    p = chain.predict(texts[600:])
+    for j in (0, 1):
+        assert ((p[:, j] >= chain.cuts[j]) == (y[600:, j] == 1)).mean() > 0.97
+
+
+def test_toxicity_on_held_out_labels(spark, sf_dir):
+    top = sf_dir.replace("0.001", "0.1")
+    docs, labels = spark.read.parquet(f"{top}/documents.parquet"), spark.read.parquet(f"{top}/labels.parquet")
+    held = F.pmod(F.col("doc_id"), F.lit(3)) == 0
+    chain = toxicity.train(docs, labels.filter(~held), {"toxic": "toxic"})
+    got = docs.join(labels.filter(held), "doc_id").select("toxic", toxicity.score(chain, F.col("text"))["toxic"].alias("p")).collect()
+    flagged = [(r.p >= chain.cuts[0], r.toxic == 1) for r in got]
+    assert sum(a and b for a, b in flagged) / sum(b for _, b in flagged) > 0.85
+    assert sum(a and not b for a, b in flagged) / sum(not b for _, b in flagged) < 0.01
+
+
+def test_language_of_held_out_documents(spark, sf_dir):
+    got = queries.op6_language(spark, sf_dir).collect()
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    held = [r for r in got if r.held_out]
+    assert len(got) == len(langs) and held
+    assert np.mean([r.lang_pred == langs[r.doc_id] for r in held]) > 0.9
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_of_odd_texts():
+    size = 1 << 16
+    model = langid.LanguageModel(["a", "b"], np.log(np.full((size, 2), 1 / size)).astype(np.float32), np.log(np.array([0.4, 0.6])), (1, 2, 3), 16)
+    langs, score = model.predict([None, "", "12 ..", "x", "é" * 1_200_000])
+    assert langs == ["und"] * 3 + ["b", "b"] and score[:3].tolist() == [0, 0, 0]
+    assert score[3] == pytest.approx(0.6) and score[4] == pytest.approx(0.6)
+
+
+def test_no_n_gram_has_letters_of_two_texts():
+    texts = ["ab", "cd", None, "e"]
+    codes, starts, owners = next(langid.slices(texts))
+    alone = [next(langid.slices([t])) for t in texts]
+    for n in (1, 2, 3):
+        found = np.split(langid.buckets(codes, n, 16), starts[1:])
+        for i, (c, _, _) in enumerate(alone):
+            own = langid.buckets(c, n, 16)
+            assert Counter(found[i].tolist())[int(own[3])] >= 1 and owners[i] == i
