@@ -96,4 +96,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+# White space, separators and line endings of the line rules as SQL texts.
+_SPACES = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_SEPARATORS = sorted(quality_rules.SEPARATORS)
+_ENDS = "".join("''" if c == "'" else "\\" + c if c in "]-\\^" else c for c in quality_rules.ENDS)
+
+ORACLE_SQL: dict[str, str] = {
+    # The counts, then every rule on every line; a line that repeats an earlier one fails too.
+    "op3_line_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM (SELECT doc_id, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c FROM d, unnest(range(1, len(words) - 1)) r(i))),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM win, range(0, 3) s(k) WHERE win.n > 1 GROUP BY 1),
+ln AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS again, regexp_extract_all(line, '[^{_SPACES}]+') AS w,
+  octet_length(encode(line)) AS bytes, length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS marks, octet_length(encode(regexp_replace(line, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g'))) AS letters
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+ru AS (SELECT *, greatest(len(w), 1) AS n FROM ln),
+fl AS (SELECT *, again
+  OR n > 1 AND len(list_filter(w, lambda x: list_contains({list(_SEPARATORS)}, x))) * 4 >= n AND len(list_filter(w, lambda x: list_contains({list(_SEPARATORS)}, x))) > 0
+  OR marks > 1 AND marks * 5 >= n
+  OR length(line) < 400 AND regexp_matches(lower(line), '{'|'.join(quality_rules.BOILERPLATE)}')
+  OR letters * 2 < bytes - n + 1
+  OR n >= 5 AND (len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x))) * 2 > n OR len(list_distinct(w)) * 3 < n AND n < 200 OR len(list_filter(range(2, n + 1), lambda i: w[i] = w[i - 1])) * 4 > n)
+  OR n < 4 AND NOT regexp_matches(line, '[{_ENDS}][{_SPACES}]*$') AS failed FROM ru),
+per AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (again) AS n_dup_lines, count(*) FILTER (failed) AS n_failed_lines, coalesce(sum(length(line)) FILTER (failed), 0) / CAST(sum(length(line)) AS DOUBLE) AS share FROM fl GROUP BY 1),
+al AS (SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_failed_lines, 0) AS n_failed_lines, coalesce(share, 1) AS removed_share
+  FROM d LEFT JOIN rep ON d.doc_id = rep.doc_id LEFT JOIN per ON d.doc_id = per.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND removed_share <= 0.5 AS kept, n_lines, n_failed_lines, removed_share FROM al""",
+    # Exact similarity of all pairs that share a shingle, and the least id reachable.
+    "op8_near_duplicates": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1), lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+both_in AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM both_in JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT a AS doc_id, a AS seen FROM edge UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON r.seen = e.a),
+low AS (SELECT doc_id, min(seen) AS c FROM reach GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, w.doc_id) AS component_id, coalesce(c, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN low ON w.doc_id = low.doc_id""",
+    "op10_perspectives": """
+WITH t AS (SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+r AS (SELECT t.*, perspective, CASE WHEN speaker = perspective THEN '<|assistant|>' || chr(10) WHEN speaker = 'system' THEN '<|system|>' || chr(10) ELSE '<|user name=' || speaker || '|>' || chr(10) END AS head
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+g AS (SELECT *, head || text || chr(10) || '<|end|>' || chr(10) AS segment FROM r),
+o AS (SELECT *, CAST(length(segment) AS BIGINT) AS length, CAST(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn, speaker, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(segment) AS BIGINT) AS start FROM g)
+SELECT conv_id, perspective, CASE WHEN turn >= 0 THEN turn END AS turn, speaker, segment, start, length, start + length(head) AS mask_start,
+  CASE WHEN speaker = perspective THEN length(text) ELSE 0 END AS mask_length FROM o""",
+}
