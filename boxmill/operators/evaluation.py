@@ -6,6 +6,9 @@ and average precision takes 101 recall points (Lin et al. 2014).
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ from ..functions.geometry import gaussian_iou
 
 THRESHOLDS = tuple(t / 100 for t in range(50, 100, 5))
 BUCKETS = 200
+SUBS = 64
 
 
 def flag(threshold: float) -> str:
@@ -57,15 +61,20 @@ def pr_curve(matches: DataFrame, truth_counts: DataFrame, thresholds: tuple[floa
     Classes are few, so a window per class would hold all the data. Scores are cut into
     buckets at their own quantiles; sums per class and bucket give offsets, and the
     windows run inside class and bucket. Ties in score are ordered by image and
-    prediction. Precision is tp / rank, recall tp / n_truth. Classes without truth have
+    prediction; ties at a score that more than one bucket's share of all rows have, by
+    a hash of the image first. Precision is tp / rank, recall tp / n_truth. Classes without truth have
     no rows; a table without predictions gives none.
     """
     flags = [flag(t) for t in thresholds]
-    cuts = matches.agg(F.percentile_approx("score", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
-    splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    matches = matches.persist()  # read for quantiles, sums and windows; the caller's session drops it
+    cuts = matches.agg(F.percentile_approx("score", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or [0.0]
+    # A score that is several quantiles gets a bucket of its own, dealt out by a hash of the image.
+    heavy = {float(c) for c, n in Counter(cuts).items() if n > 1}
+    splits = [float("-inf"), *sorted({float(c) for c in cuts} | {math.nextafter(c, math.inf) for c in heavy}), float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="score", outputCol="place", handleInvalid="keep")
+    sub = F.when(F.col("score").isin(*heavy), F.pmod(F.xxhash64("image_id"), F.lit(SUBS))).otherwise(0) if heavy else F.lit(0)
     # Numbered from the best scores on; equal scores share a bucket.
-    cut = Bucketizer(splits=splits, inputCol="score", outputCol="bucket", handleInvalid="keep")
-    rows = cut.transform(matches).withColumn("bucket", (len(splits) - F.col("bucket")).cast("int"))
+    rows = cut.transform(matches).withColumn("bucket", ((len(splits) - F.col("place")) * SUBS + sub).cast("int")).drop("place")
     sums = rows.groupBy("class_id", "bucket").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags])
     ahead = Window.partitionBy("class_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("class_id", "bucket", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"o_{c}") for c in ["n", *flags]])

@@ -76,10 +76,19 @@ def latest_labels(revisions: DataFrame) -> DataFrame:
     return revisions.withColumn("newest", newest).filter("revision = newest").drop("newest")
 
 
-def class_in_force(edits: DataFrame, default: int = 0) -> DataFrame:
-    """edits with the class last chosen in their session, or the default."""
-    order = Window.partitionBy("session").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    return edits.withColumn("current_class", F.coalesce(F.last("class_id", ignorenulls=True).over(order), F.lit(default)))
+def class_in_force(edits: DataFrame, default: int = 0, span: int = 10_000) -> DataFrame:
+    """edits with the class last chosen in their session, or the default.
+
+    A session may hold any share of the log, so it is cut into spans of seq: the last
+    choice of each span is carried to the later ones, and windows run inside a span.
+    """
+    spanned = edits.withColumn("span", F.floor(F.col("seq") / span))
+    last = spanned.groupBy("session", "span").agg(F.max_by("class_id", F.when(F.col("class_id").isNotNull(), F.col("seq"))).alias("chosen"))
+    earlier = Window.partitionBy("session").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("session", "span", F.last("chosen", ignorenulls=True).over(earlier).alias("carried"))
+    inside = Window.partitionBy("session", "span").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    current = F.coalesce(F.last("class_id", ignorenulls=True).over(inside), "carried", F.lit(default))
+    return spanned.join(carried, ["session", "span"]).withColumn("current_class", current).drop("span", "carried")
 
 
 # ---- replay of one image's edits ------------------------------------------------------

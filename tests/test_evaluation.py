@@ -85,6 +85,17 @@ def test_curve_and_average_precision_against_one_window(spark, parts):
     assert per[2] == (None, None)
 
 
+def test_curve_of_one_score(spark):
+    """Every row has the same score: it is dealt out, and ranks are still 1 to n."""
+    names = [evaluation.flag(t) for t in evaluation.THRESHOLDS]
+    rows = [(i, 0, i, 0.5, *[1] * 10) for i in range(300)]
+    df = spark.createDataFrame(rows, "image_id long, class_id long, pred_id long, score double, " + ", ".join(f"{n} int" for n in names))
+    curve = evaluation.pr_curve(df, spark.createDataFrame([(0, 300)], "class_id long, n_truth long"))
+    got = curve.select("rank", "tp50").orderBy("rank").collect()
+    assert [(r["rank"], r.tp50) for r in got] == [(i, i) for i in range(1, 301)]
+    assert evaluation.pr_curve(df.limit(0), spark.createDataFrame([(0, 300)], "class_id long, n_truth long")).collect() == []
+
+
 def boxes(n=30, seed=9):
     r = random.Random(seed)
     return [(i % 5, i, i % 2, 50.0 * (i // 5), 40.0 * (i % 5), r.uniform(10, 30), r.uniform(5, 9), r.uniform(0, 180)) for i in range(n)]

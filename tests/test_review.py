@@ -44,6 +44,12 @@ def test_class_in_force_is_carried_across_images_of_a_session(spark):
     assert replay(spark, [], edits) == [(8, 0, 5, "manual_obb"), (9, 0, 0, "manual_obb")]
 
 
+def test_class_in_force_does_not_depend_on_the_span(spark):
+    df = spark.createDataFrame(random_edits(), EDITS).withColumn("class_id", F.when(F.col("seq") % 7 == 3, F.col("class_id")))
+    key = lambda span: sorted((r.seq, r.current_class) for r in review.class_in_force(df, 9, span).collect())
+    assert key(3) == key(10_000) == key(1) and len(key(3)) == 120
+
+
 def random_edits(n=120, images=4, seed=2):
     r = random.Random(seed)
     actions = ["add", "left_click", "middle_click", "undo", "delete_selected", "save"]
