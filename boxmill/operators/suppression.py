@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,17 +53,38 @@ def nms(detections: DataFrame, iou: float = 0.45, by: tuple[str, ...] = ("image_
     """The `by` columns and ids of the detections that greedy suppression keeps.
 
     Best score first, then the lowest id. Boxes are the columns x1, y1, x2, y2, or
-    polygons if corners_col is given. Groups do not touch each other; one group of an
-    image and class is small and fits a task.
+    polygons if corners_col is given. Groups do not touch each other; they are dealt
+    out by a hash and come sorted, so many small groups share a batch and only one
+    group at a time is held beyond it.
     """
-    boxes = ["x1", "y1", "x2", "y2"] if corners_col is None else [corners_col]
+    if corners_col is None:
+        numbers = [F.col(c).cast("double").alias(f"_{c}") for c in ("x1", "y1", "x2", "y2")]
+    else:
+        numbers = [F.col(corners_col)[i][k].alias(f"_{k}{i}") for i in range(4) for k in ("x", "y")]
+
+    def kept(frame: pd.DataFrame, ends: np.ndarray) -> pd.DataFrame:
+        boxes = frame[[c for c in frame.columns if c.startswith("_") and c != "_score"]].to_numpy(float)
+        boxes = boxes if corners_col is None else boxes.reshape(-1, 4, 2)
+        places = []
+        for start, end in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
+            places += [start] if end - start == 1 else [start + k for k in greedy_keep(boxes[start:end], np.arange(end - start), iou)]
+        return frame.iloc[places][[*by, id_col]]
 
-    def suppress(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((group[id_col].to_numpy(), -group["score"].to_numpy(float)))
-        shape = group[boxes].to_numpy(float) if corners_col is None else np.array([[[p["x"], p["y"]] for p in c] for c in group[corners_col]], float)
-        return group.iloc[greedy_keep(shape, order, iou)][[*by, id_col]]
+    def suppress(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left = None
+        for batch in batches:
+            frame = batch if left is None else pd.concat([left, batch], ignore_index=True)
+            group = frame.groupby(list(by), dropna=False, sort=False).ngroup().to_numpy()
+            ends = np.flatnonzero(np.diff(group)) + 1  # the last group may go on in the next batch
+            if len(ends):
+                yield kept(frame.iloc[: ends[-1]], ends)
+                frame = frame.iloc[ends[-1] :].reset_index(drop=True)
+            left = frame
+        if left is not None and len(left):
+            yield kept(left, np.array([len(left)]))
 
     types = dict(detections.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in [*by, id_col])
-    rows = detections.select(*by, id_col, F.col("score").cast("double").alias("score"), *boxes)
-    return rows.groupBy(*by).applyInPandas(suppress, schema)
+    rows = detections.select(*by, id_col, F.col("score").cast("double").alias("_score"), *numbers)
+    dealt = rows.repartition(*by).sortWithinPartitions(*by, F.desc("_score"), id_col)
+    return dealt.mapInPandas(suppress, schema)

@@ -48,6 +48,9 @@ def test_greedy_suppression_against_a_loop(spark):
         if all(a[:2] != b[:2] or iou(a, b) <= 0.45 for b in kept):
             kept.append(a)
     assert sorted(x.det_id for x in suppression.nms(df).collect()) == sorted(a[2] for a in kept)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # groups that span batches
+    assert sorted(x.det_id for x in suppression.nms(df).collect()) == sorted(a[2] for a in kept)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     corners = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("x1", "y1"), ("x2", "y1"), ("x2", "y2"), ("x1", "y2"))])
     turned = suppression.nms(df.withColumn("corners", corners), corners_col="corners")
     assert sorted(x.det_id for x in turned.collect()) == sorted(a[2] for a in kept)
