@@ -139,8 +139,14 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
     columns = [c for c in labels.columns if c not in (id_col, "text")]
     sample = sample_rows(docs, labels, id_col, columns, max_rows).select(*[F.col(f"__{c}").alias(c) for c in columns], F.col(text_col).cast("string").alias("text"))
     sample = sample.select(F.array(*[F.expr(e).cast("int") for e in categories.values()]).alias("labels"), "text")
-    found = sample.mapInArrow(features, "labels array<int>, index array<int>").toArrow().to_pydict()
-    once = {(row.tobytes(), tuple(given)): row for row, given in ((np.array(r, np.int64), g) for r, g in zip(found["index"], found["labels"], strict=True)) if None not in given}
+    found = sample.mapInArrow(features, "labels array<int>, index array<int>").toArrow()
+    once = {}
+    for batch in found.to_batches():
+        index, ends = batch.column("index").values.to_numpy(), batch.column("index").offsets.to_numpy()
+        for i, row_labels in enumerate(batch.column("labels").to_pylist()):
+            row = index[ends[i] : ends[i + 1]].astype(np.int64)
+            if None not in row_labels:
+                once[row.tobytes(), tuple(row_labels)] = row
     order = sorted(once)  # Spark's order of rows must not matter
     rows = [once[key] for key in order]
     given = np.array([key[1] for key in order], np.int64).reshape(-1, len(categories))
