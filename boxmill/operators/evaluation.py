@@ -30,11 +30,14 @@ def _side(prefix: str) -> dict[str, Column]:
 
 
 def pair_predictions(predictions: DataFrame, truth: DataFrame) -> DataFrame:
-    """image_id, class_id, pred_id, gt_id, iou of all pairs of one image and class."""
+    """image_id, class_id, pred_id, score, gt_id, iou of all pairs of one image and class.
+
+    The score is carried along so that matching need not look it up again.
+    """
     shape = ("cx", "cy", "w", "h", "deg")
-    p = predictions.select("image_id", "class_id", "pred_id", *[F.col(c).alias(f"p_{c}") for c in shape])
+    p = predictions.select("image_id", "class_id", "pred_id", "score", *[F.col(c).alias(f"p_{c}") for c in shape])
     g = truth.select("image_id", "class_id", "gt_id", *[F.col(c).alias(f"g_{c}") for c in shape])
-    return p.join(g, ["image_id", "class_id"]).select("image_id", "class_id", "pred_id", "gt_id", gaussian_iou(_side("p"), _side("g")).alias("iou"))
+    return p.join(g, ["image_id", "class_id"]).select("image_id", "class_id", "pred_id", "score", "gt_id", gaussian_iou(_side("p"), _side("g")).alias("iou"))
 
 
 def match_predictions(pairs: DataFrame, predictions: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
@@ -46,9 +49,8 @@ def match_predictions(pairs: DataFrame, predictions: DataFrame, thresholds: tupl
     """
     best = Window.partitionBy("image_id", "pred_id").orderBy(F.desc("iou"), "gt_id")
     taken = pairs.withColumn("rank", F.row_number().over(best)).filter("rank = 1").drop("rank")
-    scored = taken.join(predictions.select("image_id", "pred_id", "score"), ["image_id", "pred_id"])
     before = Window.partitionBy("image_id", "gt_id").orderBy(F.desc("score"), "pred_id").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = scored.withColumn("before", F.coalesce(F.max("iou").over(before), F.lit(-1.0)))
+    ranked = taken.withColumn("before", F.coalesce(F.max("iou").over(before), F.lit(-1.0)))
     flags = {flag(t): ((F.col("before") < t) & (F.col("iou") >= t)).cast("int") for t in thresholds}
     hits = ranked.select("image_id", "pred_id", *[c.alias(n) for n, c in flags.items()])
     every = predictions.select("image_id", "class_id", "pred_id", "score").join(hits, ["image_id", "pred_id"], "left")

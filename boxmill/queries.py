@@ -372,7 +372,7 @@ def paired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(PAIRED + " SELECT image_id, class_id, pred_id, gt_id, round(iou, 5) AS iou FROM pairs")
 def q42_pair_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paired(spark, sf_dir).withColumn("iou", F.round("iou", 5))
+    return paired(spark, sf_dir).drop("score").withColumn("iou", F.round("iou", 5))
 
 
 # ---- datasets -------------------------------------------------------------------------
