@@ -52,6 +52,9 @@ DROPPED_NAMES = frozenset(
     " newsletter subscribe subscription signup signin login register paywall share sharing social comment comments respond reply replies disqus discussion"
     " related recommended recommendations trending pagination pager search form forms copyright disclaimer legal toolbar skip".split()
 )
+# Longer words that begin so mean the same; words before which a name says that the part is elsewhere.
+BEGINNINGS = ("comment", "advert", "sidebar", "breadcrumb", "cookie", "newsletter", "footer", "sponsor", "navigation", "subscri")
+NEGATIONS = frozenset("with has no without".split())
 LASTING = frozenset("comment comments respond reply replies disqus discussion aside sidebar related recommended".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 DEEPEST = 100
@@ -69,6 +72,13 @@ class Element:
         self.tag, self.node, self.dropped, self.root = tag, node, dropped, root
 
 
+def mark_of(word: str) -> str:
+    """The name of a left-out part that a word of a class or id stands for, or ''."""
+    if word in DROPPED_NAMES:
+        return word
+    return next((b for b in BEGINNINGS if word.startswith(b)), "")
+
+
 def names_of(attributes: str) -> tuple[str, str, bool]:
     """(signature, words of class, id and role that mark a left-out part, hidden)."""
     signature = marks = ""
@@ -79,7 +89,8 @@ def names_of(attributes: str) -> tuple[str, str, bool]:
         if name in ("class", "id"):
             words = [w.lower() for w in WORD.findall(value)]
             signature += "." + "-".join(words)
-            marks = marks or next((w for w in words if w in DROPPED_NAMES), "")
+            if NEGATIONS.isdisjoint(words):
+                marks = marks or next(filter(None, map(mark_of, words)), "")
         elif name == "role" and value.lower() in DROPPED_ROLES:
             marks = marks or value.lower()
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():

@@ -40,6 +40,8 @@ def test_parts_that_are_not_the_article_are_left_out():
         ("<p hidden>no</p><p style='display: none'>no</p><p>yes", "yes"),
         ("<P>&lt;i&gt; &#233; &euro;</P></div></p>", "<i> é €"),
         ("<div>" * 3000 + "deep", "deep"),
+        ("<div class='page with-sidebar'><article><p>x</article></div>", "x"),
+        ("<p>x<ol class=commentlist><li>y</ol><div id=footerLinks><p>z</div>", "x"),
         ("<div role=navigation>m</div><main><p>x</main>", "x"),
     ],
 )
