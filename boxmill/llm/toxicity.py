@@ -96,7 +96,7 @@ class Chain:
 
 def fit_chain(rows: list[np.ndarray], labels: np.ndarray, categories: list[str], bits: int, folds: int = 4) -> Chain:
     """Models for the columns of labels; later ones are trained on out-of-fold probabilities."""
-    fold = np.arange(len(rows)) % folds
+    fold = np.random.default_rng(0).permutation(len(rows)) % folds  # not in step with the order of rows
     honest = np.zeros((len(rows), len(categories)))
     models, cuts = [], []
     for j in range(len(categories)):
