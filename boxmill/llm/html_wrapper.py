@@ -8,7 +8,8 @@
    aligned with it once by simple tree matching (Yang 1991), which maps nodes to the
    wrapper's slots.
 3. A text that stands in the same slot on most pages of the host is template; what
-   varies is content. Counts are taken over all pages, pre-aggregated by skeleton.
+   varies is content. Counts are taken over all distinct contents of a host: pages with
+   the same blocks are copies, whatever stands around them, and count once.
 """
 
 from __future__ import annotations
@@ -98,8 +99,8 @@ def names_of(attributes: str) -> tuple[str, str, bool]:
     return signature, marks, hidden
 
 
-def parse(html: str | None) -> tuple[list, list[tuple[int, str]]]:
-    """The skeleton [label, children] with node numbers, and (node, text) of the blocks in order.
+def parse(html: str | None) -> tuple[list, list[tuple[int, str]], bool]:
+    """The skeleton [label, children] with node numbers, (node, text) of the blocks in order, and whether they lie in article or main elements.
 
     If the page has article or main elements, only blocks inside them are given. Null:
     an empty skeleton.
@@ -188,7 +189,7 @@ def parse(html: str | None) -> tuple[list, list[tuple[int, str]]]:
     if at < len(html):
         text.append(html[at:].split("<", 1)[0] if re.match(r"<[a-zA-Z/!?]", html[at:]) else html[at:])
     flush()
-    return root, [(n, t) for n, t, inside in blocks if inside or not has_root]
+    return root, [(n, t) for n, t, inside in blocks if inside or not has_root], has_root
 
 
 def written(node: list) -> str:
@@ -250,21 +251,23 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return pairs
 
 
-PARSED = "page_id long, url string, host string, skeleton string, skeleton_id long, blocks array<struct<node:int,hash:long,text:string>>"
+PARSED = "page_id long, url string, host string, skeleton string, skeleton_id long, content long, inside boolean, blocks array<struct<node:int,hash:long,text:string>>"
 
 
 def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            skeletons, ids, blocks = [], [], []
+            skeletons, ids, contents, insides, blocks = [], [], [], [], []
             for html in batch.column("html").to_pylist():
-                tree, found = parse(html)
+                tree, found, inside = parse(html)
+                insides.append(inside)
                 skeletons.append(written(tree))
                 ids.append(xxhash.xxh3_64_intdigest(skeletons[-1].encode("utf-8", "replace")) - (1 << 63))
                 blocks.append([{"node": n, "hash": xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) - (1 << 63), "text": t} for n, t in found])
+                contents.append(xxhash.xxh3_64_intdigest("\0".join(t for _, t in found).encode("utf-8", "replace")) - (1 << 63))
             kind = pa.list_(pa.struct([("node", pa.int32()), ("hash", pa.int64()), ("text", pa.string())]))
             columns = [batch.column(c) for c in ("page_id", "url", "host")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(skeletons), pa.array(ids, pa.int64()), pa.array(blocks, kind)], names=["page_id", "url", "host", "skeleton", "skeleton_id", "blocks"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(skeletons), pa.array(ids, pa.int64()), pa.array(contents, pa.int64()), pa.array(insides, pa.bool_()), pa.array(blocks, kind)], names=[n.split()[0] for n in PARSED.split(", ")])
 
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), F.col(html_col).cast("string").alias("html"))
@@ -285,12 +288,18 @@ def extract_text(
     text: the blocks of the main part, white space made single, joined by two line
     ends; empty for null or empty html. n_template: blocks left out as the host's
     template. Pages without a host are one host. Repeated rows are rows of their own;
-    they count as pages of the host. Hosts with under least_pages pages have no
-    template. Other columns are ignored; an empty table gives no rows.
+    they and other copies count once among the pages of the host. Hosts with under
+    least_pages distinct pages have no template, and no template takes the whole text of
+    a page's article and main elements. Other columns are ignored; an empty table gives no rows.
     """
     parsed = materialise(_parsed(pages, id_col, url_col, html_col))
-    shapes = parsed.groupBy("host", "skeleton_id").agg(F.count("*").alias("n"), F.min("skeleton").alias("skeleton"))
-    shapes = materialise(shapes)
+    once = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), b["hash"].alias("hash"))))
+    # Copies of a page stand for one page, that of the least skeleton.
+    contents = parsed.select("host", "content", F.struct("skeleton_id", once.alias("once")).alias("page")).groupBy("host", "content").agg(F.min("page").alias("page"))
+    contents = materialise(contents.select("host", "page.*"))
+    counts = contents.groupBy("host", "skeleton_id").agg(F.count("*").alias("n"))
+    shapes = parsed.groupBy("host", "skeleton_id").agg(F.min("skeleton").alias("skeleton")).join(counts, ["host", "skeleton_id"], "left")
+    shapes = materialise(shapes.fillna(0, ["n"]))
     wrappers = shapes.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton_id")).alias("wrapper"), F.sum("n").alias("pages")).filter(F.col("pages") >= least_pages)
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -303,8 +312,7 @@ def extract_text(
 
     slots = shapes.join(wrappers.drop("pages"), "host").select("host", "skeleton_id", "n", "skeleton", "wrapper")
     slots = materialise(slots.mapInPandas(match, "host string, skeleton_id long, n long, slots array<struct<node:int,slot:int>>").select("host", "skeleton_id", "n", F.explode("slots").alias("s")).select("host", "skeleton_id", "n", "s.*"))
-    once = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), b["hash"].alias("hash"))))
-    seen = parsed.select("host", "skeleton_id", F.explode(once).alias("b")).groupBy("host", "skeleton_id", "b.node", "b.hash").agg(F.count("*").alias("k"))
+    seen = contents.select("host", "skeleton_id", F.explode("once").alias("b")).groupBy("host", "skeleton_id", "b.node", "b.hash").agg(F.count("*").alias("k"))
     of_slot = slots.groupBy("host", "slot").agg(F.sum("n").alias("pages"))
     repeated = seen.join(slots.drop("n"), ["host", "skeleton_id", "node"]).groupBy("host", "slot", "hash").agg(F.sum("k").alias("k")).filter(F.col("k") > 1)
     template = repeated.join(of_slot, ["host", "slot"]).filter((F.col("pages") >= least_pages) & (F.col("k") > template_share * F.col("pages"))).select("host", "slot", "hash")
@@ -314,6 +322,9 @@ def extract_text(
     size = marked.agg(F.sum(F.size("template") * 24 + 64)).first()[0] or 0
     joined = parsed.join(F.broadcast(marked) if size <= broadcast_bytes else marked, ["host", "skeleton_id"], "left")
     known = F.coalesce("template", F.array().cast("array<struct<node:int,hash:bigint>>"))
-    kept = F.filter("blocks", lambda b: ~F.array_contains(known, F.struct(b["node"].alias("node"), b["hash"].alias("hash"))))
+    left = F.filter("blocks", lambda b: ~F.array_contains(known, F.struct(b["node"].alias("node"), b["hash"].alias("hash"))))
+    joined = joined.withColumn("left", left)
+    # Pages that differ in nothing else show no template: it never takes the whole text of article or main elements.
+    kept = F.when(F.col("inside") & (F.size("left") == 0), F.col("blocks")).otherwise(F.col("left"))
     out = joined.select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n").alias("text"), (F.size("blocks") - F.size(kept)).alias("n_template"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), F.col("n_template").cast("long").alias("n_template"))

@@ -111,3 +111,17 @@ def test_every_page_of_the_table(spark, sf_dir):
     for r in pages.limit(20).collect():
         assert "<" not in got[r.page_id].replace("< ", "") or "&lt;" in r.html
         assert got[r.page_id].split("\n\n")[0][:30] in " ".join(hw.unescape(r.html).split())
+
+
+def test_copies_of_a_page_are_no_evidence(spark):
+    """Copies count once, also where they differ outside the article or in the skeleton; so does what few pages have."""
+    article = lambda i: f"<article><h1>Title {i}</h1><p>Story {i} begins.</p></article>"
+    rows = [(i, "http://a.example/", article(1 if i < 6 else i) + ("<div>now</div>" * (i % 3) if i < 6 else "")) for i in range(10)]
+    quote = lambda i: f"<div><p>Tale {i}.</p>" + (f"<blockquote>Said {i // 5}</blockquote>" if i < 9 else "") + f"<p>It ends {i}.</p></div><div>Call 555</div>"
+    rows += [(100 + i, "http://b.example/", quote(0 if i < 5 else i)) for i in range(20)]
+    parts = ["<p>One.</p>", "<p>Two.</p>", "<p>Three.</p>"]  # distinct pages that differ in nothing else
+    rows += [(200 + i, "http://c.example/", "<article>" + "".join(x for j, x in enumerate(parts) if i >> j & 1) + "</article>") for i in range(1, 8)]
+    got = {r.page_id: r for r in hw.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[200 + i].text for i in (1, 2, 7)] == ["One.", "Two.", "One.\n\nTwo.\n\nThree."]
+    assert [got[i].text for i in range(10)] == [f"Title {j}\n\nStory {j} begins." for j in [1] * 6 + [6, 7, 8, 9]]
+    assert got[100].text == "Tale 0.\n\nSaid 0\n\nIt ends 0." and got[119].text == "Tale 19.\n\nIt ends 19."
