@@ -6,7 +6,8 @@
    forms or comments are left out.
 2. The commonest skeleton of a host is its wrapper. Every other skeleton of the host is
    aligned with it once by simple tree matching (Yang 1991), which maps nodes to the
-   wrapper's slots.
+   wrapper's slots. Nodes that the wrapper lacks, as those of another layout, get slots
+   of their own by their path below the nearest node that it has.
 3. A text that stands in the same slot on most pages of the host is template; what
    varies is content. Counts are taken over all distinct contents of a host: pages with
    the same blocks are copies, whatever stands around them, and count once.
@@ -251,6 +252,21 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return pairs
 
 
+def all_slots(own: list, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(node, slot) of every node of a skeleton: that of its pair, or a negative one of its path among the nodes without a pair."""
+    slot = dict(pairs)
+    todo = [own]
+    while todo:
+        node = todo.pop()
+        nth: dict[str, int] = {}
+        for child in node[1]:
+            if child[2] not in slot:
+                nth[child[0]] = nth.get(child[0], 0) + 1
+                slot[child[2]] = -1 - (xxhash.xxh3_64_intdigest(f"{slot[node[2]]} {nth[child[0]]} {child[0]}".encode("utf-8", "replace")) >> 1)
+        todo += node[1]
+    return list(slot.items())
+
+
 PARSED = "page_id long, url string, host string, skeleton string, skeleton_id long, content long, inside boolean, blocks array<struct<node:int,hash:long,text:string>>"
 
 
@@ -302,16 +318,19 @@ def extract_text(
     shapes = materialise(shapes.fillna(0, ["n"]))
     wrappers = shapes.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton_id")).alias("wrapper"), F.sum("n").alias("pages")).filter(F.col("pages") >= least_pages)
 
+    def aligned(own: list, wrapper: list) -> list[tuple[int, int]]:
+        return all_slots(own, align(own, wrapper))
+
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             slots = []
             for own, wrapper in zip(batch.skeleton, batch.wrapper, strict=True):
-                pairs = [(n, n) for n in map(int, re.findall(r"#(\d+)", own))] if own == wrapper else align(read_back(own), read_back(wrapper))
+                pairs = [(n, n) for n in map(int, re.findall(r"#(\d+)", own))] if own == wrapper else aligned(read_back(own), read_back(wrapper))
                 slots.append([{"node": a, "slot": b} for a, b in pairs])
             yield pd.DataFrame({"host": batch.host, "skeleton_id": batch.skeleton_id, "n": batch.n, "slots": slots})
 
     slots = shapes.join(wrappers.drop("pages"), "host").select("host", "skeleton_id", "n", "skeleton", "wrapper")
-    slots = materialise(slots.mapInPandas(match, "host string, skeleton_id long, n long, slots array<struct<node:int,slot:int>>").select("host", "skeleton_id", "n", F.explode("slots").alias("s")).select("host", "skeleton_id", "n", "s.*"))
+    slots = materialise(slots.mapInPandas(match, "host string, skeleton_id long, n long, slots array<struct<node:int,slot:long>>").select("host", "skeleton_id", "n", F.explode("slots").alias("s")).select("host", "skeleton_id", "n", "s.*"))
     seen = contents.select("host", "skeleton_id", F.explode("once").alias("b")).groupBy("host", "skeleton_id", "b.node", "b.hash").agg(F.count("*").alias("k"))
     of_slot = slots.groupBy("host", "slot").agg(F.sum("n").alias("pages"))
     repeated = seen.join(slots.drop("n"), ["host", "skeleton_id", "node"]).groupBy("host", "slot", "hash").agg(F.sum("k").alias("k")).filter(F.col("k") > 1)

@@ -125,3 +125,15 @@ def test_copies_of_a_page_are_no_evidence(spark):
     assert [got[200 + i].text for i in (1, 2, 7)] == ["One.", "Two.", "One.\n\nTwo.\n\nThree."]
     assert [got[i].text for i in range(10)] == [f"Title {j}\n\nStory {j} begins." for j in [1] * 6 + [6, 7, 8, 9]]
     assert got[100].text == "Tale 0.\n\nSaid 0\n\nIt ends 0." and got[119].text == "Tale 19.\n\nIt ends 19."
+
+
+def test_every_layout_of_a_host_has_its_template(spark):
+    """Two layouts that share no element, a part that the commonest skeleton lacks, and a host of skeletons that all differ."""
+    layouts = ["<div>Welcome</div><div><p>Story {0}.</p></div>", "<section>Hello</section><section><p>Story {0}.</p></section><table><tr><td>Call 555</table>"]
+    rows = [(i, "http://a.example/", "<body>" + layouts[i >= 9].format(i)) for i in range(16)]
+    rows += [(100 + i, "http://b.example/", "<body><h2>Up</h2>" + ("<ul><li>Rate us</ul>" if i > 11 else "") + f"<p>Tale {i}.") for i in range(20)]
+    rows += [(200 + i, "http://c.example/", "<body>" + f"<div class={'abcdefghi'[i] * 2}><p>Tale {i}.</div>" + ("<section><p>Rate us</section>" if i else "")) for i in range(9)]
+    got = {r.page_id: r.text for r in hw.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[i] for i in range(16)] == [f"Story {i}." for i in range(16)]
+    assert [got[100 + i] for i in range(20)] == [f"Tale {i}." for i in range(20)]
+    assert [got[200 + i] for i in range(9)] == [f"Tale {i}." for i in range(9)]
