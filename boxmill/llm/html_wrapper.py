@@ -29,6 +29,7 @@ from .common import materialise
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<(?:svg|math|iframe|object|select|canvas|video|audio)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
     r"|<(script|style|noscript|template|textarea|title|svg|iframe|object|select|math|xmp|noframes|canvas|video|audio)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
@@ -103,8 +104,8 @@ def names_of(attributes: str) -> tuple[str, str, bool]:
 def parse(html: str | None) -> tuple[list, list[tuple[int, str]], bool]:
     """The skeleton [label, children] with node numbers, (node, text) of the blocks in order, and whether they lie in article or main elements.
 
-    If the page has article or main elements, only blocks inside them are given. Null:
-    an empty skeleton.
+    If article or main elements hold half of the page's text or more, only blocks inside
+    them are given. Null: an empty skeleton.
     """
     root: list = ["#", [], 0]
     count = 1
@@ -112,15 +113,15 @@ def parse(html: str | None) -> tuple[list, list[tuple[int, str]], bool]:
     blocks: list[tuple[int, str, bool]] = []
     text: list[str] = []
     linked = length = in_link = 0
-    has_root = False
 
     def flush() -> None:
         nonlocal linked, length
         if text:
             top = stack[-1]
             joined = " ".join(unescape("".join(text)).split())
-            # A block that is nearly all link text is a menu entry.
-            if joined and not top.dropped and not (linked and linked * 10 >= length * 9 and len(joined) < 200):
+            # Outside the article, a block that is nearly all link text is a menu entry, if it is no heading.
+            entry = linked and linked * 10 >= length * 9 and len(joined) < 200 and not top.root and top.tag not in HEADINGS
+            if joined and not top.dropped and not entry:
                 blocks.append((top.node[2], joined, top.root))
             text.clear()
         linked = length = 0
@@ -185,12 +186,13 @@ def parse(html: str | None) -> tuple[list, list[tuple[int, str]], bool]:
             count += 1
             parent[1].append(node)
         inside = above.root or is_root and not dropped
-        has_root |= is_root and not dropped
         stack.append(Element(tag, node, dropped, inside))
     if at < len(html):
         text.append(html[at:].split("<", 1)[0] if re.match(r"<[a-zA-Z/!?]", html[at:]) else html[at:])
     flush()
-    return root, [(n, t) for n, t, inside in blocks if inside or not has_root], has_root
+    held = sum(len(t) for _, t, inside in blocks if inside)
+    rooted = held > 0 and held * 2 >= sum(len(t) for _, t, _ in blocks)
+    return root, [(n, t) for n, t, inside in blocks if inside or not rooted], rooted
 
 
 def written(node: list) -> str:

@@ -137,3 +137,18 @@ def test_every_layout_of_a_host_has_its_template(spark):
     assert [got[i] for i in range(16)] == [f"Story {i}." for i in range(16)]
     assert [got[100 + i] for i in range(20)] == [f"Tale {i}." for i in range(20)]
     assert [got[200 + i] for i in range(9)] == [f"Tale {i}." for i in range(9)]
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<h1><a href='/x'>Title</a></h1><p>text", "Title\n\ntext"),
+        ("<article><p>text<ol><li><a href=x>Source</a></ol><table><tr><td><a>cell</a></table></article>", "text\n\nSource\n\ncell"),
+        ("<div><p>The whole text of the page.</p></div><article><p>Teaser</p></article>", "The whole text of the page.\n\nTeaser"),
+        ("<p>Menu</p><article><p>The whole text of the page.</p></article>", "The whole text of the page."),
+        ("<p>a</p><svg viewBox='0 0 1 1'/><p>b</p><svg><path d='x'/><text>no</text></svg><p>c<svg/>d", "a\n\nb\n\ncd"),
+        ("<p>a<iframe src='x'/>b<iframe src=y>no</iframe>c<script src=x />no</script>", "abc"),
+    ],
+)
+def test_text_of_the_article_is_kept(html, expected):
+    assert text(html) == expected
