@@ -42,8 +42,8 @@ class CachedEncoder:
     The caches are emptied when they are full.
     """
 
-    #: What needs the tokenizer's own rules: apostrophes, controls, other scripts.
-    OTHER = re.compile("['\x1c-\x1f\x7f-\xbf\u0130\u0250-\U0010ffff]")
+    #: What needs the tokenizer's own rules: apostrophes, controls, other scripts, also capitals whose small letters are beyond U+024F.
+    OTHER = re.compile("['\x00-\x08\x0e-\x1f\x7f-\xbf%s\u0250-\U0010ffff]" % "".join(c for c in map(chr, range(0xC0, 0x250)) if max(c.lower()) > "\u024f"))
     RUN = re.compile(r"[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
     def __init__(self, path: str, cache_words: int = 500_000):

@@ -36,6 +36,14 @@ def test_cached_ids_are_the_tokenizers(tokenizer, sf_dir):
             assert np.frombuffer(ids, np.uint16).tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, text[:80] if text else text
 
 
+def test_every_code_point_of_latin_letters(tokenizer):
+    """Alone, in a word and beside an apostrophe; small letters of some capitals lie beyond U+024F."""
+    encoder = packing.CachedEncoder(PATH)
+    texts = [t for c in map(chr, range(0x250)) for t in (c, f"a{c}b {c}{c} x", f"{c}'s")]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, np.uint16).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def check(rows, pieces, tokenizer, window=2048):
     ids = {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for d, t in rows}
     covered, sequences = {d: [] for d in ids}, {}
