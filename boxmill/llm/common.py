@@ -16,11 +16,15 @@ MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 def scratch_dir(spark: SparkSession) -> str:
     """A folder that driver and executors share: the one of spark.checkpoint.dir.
 
-    Only where a session has none (local tests), a temporary folder is set.
+    Only where a local session has none (tests), a temporary folder is set; on a
+    cluster a missing setting is an error, as its machines would not share the folder.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
 
@@ -39,6 +43,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with more than this part of all rows counts as hot, so there are at most so many.
+HOT_SHARE = 1000
+
+
+def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """rows joined with lookup (one row a key) on a key that every row has there.
+
+    hot: the keys that many rows have (HOT_SHARE at most); they go by broadcast, so that
+    no task gets all rows of one.
+    """
+    few = F.broadcast(hot.select(key))
+    cold = rows.join(few, key, "left_anti").join(lookup, key)
+    return cold.unionByName(rows.join(F.broadcast(lookup.join(few, key, "left_semi")), key))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """splitmix64's finaliser on an array of uint64."""
     x = x.astype(np.uint64, copy=True)

@@ -4,13 +4,14 @@
    sketch: the hash range is cut into bins, each bin keeps its least hash, and empty
    bins copy another bin found by a universal hash (optimal densification,
    Shrivastava 2017). Bands of the sketch are the bucket keys.
-2. Documents with equal sets are one class; only the least id goes on.
+2. Documents with equal sets are one node, whatever their ids; only nodes go on.
 3. In every bucket each member is paired with the least member only, so a bucket of m
    members gives m - 1 candidates. Candidates are confirmed on the full sets.
-4. Links of two members that the star did not join are found exactly: only buckets
-   whose members still lie in several components are looked at again: those outside
-   the largest component against all members, in blocks of bounded size.
-5. Components by the least id, with pointer jumping.
+4. Links of two members that the star did not join are found exactly: the sets of
+   buckets whose members still lie in several components are compared where they share
+   one of their rarest shingles (prefix and position filter: Chaudhuri et al. 2006,
+   Xiao et al. 2008), in blocks of bounded size.
+5. Components by the least node, with pointer jumping; a class is named by its least id.
 
 Bands are chosen so that a pair at the threshold is missed by all with a probability
 under 2e-6 (72 bands of 6 bins: (1 - 0.75**6)**72 = 7e-7).
@@ -29,12 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64
+from .common import HOT_SHARE, join_lookup, materialise, mix64
 
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
 CASE = bytes.maketrans(UPPER, LOWER)
-BLOCK = 512
+#: Blocks of an exact comparison: rows, and shingles of their sets together; and shingles for one task.
+BLOCK, BLOCK_SHINGLES, UNIT_SHINGLES = 512, 1_000_000, 4_000_000
 
 
 def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
@@ -118,7 +120,7 @@ class Sketch:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (hash of the whole set), bands (array<long>; empty for no words)."""
+    """doc_id, text_key (hash of the text), n_shingles, set_key (hash of the whole set), bands (array<long>; empty for no words)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketch(bands, rows)
@@ -129,33 +131,37 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int,
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_key"),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([blake2b(x.tobytes(), digest_size=16).hexdigest() for x in sets], pa.string()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *keys]))),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "bands"],
+                names=["doc_id", "text_key", "n_shingles", "set_key", "bands"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        sign, "doc_id long, n_shingles long, set_key string, bands array<long>"
-    )
+    return _texts(docs, id_col, text_col).mapInArrow(sign, "doc_id long, text_key long, n_shingles long, set_key string, bands array<long>")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int, broadcast_ids: int) -> DataFrame:
-    """doc_id, hashes (binary, sorted uint64) of the wanted documents.
+    """node, hashes (binary, sorted uint64) of the wanted sets (node, doc_id, text_key).
 
-    Up to broadcast_ids ids are sent to the texts; more, and the texts are shuffled to
+    Up to broadcast_ids keys are sent to the texts; more, and the texts are shuffled to
     them.
     """
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch.doc_id, "hashes": [shingle_set(t, k).tobytes() for t in batch.text]})
+            yield pd.DataFrame({"node": batch.node, "hashes": [shingle_set(t, k).tobytes() for t in batch.text]})
 
     few = wanted.limit(broadcast_ids + 1).count() <= broadcast_ids
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-    return found.mapInPandas(encode, "doc_id long, hashes binary")
+    found = _texts(docs, id_col, text_col).join(F.broadcast(wanted) if few else wanted, ["doc_id", "text_key"]).select("node", "text")
+    # A row may be there more than once.
+    return found.mapInPandas(encode, "node long, hashes binary").groupBy("node").agg(F.min("hashes").alias("hashes"))
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -174,8 +180,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch.ha, batch.hb, strict=True)]
             yield batch.loc[keep, ["a", "b"]]
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb"))
+    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
+    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb").mapInPandas(check, "a long, b long")
 
 
@@ -191,109 +197,177 @@ def _links_between(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> set
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     n = len(left)
     other, from_other = numbers[starts[n] :], starts[n:] - starts[n]
-    ids, comps = right.doc_id.to_numpy(), right.comp.to_numpy()
+    ids, comps = right.node.to_numpy(), right.comp.to_numpy()
     out: set[tuple[int, int]] = set()
     marks = np.zeros(numbers.max() + 1, bool)
-    for i, (doc, comp) in enumerate(zip(left.doc_id, left.comp, strict=True)):
+    for i, (node, comp) in enumerate(zip(left.node, left.comp, strict=True)):
         mine = numbers[starts[i] : starts[i] + sizes[i]]
         marks[mine] = True
         shared = np.add.reduceat(marks[other], from_other, dtype=np.int64)
         marks[mine] = False
         linked = (100 * shared >= percent * (sizes[i] + sizes[n:] - shared)) & (comps != comp)
-        out.update((int(doc), int(x)) for x in ids[linked])
+        out.update((int(node), int(x)) for x in ids[linked])
     return out
 
 
-def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links across components inside the buckets that still hold several.
+def _prefixes(sets: DataFrame, percent: int, cells: int) -> DataFrame:
+    """token, node, comp, n, place: the rarest shingles of every set, enough for a link to show.
+
+    Two linked sets share one of the first n - ceil(percent * n / 100) + 1 shingles of
+    each, whatever the order, if it is the same for all sets. Rare ones come first, by
+    counts in a table of hashed cells, so frequent shingles are seldom reached.
+    """
 
-    The members outside a bucket's largest component are compared with all its members.
-    Both sides are dealt out in blocks of about BLOCK rows and a task sees two blocks at
-    a time, never the bucket. Only confirmed links come out.
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros(cells, np.int64)
+        for batch in batches:
+            h = np.frombuffer(b"".join(batch.hashes), np.uint64)
+            sums += np.bincount((h % np.uint64(cells)).astype(np.int64), minlength=cells)
+        full = np.flatnonzero(sums)
+        yield pd.DataFrame({"cell": full, "n": sums[full]})
+
+    # At most `cells` rows reach the driver.
+    table = sets.select("hashes").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    weight = np.zeros(cells, np.int64)
+    weight[table.cell.to_numpy(dtype=np.int64)] = table.n.to_numpy(dtype=np.int64)
+    shared = sets.sparkSession.sparkContext.broadcast(weight)
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            tokens, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            sizes = np.array([len(x) // 8 for x in batch.hashes], np.int64)
+            taken = sizes + percent * sizes // -100 + 1
+            for x, k in zip(batch.hashes, taken, strict=True):
+                h = np.frombuffer(x, np.uint64)
+                # h is sorted, so a stable sort by weight is one order for all sets.
+                order = np.argsort(shared.value[(h % np.uint64(cells)).astype(np.int64)], kind="stable")[:k]
+                tokens.append(h[order].view(np.int64))
+                places.append(np.arange(k))
+            each = lambda values: np.repeat(values, taken)
+            yield pd.DataFrame({"token": np.concatenate(tokens), "node": each(batch.node.to_numpy()), "comp": each(batch.comp.to_numpy()), "n": each(sizes), "place": np.concatenate(places)})
+
+    return sets.select("node", "comp", "hashes").mapInPandas(first, "token long, node long, comp long, n long, place long")
+
+
+def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, cells: int = 1 << 20) -> DataFrame:
+    """All links across components among the sets of buckets that still hold several.
+
+    Sets that share one of their rarest shingles are compared: those outside a
+    shingle's largest component against all that have it. A shingle so far back that
+    too few are left behind it for a link with any set of its group is left out. Both
+    sides are dealt out in blocks of bounded rows and bytes and a task sees two blocks
+    at a time, never a group. Only confirmed links come out.
     """
 
     def links(units: pd.DataFrame) -> pd.DataFrame:
         out: set[tuple[int, int]] = set()
-        for _, unit in units.groupby(["band", "bucket", "i", "j"], sort=False):
+        for _, unit in units.groupby(["token", "i", "j"], sort=False):
             left, right = unit[unit.side == 0], unit[unit.side == 1]
             if len(left) and len(right):
                 out |= _links_between(left, right, percent)
         return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
 
-    labelled = members.join(labels, "doc_id")
-    by_comp = labelled.groupBy("band", "bucket", "comp").agg(F.count("*").alias("n"))
-    open_buckets = (
-        by_comp.groupBy("band", "bucket")
-        .agg(F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"))
-        .filter("comps > 1 and m > 2")
-        .select("band", "bucket", "top", F.ceil(F.col("m") / BLOCK).cast("int").alias("js"), F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int").alias("is"))
+    labelled = crowd.join(labels, "node")
+    several = labelled.groupBy("band", "bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("band", "bucket")
+    open_sets = materialise(sets.join(labelled.join(several, ["band", "bucket"]).select("node", "comp").distinct(), "node"))
+    found = materialise(_prefixes(open_sets, percent, cells))
+    groups = found.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least")).filter("low <> high")
+    # The smallest set of the group that is large enough to be linked asks for the fewest shared shingles.
+    smallest = F.greatest("least", F.expr(f"(n * {percent} + 99) div 100"))
+    asked = (F.col("n") + F.col("smallest")) * percent + (99 + percent)
+    placed = found.join(groups.select("token", "least"), "token").withColumn("smallest", smallest)
+    placed = materialise(placed.filter((F.col("n") - F.col("place")) >= F.floor(asked / (100 + percent))).select("token", "node", "comp", "n"))
+    by_comp = placed.groupBy("token", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("weight"))
+    blocks = lambda rows, weight: F.ceil(F.greatest(rows / BLOCK, weight / BLOCK_SHINGLES)).cast("int")
+    open_groups = (
+        by_comp.groupBy("token")
+        .agg(F.sum("k").alias("m"), F.sum("weight").alias("weight"), F.max(F.struct("k", "comp", "weight")).alias("top"), F.count("*").alias("comps"))
+        .filter("comps > 1")
+        .select("token", F.col("top.comp").alias("top"), blocks(F.col("m"), F.col("weight")).alias("js"), blocks(F.col("m") - F.col("top.k"), F.col("weight") - F.col("top.weight")).alias("is"))
     )
-    dealt = labelled.join(open_buckets, ["band", "bucket"])
-    mark = F.xxhash64("doc_id")
+    dealt = placed.join(open_groups, "token")
+    mark = F.xxhash64("node")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["band", "bucket", "i", "j", "side", "doc_id", "comp"]
+    columns = ["token", "i", "j", "side", "node", "comp", "n"]
     outside = dealt.filter("comp <> top").withColumns({"i": F.pmod(mark, F.col("is")).cast("int"), "side": F.lit(0)}).withColumn("j", every("js")).select(columns)
     inside = dealt.withColumns({"j": F.pmod(mark, F.col("js")).cast("int"), "side": F.lit(1)}).withColumn("i", every("is")).select(columns)
-    placed = materialise(outside.unionByName(inside))
-    tasks = 1 + placed.count() // 8192
-    unit = F.pmod(F.xxhash64("band", "bucket", "i", "j"), F.lit(tasks)).alias("unit")
-    return placed.join(sets, "doc_id").groupBy(unit).applyInPandas(links, "a long, b long").distinct()
+    both = materialise(outside.unionByName(inside))
+    tasks = 1 + (both.agg(F.sum(F.col("n") + 64)).first()[0] or 0) // UNIT_SHINGLES
+    unit = F.pmod(F.xxhash64("token", "i", "j"), F.lit(tasks)).alias("unit")
+    return both.drop("n").join(open_sets.select("node", "hashes"), "node").groupBy(unit).applyInPandas(links, "a long, b long").distinct()
 
 
-def components(nodes: DataFrame, links: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, comp: the least id reachable over links (a, b); alone: its own id.
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """node, comp of all nodes: the least node reachable over links (a, b); alone: itself.
 
     Each round takes the least label of the neighbours, then jumps to the label's own
     label; every round is a written table. Hot nodes are pre-aggregated.
     """
     both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct())
-    linked = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "doc_id"))
+    linked = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node"))
     while True:
-        near = both.join(linked.select(F.col("doc_id").alias("b"), F.col("comp").alias("of_b")), "b").groupBy("a").agg(F.min("of_b").alias("low"))
-        lowered = linked.join(near.withColumnRenamed("a", "doc_id"), "doc_id").select("doc_id", F.col("comp").alias("was"), F.least("comp", "low").alias("comp"))
-        jump = linked.select(F.col("doc_id").alias("comp"), F.col("comp").alias("next"))
-        step = materialise(lowered.join(jump, "comp", "left").select("doc_id", "was", F.least("comp", "next").alias("comp")))
+        near = both.join(linked.select(F.col("node").alias("b"), F.col("comp").alias("of_b")), "b").groupBy("a").agg(F.min("of_b").alias("low"))
+        lowered = linked.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("comp").alias("was"), F.least("comp", "low").alias("comp"))
+        jump = linked.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
+        step = materialise(lowered.join(jump, "comp", "left").select("node", "was", F.least("comp", "next").alias("comp")))
         changed = step.filter("comp <> was").limit(1).count()
-        linked = step.select("doc_id", "comp")
+        linked = step.select("node", "comp")
         if not changed:
             break
-    return nodes.select(F.col(id_col).alias("doc_id")).join(linked, "doc_id", "left").select("doc_id", F.coalesce("comp", "doc_id").alias("comp"))
+    return nodes.select("node").join(linked, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, bands: int, rows: int, broadcast_ids: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id, kept of every row; a node is a distinct set."""
+    sig = materialise(signatures(docs, id_col, text_col, k, bands, rows))
+    named = sig.filter("doc_id is not null and n_shingles > 0")
+    reps = named.groupBy("set_key").agg(F.min_by("bands", "doc_id").alias("bands"), F.min(F.struct("doc_id", "text_key")).alias("least"), F.count("*").alias("copies"))
+    # Numbered as written, so the numbers stay whatever is run again.
+    reps = materialise(reps.select(F.monotonically_increasing_id().alias("node"), "set_key", "bands", "least.doc_id", "least.text_key", "copies"))
+    members = reps.select("node", F.posexplode("bands").alias("band", "bucket"))
+    hubs = members.groupBy("band", "bucket").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1").drop("m")
+    crowd = materialise(members.join(hubs, ["band", "bucket"]))
+    pairs = materialise(crowd.filter("a <> node").select("a", F.col("node").alias("b")).distinct())
+    nodes = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
+    wanted = reps.select("node", "doc_id", "text_key").join(nodes, "node", "left_semi")
+    sets = materialise(_sets_of(docs, wanted, id_col, text_col, k, broadcast_ids))
+    stars = materialise(_confirm(pairs, sets, percent))
+    first = components(nodes, stars)
+    rest = materialise(_rest(crowd.select("band", "bucket", "node"), first, sets, percent))
+    final = first if rest.isEmpty() else components(nodes, stars.union(rest))
+    linked = materialise(final.join(reps.select("node", "set_key", "doc_id"), "node"))
+    low = linked.groupBy("comp").agg(F.min("doc_id").alias("low"))
+    moved = linked.join(low, "comp").filter("low <> doc_id").select("set_key", "low")
+    classes = materialise(reps.select("set_key", "doc_id", "copies").join(moved, "set_key", "left").select("set_key", F.coalesce("low", "doc_id").alias("component_id"), "copies"))
+    total = classes.agg(F.sum("copies")).first()[0] or 0
+    placed = join_lookup(named.drop("bands"), classes.drop("copies"), "set_key", classes.filter(F.col("copies") * HOT_SHARE > total))
+    placed = placed.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    alone = sig.filter("doc_id is null or n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "kept": F.lit(True)})
+    columns = ["doc_id", "text_key", "n_shingles", "component_id", "kept"]
+    return placed.select(columns).unionByName(alone.select(columns))
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, bands: int = 72, rows: int = 6, broadcast_ids: int = 2_000_000
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of docs.
+    """doc_id, n_shingles, component_id, kept for every row of docs, each once.
 
-    Null, empty or blank text: n_shingles 0, alone in its class. A null id: the row
-    is returned with a null class and kept. Repeated rows of one id: each is returned;
-    kept is true for each of the least id. Other columns are ignored. An empty table
-    gives no rows.
+    Ids are whole numbers. Null, empty or blank text: n_shingles 0, alone in its class.
+    A null id: null class, kept, and linked with nothing. Rows of one id with different
+    texts are documents of their own, each in the class of its text; component_id is
+    the least id of any row in the class. Repeated rows: each is returned; kept is true
+    for each of the least id. Other columns are ignored. An empty table gives no rows.
     """
-    sig = materialise(signatures(docs, id_col, text_col, k, bands, rows))
-    named = sig.filter("doc_id is not null and n_shingles > 0")
-    reps = materialise(named.groupBy("set_key", "n_shingles").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("doc_id")))
-    members = reps.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
-    hubs = members.groupBy("band", "bucket").agg(F.min("doc_id").alias("a"), F.count("*").alias("m")).filter("m > 1").drop("m")
-    crowd = materialise(members.join(hubs, ["band", "bucket"]))
-    pairs = materialise(crowd.filter("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct())
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    # Of rows with one id, the least set stands for it.
-    sets = materialise(_sets_of(docs, wanted, id_col, text_col, k, broadcast_ids).groupBy("doc_id").agg(F.min("hashes").alias("hashes")))
-    stars = materialise(_confirm(pairs, sets, percent))
-    first = components(reps, stars)
-    rest = materialise(_rest(crowd.select("band", "bucket", "doc_id"), first, sets, percent))
-    final = first if rest.isEmpty() else components(reps, stars.union(rest))
-    classes = reps.select(F.col("doc_id"), "set_key").join(final, "doc_id").select("set_key", "comp")
-    return sig.join(classes, "set_key", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n_shingles") > 0, F.coalesce(F.col("doc_id") == F.col("comp"), F.lit(True))).otherwise(F.lit(True)).alias("kept"),
-    )
+    return _classes(docs, id_col, text_col, k, percent, bands, rows, broadcast_ids).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without the near copies: one document of each class stays, with all its columns."""
-    gone = near_duplicates(docs, id_col, text_col, **how).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("__gone"), "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, bands: int = 72, rows: int = 6, broadcast_ids: int = 2_000_000) -> DataFrame:
+    """docs without the near copies: one document of each class stays, with all its columns.
+
+    Of rows of one id with different texts, those go whose own text is a near copy.
+    Repeated rows of the kept document all stay.
+    """
+    found = _classes(docs, id_col, text_col, k, percent, bands, rows, broadcast_ids).filter("not kept")
+    gone = found.select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct()
+    same = (docs[id_col].cast("long") == F.col("__gone")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("__key"))
+    return docs.join(gone, same, "left_anti")

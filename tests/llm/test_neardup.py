@@ -53,8 +53,8 @@ def documents(seed=1, n=150):
     return rows
 
 
-def result(spark, rows, **how):
-    return {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA), **how).collect()}
+def result(spark, docs, **how):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(docs, SCHEMA), **how).collect()}
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -86,6 +86,32 @@ def test_odd_rows(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_one_id_on_several_texts(spark):
+    """Every row comes out once, each in the class of its own text."""
+    a, b = [" ".join(f"{x}{i}" for i in range(60)) for x in "ab"]
+    rows = [(5, a), (5, b), (7, b + " tail"), (9, b + " end"), (3, a + " tail"), (9, None), (5, a)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(3, 57, 3, True), (5, 56, 3, False), (5, 56, 3, False), (5, 56, 5, True), (7, 57, 5, False), (9, 0, 9, True), (9, 57, 5, False)]
+    kept = neardup.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(3, a + " tail"), (5, b), (9, "")]
+
+
+def test_a_crowded_bucket_of_unlinked_sets(spark, monkeypatch):
+    """Sets that share much, but not enough, and a few pairs among them that no star joins; tiny blocks give the same."""
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for d in range(120):
+        own = [f"x{d}-{i}" for i in range(r.randint(12, 40))]
+        rows.append((d, " ".join(base + own)))
+        if d % 10 == 3:
+            rows.append((1000 + d, " ".join([*base, *own[:-1], "z"])))
+    expected = classes(rows)
+    assert result(spark, rows, bands=4, rows=1) == expected
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    assert result(spark, rows, bands=4, rows=1) == expected
+
+
 def test_filter_keeps_all_columns(spark):
     df = spark.createDataFrame([(1, "a b c", 1, "x"), (2, "a b c", 2, "y"), (3, None, 3, "z")], f"{SCHEMA}, kept int, comp string")
     got = neardup.keep_one(df).orderBy("doc_id").collect()
@@ -103,7 +129,7 @@ def test_links_between_blocks_are_exact():
         sets.append(np.unique(own))
     import pandas as pd
 
-    frame = lambda a, b: pd.DataFrame({"doc_id": range(a, b), "comp": range(a, b), "hashes": [x.tobytes() for x in sets[a:b]]})
+    frame = lambda a, b: pd.DataFrame({"node": range(a, b), "comp": range(a, b), "hashes": [x.tobytes() for x in sets[a:b]]})
     expected = {(a, b) for a in range(20) for b in range(20, 50) if neardup.similar(sets[a], sets[b], 75)}
     assert neardup._links_between(frame(0, 20), frame(20, 50), 75) == expected
 
