@@ -1,13 +1,16 @@
 """Line-first cleaning: rules on each line, then a verdict on what they leave.
 
 A line fails if it looks like navigation (separators between short labels),
-boilerplate (notices known by their phrases), markup or symbol noise, shouting, or a
-run of one word. Failing lines are removed; a document that loses too large a share
-of its text is rejected.
+boilerplate (phrases of notices that make up a quarter of its words), markup or symbol
+noise, shouting, a run of few words (of five words or more; for lines under 200 words
+also too few distinct ones, which long prose has by nature), or if it has under four
+words and no ending of a sentence. Failing and repeated lines are removed; a document
+that loses too large a share of its text is rejected.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +27,10 @@ BOILERPLATE = (
 #: An ending that prose lines have, in many scripts.
 ENDS = tuple(".!?…:;,\"'”’»)]。！？、؟।-")
 SEPARATORS = frozenset({"|", "»", "›", "·", "•", ">", "/", "::", "-", "—"})
+PHRASE_WORDS = tuple((f" {p} ".encode(), len(p.split())) for p in BOILERPLATE)
+ANY_PHRASE = re.compile(b" (?:" + b"|".join(p.encode() for p in BOILERPLATE) + b") ")
+#: ASCII letters in lower case, other ASCII signs as blanks; bytes of other letters stay.
+PLAIN = bytes(ord(chr(c).lower()) if c < 128 and chr(c).isalpha() else 32 if c < 128 else c for c in range(256))
 MARKS = b"#*$%&|<>"
 NOT_LETTERS = bytes(c for c in range(128) if not chr(c).isalpha())
 BLANKS = b" \t\n\v\f\r"
@@ -65,8 +72,8 @@ def failing_rule(line: str) -> str | None:
         return "navigation"
     if marks > 1 and marks * 5 >= n:
         return "symbols"
-    lowered = line.lower()
-    if len(line) < 400 and any(phrase in lowered for phrase in BOILERPLATE):
+    plain = b" " + b" ".join(raw.translate(PLAIN).split()) + b" "
+    if ANY_PHRASE.search(plain) and sum(k for phrase, k in PHRASE_WORDS if phrase in plain) * 4 >= n:
         return "boilerplate"
     if len(raw.translate(None, NOT_LETTERS)) * 2 < len(raw) - n + 1:
         return "symbols"
@@ -80,8 +87,11 @@ def failing_rule(line: str) -> str | None:
     return None
 
 
-def judge(text: str | None, max_removed: float) -> tuple:
-    """One REPORT row for a text; null counts as a text without words."""
+def judge(text: str | None, max_removed: float, left: list[str] | None = None) -> tuple:
+    """One REPORT row for a text; null counts as a text without words.
+
+    left: takes the lines that are blank or neither fail nor repeat an earlier one.
+    """
     text = text or ""
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()
@@ -94,6 +104,8 @@ def judge(text: str | None, max_removed: float) -> tuple:
     dup = lines = failed = lost = total = 0
     for line in text.split("\n"):
         if not line.strip(" \t\v\f\r"):
+            if left is not None:
+                left.append(line)
             continue
         again = line in seen
         seen.add(line)
@@ -103,6 +115,8 @@ def judge(text: str | None, max_removed: float) -> tuple:
         if again or failing_rule(line):
             failed += 1
             lost += len(line)
+        elif left is not None:
+            left.append(line)
     share = lost / total if total else 1.0
     return n, word_chars, n_symbols, dup, repeats, base_failed, not base_failed and share <= max_removed, lines, failed, share
 
@@ -125,26 +139,34 @@ def line_report(text: Column, max_removed: float = 0.5) -> Column:
     return report(text.cast("string"))
 
 
-def clean_text(text: Column) -> Column:
-    """The text without its failing and repeated lines; null stays null."""
+def clean_text(text: Column, max_removed: float = 0.5) -> Column:
+    """struct<kept:boolean, text:string>: the verdict of line_report and the cleaned text.
+
+    The text of rejected rows is null, as is that of a null text.
+    """
 
-    @F.pandas_udf("string")
-    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("kept boolean, text string")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = []
             for t in texts:
-                seen: set[str] = set()
-                lines = []
-                for line in (t or "").split("\n"):
-                    if not line.split() or (line not in seen and failing_rule(line) is None):
-                        lines.append(line)
-                    seen.add(line)
-                out.append(None if t is None else "\n".join(lines))
-            yield pd.Series(out, dtype=object)
+                left: list[str] = []
+                kept = judge(t, max_removed, left)[6]
+                out.append((kept, "\n".join(left) if kept else None))
+            yield pd.DataFrame({"kept": [k for k, _ in out], "text": pd.Series([t for _, t in out], dtype=object)})
 
     return clean(text.cast("string"))
 
 
-def keep_clean(docs: DataFrame, text_col: str = "text", max_removed: float = 0.5) -> DataFrame:
-    """docs without the rejected rows; all columns stay, whatever their names."""
-    return docs.filter(line_report(F.col(text_col), max_removed)["kept"])
+def keep_clean(docs: DataFrame, text_col: str = "text", length_col: str | None = None, max_removed: float = 0.5) -> DataFrame:
+    """docs without the rejected rows, and their texts without the failing lines.
+
+    All columns stay in order, whatever their names. length_col: a column that holds
+    the number of the text's characters, which is set anew with its type.
+    """
+    names = docs.columns
+    taken = docs.select(F.struct("*").alias("row"), clean_text(F.col(text_col), max_removed).alias("clean")).filter("clean.kept")
+    new = {text_col: F.col("clean.text")}
+    if length_col is not None:
+        new[length_col] = F.length("clean.text").cast(docs.schema[length_col].dataType)
+    return taken.select(*[new.get(n, F.col("row").getField(n)).alias(n) for n in names])

@@ -112,11 +112,12 @@ rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM win, range(0, 3) s(k) WHE
 ln AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS again, regexp_extract_all(line, '[^{_SPACES}]+') AS w,
   octet_length(encode(line)) AS bytes, length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS marks, octet_length(encode(regexp_replace(line, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g'))) AS letters
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-ru AS (SELECT *, greatest(len(w), 1) AS n FROM ln),
+ru AS (SELECT *, greatest(len(w), 1) AS n, coalesce(list_sum(list_transform(list_filter({list(quality_rules.BOILERPLATE)}, lambda p: contains(plain, ' ' || p || ' ')), lambda p: len(string_split(p, ' ')))), 0) AS phrases
+  FROM (SELECT *, ' ' || regexp_replace(translate(line, '{UPPER}', '{LOWER}'), '[\x00-\x60\x7B-\x7F]+', ' ', 'g') || ' ' AS plain FROM ln)),
 fl AS (SELECT *, again
   OR n > 1 AND len(list_filter(w, lambda x: list_contains({list(_SEPARATORS)}, x))) * 4 >= n AND len(list_filter(w, lambda x: list_contains({list(_SEPARATORS)}, x))) > 0
   OR marks > 1 AND marks * 5 >= n
-  OR length(line) < 400 AND regexp_matches(lower(line), '{'|'.join(quality_rules.BOILERPLATE)}')
+  OR phrases > 0 AND phrases * 4 >= n
   OR letters * 2 < bytes - n + 1
   OR n >= 5 AND (len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x))) * 2 > n OR len(list_distinct(w)) * 3 < n AND n < 200 OR len(list_filter(range(2, n + 1), lambda i: w[i] = w[i - 1])) * 4 > n)
   OR n < 4 AND NOT regexp_matches(line, '[{_ENDS}][{_SPACES}]*$') AS failed FROM ru),

@@ -10,9 +10,8 @@ from boxmill.llm.queries import quality_model
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the basic counts and the line rules."""
-    report = quality_rules.line_report(docs["text"])
-    return docs.filter(report["kept"])
+    """Documents that pass the basic counts and the line rules, without their failing and repeated lines."""
+    return quality_rules.keep_clean(docs, length_col="n_chars")
 
 
 def good_grades(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

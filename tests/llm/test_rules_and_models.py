@@ -62,6 +62,13 @@ def prose(n=8, seed=0):
         ("Menu", "punctuation"),
         ("A plain sentence with some words in it.", None),
         ("A heading without a stop at its end", None),
+        ("Read more", "boilerplate"),
+        ("Log in or sign up to go on.", "boilerplate"),
+        ("Read more about the treaty that ended the long war in the north.", None),
+        ("She asked him to log in to the mill records and look for the name.", None),
+        ("Spread more butter on it.", None),
+        ("The design up there is new.", None),
+        ("The catalog in the hall.", None),
     ],
 )
 def test_rules_of_lines(line, rule):
@@ -72,11 +79,31 @@ def test_documents_that_lose_too_much_are_rejected_and_columns_stay(spark):
     good, bad = prose(), prose(2) + "\n" + "Home | About | News | Contact\n" * 20
     df = spark.createDataFrame([(1, good, True), (2, bad, True), (3, None, True)], f"{SCHEMA}, kept boolean")
     assert [tuple(r) for r in quality_rules.keep_clean(df).collect()] == [(1, good, True)]
-    cleaned = df.select("doc_id", quality_rules.clean_text(F.col("text")).alias("t")).orderBy("doc_id").collect()
-    assert [r.t for r in cleaned] == [good, prose(2) + "\n", None]
+    lines = good.split("\n")
+    dirty = "\n".join([*lines[:3], "Read more", "", lines[0], *lines[3:]])
+    row = spark.createDataFrame([(1, dirty, True, 9)], f"{SCHEMA}, kept boolean, clean int")
+    mended = "\n".join([*lines[:3], "", *lines[3:]])
+    assert [tuple(r) for r in quality_rules.keep_clean(row, length_col="clean").collect()] == [(1, mended, True, len(mended))]
+    cleaned = df.select("doc_id", quality_rules.clean_text(F.col("text"))["text"].alias("t")).orderBy("doc_id").collect()
+    assert [r.t for r in cleaned] == [good, None, None]
     assert quality_rules.keep_clean(df.limit(0)).collect() == []
 
 
+def test_line_rules_and_their_sql_agree_on_phrases(spark, tmp_path):
+    import duckdb
+
+    lines = ["Read more", "Spread more butter on it.", "Read more about the treaty that ended the long war.", "ALL RIGHTS RESERVED by É", "éread more", "read moreé now", "Log in, sign up, click here", "a_read more_b"]
+    r = random.Random(2)
+    texts = [None, ""] + [prose(6, i) + "\n" + "\n".join(r.sample(lines, 3)) for i in range(20)] + lines
+    spark.createDataFrame(list(enumerate(texts)), SCHEMA).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = con.sql(queries.ORACLE_SQL["op3_line_rules"]).df().sort_values("doc_id")
+    got = queries.op3_line_rules(spark, str(tmp_path)).toPandas().sort_values("doc_id")
+    for c in ("n_failed_lines", "n_lines", "kept"):
+        assert got[c].tolist() == expected[c].tolist()
+
+
 def test_ordinal_model_orders_three_grades():
     r = random.Random(3)
     rows, grades = [], []
