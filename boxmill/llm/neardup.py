@@ -254,9 +254,10 @@ def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, ce
 
     Sets that share one of their rarest shingles are compared: those outside a
     shingle's largest component against all that have it. A shingle so far back that
-    too few are left behind it for a link with any set of its group is left out. Both
-    sides are dealt out in blocks of bounded rows and bytes and a task sees two blocks
-    at a time, never a group. Only confirmed links come out.
+    too few are left behind it for a link with any set of its group is left out, and of
+    shingles that the same sets have, one stands for all. Both sides are dealt out in
+    blocks of bounded rows and bytes and a task sees two blocks at a time, never a
+    group. Only confirmed links come out.
     """
 
     def links(units: pd.DataFrame) -> pd.DataFrame:
@@ -277,6 +278,10 @@ def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, ce
     asked = (F.col("n") + F.col("smallest")) * percent + (99 + percent)
     placed = found.join(groups.select("token", "least"), "token").withColumn("smallest", smallest)
     placed = materialise(placed.filter((F.col("n") - F.col("place")) >= F.floor(asked / (100 + percent))).select("token", "node", "comp", "n"))
+    # Texts that share a passage share many shingles; those with the same members are one group.
+    members = [F.count("*"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))]
+    alike = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *[c.alias(f"mark_{i}") for i, c in enumerate(members)]).filter("low <> high")
+    placed = materialise(placed.join(alike.groupBy("mark_0", "mark_1", "mark_2").agg(F.min("token").alias("token")).select("token"), "token", "left_semi"))
     by_comp = placed.groupBy("token", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("weight"))
     blocks = lambda rows, weight: F.ceil(F.greatest(rows / BLOCK, weight / BLOCK_SHINGLES)).cast("int")
     open_groups = (
