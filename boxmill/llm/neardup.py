@@ -227,9 +227,9 @@ def _prefixes(sets: DataFrame, percent: int, cells: int) -> DataFrame:
         yield pd.DataFrame({"cell": full, "n": sums[full]})
 
     # At most `cells` rows reach the driver.
-    table = sets.select("hashes").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    table = sets.select("hashes").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     weight = np.zeros(cells, np.int64)
-    weight[table.cell.to_numpy(dtype=np.int64)] = table.n.to_numpy(dtype=np.int64)
+    weight[table["cell"].to_numpy()] = table["n"].to_numpy()
     shared = sets.sparkSession.sparkContext.broadcast(weight)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
