@@ -47,8 +47,8 @@ def materialise(df: DataFrame) -> DataFrame:
 HOT_SHARE = 1000
 
 
-def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """rows joined with lookup (one row a key) on a key that every row has there.
+def join_lookup(rows: DataFrame, lookup: DataFrame, key: str | list[str], hot: DataFrame) -> DataFrame:
+    """rows joined with lookup (one row a key) on a key, or columns, that every row has there.
 
     hot: the keys that many rows have (HOT_SHARE at most); they go by broadcast, so that
     no task gets all rows of one.

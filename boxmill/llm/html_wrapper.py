@@ -1,31 +1,41 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
 1. Each page is parsed once: its tree of block elements, with runs of like paragraphs,
-   items or cells taken as one node, gives a short skeleton; its texts become blocks that know their
-   node. Elements that by their tag, role, class or id hold menus, notices, adverts,
-   forms or comments are left out.
+   items or cells taken as one node, gives a short skeleton; its texts become blocks that
+   know their node.
 2. The commonest skeleton of a host is its wrapper. Every other skeleton of the host is
    aligned with it once by simple tree matching (Yang 1991), which maps nodes to the
    wrapper's slots. Nodes that the wrapper lacks, as those of another layout, get slots
    of their own by their path below the nearest node that it has.
-3. A text that stands in the same slot on most pages of the host is template; what
-   varies is content. Counts are taken over all distinct contents of a host: pages with
-   the same blocks are copies, whatever stands around them, and count once.
+3. Slots are compared over all distinct contents of a host: pages with the same main
+   text are copies, whatever stands around them, and count once.
+   - A text that stands in the same slot on most pages is template.
+   - The content region is the deepest container that holds nearly all varying text that
+     is no link. Slots outside it that most pages have are the page's furniture: menus,
+     adverts, footers, whatever their tags and names.
+4. What the comparison leaves open (hosts of few pages, slots that few pages have, parts
+   inside the region such as reader comments) is decided by element names, roles, and
+   class names, and by article elements.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
+from math import isqrt
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import HOT_SHARE, join_lookup, materialise
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -59,58 +69,79 @@ DROPPED_NAMES = frozenset(
 BEGINNINGS = ("comment", "advert", "sidebar", "breadcrumb", "cookie", "newsletter", "footer", "sponsor", "navigation", "subscri")
 NEGATIONS = frozenset("with has no without".split())
 LASTING = frozenset("comment comments respond reply replies disqus discussion aside sidebar related recommended".split())
+# Words beside which a name still says what the part is (site-footer, ad-box-2); other words give it another sense (share-price).
+NEUTRAL = frozenset(
+    "site page main box wrapper wrap container list lists link links item items block blocks section sections area bar top bottom left right inner outer slot unit units group panel row col cols column columns"
+    " primary secondary global local mobile desktop full width wide small large big post posts article articles entry entries story stories user users reader readers view module component zone region floating"
+    " sticky fixed horizontal vertical first last button buttons icon icons text".split()
+)
+# A header of these is the article's own; its title is text.
+OWN = frozenset("article post entry story content text".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-DEEPEST = 100
+# Short blocks that name what follows them.
+LABELS = HEADINGS | {"dt", "th", "caption", "legend", "summary"}
 # Siblings of these tags are one node; of others, the first APART of a run are nodes of their own.
 RUNS = frozenset("p li tr td th dt dd option pre blockquote".split())
 APART = 8
+#: Flags of a block: in a part that its name leaves out; in an article or main element; a menu entry by its links.
+MARKED, INSIDE, ENTRY = 1, 2, 4
 
 
 class Element:
-    """An open element: its tag, signature node, and why its text is left out, if it is."""
+    """An open element: its tag, skeleton node, why its name leaves it out (or ''), and whether it lies in an article."""
 
-    __slots__ = ("tag", "node", "dropped", "root")
+    __slots__ = ("tag", "node", "mark", "root")
 
-    def __init__(self, tag: str, node: list, dropped: str, root: bool):
-        self.tag, self.node, self.dropped, self.root = tag, node, dropped, root
+    def __init__(self, tag: str, node: list, mark: str, root: bool):
+        self.tag, self.node, self.mark, self.root = tag, node, mark, root
 
 
-def mark_of(word: str) -> str:
-    """The name of a left-out part that a word of a class or id stands for, or ''."""
+def part_of(word: str) -> str:
+    """The name of a part that a word of a class or id stands for, or ''."""
     if word in DROPPED_NAMES:
         return word
     return next((b for b in BEGINNINGS if word.startswith(b)), "")
 
 
+def mark_of(words: list[str]) -> str:
+    """The part that a class or an id names, or ''. Every other word of it must be a neutral one."""
+    names = [part_of(w) for w in words]
+    if not any(names) or not NEGATIONS.isdisjoint(words):
+        return ""
+    if any(not n and w not in NEUTRAL and len(w) > 1 for n, w in zip(names, words, strict=True)):
+        return ""
+    first = next(filter(None, names))
+    return "" if first in ("header", "masthead", "banner") and not OWN.isdisjoint(words) else first
+
+
 def names_of(attributes: str) -> tuple[str, str, bool]:
-    """(signature, words of class, id and role that mark a left-out part, hidden)."""
-    signature = marks = ""
+    """(signature, the left-out part that class, id or role name, hidden)."""
+    signature = mark = ""
     hidden = False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         value = a or b or c
         name = name.lower()
         if name in ("class", "id"):
-            words = [w.lower() for w in WORD.findall(value)]
-            signature += "." + "-".join(words)
-            if NEGATIONS.isdisjoint(words):
-                marks = marks or next(filter(None, map(mark_of, words)), "")
+            tokens = [[w.lower() for w in WORD.findall(t)] for t in value.split()]
+            signature += "." + "-".join(w for t in tokens for w in t)
+            mark = mark or next(filter(None, map(mark_of, tokens)), "")
         elif name == "role" and value.lower() in DROPPED_ROLES:
-            marks = marks or value.lower()
+            mark = mark or value.lower()
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
             hidden = True
-    return signature, marks, hidden
+    return signature, mark, hidden
 
 
-def parse(html: str | None) -> tuple[list, list[tuple[int, str]], bool]:
-    """The skeleton [label, children] with node numbers, (node, text) of the blocks in order, and whether they lie in article or main elements.
+def read_page(html: str | None) -> tuple[list, list[tuple[int, str, int, int]]]:
+    """The skeleton [label, children, number] and the blocks (node, text, flags, characters in links) in page order.
 
-    If article or main elements hold half of the page's text or more, only blocks inside
-    them are given. Null: an empty skeleton.
+    Hidden elements, scripts and the like are no blocks. Null: an empty skeleton.
     """
     root: list = ["#", [], 0]
     count = 1
     stack = [Element("#", root, "", False)]
-    blocks: list[tuple[int, str, bool]] = []
+    opened: Counter[str] = Counter()
+    blocks: list[tuple[int, str, int, int]] = []
     text: list[str] = []
     linked = length = in_link = 0
 
@@ -119,13 +150,18 @@ def parse(html: str | None) -> tuple[list, list[tuple[int, str]], bool]:
         if text:
             top = stack[-1]
             joined = " ".join(unescape("".join(text)).split())
-            # Outside the article, a block that is nearly all link text is a menu entry, if it is no heading.
-            entry = linked and linked * 10 >= length * 9 and len(joined) < 200 and not top.root and top.tag not in HEADINGS
-            if joined and not top.dropped and not entry:
-                blocks.append((top.node[2], joined, top.root))
+            if joined and top.mark != "hidden":
+                entry = linked and linked * 10 >= length * 9 and len(joined) < 200 and not top.root and top.tag not in HEADINGS
+                share = len(joined) * linked // length if linked else 0
+                blocks.append((top.node[2], joined, (MARKED if top.mark else 0) | (INSIDE if top.root else 0) | (ENTRY if entry else 0), share))
             text.clear()
         linked = length = 0
 
+    def close(depth: int) -> None:
+        for e in stack[depth:]:
+            opened[e.tag] -= 1
+        del stack[depth:]
+
     at = 0
     html = html or ""
     for m in TAG.finditer(html):
@@ -149,108 +185,209 @@ def parse(html: str | None) -> tuple[list, list[tuple[int, str]], bool]:
         flush()
         in_link = 0
         if slash:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                del stack[depth:]
+            if opened[tag]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
         closes = ENDS_SAME.get(tag)
         if tag in ENDS_P and stack[-1].tag == "p":
-            stack.pop()
-        if closes:
+            close(len(stack) - 1)
+        if closes and any(opened[t] for t in closes):
             outer = 0
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in FENCES:
                     break
                 outer = i if stack[i].tag in closes else outer
             if outer:
-                del stack[outer:]
+                close(outer)
         if tag in VOID:
             continue
         above = stack[-1]
-        signature, marks, hidden = names_of(attributes) if attributes.strip() else ("", "", False)
-        dropped = above.dropped or ("hidden" if hidden else marks or (tag if tag in DROPPED_TAGS else ""))
-        is_root = tag in ("article", "main") and not marks and not hidden
-        if tag == "header" and above.root and not above.dropped:
-            dropped = "byline"  # of an article: its headings are text
-        if is_root and above.dropped not in LASTING or above.dropped == "byline" and tag in HEADINGS:
-            dropped = ""  # an element left open before must not swallow the article
-        elif tag == "body" or tag in ("html",):
-            dropped = ""
+        signature, named, hidden = names_of(attributes) if attributes.strip() else ("", "", False)
+        mark = above.mark or ("hidden" if hidden else named or (tag if tag in DROPPED_TAGS else ""))
+        is_root = tag in ("article", "main") and not named and not hidden
+        if tag == "header" and above.root and not above.mark:
+            mark = "byline"  # of an article: its headings are text
+        if is_root and above.mark not in LASTING and above.mark != "hidden" or above.mark == "byline" and tag in HEADINGS:
+            mark = ""  # an element left open before must not swallow the article
+        elif tag in ("body", "html"):
+            mark = ""
         label, parent = tag + signature, above.node
-        if len(stack) > DEEPEST:
-            node = parent
-        elif parent[1] and parent[1][-1][0] == label and (tag in RUNS or all(n[0] == label for n in parent[1][-APART:]) and len(parent[1]) >= APART):
+        if parent[1] and parent[1][-1][0] == label and (tag in RUNS or all(n[0] == label for n in parent[1][-APART:]) and len(parent[1]) >= APART):
             node = parent[1][-1]
         else:
             node = [label, [], count]
             count += 1
             parent[1].append(node)
-        inside = above.root or is_root and not dropped
-        stack.append(Element(tag, node, dropped, inside))
+        stack.append(Element(tag, node, mark, above.root or is_root and not mark))
+        opened[tag] += 1
     if at < len(html):
         text.append(html[at:].split("<", 1)[0] if re.match(r"<[a-zA-Z/!?]", html[at:]) else html[at:])
     flush()
-    held = sum(len(t) for _, t, inside in blocks if inside)
-    rooted = held > 0 and held * 2 >= sum(len(t) for _, t, _ in blocks)
-    return root, [(n, t) for n, t, inside in blocks if inside or not rooted], rooted
+    return root, blocks
 
 
-def written(node: list) -> str:
-    """A skeleton as text: label(children)#number."""
-    return node[0] + "#" + str(node[2]) + ("(" + " ".join(map(written, node[1])) + ")" if node[1] else "")
+def by_names(blocks: list[tuple[int, str, int, int]]) -> list[bool]:
+    """Which blocks names and article elements keep, without any comparison of pages.
+
+    If article or main elements hold half of the text or more, only what lies in them;
+    else all but menu entries.
+    """
+    held = sum(len(t) for _, t, f, _ in blocks if f & INSIDE and not f & (MARKED | ENTRY))
+    rooted = held > 0 and held * 2 >= sum(len(t) for _, t, f, _ in blocks if not f & (MARKED | ENTRY))
+    return [not f & (MARKED | ENTRY) and (f & INSIDE > 0 or not rooted) for _, _, f, _ in blocks]
+
+
+def parse(html: str | None) -> tuple[list, list[tuple[int, str]]]:
+    """The skeleton of a page and the (node, text) that by_names keeps of it."""
+    tree, blocks = read_page(html)
+    return tree, [(n, t) for (n, t, _, _), kept in zip(blocks, by_names(blocks), strict=True) if kept]
+
+
+def nodes_of(tree: list) -> list[list]:
+    """All nodes, parents first, in order of their numbers."""
+    out, todo = [], [tree]
+    while todo:
+        node = todo.pop()
+        out.append(node)
+        todo += reversed(node[1])
+    return out
+
+
+def written(tree: list) -> str:
+    """A skeleton as text: a line `parent label` for each node, in order of their numbers."""
+    parent = {c[2]: n[2] for n in nodes_of(tree) for c in n[1]}
+    return "\n".join(f"{parent.get(n[2], -1)} {n[0]}" for n in nodes_of(tree))
 
 
 def read_back(text: str) -> list:
     """The skeleton of a text made by written()."""
-    root: list = ["", [], -1]
-    stack = [root]
-    for label, number, mark in re.findall(r"([^\s()#]*|#)#(\d+)([()\s]*)", text):
-        node = [label, [], int(number)]
-        stack[-1][1].append(node)
-        for c in mark:
-            if c == "(":
-                stack.append(node)
-            elif c == ")":
-                stack.pop()
-    return root[1][0]
+    nodes: list[list] = []
+    for line in text.split("\n"):
+        parent, _, label = line.partition(" ")
+        node = [label, [], len(nodes)]
+        nodes.append(node)
+        if int(parent) >= 0:
+            nodes[int(parent)][1].append(node)
+    return nodes[0]
+
+
+class Shapes:
+    """Numbers for equal subtrees, and the size of the best matching of two of them."""
+
+    def __init__(self) -> None:
+        self.number: dict[tuple, int] = {}
+        self.label: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.size: list[int] = []
+        self.memo: dict[tuple[int, int], int] = {}
+
+    def of(self, tree: list) -> dict[int, int]:
+        """Node number to shape."""
+        out: dict[int, int] = {}
+        for node in reversed(nodes_of(tree)):
+            key = (node[0], tuple(out[c[2]] for c in node[1]))
+            if key not in self.number:
+                self.number[key] = len(self.label)
+                self.label.append(key[0])
+                self.kids.append(key[1])
+                self.size.append(1 + sum(self.size[k] for k in key[1]))
+            out[node[2]] = self.number[key]
+        return out
+
+    def pair(self, s: int, t: int) -> int:
+        """Weight of two shapes whose smaller pairs are known; 0 for different labels."""
+        return self.size[s] if s == t else self.memo.get((s, t), 0)
+
+    def know(self, s: int, t: int) -> None:
+        """Find the weight of (s, t) and of all smaller pairs that it needs."""
+        todo = [(s, t)]
+        while todo:
+            x, y = todo[-1]
+            if x == y or (x, y) in self.memo or self.label[x] != self.label[y]:
+                todo.pop()
+                continue
+            named: dict[str, list[int]] = {}
+            for d in set(self.kids[y]):
+                named.setdefault(self.label[d], []).append(d)
+            missing = [(c, d) for c in set(self.kids[x]) for d in named.get(self.label[c], ()) if c != d and (c, d) not in self.memo]
+            if missing:
+                todo += missing
+                continue
+            self.memo[x, y] = 1 + self.best(self.kids[x], self.kids[y])
+            todo.pop()
+
+    def ends(self, xs: tuple[int, ...], ys: tuple[int, ...]) -> tuple[int, int]:
+        """Lengths of the equal beginning and of the equal end; some best matching pairs these one by one."""
+        n = min(len(xs), len(ys))
+        first = next((i for i in range(n) if xs[i] != ys[i]), n)
+        last = next((i for i in range(n - first) if xs[-1 - i] != ys[-1 - i]), n - first)
+        return first, last
+
+    def rows(self, xs: tuple[int, ...], ys: tuple[int, ...], start: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows of the table of best ordered matchings after start, one for each of xs."""
+        kinds, at = np.unique(np.array(ys, np.int64), return_inverse=True)
+        known: dict[int, np.ndarray] = {}
+        row = start
+        for x in xs:
+            if x not in known:
+                known[x] = np.array([self.pair(x, y) for y in kinds.tolist()], np.int64)[at]
+            row = np.maximum.accumulate(np.concatenate([[0], np.maximum(row[1:], row[:-1] + known[x])]))
+            yield row
+
+    def best(self, xs: tuple[int, ...], ys: tuple[int, ...]) -> int:
+        first, last = self.ends(xs, ys)
+        total = sum(self.size[x] for x in xs[:first]) + sum(self.size[x] for x in xs[len(xs) - last :])
+        row = np.zeros(len(ys) - first - last + 1, np.int64)
+        for row in self.rows(xs[first : len(xs) - last], ys[first : len(ys) - last], row):  # noqa: B020
+            pass
+        return total + int(row[-1])
+
+    def matched(self, xs: tuple[int, ...], ys: tuple[int, ...]) -> list[tuple[int, int]]:
+        """Places of a best ordered matching. Only every root-th row is held; the others are made again."""
+        first, last = self.ends(xs, ys)
+        pairs = [(i, i) for i in range(first)] + [(len(xs) - 1 - i, len(ys) - 1 - i) for i in range(last)]
+        a, b = xs[first : len(xs) - last], ys[first : len(ys) - last]
+        step = max(1, isqrt(len(a)))
+        saved = [np.zeros(len(b) + 1, np.int64)]
+        for i, row in enumerate(self.rows(a, b, saved[0]), 1):
+            if i % step == 0:
+                saved.append(row)
+        i, j = len(a), len(b)
+        while i and j:
+            low = (i - 1) // step
+            table = [saved[low], *self.rows(a[low * step : i], b, saved[low])]
+            while i > low * step and j:
+                here, above = table[i - low * step], table[i - 1 - low * step]
+                if here[j] == above[j]:
+                    i -= 1
+                elif here[j] == here[j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    pairs.append((first + i, first + j))
+        return pairs
 
 
 def align(a: list, b: list) -> list[tuple[int, int]]:
-    """Pairs (number in a, number in b) of simple tree matching, of most nodes."""
-    memo: dict[tuple[int, int], int] = {}
-
-    def table(x: list, y: list) -> list[list[int]]:
-        best = [[0] * (len(y[1]) + 1)]
-        for c in x[1]:
-            row = [0]
-            for j, d in enumerate(y[1]):
-                row.append(max(row[j], best[-1][j + 1], best[-1][j] + weight(c, d)))
-            best.append(row)
-        return best
-
-    def weight(x: list, y: list) -> int:
-        if x[0] != y[0]:
-            return 0
-        key = (x[2], y[2])
-        if key not in memo:
-            memo[key] = 1 + (table(x, y)[-1][-1] if x[1] and y[1] else 0)
-        return memo[key]
+    """Pairs (number in a, number in b) of simple tree matching, of most nodes.
 
+    Equal subtrees are compared once, and memory is linear in the number of siblings
+    times its root, so wide pages cost time in proportion to their siblings' product only.
+    """
+    if a[0] != b[0]:
+        return []
+    shapes = Shapes()
+    of_a, of_b = shapes.of(a), shapes.of(b)
+    shapes.know(of_a[a[2]], of_b[b[2]])
     pairs: list[tuple[int, int]] = []
-    todo = [(a, b)] if a[0] == b[0] else []
+    todo = [(a, b)]
     while todo:
         x, y = todo.pop()
         pairs.append((x[2], y[2]))
-        best = table(x, y)
-        i, j = len(x[1]), len(y[1])
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                todo.append((x[1][i], y[1][j]))
+        if of_a[x[2]] == of_b[y[2]]:
+            todo += zip(x[1], y[1], strict=True)
+        else:
+            todo += [(x[1][i], y[1][j]) for i, j in shapes.matched(tuple(of_a[c[2]] for c in x[1]), tuple(of_b[c[2]] for c in y[1]))]
     return pairs
 
 
@@ -269,29 +406,121 @@ def all_slots(own: list, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return list(slot.items())
 
 
-PARSED = "page_id long, url string, host string, skeleton string, skeleton_id long, content long, inside boolean, blocks array<struct<node:int,hash:long,text:string>>"
+STATS = ("pages", "chars", "linked", "marked", "fixed", "template")
+
+
+def rules_of(skeleton: str, stats: list, host_pages: int, region_share: float) -> str:
+    """What the comparison of a host's pages says of the nodes of a skeleton, as JSON.
+
+    stats: (node, pages with its slot, characters there, of these in links, in parts left
+    out by name, and of template texts, hashes of the template texts), sums over distinct
+    pages. same: node to its template texts. region: first and last node of the content
+    region, or null. out: furniture outside it. labels: headings with template texts.
+    """
+    nodes = nodes_of(read_back(skeleton))
+    n = len(nodes)
+    varying, raw, pages = np.zeros(n), np.zeros(n), np.zeros(n)
+    heading = np.zeros(n, np.int64)
+    same: dict[int, list[int]] = {}
+    for node, seen, chars, linked, marked, fixed, template in stats:
+        if not seen:
+            continue
+        if len(template):
+            same[node] = sorted(map(int, template))
+        raw[node], pages[node] = chars, seen
+        varying[node] = max(0, chars - linked - fixed) / seen
+        heading[node] = nodes[node][0].split(".")[0] in HEADINGS and varying[node] > 0 and 2 * marked < chars and 2 * seen >= host_pages
+    total, held, last = varying.copy(), raw.copy(), np.arange(n)
+    for node in reversed(nodes):
+        for c in node[1]:
+            total[node[2]] += total[c[2]]
+            held[node[2]] += held[c[2]]
+            last[node[2]] = max(last[node[2]], last[c[2]])
+    before = np.concatenate([[0], np.cumsum(heading)])  # varying headings with lower numbers
+    at = nodes[0]
+    while at[1] and total[0] > 0:
+        down = max(at[1], key=lambda c: total[c[2]])
+        # The region is a container, and the headings that lead up to the text are in it.
+        leads = before[down[2]] - before[at[2]]
+        if total[down[2]] < region_share * total[0] or held[down[2]] == raw[down[2]] or leads:
+            break
+        at = down
+    found = at[0].split(".")[0] not in ("#", "html", "body")
+    inside = range(at[2], int(last[at[2]]) + 1)
+    out = [i for i in range(n) if raw[i] and found and i not in inside and 2 * pages[i] >= host_pages]
+    return json.dumps({"region": [inside.start, inside.stop - 1] if found else None, "out": out, "same": {str(k): v for k, v in same.items()}, "labels": [i for i in same if nodes[i][0].split(".")[0] in LABELS]})
+
+
+@lru_cache(maxsize=256)
+def _rules(text: str) -> tuple[range, set[int], dict[int, set[int]], set[int]]:
+    given = json.loads(text)
+    first, last = given["region"] or (0, -1)
+    return range(first, last + 1), set(given["out"]), {int(k): set(v) for k, v in given["same"].items()}, set(given["labels"])
+
+
+def main_text(blocks: list[dict], rules: str | None) -> tuple[str, int, int, int]:
+    """(text, blocks left out as template, as furniture, by name) of a page's blocks."""
+    named = by_names([(b["node"], b["text"], b["flags"], b["linked"]) for b in blocks])
+    if rules is None:
+        kept = [b["text"] for b, keep in zip(blocks, named, strict=True) if keep]
+        return "\n\n".join(kept), 0, 0, len(blocks) - len(kept)
+    region, out, same, labels = _rules(rules)
+    open_to, reasons = [], []
+    for b, keep in zip(blocks, named, strict=True):
+        node = b["node"]
+        if node in region:
+            keep = not b["flags"] & MARKED
+        elif node in out:
+            reasons.append("furniture")
+            open_to.append(False)
+            continue
+        open_to.append(keep)
+        reasons.append("" if not keep else "template" if b["hash"] in same.get(node, ()) else "kept")
+    for i in range(len(blocks) - 2, -1, -1):
+        # A title that many pages share, as of a part of a recipe, stays with the text under it.
+        if reasons[i] == "template" and blocks[i]["node"] in region and blocks[i]["node"] in labels and reasons[i + 1] == "kept":
+            reasons[i] = "kept"
+    # Pages that differ in nothing else show no template: it never takes the whole text of the region or of an article.
+    if "kept" not in reasons and any(keep and (b["node"] in region or b["flags"] & INSIDE) for b, keep in zip(blocks, open_to, strict=True)):
+        reasons = ["kept" if keep and r == "template" else r for r, keep in zip(reasons, open_to, strict=True)]
+    return "\n\n".join(b["text"] for b, r in zip(blocks, reasons, strict=True) if r == "kept"), reasons.count("template"), reasons.count("furniture"), reasons.count("")
+
+
+BLOCK = [("node", pa.int32()), ("hash", pa.int64()), ("linked", pa.int32()), ("flags", pa.int32()), ("text", pa.string())]
+PARSED = "page_id long, url string, host string, skeleton string, skeleton_id long, content long, blocks array<struct<node:int,hash:long,linked:int,flags:int,text:string>>"
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
 def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            skeletons, ids, contents, insides, blocks = [], [], [], [], []
+            skeletons, contents, blocks = [], [], []
             for html in batch.column("html").to_pylist():
-                tree, found, inside = parse(html)
-                insides.append(inside)
+                tree, found = read_page(html)
                 skeletons.append(written(tree))
-                ids.append(xxhash.xxh3_64_intdigest(skeletons[-1].encode("utf-8", "replace")) - (1 << 63))
-                blocks.append([{"node": n, "hash": xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) - (1 << 63), "text": t} for n, t in found])
-                contents.append(xxhash.xxh3_64_intdigest("\0".join(t for _, t in found).encode("utf-8", "replace")) - (1 << 63))
-            kind = pa.list_(pa.struct([("node", pa.int32()), ("hash", pa.int64()), ("text", pa.string())]))
+                contents.append(_hash("\0".join(t for (_, t, _, _), keep in zip(found, by_names(found), strict=True) if keep)))
+                blocks.append([{"node": n, "hash": _hash(t), "linked": share, "flags": f, "text": t} for n, t, f, share in found])
             columns = [batch.column(c) for c in ("page_id", "url", "host")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(skeletons), pa.array(ids, pa.int64()), pa.array(contents, pa.int64()), pa.array(insides, pa.bool_()), pa.array(blocks, kind)], names=[n.split()[0] for n in PARSED.split(", ")])
+            made = [pa.array(skeletons, pa.string()), pa.array(list(map(_hash, skeletons)), pa.int64()), pa.array(contents, pa.int64()), pa.array(blocks, pa.list_(pa.struct(BLOCK)))]
+            yield pa.RecordBatch.from_arrays([*columns, *made], names=[n.split()[0] for n in PARSED.split(", ")])
 
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     source = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), F.col(html_col).cast("string").alias("html"))
     return source.mapInArrow(read, PARSED)
 
 
+def _lookup(rows: DataFrame, lookup: DataFrame, key: list[str], size: int, limit: int) -> DataFrame:
+    """rows with their one row of lookup: by broadcast if it has at most limit bytes, else with hot keys apart."""
+    if size <= limit:
+        return rows.join(F.broadcast(lookup), key)
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    total = rows.count()
+    return join_lookup(rows, lookup, key, counts.filter(F.col("n") * HOT_SHARE > total))
+
+
 def extract_text(
     pages: DataFrame,
     id_col: str = "page_id",
@@ -299,53 +528,88 @@ def extract_text(
     html_col: str = "html",
     least_pages: int = 5,
     template_share: float = 0.5,
+    region_share: float = 0.8,
     broadcast_bytes: int = 32_000_000,
 ) -> DataFrame:
-    """page_id, url, text, n_chars, n_template for every row of pages.
+    """page_id, url, text, n_chars, n_template, n_furniture, n_named for every row of pages.
 
     text: the blocks of the main part, white space made single, joined by two line
-    ends; empty for null or empty html. n_template: blocks left out as the host's
-    template. Pages without a host are one host. Repeated rows are rows of their own;
-    they and other copies count once among the pages of the host. Hosts with under
-    least_pages distinct pages have no template, and no template takes the whole text of
-    a page's article and main elements. Other columns are ignored; an empty table gives no rows.
+    ends; empty for null or empty html. Hidden elements have no text. n_template: blocks
+    left out because most pages of the host have them there; n_furniture: because they
+    lie outside the region that holds region_share of the varying text; n_named: by
+    names, roles or article elements, where the comparison says nothing.
+
+    Ids are whole numbers. Pages without a host are one host. Repeated rows are rows of
+    their own; they and other copies count once among the pages of the host. Hosts with
+    under least_pages distinct pages are judged by names alone. No template takes the
+    whole text of a page's region or article, nor a heading inside the region whose text
+    below it stays. Other columns are ignored; an empty table gives no rows.
     """
     parsed = materialise(_parsed(pages, id_col, url_col, html_col))
-    once = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["node"].alias("node"), b["hash"].alias("hash"))))
+    block = lambda b: F.struct(b["node"].alias("node"), b["hash"].alias("hash"), F.length(b["text"]).alias("chars"), b["linked"].alias("linked"), b["flags"].bitwiseAND(MARKED).alias("marked"))
+    once = F.array_distinct(F.transform("blocks", block))
     # Copies of a page stand for one page, that of the least skeleton.
     contents = parsed.select("host", "content", F.struct("skeleton_id", once.alias("once")).alias("page")).groupBy("host", "content").agg(F.min("page").alias("page"))
     contents = materialise(contents.select("host", "page.*"))
     counts = contents.groupBy("host", "skeleton_id").agg(F.count("*").alias("n"))
     shapes = parsed.groupBy("host", "skeleton_id").agg(F.min("skeleton").alias("skeleton")).join(counts, ["host", "skeleton_id"], "left")
     shapes = materialise(shapes.fillna(0, ["n"]))
-    wrappers = shapes.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton_id")).alias("wrapper"), F.sum("n").alias("pages")).filter(F.col("pages") >= least_pages)
-
-    def aligned(own: list, wrapper: list) -> list[tuple[int, int]]:
-        return all_slots(own, align(own, wrapper))
+    wrappers = shapes.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton_id")).alias("wrapper"), F.sum("n").alias("host_pages"))
+    wrappers = materialise(wrappers)
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             slots = []
             for own, wrapper in zip(batch.skeleton, batch.wrapper, strict=True):
-                pairs = [(n, n) for n in map(int, re.findall(r"#(\d+)", own))] if own == wrapper else aligned(read_back(own), read_back(wrapper))
+                tree = read_back(own)
+                pairs = [(n[2], n[2]) for n in nodes_of(tree)] if own == wrapper else all_slots(tree, align(tree, read_back(wrapper)))
                 slots.append([{"node": a, "slot": b} for a, b in pairs])
             yield pd.DataFrame({"host": batch.host, "skeleton_id": batch.skeleton_id, "n": batch.n, "slots": slots})
 
-    slots = shapes.join(wrappers.drop("pages"), "host").select("host", "skeleton_id", "n", "skeleton", "wrapper")
-    slots = materialise(slots.mapInPandas(match, "host string, skeleton_id long, n long, slots array<struct<node:int,slot:long>>").select("host", "skeleton_id", "n", F.explode("slots").alias("s")).select("host", "skeleton_id", "n", "s.*"))
-    seen = contents.select("host", "skeleton_id", F.explode("once").alias("b")).groupBy("host", "skeleton_id", "b.node", "b.hash").agg(F.count("*").alias("k"))
-    of_slot = slots.groupBy("host", "slot").agg(F.sum("n").alias("pages"))
-    repeated = seen.join(slots.drop("n"), ["host", "skeleton_id", "node"]).groupBy("host", "slot", "hash").agg(F.sum("k").alias("k")).filter(F.col("k") > 1)
-    template = repeated.join(of_slot, ["host", "slot"]).filter((F.col("pages") >= least_pages) & (F.col("k") > template_share * F.col("pages"))).select("host", "slot", "hash")
-    marked = slots.join(template, ["host", "slot"]).groupBy("host", "skeleton_id").agg(F.collect_set(F.struct("node", "hash")).alias("template"))
-    # At most 1 / template_share texts a slot: bounded by the skeleton's size.
-    marked = materialise(marked)
-    size = marked.agg(F.sum(F.size("template") * 24 + 64)).first()[0] or 0
-    joined = parsed.join(F.broadcast(marked) if size <= broadcast_bytes else marked, ["host", "skeleton_id"], "left")
-    known = F.coalesce("template", F.array().cast("array<struct<node:int,hash:bigint>>"))
-    left = F.filter("blocks", lambda b: ~F.array_contains(known, F.struct(b["node"].alias("node"), b["hash"].alias("hash"))))
-    joined = joined.withColumn("left", left)
-    # Pages that differ in nothing else show no template: it never takes the whole text of article or main elements.
-    kept = F.when(F.col("inside") & (F.size("left") == 0), F.col("blocks")).otherwise(F.col("left"))
-    out = joined.select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n").alias("text"), (F.size("blocks") - F.size(kept)).alias("n_template"))
-    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), F.col("n_template").cast("long").alias("n_template"))
+    enough = wrappers.filter(F.col("host_pages") >= least_pages)
+    size = enough.agg(F.sum(F.length("wrapper") + F.length("host"))).first()[0] or 0
+    compared = materialise(_lookup(shapes.join(enough.select("host"), "host", "left_semi"), enough, ["host"], size, broadcast_bytes))
+    slots = compared.select("host", "skeleton_id", "n", "skeleton", "wrapper").mapInPandas(match, "host string, skeleton_id long, n long, slots array<struct<node:int,slot:long>>")
+    slots = materialise(slots.select("host", "skeleton_id", "n", F.explode("slots").alias("s")).select("host", "skeleton_id", "n", "s.*"))
+    size = 32 * slots.count()
+    sums = [F.count("*").alias("same"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.sum(F.col("chars") * F.col("marked")).alias("marked"), F.max("chars").alias("length")]
+    seen = contents.select("host", "skeleton_id", F.explode("once").alias("b")).select("host", "skeleton_id", "b.*").groupBy("host", "skeleton_id", "node", "hash").agg(*sums)
+    seen = seen.join(enough.select("host"), "host", "left_semi")
+    texts = _lookup(seen, slots.drop("n"), ["host", "skeleton_id", "node"], size, broadcast_bytes)
+    texts = texts.groupBy("host", "slot", "hash").agg(*[F.sum(c).alias(c) for c in ("same", "chars", "linked", "marked")], F.max("length").alias("length"))
+    texts = materialise(texts)
+    of_slot = materialise(slots.groupBy("host", "slot").agg(F.sum("n").alias("pages")))
+    repeated = texts.filter(F.col("same") > template_share * least_pages)
+    template = _lookup(repeated, of_slot, ["host", "slot"], 32 * of_slot.count(), broadcast_bytes).filter((F.col("pages") >= least_pages) & (F.col("same") > template_share * F.col("pages")))
+    # At most 1 / template_share times the texts that a page has there.
+    template = template.groupBy("host", "slot").agg(F.sum(F.col("same") * F.col("length")).alias("fixed"), F.collect_list("hash").alias("template"))
+    stats = texts.groupBy("host", "slot").agg(*[F.sum(c).alias(c) for c in ("chars", "linked", "marked")])
+    stats = of_slot.join(stats, ["host", "slot"], "left").join(template, ["host", "slot"], "left")
+    stats = materialise(stats.select("host", "slot", "pages", "chars", "linked", "marked", F.coalesce("fixed", F.lit(0)).alias("fixed"), F.coalesce("template", F.array().cast("array<bigint>")).alias("template")))
+    size = stats.agg(F.sum(64 + F.length("host") + 8 * F.size("template"))).first()[0] or 0
+    facts = _lookup(slots, stats, ["host", "slot"], size, broadcast_bytes)
+    # A row per node: bounded by the skeleton.
+    facts = facts.filter("chars is not null").groupBy("host", "skeleton_id").agg(F.collect_list(F.struct("node", *STATS)).alias("facts"))
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rules = [
+                rules_of(own, [tuple(f.values()) for f in given] if given is not None else [], n, region_share)
+                for own, given, n in zip(batch.skeleton, batch.facts, batch.host_pages, strict=True)
+            ]
+            yield pd.DataFrame({"host": batch.host, "skeleton_id": batch.skeleton_id, "rules": rules})
+
+    ruled = compared.drop("n", "wrapper").join(facts, ["host", "skeleton_id"], "left").mapInPandas(decide, "host string, skeleton_id long, rules string")
+    rules = materialise(shapes.select("host", "skeleton_id").join(ruled, ["host", "skeleton_id"], "left"))
+    size = rules.agg(F.sum(F.coalesce(F.length("rules"), F.lit(0)) + F.length("host") + 16)).first()[0] or 0
+    joined = _lookup(parsed.select("page_id", "url", "host", "skeleton_id", "blocks"), rules, ["host", "skeleton_id"], size, broadcast_bytes)
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [main_text(b, r) for b, r in zip(batch.column("blocks").to_pylist(), batch.column("rules").to_pylist(), strict=True)]
+            numbers = [pa.array([m[i] for m in made], pa.int64()) for i in (1, 2, 3)]
+            texts = pa.array([m[0] for m in made], pa.string())
+            sizes = pa.array([len(m[0]) for m in made], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), texts, sizes, *numbers], names=["page_id", "url", "text", "n_chars", "n_template", "n_furniture", "n_named"])
+
+    return joined.select("page_id", "url", "blocks", "rules").mapInArrow(assemble, "page_id long, url string, text string, n_chars long, n_template long, n_furniture long, n_named long")
