@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 GAP = 3
 SLICE = 500_000
 UNKNOWN = "und"
@@ -128,10 +130,10 @@ def train(
             )
 
     usable = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null")
-    counts = usable.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = materialise(usable.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     if (found := counts.filter("bucket = -1").limit(max_languages + 1)).count() > max_languages:
         raise ValueError(f"more than {max_languages} languages: {found.count()}")
-    table = counts.toPandas()
+    table = counts.toArrow().to_pandas()
     languages = sorted(table.lang.unique()) if len(table) else []
     column = table.lang.map({x: i for i, x in enumerate(languages)}).to_numpy(dtype=np.int64)
     matrix = np.full((size, len(languages)), smoothing)
