@@ -139,23 +139,32 @@ def line_report(text: Column, max_removed: float = 0.5) -> Column:
     return report(text.cast("string"))
 
 
-def clean_text(text: Column, max_removed: float = 0.5) -> Column:
-    """struct<kept:boolean, text:string>: the verdict of line_report and the cleaned text.
-
-    The text of rejected rows is null, as is that of a null text.
-    """
+def _cleaned(max_removed: float):
+    """A pandas UDF of texts: kept, and the text that is left where a line goes (else null)."""
 
-    @F.pandas_udf("kept boolean, text string")
+    @F.pandas_udf("kept boolean, changed string")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            out = []
-            for t in texts:
+            kept, changed = np.zeros(len(texts), bool), np.full(len(texts), None, object)
+            for i, t in enumerate(texts):
                 left: list[str] = []
-                kept = judge(t, max_removed, left)[6]
-                out.append((kept, "\n".join(left) if kept else None))
-            yield pd.DataFrame({"kept": [k for k, _ in out], "text": pd.Series([t for _, t in out], dtype=object)})
+                report = judge(t, max_removed, left)
+                kept[i] = report[6]
+                if kept[i] and report[8]:
+                    changed[i] = "\n".join(left)
+            yield pd.DataFrame({"kept": kept, "changed": pd.Series(changed, dtype=object)})
+
+    return clean
 
-    return clean(text.cast("string"))
+
+def clean_text(text: Column, max_removed: float = 0.5) -> Column:
+    """struct<kept:boolean, text:string>: the verdict of line_report and the cleaned text.
+
+    The text of rejected rows is null, as is that of a null text.
+    """
+    text = text.cast("string")
+    found = _cleaned(max_removed)(text)
+    return F.struct(found["kept"].alias("kept"), F.when(found["kept"], F.coalesce(found["changed"], text)).alias("text"))
 
 
 def keep_clean(docs: DataFrame, text_col: str = "text", length_col: str | None = None, max_removed: float = 0.5) -> DataFrame:
@@ -165,8 +174,11 @@ def keep_clean(docs: DataFrame, text_col: str = "text", length_col: str | None =
     the number of the text's characters, which is set anew with its type.
     """
     names = docs.columns
-    taken = docs.select(F.struct("*").alias("row"), clean_text(F.col(text_col), max_removed).alias("clean")).filter("clean.kept")
-    new = {text_col: F.col("clean.text")}
+    # Nondeterministic to the optimizer, or it would run the rules in the filter and again for the text.
+    clean = _cleaned(max_removed).asNondeterministic()(F.col(text_col).cast("string"))
+    taken = docs.select(F.struct("*").alias("row"), clean.alias("clean")).filter("clean.kept")
+    text = F.coalesce("clean.changed", F.col("row").getField(text_col).cast("string"))
+    new = {text_col: text}
     if length_col is not None:
-        new[length_col] = F.length("clean.text").cast(docs.schema[length_col].dataType)
+        new[length_col] = F.length(text).cast(docs.schema[length_col].dataType)
     return taken.select(*[new.get(n, F.col("row").getField(n)).alias(n) for n in names])
