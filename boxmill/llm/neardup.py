@@ -37,6 +37,8 @@ LOWER = bytes(range(97, 123))
 CASE = bytes.maketrans(UPPER, LOWER)
 #: Blocks of an exact comparison: rows, and shingles of their sets together; and shingles for one task.
 BLOCK, BLOCK_SHINGLES, UNIT_SHINGLES = 512, 1_000_000, 4_000_000
+#: What a row of a comparison is: of a whole small group, or of one side of a block.
+WHOLE, OUTSIDE, ALL = 0, 1, 2
 
 
 def shingle_set(text: str | None, k: int = 5) -> np.ndarray:
@@ -260,10 +262,14 @@ def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, ce
     group. Only confirmed links come out.
     """
 
-    def links(units: pd.DataFrame) -> pd.DataFrame:
+    def links(members: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
         out: set[tuple[int, int]] = set()
-        for _, unit in units.groupby(["token", "i", "j"], sort=False):
-            left, right = unit[unit.side == 0], unit[unit.side == 1]
+        members["hashes"] = members.node.map(dict(zip(given.member, given.hashes, strict=True)))
+        for _, unit in members.groupby(["token", "i", "j"], sort=False):
+            left, right = unit[unit.side == OUTSIDE], unit[unit.side == ALL]
+            if (unit.side == WHOLE).any():
+                top = unit.comp.mode()[0]
+                left, right = unit[unit.comp != top], unit
             if len(left) and len(right):
                 out |= _links_between(left, right, percent)
         return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
@@ -290,16 +296,25 @@ def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, ce
         .filter("comps > 1")
         .select("token", F.col("top.comp").alias("top"), blocks(F.col("m"), F.col("weight")).alias("js"), blocks(F.col("m") - F.col("top.k"), F.col("weight") - F.col("top.weight")).alias("is"))
     )
-    dealt = placed.join(open_groups, "token")
+    dealt = materialise(placed.join(open_groups.join(placed.groupBy("token").agg(F.min("comp").alias("family")), "token"), "token"))
     mark = F.xxhash64("node")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["token", "i", "j", "side", "node", "comp", "n"]
-    outside = dealt.filter("comp <> top").withColumns({"i": F.pmod(mark, F.col("is")).cast("int"), "side": F.lit(0)}).withColumn("j", every("js")).select(columns)
-    inside = dealt.withColumns({"j": F.pmod(mark, F.col("js")).cast("int"), "side": F.lit(1)}).withColumn("i", every("is")).select(columns)
-    both = materialise(outside.unionByName(inside))
-    tasks = 1 + (both.agg(F.sum(F.col("n") + 64)).first()[0] or 0) // UNIT_SHINGLES
-    unit = F.pmod(F.xxhash64("token", "i", "j"), F.lit(tasks)).alias("unit")
-    return both.drop("n").join(open_sets.select("node", "hashes"), "node").groupBy(unit).applyInPandas(links, "a long, b long").distinct()
+    columns = ["key", "token", "i", "j", "side", "node", "comp", "n"]
+    one = (F.col("is") == 1) & (F.col("js") == 1)
+    # Small groups go together by their least component, so that a set goes once to all groups that it is in.
+    families = dealt.filter(one).select("family", "node", "n").distinct().groupBy("family").agg(F.ceil(F.sum("n") / UNIT_SHINGLES).alias("parts"))
+    whole = dealt.filter(one).join(families, "family").withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(WHOLE), "key": F.xxhash64("family", F.pmod(F.xxhash64("token"), F.col("parts")))})
+    large = dealt.filter(~one)
+    outside = large.filter("comp <> top").withColumns({"i": F.pmod(mark, F.col("is")).cast("int"), "side": F.lit(OUTSIDE)}).withColumn("j", every("js"))
+    inside = large.withColumns({"j": F.pmod(mark, F.col("js")).cast("int"), "side": F.lit(ALL)}).withColumn("i", every("is"))
+    blocks_of = outside.unionByName(inside).withColumn("key", F.xxhash64("token", "i", "j"))
+    both = materialise(whole.select(columns).unionByName(blocks_of.select(columns)))
+    sent = both.select("key", "node", "n").distinct()
+    tasks = 1 + (sent.agg(F.sum(F.col("n") + 64)).first()[0] or 0) // UNIT_SHINGLES
+    unit = F.pmod("key", F.lit(tasks)).alias("unit")
+    member = F.col("node").alias("member")
+    given = both.select(unit, member).distinct().join(open_sets.select(member, "hashes"), "member").groupBy("unit")
+    return both.select(unit, "token", "i", "j", "side", "node", "comp").groupBy("unit").cogroup(given).applyInPandas(links, "a long, b long").distinct()
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
