@@ -25,10 +25,11 @@ def mask_area(mask: Column) -> Column:
 
 
 def mask_iou(a: Column, b: Column) -> Column:
-    """Intersection over union of two masks of one size; 0 if both are empty."""
+    """Intersection over union of two masks; 0 if both are empty, null for different sizes (resize them first)."""
     shared = _bits(F.zip_with(a["words"], b["words"], lambda x, y: x.bitwiseAND(y)))
     either = _bits(F.zip_with(a["words"], b["words"], lambda x, y: x.bitwiseOR(y)))
-    return F.when(either == 0, 0.0).otherwise(F.try_divide(shared, either))
+    alike = (a["h"] == b["h"]) & (a["w"] == b["w"])
+    return F.when(alike, F.when(either == 0, 0.0).otherwise(F.try_divide(shared, either)))
 
 
 def mask_union(a: Column, b: Column) -> Column:
@@ -38,9 +39,9 @@ def mask_union(a: Column, b: Column) -> Column:
 
 
 def union_all(masks: Column) -> Column:
-    """Pixels set in any mask of an array of masks of one size; the array has one at least."""
+    """Pixels set in any mask of an array of masks of one size; null for no mask."""
     rest = F.slice(masks, 2, F.greatest(F.size(masks) - 1, F.lit(0)))
-    return F.aggregate(rest, masks[0], mask_union)
+    return F.aggregate(rest, F.get(masks, F.lit(0)), mask_union)
 
 
 def pack(pixels: np.ndarray) -> np.ndarray:
@@ -57,22 +58,56 @@ def unpack(mask: dict) -> np.ndarray:
     return np.concatenate([bits, np.zeros(h * w - len(bits), np.uint8)]).reshape(h, w).astype(bool)
 
 
+def pack_rows(pixels: np.ndarray) -> np.ndarray:
+    """Words of many masks of one size: rows of booleans to rows of words."""
+    bits = np.packbits(pixels, axis=1, bitorder="little")
+    return np.ascontiguousarray(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8)))).view("<i8")
+
+
+def unpack_rows(words: list[np.ndarray], size: int) -> np.ndarray:
+    """Rows of `size` booleans of masks of one size; missing words are empty pixels."""
+    n = -(-size // 64)
+    full = np.zeros((len(words), n), "<i8")
+    for row, given in zip(full, words, strict=True):
+        row[: min(n, len(given))] = given[:n]
+    return np.unpackbits(full.view(np.uint8), axis=1, bitorder="little")[:, :size].astype(bool)
+
+
+def _by_size(*sizes: pd.Series) -> dict[tuple[int, ...], np.ndarray]:
+    """Places of the rows of every combination of sizes; rows with a missing one are in none."""
+    frame = pd.concat([s.reset_index(drop=True) for s in sizes], axis=1).dropna()
+    if not len(frame):
+        return {}
+    return {tuple(map(int, key)): at.to_numpy() for key, at in frame.groupby(list(frame.columns), sort=False).groups.items()}
+
+
+def _masks(n: int, made: dict[tuple[int, ...], tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """n masks: size to (places, rows of words); places that are in none are missing masks."""
+    h, w = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    words: list[np.ndarray | None] = [None] * n
+    for size, (at, rows) in made.items():
+        h[at], w[at] = size[-2:]
+        for i, row in zip(at, rows, strict=True):
+            words[i] = row
+    missing = np.array([x is None for x in words], bool)
+    return pd.DataFrame({"h": pd.Series(h, dtype="Int32").mask(missing), "w": pd.Series(w, dtype="Int32").mask(missing), "words": pd.Series(words, dtype=object)})
+
+
 def binarize_mask(values: Column, h: Column, w: Column, threshold: float = 0.5) -> Column:
     """A mask of the values (row-major array) over a threshold; null or NaN values are empty pixels."""
 
     @F.pandas_udf(MASK)
     def binarize(rows: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
-        out = []
-        for row, a, b in zip(rows, height, width, strict=True):
-            if row is None or pd.isna(a) or pd.isna(b):
-                out.append((None, None, None))
-                continue
-            full = np.zeros(int(a) * int(b), bool)
-            given = np.asarray(row, float)[: len(full)]
-            full[: len(given)] = given > threshold
-            out.append((int(a), int(b), pack(full)))
-        frame = pd.DataFrame(out, columns=["h", "w", "words"])
-        return frame.astype({"h": "Int32", "w": "Int32"})
+        rows, made = rows.reset_index(drop=True), {}
+        given = rows.notna().to_numpy()
+        for (h, w), at in _by_size(height.rename("h"), width.rename("w")).items():
+            at = at[given[at]]
+            full = np.zeros((len(at), h * w), bool)
+            for k, i in enumerate(at):
+                values = np.asarray(rows[i], float)[: h * w]
+                np.greater(values, threshold, out=full[k, : len(values)])
+            made[h, w] = at, pack_rows(full)
+        return _masks(len(rows), made)
 
     return binarize(values, h.cast("int"), w.cast("int"))
 
@@ -82,21 +117,27 @@ def resize_mask(mask: Column, h: Column, w: Column) -> Column:
 
     @F.pandas_udf(MASK)
     def resize(masks: pd.DataFrame, height: pd.Series, width: pd.Series) -> pd.DataFrame:
-        out = []
-        for m, a, b in zip(masks.to_dict("records"), height, width, strict=True):
-            if pd.isna(m["h"]) or m["words"] is None or pd.isna(a) or pd.isna(b):
-                out.append((None, None, None))
-                continue
-            m["h"], m["w"] = int(m["h"]), int(m["w"])
-            old, a, b = unpack(m), int(a), int(b)
-            empty = not (a and b and old.size)
-            new = np.zeros((a, b), bool) if empty else old[np.arange(a)[:, None] * m["h"] // a, np.arange(b)[None, :] * m["w"] // b]
-            out.append((a, b, pack(new)))
-        return pd.DataFrame(out, columns=["h", "w", "words"]).astype({"h": "Int32", "w": "Int32"})
+        masks, made = masks.reset_index(drop=True), {}
+        given = masks["words"].notna().to_numpy()
+        for (old_h, old_w, new_h, new_w), at in _by_size(masks["h"], masks["w"], height.rename("new_h"), width.rename("new_w")).items():
+            at = at[given[at]]
+            new = np.zeros((len(at), new_h * new_w), bool)
+            if old_h and old_w and new_h and new_w:
+                old = unpack_rows([masks["words"][i] for i in at], old_h * old_w)
+                rows, columns = np.arange(new_h) * old_h // new_h, np.arange(new_w) * old_w // new_w
+                new = old[:, (rows[:, None] * old_w + columns[None, :]).ravel()]
+            made[old_h, old_w, new_h, new_w] = at, pack_rows(new)
+        return _masks(len(masks), made)
 
     return resize(mask, h.cast("int"), w.cast("int"))
 
 
+def fit_mask(mask: Column, h: Column, w: Column) -> Column:
+    """The mask at the size h x w; one that has it already stays in the JVM."""
+    fits = (mask["h"] == h) & (mask["w"] == w)
+    return F.when(fits, mask).otherwise(resize_mask(F.when(~fits, mask), h, w))
+
+
 def label_components(pixels: np.ndarray, diagonal: bool) -> tuple[np.ndarray, int]:
     """Component number of every set pixel (0: not set), numbered by their first pixel in row order.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
-from ..functions.masks import mask_to_obb
+from ..functions.masks import fit_mask, mask_to_obb
 from ..functions.text import format_label_line
 from ..operators import detections as d
 from ..operators import fusion
@@ -21,32 +21,58 @@ def label_boxes(detections: DataFrame, images: DataFrame, classes: DataFrame, th
     """
     kept = d.attach_class_id(d.keep_confident(detections, thresholds), classes)
     boxes = kept.select("image_id", "det_id", "class_id", g.order_corners(g.rect_to_corners(*[F.col(c) for c in ("cx", "cy", "w", "h", "deg")])).alias("corners"))
-    return finish(boxes, images, ["det_id"])
+    return finish(d.attach_image_size(boxes, images), ["det_id"])
 
 
-def finish(boxes: DataFrame, images: DataFrame, order: list[str]) -> DataFrame:
-    """Normalized corners, place in the image and label line."""
-    sized = d.attach_image_size(boxes, images)
-    sized = sized.withColumn("corners", g.normalize_corners(F.col("corners"), F.col("width"), F.col("height")))
-    indexed = fusion.assign_object_index(sized, order)
+def finish(boxes: DataFrame, order: list[str]) -> DataFrame:
+    """Normalized corners, place in the image and label line of boxes with their image's width and height."""
+    shares = boxes.withColumn("corners", g.normalize_corners(F.col("corners"), F.col("width"), F.col("height")))
+    indexed = fusion.assign_object_index(shares, order)
     return indexed.select("image_id", "object_index", "class_id", "corners", format_label_line(F.col("class_id"), F.col("corners")).alias("line"))
 
 
+def outlined(rows: DataFrame, min_area: float) -> DataFrame:
+    """Rows with the ordered corners of their mask's box; rows without a box of min_area are dropped."""
+    boxed = rows.withColumn("o", mask_to_obb(F.col("mask"), float(min_area))).filter("o is not null")
+    return boxed.withColumn("corners", g.order_corners(g.rect_to_corners(*[F.col(f"o.{c}") for c in ("cx", "cy", "w", "h", "angle")]))).drop("o", "mask")
+
+
 def auto_label(
-    first: DataFrame, second: DataFrame, boxes: DataFrame, images: DataFrame, classes: DataFrame, thresholds: dict[str, float] = d.CONFIDENCE, iou: float = fusion.FUSE_IOU, min_area: int = d.MIN_AREA
+    first: DataFrame,
+    second: DataFrame,
+    aux: DataFrame,
+    images: DataFrame,
+    classes: DataFrame,
+    whitelist: DataFrame | None = None,
+    thresholds: dict[str, float] = d.CONFIDENCE,
+    iou: float = fusion.FUSE_IOU,
+    min_area: int = d.MIN_AREA,
 ) -> DataFrame:
-    """Label rows of two mask models, fused, and of a model of boxes that is added as it is.
+    """image_id, object_index, class_id, corners (normalized), line: the labels of every image.
 
-    first, second: image_id, det_id, source, label, score, mask; boxes: as in
-    label_boxes. Small masks go before fusion, small contours after it. Fused rows come
-    first, then the rest of second, then the boxes.
+    first: masks of a segmenting model; second: masks of a prompted one (image_id,
+    det_id, source, label, score, mask each; label is the prompt). aux: a model whose
+    output is added as it is: image_id, det_id, source, label, score, kind ('seg' with
+    mask, 'obb' with corners, 'box' with x1, y1, x2, y2). whitelist: source, label of the
+    classes that each model is asked for (None: all); what it or classes lack is dropped.
+
+    Masks of first count their area at the image's size, those of second at their own;
+    all are compared and united at the image's size. Fused rows come first, then the rest
+    of second, then aux. Images that images lacks have no rows.
     """
-    ready = lambda rows: d.attach_class_id(d.keep_large_masks(d.keep_confident(rows, thresholds), min_area), classes)
-    fused = fusion.fuse_masks(ready(first), ready(second), iou)
-    outlined = fused.select("image_id", "det_id", "class_id", "part", mask_to_obb(F.col("mask"), float(min_area)).alias("o")).filter("o is not null")
-    corners = g.order_corners(g.rect_to_corners(*[F.col(f"o.{c}") for c in ("cx", "cy", "w", "h", "angle")]))
-    masks = outlined.select("image_id", "det_id", "class_id", "part", corners.alias("corners"))
-    kept = d.attach_class_id(d.keep_confident(boxes, thresholds), classes)
-    upright = g.order_corners(g.rect_to_corners(*[F.col(c) for c in ("cx", "cy", "w", "h", "deg")]))
-    aux = kept.select("image_id", "det_id", "class_id", F.lit(2).alias("part"), upright.alias("corners"))
-    return finish(d.combine_branches(masks, aux), images, ["part", "det_id"])
+    known = lambda rows: d.attach_class_id(rows if whitelist is None else d.keep_known_classes(rows, whitelist, classes), classes)
+    asked = lambda rows: known(d.keep_confident(rows, thresholds))
+    sized = lambda rows: d.attach_image_size(rows, images).withColumn("mask", fit_mask(F.col("mask"), F.col("height"), F.col("width")))
+    segmented = d.keep_large_masks(sized(asked(first)), min_area)
+    prompted = sized(d.keep_large_masks(asked(second), min_area))
+    fused = outlined(fusion.fuse_masks(segmented, prompted, iou), min_area)
+    masks = fused.select("image_id", "det_id", "class_id", "part", "corners")
+
+    # Which kind of output an image's aux rows are is settled before any of them is dropped.
+    picked = known(d.pick_output_kind(aux.withColumn("model", F.col("source")), d.at_least(thresholds)).withColumn("source", F.col("model")))
+    by_mask = outlined(sized(picked.filter("kind = 'seg'")), min_area)
+    by_corners = picked.filter("kind = 'obb'").withColumn("corners", g.order_corners(F.col("corners")))
+    by_box = picked.filter("kind = 'box'").withColumn("corners", g.box_to_corners(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
+    columns = ["image_id", "det_id", "class_id", F.lit(2).alias("part"), "corners"]
+    boxes = d.combine_branches(masks, *[rows.select(columns) for rows in (by_mask, by_corners, by_box)])
+    return finish(d.attach_image_size(boxes, images), ["part", "det_id"])

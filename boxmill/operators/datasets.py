@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import order_corners, point
+from .detections import small
 
 
 def dataset_orphans(images: DataFrame, labels: DataFrame) -> DataFrame:
@@ -30,7 +33,7 @@ def stem_collisions(images: DataFrame) -> DataFrame:
 def remap_classes(labels: DataFrame, mapping: DataFrame) -> DataFrame:
     """labels with ids of another scheme (mapping: class_id, new_id); classes that it lacks go."""
     ids = mapping.select("class_id", "new_id")
-    return labels.join(F.broadcast(ids), "class_id").drop("class_id").withColumnRenamed("new_id", "class_id")
+    return labels.join(small(ids), "class_id").drop("class_id").withColumnRenamed("new_id", "class_id")
 
 
 def remapped_images(images: DataFrame, labels: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -47,7 +50,7 @@ def subset_mapping(classes: DataFrame, keep: list[str]) -> DataFrame:
 
 def invalid_classes(labels: DataFrame, classes: DataFrame) -> DataFrame:
     """labels whose class is not in the scheme."""
-    return labels.join(F.broadcast(classes.select("class_id")), "class_id", "left_anti")
+    return labels.join(small(classes.select("class_id")), "class_id", "left_anti")
 
 
 def scheme_conflicts(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -106,17 +109,31 @@ def stem_key(stem: Column, seed: int = 0) -> Column:
     return F.xxhash64(stem, F.lit(seed))
 
 
+def hashed_draw(seed: int) -> Callable[[str], Column]:
+    """Numbers in [0, 1) by a hash of image_id, copy, seed and the draw's name."""
+    return lambda name: F.pmod(F.xxhash64("image_id", "copy", F.lit(f"{seed}-{name}")), F.lit(1 << 24)) / float(1 << 24)
+
+
 def augment_labels(
-    labels: DataFrame, copies: int = 1, seed: int = 0, degrees: float = 8.0, translate: float = 0.1, scale: float = 0.4, shear: float = 2.0, flip: float = 0.5
+    labels: DataFrame,
+    copies: int = 1,
+    seed: int = 0,
+    degrees: float = 8.0,
+    translate: float = 0.1,
+    scale: float = 0.4,
+    shear: float = 2.0,
+    flip: float = 0.5,
+    draw: Callable[[str], Column] | None = None,
 ) -> DataFrame:
     """labels (image_id, corners in 0..1, and others) times copies, each image copy under one random affine map.
 
     Rotation and shear in degrees, shift and scale as shares, left-right flip with a
-    probability. Draws are hashes of image, copy and seed, so retries agree. Corners
-    are clipped to 0..1 and ordered again.
+    probability. Draws are hashes of image, copy and seed (or those of `draw`: a name to
+    a number in [0, 1) that depends on image_id and copy), so retries agree. Corners are
+    clipped to 0..1 and ordered again.
     """
+    draw = draw or hashed_draw(seed)
     rows = labels.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-    draw = lambda name: F.pmod(F.xxhash64("image_id", "copy", F.lit(f"{seed}-{name}")), F.lit(1 << 24)) / float(1 << 24)
     between = lambda name, reach: (draw(name) * 2 - 1) * reach
     rows = rows.withColumns(
         {

@@ -22,34 +22,44 @@ EVALUATION_CONFIDENCE = 0.001
 MIN_AREA = 20
 
 
+def small(table: DataFrame, limit: int = 100_000) -> DataFrame:
+    """A table of classes, thresholds or the like, marked for broadcast if it has at most limit rows (counted)."""
+    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
+
+
 def attach_class_id(detections: DataFrame, classes: DataFrame) -> DataFrame:
     """detections with the class_id of their cleaned label; unknown names are dropped."""
-    return detections.withColumn("label", clean_label(F.col("label"))).join(F.broadcast(classes.select("label", "class_id")), "label")
+    return detections.withColumn("label", clean_label(F.col("label"))).join(small(classes.select("label", "class_id")), "label")
 
 
 def attach_class_name(objects: DataFrame, classes: DataFrame) -> DataFrame:
     """objects with a class_name; ids without a name get the id as text."""
     names = classes.select("class_id", F.col("label").alias("class_name"))
-    return objects.join(F.broadcast(names), "class_id", "left").withColumn("class_name", F.coalesce("class_name", F.col("class_id").cast("string")))
+    return objects.join(small(names), "class_id", "left").withColumn("class_name", F.coalesce("class_name", F.col("class_id").cast("string")))
 
 
 def keep_known_classes(detections: DataFrame, whitelist: DataFrame, classes: DataFrame) -> DataFrame:
     """detections whose cleaned label is in their source's whitelist and in the class table."""
     cleaned = detections.withColumn("label", clean_label(F.col("label")))
     known = whitelist.join(classes, "label", "left_semi").select("source", "label").distinct()
-    return cleaned.join(F.broadcast(known), ["source", "label"], "left_semi")
+    return cleaned.join(small(known), ["source", "label"], "left_semi")
 
 
-def keep_confident(detections: DataFrame, thresholds: dict[str, float] | float = EVALUATION_CONFIDENCE) -> DataFrame:
-    """detections at or over their source's threshold; a source without one is dropped.
+def at_least(thresholds: dict[str, float] | float) -> Column:
+    """Whether a row's score reaches its source's threshold; false for a source without one.
 
     thresholds: one number, or numbers by the beginning of the source's name.
     """
     score = F.col("score")
     if isinstance(thresholds, dict):
         cases = [F.when(F.col("source").startswith(prefix), score >= least) for prefix, least in thresholds.items()]
-        return detections.filter(F.coalesce(*cases, F.lit(False)))
-    return detections.filter(score >= thresholds)
+        return F.coalesce(*cases, F.lit(False))
+    return score >= thresholds
+
+
+def keep_confident(detections: DataFrame, thresholds: dict[str, float] | float = EVALUATION_CONFIDENCE) -> DataFrame:
+    """detections at or over their source's threshold (see at_least)."""
+    return detections.filter(at_least(thresholds))
 
 
 def keep_large_masks(detections: DataFrame, min_area: int = MIN_AREA, mask_col: str = "mask") -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import gaussian_iou
+from ..scratch import materialise
+from .detections import small
 
 THRESHOLDS = tuple(t / 100 for t in range(50, 100, 5))
 BUCKETS = 200
@@ -57,8 +59,11 @@ def match_predictions(pairs: DataFrame, predictions: DataFrame, thresholds: tupl
     return every.select("image_id", "class_id", "pred_id", "score", *[F.coalesce(n, F.lit(0)).alias(n) for n in flags])
 
 
-def pr_curve(matches: DataFrame, truth_counts: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, buckets: int = BUCKETS) -> DataFrame:
-    """class_id, pred_id, score, rank, n_truth and the running number of right predictions per threshold.
+def pr_curve(matches: DataFrame, truth_counts: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, buckets: int = BUCKETS, by: tuple[str, ...] = ()) -> DataFrame:
+    """class_id, pred_id, score, rank, n_truth, the running number of right predictions per threshold, and hits.
+
+    hits: the places in thresholds at which this very prediction is right. by: further
+    columns of matches and truth_counts, such as a domain, with curves of their own.
 
     Classes are few, so a window per class would hold all the data. Scores are cut into
     buckets at their own quantiles; sums per class and bucket give offsets, and the
@@ -67,8 +72,8 @@ def pr_curve(matches: DataFrame, truth_counts: DataFrame, thresholds: tuple[floa
     a hash of the image first. Precision is tp / rank, recall tp / n_truth. Classes without truth have
     no rows; a table without predictions gives none.
     """
-    flags = [flag(t) for t in thresholds]
-    matches = matches.persist()  # read for quantiles, sums and windows; the caller's session drops it
+    flags, keys = [flag(t) for t in thresholds], [*by, "class_id"]
+    matches = materialise(matches)  # read for quantiles, sums and windows
     cuts = matches.agg(F.percentile_approx("score", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or [0.0]
     # A score that is several quantiles gets a bucket of its own, dealt out by a hash of the image.
     heavy = {float(c) for c, n in Counter(cuts).items() if n > 1}
@@ -77,33 +82,41 @@ def pr_curve(matches: DataFrame, truth_counts: DataFrame, thresholds: tuple[floa
     sub = F.when(F.col("score").isin(*heavy), F.pmod(F.xxhash64("image_id"), F.lit(SUBS))).otherwise(0) if heavy else F.lit(0)
     # Numbered from the best scores on; equal scores share a bucket.
     rows = cut.transform(matches).withColumn("bucket", ((len(splits) - F.col("place")) * SUBS + sub).cast("int")).drop("place")
-    sums = rows.groupBy("class_id", "bucket").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags])
-    ahead = Window.partitionBy("class_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("class_id", "bucket", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"o_{c}") for c in ["n", *flags]])
-    offsets = offsets.join(F.broadcast(truth_counts.select("class_id", "n_truth")), "class_id")
-    inside = Window.partitionBy("class_id", "bucket").orderBy(F.desc("score"), "image_id", "pred_id").rowsBetween(Window.unboundedPreceding, 0)
-    # One row per class and bucket.
-    joined = rows.join(F.broadcast(offsets), ["class_id", "bucket"])
+    sums = rows.groupBy(*keys, "bucket").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags])
+    ahead = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*keys, "bucket", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"o_{c}") for c in ["n", *flags]])
+    # At most one row per class and bucket.
+    offsets = small(materialise(offsets.join(small(truth_counts.select(*keys, "n_truth")), keys)), 1_000_000)
+    inside = Window.partitionBy(*keys, "bucket").orderBy(F.desc("score"), "image_id", "pred_id").rowsBetween(Window.unboundedPreceding, 0)
+    joined = rows.join(offsets, [*keys, "bucket"])
     running = [(F.col(f"o_{f}") + F.sum(f).over(inside)).alias(f) for f in flags]
-    return joined.select("class_id", "image_id", "pred_id", "score", (F.col("o_n") + F.count("*").over(inside)).alias("rank"), "n_truth", *running)
+    hits = F.filter(F.array(*[F.when(F.col(f) > 0, F.lit(i)) for i, f in enumerate(flags)]), lambda i: i.isNotNull())
+    return joined.select(*keys, "image_id", "pred_id", "score", (F.col("o_n") + F.count("*").over(inside)).alias("rank"), "n_truth", *running, hits.alias("hits"))
 
 
-def average_precision(curve: DataFrame, classes: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
+def average_precision(curve: DataFrame, classes: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, by: tuple[str, ...] = ()) -> DataFrame:
     """class_id, ap50, ap for every class of the table; null for a class without predictions or truth.
 
-    Per threshold the best precision at or beyond each of 101 recalls, averaged. Rows
-    are reduced to one per class, threshold and recall step before any window.
+    Per threshold the best precision at or beyond each of 101 recalls, averaged.
+    Precision is greatest where a right prediction comes in, so a row is carried only for
+    the thresholds that it is a hit of, and only one per class, threshold and recall step
+    goes to a window. by: as in pr_curve(); then also these columns, and only classes
+    that have predictions and truth there.
     """
-    stacked = F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(flag(t)).alias("tp")) for t in thresholds]))
-    rows = curve.select("class_id", "rank", "n_truth", stacked.alias("s")).select("class_id", "rank", "n_truth", "s.*")
-    steps = rows.groupBy("class_id", "threshold", F.expr("tp * 100 div n_truth").alias("step")).agg(F.max(F.col("tp") / F.col("rank")).alias("precision"))
-    beyond = Window.partitionBy("class_id", "threshold").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
-    below = Window.partitionBy("class_id", "threshold").orderBy("step")
+    keys = [*by, "class_id"]
+    points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("threshold"), F.col(flag(t)).alias("tp")) for i, t in enumerate(thresholds)])
+    rows = curve.select(*keys, "rank", "n_truth", F.explode(F.transform("hits", lambda i: F.get(points, i))).alias("s")).select(*keys, "rank", "n_truth", "s.*")
+    steps = rows.groupBy(*keys, "threshold", F.expr("tp * 100 div n_truth").alias("step")).agg(F.max(F.col("tp") / F.col("rank")).alias("precision"))
+    beyond = Window.partitionBy(*keys, "threshold").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
+    below = Window.partitionBy(*keys, "threshold").orderBy("step")
     # The envelope holds from the step below (exclusive) up to this one.
     hull = steps.withColumns({"envelope": F.max("precision").over(beyond), "width": F.col("step") - F.coalesce(F.lag("step").over(below), F.lit(-1))})
-    per = hull.groupBy("class_id", "threshold").agg((F.sum(F.col("envelope") * F.col("width")) / 101).alias("ap"))
-    ap = per.groupBy("class_id").agg(F.avg(F.when(F.abs(F.col("threshold") - 0.5) < 1e-9, F.col("ap"))).alias("ap50"), F.avg("ap").alias("ap"))
-    return classes.select("class_id").join(ap, "class_id", "left")
+    per = hull.groupBy(*keys, "threshold").agg((F.sum(F.col("envelope") * F.col("width")) / 101).alias("ap"))
+    # A threshold without a hit has no row, and counts 0.
+    at50 = F.sum(F.when(F.abs(F.col("threshold") - 0.5) < 1e-9, F.col("ap")))
+    seen = curve.select(*keys).distinct()
+    ap = seen.join(per.groupBy(*keys).agg(at50.alias("ap50"), (F.sum("ap") / len(thresholds)).alias("ap")), keys, "left").fillna(0.0, ["ap50", "ap"])
+    return ap.select(*keys, "ap50", "ap") if by else classes.select("class_id").join(ap, "class_id", "left")
 
 
 def overall_metrics(curve: DataFrame, per_class: DataFrame, steps: int = 1000) -> DataFrame:
@@ -140,4 +153,4 @@ def compare_models(model_ap: DataFrame, models: list[str], baseline: str, metric
     wide = ranked.groupBy("label").pivot("model", models).agg(F.first(metric).alias("ap"), F.first("rank").alias("rank"))
     gaps = [F.round(F.col(f"`{m}_ap`") - F.col(f"`{baseline}_ap`"), 6).alias(f"{m}_delta") for m in models]
     best = ranked.groupBy("label").agg(F.max_by("model", F.struct(metric, F.col("model"))).alias("best"))
-    return wide.select("label", *[f"`{m}_{c}`" for m in models for c in ("ap", "rank")], *gaps).join(F.broadcast(best), "label")
+    return wide.select("label", *[f"`{m}_{c}`" for m in models for c in ("ap", "rank")], *gaps).join(best, "label")

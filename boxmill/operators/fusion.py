@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.masks import mask_iou, mask_union, union_all
+from ..functions.masks import MASK, mask_area, mask_iou, union_all
 
 FUSE_IOU = 0.15
 
 
+def _pairs(first: DataFrame, second: DataFrame, iou: float) -> DataFrame:
+    """image_id, first_id, second_id, other_score, other (mask of second), iou of pairs that overlap enough.
+
+    Areas are counted once a mask; a pair whose areas alone rule the overlap out is not compared.
+    """
+    a = first.select("image_id", "class_id", F.col("det_id").alias("first_id"), F.col("mask").alias("mask"), mask_area(F.col("mask")).alias("n_a"))
+    b = second.select("image_id", "class_id", F.col("det_id").alias("second_id"), F.col("score").alias("other_score"), F.col("mask").alias("other"), mask_area(F.col("mask")).alias("n_b"))
+    possible = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (iou * (1 - 1e-9))
+    pairs = a.join(b, ["image_id", "class_id"]).withColumn("iou", F.when(possible, mask_iou(F.col("mask"), F.col("other"))))
+    return pairs.filter(F.col("iou") >= iou)
+
+
 def match_masks(first: DataFrame, second: DataFrame, iou: float = FUSE_IOU) -> DataFrame:
     """image_id, first_id, second_id, iou of pairs of one image and class that overlap enough."""
-    a = first.select("image_id", "class_id", F.col("det_id").alias("first_id"), F.col("mask").alias("a"))
-    b = second.select("image_id", "class_id", F.col("det_id").alias("second_id"), F.col("mask").alias("b"))
-    pairs = a.join(b, ["image_id", "class_id"]).withColumn("iou", mask_iou(F.col("a"), F.col("b")))
-    return pairs.filter(F.col("iou") >= iou).select("image_id", "first_id", "second_id", "iou")
+    return _pairs(first, second, iou).select("image_id", "first_id", "second_id", "iou")
 
 
 def unmatched(second: DataFrame, matches: DataFrame) -> DataFrame:
@@ -31,24 +40,15 @@ def fuse_masks(first: DataFrame, second: DataFrame, iou: float = FUSE_IOU) -> Da
     second may join several. part is 0 for rows of first, 1 for rows of second that
     joined none.
     """
-    columns = ["image_id", "det_id", "class_id", "score", "mask"]
-    a = first.select(*columns)
-    b = second.select("image_id", "class_id", F.col("det_id").alias("other_id"), F.col("score").alias("other_score"), F.col("mask").alias("other"))
-    near = mask_iou(F.col("mask"), F.col("other")) >= iou
-    pairs = a.join(b, ["image_id", "class_id"]).filter(near)
-    # Pairs carry the mask of second only; masks of one detection are united in its group.
-    joined = pairs.groupBy("image_id", "det_id").agg(F.max("other_score").alias("other_score"), union_all(F.collect_list("other")).alias("other"))
-    fused = a.join(joined, ["image_id", "det_id"], "left").select(
-        "image_id",
-        "det_id",
-        "class_id",
-        F.greatest("score", "other_score").alias("score"),
-        F.when(F.col("other").isNull(), F.col("mask")).otherwise(mask_union(F.col("mask"), F.col("other"))).alias("mask"),
-        F.lit(0).alias("part"),
-    )
-    used = pairs.select("image_id", F.col("other_id").alias("det_id")).distinct()
-    rest = second.join(used, ["image_id", "det_id"], "left_anti").select(*columns, F.lit(1).alias("part"))
-    return fused.unionByName(rest)
+    own = lambda rows, part: rows.select("image_id", F.lit(part).alias("part"), "det_id", "class_id", "score", "mask", F.lit(False).alias("used"))
+    none = F.lit(None)
+    # Each pair gives its mask to the row of first and takes the row of second out; pairs are found once.
+    gives = F.struct(F.lit(0).alias("part"), F.col("first_id").alias("det_id"), F.col("other_score").alias("score"), F.col("other").alias("mask"), F.lit(False).alias("used"))
+    takes = F.struct(F.lit(1).alias("part"), F.col("second_id").alias("det_id"), none.cast("double").alias("score"), none.cast(MASK).alias("mask"), F.lit(True).alias("used"))
+    joined = _pairs(first, second, iou).select("image_id", F.explode(F.array(gives, takes)).alias("p")).select("image_id", "p.part", "p.det_id", none.cast("long").alias("class_id"), "p.score", "p.mask", "p.used")
+    every = own(first, 0).unionByName(own(second, 1)).unionByName(joined)
+    fused = every.groupBy("image_id", "part", "det_id").agg(F.max("class_id").alias("class_id"), F.max("score").alias("score"), union_all(F.collect_list("mask")).alias("mask"), F.max("used").alias("used"))
+    return fused.filter("not used").select("image_id", "det_id", "class_id", "score", "mask", "part")
 
 
 def assign_object_index(rows: DataFrame, order: list[str] | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import candidate_score, point_in_obb
-from .detections import shape_filter
+from .detections import shape_filter, small
 
 NO_AREA = 1e9
 
@@ -76,12 +77,16 @@ def latest_labels(revisions: DataFrame) -> DataFrame:
     return revisions.withColumn("newest", newest).filter("revision = newest").drop("newest")
 
 
-def class_in_force(edits: DataFrame, default: int = 0, span: int = 10_000) -> DataFrame:
+def class_in_force(edits: DataFrame, default: int = 0, span: int = 10_000, classes: DataFrame | None = None) -> DataFrame:
     """edits with the class last chosen in their session, or the default.
 
-    A session may hold any share of the log, so it is cut into spans of seq: the last
-    choice of each span is carried to the later ones, and windows run inside a span.
+    classes: a class table; choices that it lacks count as none. A session may hold any
+    share of the log, so it is cut into spans of seq: the last choice of each span is
+    carried to the later ones, and windows run inside a span.
     """
+    if classes is not None:
+        known = small(classes.select(F.col("class_id").alias("class_id"), F.lit(True).alias("known")).distinct())
+        edits = edits.join(known, "class_id", "left").withColumn("class_id", F.when(F.col("known"), F.col("class_id"))).select(edits.columns)
     spanned = edits.withColumn("span", F.floor(F.col("seq") / span))
     last = spanned.groupBy("session", "span").agg(F.max_by("class_id", F.when(F.col("class_id").isNotNull(), F.col("seq"))).alias("chosen"))
     earlier = Window.partitionBy("session").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
@@ -103,19 +108,33 @@ def _inside(x: float, y: float, corners: list[list[float]]) -> bool:
 
 
 def _area(corners: list[list[float]]) -> float:
-    return abs(sum(ax * by - bx * ay for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1], strict=True))) / 2
+    """Shoelace area; rounded, so that equal boxes tie whatever their corners' last digits."""
+    return round(abs(sum(ax * by - bx * ay for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1], strict=True))) / 2, 6)
+
+
+SAVES = ("save", "next", "previous")
 
 
 @dataclass
 class Board:
-    """Objects of one image under edit; saved holds them as of the last save, or None."""
+    """Objects of one image under edit; saved holds them as of the last save, or None.
+
+    start: the objects at the beginning, those of the label file or the proposals.
+    proposals: what `reset` puts in.
+    """
 
     objects: list[dict] = field(default_factory=list)
     selected: int = 0
     saved: list[dict] | None = None
+    start: list[dict] = field(default_factory=list)
     proposals: list[dict] = field(default_factory=list)
     last_seq: int = -1
 
+    @classmethod
+    def of(cls, start: list[dict], proposals: list[dict] | None = None) -> Board:
+        """A board at the beginning; without proposals of its own, the start objects are them."""
+        return cls(objects=[dict(o) for o in start], start=start, proposals=start if proposals is None else proposals)
+
     def hit(self, x: float, y: float) -> int | None:
         """The smallest object that holds the point, the first on ties."""
         found = [(_area(o["corners"]), i) for i, o in enumerate(self.objects) if _inside(x, y, o["corners"])]
@@ -124,13 +143,13 @@ class Board:
     def _clamp(self) -> None:
         self.selected = min(self.selected, max(0, len(self.objects) - 1))
 
-    def apply(self, action: str, x: float | None, y: float | None, class_id: int, corners: list | None = None) -> None:
+    def apply(self, action: str, x: float | None, y: float | None, class_id: int) -> None:
         """One edit. Unknown actions, and clicks that hit nothing, change no object."""
         if action == "add":
-            # A point gives an upright box of fixed size round it; given corners are taken as they are.
-            box = corners or ([[x - ADD_W / 2, y - ADD_H / 2], [x + ADD_W / 2, y - ADD_H / 2], [x + ADD_W / 2, y + ADD_H / 2], [x - ADD_W / 2, y + ADD_H / 2]] if x is not None and y is not None else None)
-            if box is None or len(box) != 4 or _area(box) <= 0:
+            if x is None or y is None:
                 return
+            # An upright box of fixed size round the point.
+            box = [[x - ADD_W / 2, y - ADD_H / 2], [x + ADD_W / 2, y - ADD_H / 2], [x + ADD_W / 2, y + ADD_H / 2], [x - ADD_W / 2, y + ADD_H / 2]]
             self.objects.append({"class_id": class_id, "source": "manual_obb", "confidence": 1.0, "corners": box})
             self.selected = len(self.objects) - 1
         elif action in ("left_click", "right_click", "middle_click"):
@@ -152,11 +171,12 @@ class Board:
             self._clamp()
         elif action == "reset":
             self.objects, self.selected = [dict(p) for p in self.proposals], 0
-        elif action in ("save", "next", "previous"):
+        elif action in SAVES:
             self.saved = [dict(o) for o in self.objects]
-        elif action == "load":
-            self.objects = [dict(o, source="file", confidence=1.0, corners=[[round(a, 6), round(b, 6)] for a, b in o["corners"]]) for o in self.saved or []]
-            self.selected = 0
+        elif action in ("load", "close"):
+            # The label file as last written; before the first save, what the image began with.
+            again = self.start if self.saved is None else [dict(o, source="file", confidence=1.0, corners=[[round(a, 6), round(b, 6)] for a, b in o["corners"]]) for o in self.saved]
+            self.objects, self.selected = [dict(o) for o in again], 0
 
     def dump(self) -> str:
         return json.dumps(self.__dict__)
@@ -166,34 +186,85 @@ class Board:
         return cls(**json.loads(text))
 
 
-def board_rows(image_id: int, objects: list[dict] | None) -> pd.DataFrame:
+def board_rows(image_id: int, objects: list[dict] | None) -> list[tuple]:
     """EDITED rows of a list of objects."""
-    rows = [(image_id, i, o["class_id"], o["source"], o["confidence"], [{"x": a, "y": b} for a, b in o["corners"]]) for i, o in enumerate(objects or [])]
-    return pd.DataFrame(rows, columns=["image_id", "object_index", "class_id", "source", "confidence", "corners"])
+    return [(image_id, i, o["class_id"], o["source"], o["confidence"], [{"x": a, "y": b} for a, b in o["corners"]]) for i, o in enumerate(objects or [])]
 
 
-def as_objects(frame: pd.DataFrame) -> list[dict]:
-    """Objects of rows with class_id, source, confidence, corners, ordered by object_index."""
-    out = []
-    for r in frame.sort_values("object_index").itertuples():
-        out.append({"class_id": int(r.class_id), "source": r.source, "confidence": float(r.confidence), "corners": [[p["x"], p["y"]] for p in r.corners]})
-    return out
+def edited_frame(rows: list[tuple]) -> pd.DataFrame:
+    """A pandas frame of board_rows()."""
+    frame = pd.DataFrame(rows, columns=["image_id", "object_index", "class_id", "source", "confidence", "corners"])
+    return frame.astype({"object_index": "Int32", "class_id": "Int64", "confidence": "Float64"})
 
 
-def replay_edits(objects: DataFrame, edits: DataFrame, default_class: int = 0) -> DataFrame:
-    """Objects of each edited image as of its last save; images that were never saved have no rows.
+# Phases of an image's rows in a replay.
+START, PROPOSAL, EDIT = 0, 1, 2
+STEPS = ("image_id", "phase", "place", "action", "class_id", "x", "y", "confidence", "corners")
+
+
+def _objects(rows: DataFrame, phase: int) -> DataFrame:
+    """Objects as rows of STEPS; corners as eight numbers."""
+    numbers = F.flatten(F.transform("corners", lambda p: F.array(p["x"], p["y"])))
+    none = F.lit(None).cast("double")
+    return rows.select("image_id", F.lit(phase).alias("phase"), F.col("object_index").cast("long").alias("place"), F.col("source").alias("action"), "class_id", none.alias("x"), none.alias("y"), "confidence", numbers.alias("corners"))
 
-    objects: EDITED columns, the state at the start (also what `reset` goes back to).
-    edits: session, image_id, seq, action, class_id (a choice of class, or null), x, y;
-    the order is that of seq. An image's log must fit one task.
-    """
-    started = objects.select(*[c.split()[0] for c in EDITED.split(", ")])
-    log = class_in_force(edits, default_class).select("image_id", "seq", "action", "current_class", "x", "y")
 
-    def replay(key: tuple, start: pd.DataFrame, steps: pd.DataFrame) -> pd.DataFrame:
-        board = Board(objects=as_objects(start), proposals=as_objects(start))
-        for s in steps.sort_values("seq", kind="stable").itertuples():
-            board.apply(s.action, None if pd.isna(s.x) else s.x, None if pd.isna(s.y) else s.y, int(s.current_class))
-        return board_rows(key[0], board.saved)
+def replay_edits(objects: DataFrame, edits: DataFrame, default_class: int = 0, proposals: DataFrame | None = None, classes: DataFrame | None = None, empty: bool = False) -> DataFrame:
+    """Objects of each edited image as of its last save; images that were never saved have no rows.
+
+    objects: EDITED columns, the state at the start. proposals: EDITED columns, what
+    `reset` puts in; None: the start objects. classes: the scheme that a choice of class
+    must be in. edits: session, image_id, seq, action, class_id (a choice of class, or
+    null), x, y; the order is that of seq. empty: images that were saved without objects
+    get one row with a null object_index.
 
-    return started.groupBy("image_id").cogroup(log.groupBy("image_id")).applyInPandas(replay, EDITED)
+    Rows are dealt out by image and come sorted, so a task holds one board at a time and
+    no image's log.
+    """
+    log = class_in_force(edits, default_class, classes=classes).select(
+        "image_id",
+        F.lit(EDIT).alias("phase"),
+        F.col("seq").cast("long").alias("place"),
+        "action",
+        F.col("current_class").cast("long").alias("class_id"),
+        F.col("x").cast("double").alias("x"),
+        F.col("y").cast("double").alias("y"),
+        F.lit(None).cast("double").alias("confidence"),
+        F.lit(None).cast("array<double>").alias("corners"),
+    )
+    steps = _objects(objects, START).unionByName(log)
+    if proposals is not None:
+        steps = steps.unionByName(_objects(proposals, PROPOSAL))
+    given = proposals is not None
+
+    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        image: int | None = None
+        start: list[dict] = []
+        proposed: list[dict] = []
+        board: Board | None = None
+        done: list[tuple] = []
+
+        def finish() -> None:
+            if board is not None and board.saved is not None:
+                done.extend(board_rows(image, board.saved))
+                if empty and not board.saved:
+                    done.append((image, None, None, None, None, None))
+
+        for batch in batches:
+            for image_id, phase, _, action, class_id, x, y, confidence, corners in zip(*(batch[c].tolist() for c in STEPS), strict=True):
+                if image_id != image:
+                    finish()
+                    image, start, proposed, board = image_id, [], [], None
+                if phase == EDIT:
+                    board = board or Board.of(start, proposed if given else None)
+                    board.apply(action, None if x is None or x != x else x, None if y is None or y != y else y, int(class_id))
+                else:
+                    box = corners.reshape(-1, 2).tolist()
+                    (start if phase == START else proposed).append({"class_id": int(class_id), "source": action, "confidence": float(confidence), "corners": box})
+            yield edited_frame(done)
+            done.clear()
+        finish()
+        yield edited_frame(done)
+
+    dealt = steps.select(*STEPS).filter("image_id is not null").repartition("image_id").sortWithinPartitions("image_id", "phase", "place")
+    return dealt.mapInPandas(replay, EDITED)

@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 from .functions import geometry as g
 from .functions import masks as m
 from .functions.text import clean_label
-from .jobs.auto_label import label_boxes
+from .jobs import assemble_dataset, review_labels
+from .jobs.auto_label import auto_label, label_boxes
+from .jobs.evaluate import evaluate, evaluate_by_domain
 from .operators import datasets, detections as d, evaluation, fusion, review, suppression
+from .oracle import EDITED_CORNERS, OUTLINES, OVERLAPS, REPLAY
+from .scratch import materialise
 from .sources import files
 from .sources.derived import table, with_tables
 
@@ -210,12 +214,23 @@ def q24_polygon_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_corners(table(spark, sf_dir, "detections")).select("image_id", "det_id", F.round(g.polygon_area(F.col("corners")), 4).alias("area"))
 
 
-# The rectangle is its own smallest one, but for squares and the choice of its side.
-@query(with_tables("detections") + " SELECT image_id, det_id, round(cx, 3) AS cx, round(cy, 3) AS cy, round(w * h, 3) AS area, round(least(w, h), 3) AS short FROM detections")
+SKEW = "x + det_id * (i + 1) % 7 AS x, y - det_id * (i + 2) % 5 AS y"
+
+
+@query(
+    f"""{with_tables('detections')}, {POINTS}, sk AS (SELECT image_id, det_id, i, {SKEW} FROM pts),
+ li AS (SELECT a.image_id, a.det_id, degrees(atan2(b.y - a.y, b.x - a.x)) AS d FROM sk a JOIN sk b ON a.image_id = b.image_id AND a.det_id = b.det_id AND a.i < b.i WHERE a.x <> b.x OR a.y <> b.y),
+ an AS (SELECT DISTINCT image_id, det_id, CASE WHEN m > 90 - 1e-9 THEN 0 ELSE m END AS angle FROM (SELECT *, ((d % 90) + 90) % 90 AS m FROM li)),
+ re AS (SELECT image_id, det_id, angle, min(u) AS u0, max(u) AS u1, min(v) AS v0, max(v) AS v1 FROM (SELECT sk.*, angle, x * cos(radians(angle)) + y * sin(radians(angle)) AS u, y * cos(radians(angle)) - x * sin(radians(angle)) AS v FROM sk JOIN an ON sk.image_id = an.image_id AND sk.det_id = an.det_id) GROUP BY 1, 2, 3),
+ best AS (SELECT * FROM re QUALIFY row_number() OVER (PARTITION BY image_id, det_id ORDER BY round((u1 - u0) * (v1 - v0), 6), angle) = 1)
+ SELECT image_id, det_id, round((u1 - u0) * (v1 - v0), 3) AS area FROM best WHERE u1 - u0 > 1e-9 AND v1 - v0 > 1e-9"""
+)
 def q25_min_area_rect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = g.min_area_rect(g.rect_to_corners(*rect()))
-    rows = table(spark, sf_dir, "detections").select("image_id", "det_id", r.alias("r"))
-    return rows.select("image_id", "det_id", F.round("r.cx", 3).alias("cx"), F.round("r.cy", 3).alias("cy"), F.round(F.col("r.w") * F.col("r.h"), 3).alias("area"), F.round(F.least("r.w", "r.h"), 3).alias("short"))
+    """Boxes with their corners moved apart, so that they are quadrilaterals of any kind."""
+    corners = g.rect_to_corners(*rect())
+    moved = F.array(*[g.point(corners[i]["x"] + F.col("det_id") * (i + 2) % 7, corners[i]["y"] - F.col("det_id") * (i + 3) % 5) for i in range(4)])
+    rows = table(spark, sf_dir, "detections").select("image_id", "det_id", g.min_area_rect(moved).alias("r")).filter("r is not null")
+    return rows.select("image_id", "det_id", F.round(F.col("r.w") * F.col("r.h"), 3).alias("area"))
 
 
 @query(with_tables("candidates") + f" SELECT image_id, mask_idx, round(aspect, 6) AS aspect, round(rectangularity, 6) AS rectangularity FROM (SELECT *, {SHAPE} FROM candidates)")
@@ -273,10 +288,10 @@ def q32_resize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_masks(spark, sf_dir).select("image_id", "det_id", m.mask_area(m.resize_mask(F.col("mask"), F.lit(12), F.lit(20))).alias("area"))
 
 
-@query()
+@query(f"{MASKS.replace('WITH ', 'WITH RECURSIVE ', 1)}, px AS (SELECT det_id AS key, k - 1 AS pos, 8 AS h, 8 AS w FROM (SELECT det_id, unnest(b) AS v, generate_subscripts(b, 1) AS k FROM m) WHERE v > 0){OUTLINES.format(min_area=2)} SELECT m.image_id, m.det_id, round(obb.area, 4) AS area, round(box, 3) AS box FROM m LEFT JOIN obb ON m.det_id = obb.key")
 def q33_mask_to_obb(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packed_masks(spark, sf_dir).select("image_id", "det_id", m.mask_to_obb(F.col("mask"), 2.0).alias("o"))
-    return rows.select("image_id", "det_id", *[F.round(f"o.{c}", 4).alias(c) for c in ("cx", "cy", "w", "h", "angle", "area")])
+    return rows.select("image_id", "det_id", F.round("o.area", 4).alias("area"), F.round(F.col("o.w") * F.col("o.h"), 3).alias("box"))
 
 
 @query(
@@ -339,7 +354,7 @@ def q40_initial_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.initial_objects(images, label_files, labels, proposals)
 
 
-HITS = """, pt AS (SELECT image_id, det_id AS point_id, cx + 3 AS x, cy - 2 AS y FROM detections WHERE det_id % 2 = 0),
+HITS = """, pt AS (SELECT image_id, det_id AS point_id, cx + 3 AS x, cy - 2 AS y FROM detections),
  h AS (SELECT p.image_id, point_id, d.det_id AS object_index, round(d.w * d.h, 6) AS area FROM pt p JOIN detections d ON p.image_id = d.image_id
   WHERE abs((p.x - cx) * cos(radians(deg)) + (p.y - cy) * sin(radians(deg))) <= w / 2 AND abs((p.y - cy) * cos(radians(deg)) - (p.x - cx) * sin(radians(deg))) <= h / 2),
  best AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY image_id, point_id ORDER BY area, object_index) = 1)"""
@@ -347,7 +362,7 @@ HITS = """, pt AS (SELECT image_id, det_id AS point_id, cx + 3 AS x, cy - 2 AS y
 
 def hit_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, sf_dir, "detections")
-    points = rows.filter("det_id % 2 = 0").select("image_id", F.col("det_id").alias("point_id"), (F.col("cx") + 3).alias("x"), (F.col("cy") - 2).alias("y"))
+    points = rows.select("image_id", F.col("det_id").alias("point_id"), (F.col("cx") + 3).alias("x"), (F.col("cy") - 2).alias("y"))
     objects = with_corners(rows).select("image_id", F.col("det_id").alias("object_index"), "corners", F.round(F.col("w") * F.col("h"), 6).alias("area"))
     return points, objects
 
@@ -440,18 +455,36 @@ def q48_scheme_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.scheme_conflicts(table(spark, sf_dir, "classes"), found_scheme(spark, sf_dir))
 
 
-@query()
+LISTS = f"{ordered('pts', 'crn')}, cl AS (SELECT image_id, det_id, list(x ORDER BY k) AS px, list(y ORDER BY k) AS py FROM crn GROUP BY 1, 2)"
+CORNERS_LISTED = f"{with_tables('detections', 'predictions', 'truth')}, {POINTS}, {LISTS}"
+
+
+@query(
+    f"""{CORNERS_LISTED.replace('WITH ', 'WITH RECURSIVE ', 1)}, o AS (SELECT p.image_id, class_id, pred_id, w * h AS area, px, py, row_number() OVER (PARTITION BY p.image_id, class_id ORDER BY score DESC, pred_id) AS rn FROM predictions p JOIN cl ON p.image_id = cl.image_id AND p.pred_id = cl.det_id),
+ pr AS (SELECT a.image_id, a.class_id, a.pred_id AS first_id, b.pred_id AS second_id, a.area AS area_a, b.area AS area_b, a.px AS fx, a.py AS fy, b.px AS gx, b.py AS gy FROM o a JOIN o b ON a.image_id = b.image_id AND a.class_id = b.class_id AND a.rn < b.rn){OVERLAPS},
+ ov AS (SELECT image_id, second_id AS pred_id, list(first_id) AS better FROM overlap WHERE iou > 0.3 GROUP BY 1, 2),
+ st AS (SELECT o.image_id, class_id, rn, o.pred_id, coalesce(better, []) AS better FROM o LEFT JOIN ov ON o.image_id = ov.image_id AND o.pred_id = ov.pred_id),
+ run AS (SELECT image_id, class_id, rn, [pred_id] AS kept FROM st WHERE rn = 1
+  UNION ALL SELECT st.image_id, st.class_id, st.rn, CASE WHEN list_has_any(kept, better) THEN kept ELSE list_append(kept, st.pred_id) END FROM run JOIN st ON run.image_id = st.image_id AND run.class_id = st.class_id AND st.rn = run.rn + 1)
+ SELECT image_id, class_id, unnest(kept) AS det_id FROM (SELECT * FROM run QUALIFY rn = max(rn) OVER (PARTITION BY image_id, class_id))"""
+)
 def q49_nms(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_corners(table(spark, sf_dir, "predictions")).withColumnRenamed("pred_id", "det_id")
     return suppression.nms(rows, 0.3, corners_col="corners")
 
 
-@query()
+@query(
+    f"""{CORNERS_LISTED}, tc AS (SELECT image_id, gt_id, det_id, i, cx2 + a * (w / 2) * cos(radians(deg)) - b * (h / 2) * sin(radians(deg)) AS x, cy2 + a * (w / 2) * sin(radians(deg)) + b * (h / 2) * cos(radians(deg)) AS y
+  FROM (SELECT *, gt_id AS det_id, cx AS cx2, cy AS cy2 FROM truth), (VALUES (1, -1, -1), (2, 1, -1), (3, 1, 1), (4, -1, 1)) v(i, a, b)), {ordered('tc', 'td')}, tl AS (SELECT image_id, det_id, list(x ORDER BY k) AS px, list(y ORDER BY k) AS py FROM td GROUP BY 1, 2),
+ pr AS (SELECT p.image_id, pred_id AS first_id, gt_id AS second_id, p.w * p.h AS area_a, t.w * t.h AS area_b, a.px AS fx, a.py AS fy, b.px AS gx, b.py AS gy
+  FROM predictions p JOIN truth t ON p.image_id = t.image_id AND p.class_id = t.class_id JOIN cl a ON a.image_id = p.image_id AND a.det_id = pred_id JOIN tl b ON b.image_id = t.image_id AND b.det_id = gt_id){OVERLAPS}
+ SELECT image_id, first_id AS pred_id, second_id AS gt_id, round(iou, 5) AS iou FROM overlap"""
+)
 def q51_polygon_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = with_corners(table(spark, sf_dir, "predictions")).select("image_id", "class_id", "pred_id", F.col("corners").alias("a"))
     b = with_corners(table(spark, sf_dir, "truth")).select("image_id", "class_id", "gt_id", F.col("corners").alias("b"))
     pairs = a.join(b, ["image_id", "class_id"])
-    return pairs.select("image_id", "pred_id", "gt_id", F.round(g.polygon_iou(F.col("a"), F.col("b")), 6).alias("iou"))
+    return pairs.select("image_id", "pred_id", "gt_id", F.round(g.polygon_iou(F.col("a"), F.col("b")), 5).alias("iou"))
 
 
 @query(
@@ -507,7 +540,7 @@ def curve_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(CURVE + f" SELECT class_id, image_id, pred_id, rank, {', '.join(NAMES)} FROM cu")
 def q53_pr_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curve_of(spark, sf_dir).drop("score", "n_truth")
+    return curve_of(spark, sf_dir).drop("score", "n_truth", "hits")
 
 
 PER_CLASS = (
@@ -548,15 +581,51 @@ def q55_overall_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overall_of(spark, sf_dir).select(*[F.round(c, 6).alias(c) for c in ("mp", "mr", "map50", "map")])
 
 
-@query(
-    PER_CLASS
-    + " SELECT concat_ws(' & ', label, coalesce(printf('%.3f', round(ap50, 9)), '--'), coalesce(printf('%.3f', round(ap, 9)), '--')) AS line FROM pc"
+IN_TEST = "(SELECT image_id FROM images WHERE split = 'test')"
+#: The evaluation of the test split: truth and predictions are cut down before anything is paired.
+TESTED = f"""{with_tables('truth', 'predictions', 'classes', 'images').replace('truth AS (', 'truth0 AS (', 1).replace('predictions AS (', 'predictions0 AS (', 1)},
+ truth AS (SELECT * FROM truth0 WHERE image_id IN {IN_TEST}), predictions AS (SELECT * FROM predictions0 WHERE image_id IN {IN_TEST} AND score >= 0.3)"""
+
+
+def of_test_split(sql: str) -> str:
+    """An evaluation's SQL for the test split."""
+    return TESTED + sql[len(with_tables("truth", "predictions", "classes")) :]
+
+
+BY_DOMAIN = (
+    of_test_split(MATCHED)
+    + ", md AS (SELECT mt.*, domain FROM mt JOIN images i ON mt.image_id = i.image_id), nt AS (SELECT domain, class_id, count(*) AS n_truth FROM truth t JOIN images i ON t.image_id = i.image_id GROUP BY 1, 2), cu AS (SELECT md.domain, md.class_id, image_id, pred_id, score, n_truth, row_number() OVER w AS rank, "
+    + ", ".join(f"CAST(sum({n}) OVER w AS BIGINT) AS {n}" for n in NAMES)
+    + " FROM md JOIN nt ON md.class_id = nt.class_id AND md.domain = nt.domain WINDOW w AS (PARTITION BY md.domain, md.class_id ORDER BY score DESC, image_id, pred_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"
+    + f", th AS (SELECT domain, class_id, t, tp, rank, n_truth FROM cu UNPIVOT (tp FOR t IN ({', '.join(NAMES)})))"
+    + """, st AS (SELECT domain, class_id, t, k, coalesce(max(CASE WHEN tp * 100 // n_truth >= k THEN CAST(tp AS DOUBLE) / rank END), 0) AS p FROM th, range(0, 101) r(k) GROUP BY 1, 2, 3, 4),
+ pt AS (SELECT domain, class_id, t, sum(p) / 101 AS ap FROM st GROUP BY 1, 2, 3), pc AS (SELECT domain, class_id, max(CASE WHEN t = 'tp50' THEN ap END) AS ap50, avg(ap) AS ap FROM pt GROUP BY 1, 2)"""
 )
+
+
+@query(BY_DOMAIN + " SELECT domain, class_id, round(ap50, 6) AS ap50, round(ap, 6) AS ap FROM pc")
+def q54_ap_by_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = [table(spark, sf_dir, n) for n in ("predictions", "truth", "images", "classes")]
+    return evaluate_by_domain(*given, confidence=0.3).select("domain", "class_id", F.round("ap50", 6).alias("ap50"), F.round("ap", 6).alias("ap"))
+
+
+NUMBER = "coalesce(printf('%.3f', round({0}, 9)), '--')"
+REPORT = f"""SELECT concat_ws(' & ', label, {NUMBER.format('ap50')}, {NUMBER.format('ap')}) AS line FROM pc
+ UNION ALL SELECT concat_ws(' & ', 'mean', {NUMBER.format('avg(ap50)')}, {NUMBER.format('avg(ap)')}) FROM pc"""
+
+
+@query(f"{of_test_split(PER_CLASS)} {REPORT}")
+def job_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the test split."""
+    predictions, truth, classes, images = (table(spark, sf_dir, n) for n in ("predictions", "truth", "classes", "images"))
+    return evaluate(predictions, truth, classes, 0.3, images=images).report().select("line")
+
+
+@query(f"{PER_CLASS} {REPORT}")
 def q10_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_class = per_class_of(spark, sf_dir).select("class_id", F.round("ap50", 9).alias("ap50"), F.round("ap", 9).alias("ap"))
-    named = d.attach_class_name(per_class, table(spark, sf_dir, "classes"))
-    none = spark.range(1).select(F.lit(None).cast("double").alias("map50"), F.lit(None).cast("double").alias("map"))
-    return files.report_rows(named, none).filter("line not like 'mean%'").select("line")
+    per_class = materialise(per_class_of(spark, sf_dir)).select("class_id", F.round("ap50", 9).alias("ap50"), F.round("ap", 9).alias("ap"))
+    means = per_class.agg(F.avg("ap50").alias("map50"), F.avg("ap").alias("map"))
+    return files.report_rows(d.attach_class_name(per_class, table(spark, sf_dir, "classes")), means).select("line")
 
 
 CUBE = with_tables("truth", "images") + ", j AS (SELECT i.image_id, split, domain, class_id, gt_id FROM images i LEFT JOIN truth t ON i.image_id = t.image_id)"
@@ -587,7 +656,7 @@ def q58_best_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PROPOSAL = f"""{with_tables("candidates")}, top AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY area DESC, mask_idx) AS place FROM candidates),
- sh AS (SELECT *, {SHAPE} FROM top WHERE place <= 3 AND area >= 1500)
+ sh AS (SELECT *, {SHAPE} FROM top WHERE place <= 120 AND area >= 1500)
  SELECT image_id, mask_idx, round(area + 800 * aspect + 1200 * rectangularity, 4) AS confidence FROM sh WHERE aspect >= 2 AND rectangularity BETWEEN 0.45 AND 1.05
  QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY area + 800 * aspect + 1200 * rectangularity DESC, place) = 1"""
 
@@ -595,7 +664,7 @@ PROPOSAL = f"""{with_tables("candidates")}, top AS (SELECT *, row_number() OVER
 @query(PROPOSAL)
 def q59_best_proposal(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shaped(spark, sf_dir).withColumn("obb_area", F.col("area"))
-    return review.best_proposal(rows, k=3).select("image_id", "mask_idx", F.round("confidence", 4).alias("confidence"))
+    return review.best_proposal(rows).select("image_id", "mask_idx", F.round("confidence", 4).alias("confidence"))
 
 
 @query(with_tables("candidates") + " SELECT image_id, mask_idx FROM candidates WHERE score >= 0.8 AND (50 + mask_idx % 60) / 100.0 >= 0.92")
@@ -687,11 +756,29 @@ def q69_run_prompted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.run_prompted_detector(table(spark, sf_dir, "images").select("image_id"), prompts, toy_prompted, "image_id long, label string")
 
 
-@query()
+def md5_draw(name: str) -> Column:
+    """A number in [0, 1) of image, copy and the draw's name that DuckDB can make as well."""
+    text = F.concat_ws("-", F.col("image_id").cast("string"), F.col("copy").cast("string"), F.lit(name))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 6), 16, 10).cast("double") / float(1 << 24)
+
+
+def sql_draw(name: str, reach: float = 1.0) -> str:
+    return f"((CAST('0x' || substr(md5(concat_ws('-', image_id, copy, '{name}')), 1, 6) AS BIGINT) / CAST(16777216 AS DOUBLE)) * 2 - 1) * CAST({reach} AS DOUBLE)"
+
+
+MOVED = f"""sh AS (SELECT c.image_id, det_id * 10 + copy AS det_id, copy, k AS i, greatest(0, least(1, x / width)) - 0.5 AS x, greatest(0, least(1, y / height)) - 0.5 AS y FROM crn c JOIN images i ON c.image_id = i.image_id, range(1, 3) r(copy)),
+ dr AS (SELECT *, radians({sql_draw('turn', 8.0)}) AS turn, tan(radians({sql_draw('sx', 2.0)})) AS sx, tan(radians({sql_draw('sy', 2.0)})) AS sy, 1 + {sql_draw('zoom', 0.4)} AS zoom, {sql_draw('dx', 0.1)} AS dx, {sql_draw('dy', 0.1)} AS dy, {sql_draw('flip')} < 0 AS flip FROM sh),
+ sr AS (SELECT *, x + sx * y AS a, y + sy * x AS b FROM dr),
+ mv AS (SELECT image_id, det_id, i, cos(turn) * zoom * a - sin(turn) * zoom * b + 0.5 + dx AS x, sin(turn) * zoom * a + cos(turn) * zoom * b + 0.5 + dy AS y, flip FROM sr),
+ hd AS (SELECT image_id, det_id, i, greatest(0, least(1, CASE WHEN flip THEN 1 - x ELSE x END)) AS x, greatest(0, least(1, y)) AS y FROM mv), {ordered('hd', 'od')}"""
+
+
+@query(f"{CORNERS_OF}, {MOVED} SELECT image_id, det_id // 10 AS det_id, det_id % 10 AS copy, {sql_corners(digits=6)} FROM od GROUP BY image_id, od.det_id")
 def q70_augment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = d.attach_image_size(with_corners(table(spark, sf_dir, "detections")), table(spark, sf_dir, "images"))
     shares = rows.select("image_id", "det_id", g.normalize_corners(F.col("corners"), F.col("width"), F.col("height")).alias("corners"))
-    return datasets.augment_labels(shares, copies=2, seed=7).select("image_id", "det_id", "copy", *flat(F.col("corners"), 6))
+    moved = datasets.augment_labels(shares, copies=2, draw=md5_draw)
+    return moved.select("image_id", "det_id", F.col("copy").cast("long").alias("copy"), *flat(F.col("corners"), 6))
 
 
 @query(with_tables("images") + " SELECT image_id, CASE WHEN image_id * 7919 % 10000 < 7000 THEN 'train' WHEN image_id * 7919 % 10000 < 9000 THEN 'val' ELSE 'test' END AS split FROM images")
@@ -706,10 +793,14 @@ def q72_stage_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.stage_times(rows).select(F.explode("speed_ms").alias("stage", "ms")).select("stage", F.round("ms", 6).alias("ms"))
 
 
-@query()
+ALL_OBJECTS = f"""{CORNERS_LISTED.replace('WITH ', 'WITH RECURSIVE ', 1)}, start AS (SELECT image_id, det_id AS place, det_id % 6 AS class_id, 'file' AS source, CAST(1 AS DOUBLE) AS confidence, px, py FROM cl)"""
+
+
+@query(f"{ALL_OBJECTS.replace('WITH RECURSIVE ', with_tables('edits').replace('WITH ', 'WITH RECURSIVE ', 1) + ', ', 1)}{REPLAY} SELECT image_id, object_index, class_id, source, confidence, {EDITED_CORNERS} FROM edited WHERE object_index IS NOT NULL")
 def q73_replay_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every detection of an edited image is an object at the start."""
     edits = table(spark, sf_dir, "edits")
-    start = with_corners(table(spark, sf_dir, "detections").filter("det_id % 3 = 0")).select(
+    start = with_corners(table(spark, sf_dir, "detections")).select(
         "image_id",
         F.col("det_id").alias("object_index"),
         (F.col("det_id") % 6).alias("class_id"),
@@ -717,12 +808,11 @@ def q73_replay_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1.0).alias("confidence"),
         "corners",
     )
-    edited = edits.select("image_id").distinct()
-    replayed = review.replay_edits(start.join(edited, "image_id", "left_semi"), edits)
+    replayed = review.replay_edits(start.join(edits.select("image_id").distinct(), "image_id", "left_semi"), edits, classes=table(spark, sf_dir, "classes"))
     return replayed.select("image_id", "object_index", "class_id", "source", "confidence", *flat(F.col("corners")))
 
 
-# ---- the first job --------------------------------------------------------------------
+# ---- whole jobs -----------------------------------------------------------------------
 
 LINES = (
     CORNERS_OF
@@ -736,3 +826,91 @@ LINES = (
 def job_label_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = label_boxes(table(spark, sf_dir, "detections"), table(spark, sf_dir, "images"), table(spark, sf_dir, "classes"))
     return rows.select("image_id", "object_index", "class_id", *flat(F.col("corners"), 9))
+
+
+ASKED = [("yolo26_seg", x) for x in ("boat", "person")] + [("sam3", x) for x in ("boat", "person")] + [("yolo11", x) for x in ("sam", "buoy", "lolo", "catamaran")]
+SMALL_IMAGES = "SELECT DISTINCT image_id, 20 + image_id % 3 * 4 AS width, 12 + image_id % 2 * 6 AS height FROM mask_dets"
+SHOWN = "CASE WHEN det_id % 18 = 0 THEN ' Kite' WHEN det_id % 14 = 0 THEN 'sam' WHEN class_id = 4 THEN 'Boat ' ELSE 'person' END"
+_FIT = "list_transform(range(0, height * width), lambda t: {b}[1 + ((t // width) * {n} // height) * {n} + (t % width) * {n} // width])"
+LABELED = f"""{with_tables('mask_dets', 'detections', 'classes').replace('WITH ', 'WITH RECURSIVE ', 1)}, images AS ({SMALL_IMAGES}),
+ m AS (SELECT d.image_id, det_id, source, lower(trim({SHOWN})) AS label, class_id, score, width, height, {SET} AS b FROM mask_dets d JOIN images i ON d.image_id = i.image_id),
+ a AS (SELECT *, {_FIT.format(b='b', n=8)} AS f FROM m WHERE source = 'yolo26_seg' AND score >= 0.25 AND label IN ('boat', 'person')),
+ a2 AS (SELECT * FROM a WHERE list_sum(f) >= 20),
+ b16 AS (SELECT * REPLACE (list_transform(range(0, 256), lambda t: b[1 + (t // 32) * 8 + (t % 16) // 2]) AS b) FROM m WHERE source = 'sam3' AND score >= 0.45 AND label IN ('boat', 'person')),
+ b2 AS (SELECT *, {_FIT.format(b='b', n=16)} AS f FROM b16 WHERE list_sum(b) >= 20),
+ j AS (SELECT a.image_id, a.det_id AS first_id, b.det_id AS second_id, list_sum(list_transform(list_zip(a.f, b.f), lambda z: z[1] * z[2])) AS i, list_sum(list_transform(list_zip(a.f, b.f), lambda z: greatest(z[1], z[2]))) AS u FROM a2 a JOIN b2 b ON a.image_id = b.image_id AND a.label = b.label),
+ k AS (SELECT * FROM j WHERE u > 0 AND CAST(i AS DOUBLE) / u >= 0.15),
+ ax AS (SELECT image_id, det_id, 'lolo' AS label, score, 'seg' AS kind, CAST(0 AS DOUBLE) AS cx, CAST(0 AS DOUBLE) AS cy, CAST(0 AS DOUBLE) AS w, CAST(0 AS DOUBLE) AS h, CAST(0 AS DOUBLE) AS deg FROM m WHERE image_id % 4 = 0 AND det_id % 4 = 1
+  UNION ALL SELECT d.image_id, det_id, lower(trim(label)), score, CASE WHEN det_id % 3 = 0 THEN 'obb' ELSE 'box' END, cx / 32, cy / 32, w / 16, h / 16, CASE WHEN det_id % 3 = 0 THEN deg ELSE 0 END FROM detections d JOIN images i ON d.image_id = i.image_id),
+ ak AS (SELECT * FROM (SELECT *, CASE kind WHEN 'seg' THEN 0 WHEN 'obb' THEN 1 ELSE 2 END AS r, min(CASE kind WHEN 'seg' THEN 0 WHEN 'obb' THEN 1 ELSE 2 END) OVER (PARTITION BY image_id) AS best FROM ax) WHERE r = best AND score >= 0.25 AND label IN ('sam', 'buoy', 'lolo', 'catamaran')),
+ xs AS (SELECT image_id, det_id AS key, 0 AS part, det_id, label, height AS h, width AS w, f FROM a2
+  UNION ALL SELECT k.image_id, first_id, 0, first_id, b.label, b.height, b.width, b.f FROM k JOIN b2 b ON k.second_id = b.det_id
+  UNION ALL SELECT image_id, det_id, 1, det_id, label, height, width, f FROM b2 WHERE det_id NOT IN (SELECT second_id FROM k)
+  UNION ALL SELECT m.image_id, m.det_id + 1000000000, 2, m.det_id, ak.label, height, width, {_FIT.format(b='b', n=8)} FROM m JOIN ak ON m.det_id = ak.det_id AND kind = 'seg'),
+ px AS (SELECT DISTINCT key, pos - 1 AS pos, h, w FROM (SELECT key, h, w, unnest(f) AS v, generate_subscripts(f, 1) AS pos FROM xs) WHERE v > 0){OUTLINES.format(min_area=20)},
+ bx AS (SELECT DISTINCT image_id, part, det_id, label, cx, cy, obb.w, obb.h, angle AS deg FROM xs JOIN obb ON xs.key = obb.key UNION ALL SELECT image_id, 2, det_id, label, cx, cy, w, h, deg FROM ak WHERE kind <> 'seg'),
+ nb AS (SELECT image_id, row_number() OVER (PARTITION BY image_id ORDER BY part, det_id) - 1 AS det_id, label, cx, cy, w, h, deg FROM bx),
+ pts AS (SELECT image_id, det_id, i, cx + a * (w / 2) * cos(radians(deg)) - b * (h / 2) * sin(radians(deg)) AS x, cy + a * (w / 2) * sin(radians(deg)) + b * (h / 2) * cos(radians(deg)) AS y FROM nb, (VALUES (1, -1, -1), (2, 1, -1), (3, 1, 1), (4, -1, 1)) v(i, a, b)), {ordered('pts', 'crn')},
+ sh AS (SELECT c.image_id, c.det_id, n.label, k, greatest(0, least(1, x / width)) AS x, greatest(0, least(1, y / height)) AS y FROM crn c JOIN nb n ON c.image_id = n.image_id AND c.det_id = n.det_id JOIN images i ON c.image_id = i.image_id)
+ SELECT sh.image_id, sh.det_id AS object_index, class_id, {sql_corners(digits=6)} FROM sh JOIN classes c ON sh.label = c.label GROUP BY sh.image_id, sh.det_id, class_id"""
+
+
+@query(LABELED)
+def job_auto_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three models on images of six sizes: 8 x 8 masks of the first, 16 x 16 masks of the second, and an auxiliary model whose kind of output differs by image."""
+    found = packed_masks(spark, sf_dir).withColumn("label", F.expr(SHOWN)).drop("class_id")
+    images = found.select("image_id").distinct().select("image_id", (20 + F.col("image_id") % 3 * 4).alias("width"), (12 + F.col("image_id") % 2 * 6).alias("height"))
+    second = found.filter("source = 'sam3'").withColumn("mask", m.resize_mask(F.col("mask"), F.lit(16), F.lit(16)))
+    boxes = table(spark, sf_dir, "detections").join(images.select("image_id"), "image_id", "left_semi")
+    cx, cy, w, h = (F.col(c) / n for c, n in (("cx", 32), ("cy", 32), ("w", 16), ("h", 16)))
+    sides = {"x1": cx - w / 2, "y1": cy - h / 2, "x2": cx + w / 2, "y2": cy + h / 2}
+    boxes = boxes.select("image_id", "det_id", "label", "score", F.when(F.col("det_id") % 3 == 0, "obb").otherwise("box").alias("kind"), g.rect_to_corners(cx, cy, w, h, F.col("deg")).alias("corners"), *[c.alias(n) for n, c in sides.items()])
+    masks = found.filter("image_id % 4 = 0 and det_id % 4 = 1").select("image_id", "det_id", F.lit("lolo").alias("label"), "score", F.lit("seg").alias("kind"), "mask")
+    aux = d.combine_branches(masks, boxes).withColumn("source", F.lit("yolo11"))
+    asked = spark.createDataFrame(ASKED, "source string, label string")
+    rows = auto_label(found.filter("source = 'yolo26_seg'"), second, aux, images, table(spark, sf_dir, "classes"), asked)
+    return rows.select("image_id", "object_index", "class_id", *flat(F.col("corners"), 6))
+
+
+REVIEWED = f"""{with_tables('edits', 'detections', 'images', 'candidates').replace('WITH ', 'WITH RECURSIVE ', 1)}, {POINTS}, {ordered('pts', 'crn')},
+ fz AS (SELECT c.image_id, det_id, k AS i, x / width * width AS x, y / height * height AS y FROM crn c JOIN images i ON c.image_id = i.image_id WHERE c.image_id % 6 = 0 AND det_id % 2 = 0), {ordered('fz', 'fc')},
+ top AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY area DESC, mask_idx) AS place FROM candidates WHERE image_id % 3 <> 0 AND image_id IN (SELECT image_id FROM images)), sh AS (SELECT *, {SHAPE} FROM top WHERE place <= 120 AND area >= 1500),
+ pro AS (SELECT image_id, mask_idx, area + 800 * aspect + 1200 * rectangularity AS confidence FROM sh WHERE aspect >= 2 AND rectangularity BETWEEN 0.45 AND 1.05 QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY area + 800 * aspect + 1200 * rectangularity DESC, place) = 1),
+ start AS (SELECT image_id, det_id AS place, det_id % 6 AS class_id, 'file' AS source, CAST(1 AS DOUBLE) AS confidence, list(x ORDER BY k) AS px, list(y ORDER BY k) AS py FROM fc GROUP BY 1, 2
+  UNION ALL SELECT p.image_id, 0, 0, 'sam2_amg', confidence, list(x ORDER BY k), list(y ORDER BY k) FROM pro p JOIN crn c ON p.image_id = c.image_id AND p.mask_idx = c.det_id GROUP BY p.image_id, p.mask_idx, confidence){REPLAY}
+ SELECT e.image_id, object_index AS line_no, class_id, {", ".join(f"round_even(p{k}[{i}] / {'width' if k == 'x' else 'height'}, 6) AS {k}{i}" for i in range(1, 5) for k in ("x", "y"))} FROM edited e JOIN images i ON e.image_id = i.image_id"""
+
+
+@query(REVIEWED)
+def job_review_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label files of every third image (those of odd ones are empty), proposals for the others, and the edit log; a null line_no is an image saved empty."""
+    rows, images = with_corners(table(spark, sf_dir, "detections")), table(spark, sf_dir, "images")
+    labels = d.attach_image_size(rows.filter("image_id % 6 = 0 and det_id % 2 = 0"), images)
+    labels = labels.select("image_id", F.col("det_id").alias("line_no"), (F.col("det_id") % 6).alias("class_id"), g.normalize_corners(F.col("corners"), F.col("width"), F.col("height"), clip=False).alias("corners"))
+    boxed = rows.select("image_id", F.col("det_id").alias("mask_idx"), "corners")
+    candidates = shaped(spark, sf_dir).withColumn("obb_area", F.col("area")).join(boxed, ["image_id", "mask_idx"])
+    start = review_labels.starting_objects(images, images.filter("image_id % 3 = 0"), labels, candidates)
+    edits = table(spark, sf_dir, "edits")
+    lines = review_labels.reviewed_lines(start.join(edits.select("image_id").distinct(), "image_id", "left_semi"), edits, images, empty=True, classes=table(spark, sf_dir, "classes"))
+    number = F.split("line", " ")
+    return lines.select("image_id", F.col("line_no").cast("int").alias("line_no"), F.get(number, F.lit(0)).cast("long").alias("class_id"), *[F.get(number, F.lit(2 * i + j + 1)).cast("double").alias(f"{k}{i + 1}") for i in range(4) for j, k in enumerate("xy")])
+
+
+@query(
+    with_tables("truth", "images")
+    + """, sp AS (SELECT image_id, domain, CAST('0x' || substr(md5(concat(domain, '_', CAST(image_id AS VARCHAR))), 1, 6) AS BIGINT) % 10000 AS place FROM images),
+ im AS (SELECT image_id, domain, CASE WHEN place < 7000 THEN 'train' WHEN place < 9000 THEN 'val' ELSE 'test' END AS split FROM sp),
+ lb AS (SELECT domain, split, CASE class_id WHEN 4 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS class_id FROM truth t JOIN im ON t.image_id = im.image_id WHERE class_id IN (4, 1, 0))
+ SELECT domain, split, class_id, copy, count(*) AS n FROM lb, range(0, 3) r(copy) WHERE copy = 0 OR split = 'train' GROUP BY ALL"""
+)
+def job_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two domains mixed, classes cut down to three, splits drawn, and two augmented copies of the training labels; its rows are counted."""
+    images, labels = table(spark, sf_dir, "images"), with_corners(table(spark, sf_dir, "truth"))
+    labels = d.attach_image_size(labels, images).select("image_id", "class_id", g.normalize_corners(F.col("corners"), F.col("width"), F.col("height")).alias("corners"))
+    of = lambda name: images.filter(F.col("domain") == name).select("image_id")
+    domains = {name: (of(name), labels.join(of(name), "image_id", "left_semi")) for name in ("real", "sim")}
+    mapping = datasets.subset_mapping(table(spark, sf_dir, "classes"), ["boat", "buoy", "sam"])
+    key = lambda c: F.conv(F.substring(F.md5(c.cast("binary")), 1, 6), 16, 10).cast("long")
+    made = assemble_dataset.build_training_set(domains, mapping, {"train": 0.7, "val": 0.2, "test": 0.1}, key, copies=2, seed=7)
+    counts = made.labels.filter(F.size("corners") == 4).groupBy("domain", "split", "class_id", F.col("copy").cast("long").alias("copy")).agg(F.count("*").alias("n"))
+    return counts.withColumn("class_id", F.col("class_id").cast("int"))

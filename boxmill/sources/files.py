@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import struct
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,8 +37,52 @@ def list_images(spark: SparkSession, root: str) -> DataFrame:
     return images_among(files).orderBy("path")
 
 
+#: EXIF orientations that turn an image on its side.
+SIDEWAYS = (5, 6, 7, 8)
+HEAD, TAIL = 65_536, 64
+
+
+def _orientation(exif: bytes) -> int:
+    """The orientation tag (0x0112) of a TIFF block, 1 if there is none."""
+    order = {b"II": "<", b"MM": ">"}.get(exif[:2])
+    if order is None:
+        return 1
+    try:
+        at = struct.unpack(order + "I", exif[4:8])[0]
+        for i in range(struct.unpack(order + "H", exif[at : at + 2])[0]):
+            tag, kind, _, value = struct.unpack(order + "HHIH", exif[at + 2 + 12 * i : at + 12 + 12 * i])
+            if tag == 0x0112 and kind == 3:
+                return value
+    except struct.error:
+        pass
+    return 1
+
+
+def _jpeg_size(b: bytes) -> tuple[int, int] | None:
+    """(height, width) as shown: turned if the EXIF block says so. IndexError if the frame header lies beyond b."""
+    at, turned = 2, False
+    while True:
+        if b[at] != 0xFF:
+            return None
+        while b[at + 1] == 0xFF:  # fill bytes
+            at += 1
+        kind = b[at + 1]
+        if kind == 0x01 or 0xD0 <= kind <= 0xD8:
+            at += 2
+            continue
+        size = b[at + 2] << 8 | b[at + 3]
+        if kind == 0xE1 and b[at + 4 : at + 10] == b"Exif\0\0":
+            turned = _orientation(b[at + 10 : at + 2 + size]) in SIDEWAYS
+        if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+            h, w = b[at + 5] << 8 | b[at + 6], b[at + 7] << 8 | b[at + 8]
+            return (w, h) if turned else (h, w)
+        if kind in (0xD9, 0xDA) or size < 2:
+            return None
+        at += 2 + size
+
+
 def header_size(content: bytes | None) -> tuple[int, int] | None:
-    """(height, width) from the first bytes of a PNG, JPEG, BMP or WebP file, or None."""
+    """(height, width) from the beginning of a PNG, JPEG, BMP or WebP file, or None."""
     b = content or b""
     try:
         if b[:8] == b"\x89PNG\r\n\x1a\n":
@@ -55,12 +100,7 @@ def header_size(content: bytes | None) -> tuple[int, int] | None:
             else:
                 w, h = (x & 0x3FFF for x in struct.unpack("<HH", b[26:30]))
         elif b[:2] == b"\xff\xd8":
-            at = 2
-            while b[at] == 0xFF and not (0xC0 <= b[at + 1] <= 0xCF and b[at + 1] not in (0xC4, 0xC8, 0xCC)):
-                at += 2 + struct.unpack(">H", b[at + 2 : at + 4])[0]
-            if b[at] != 0xFF:
-                return None
-            h, w = struct.unpack(">HH", b[at + 5 : at + 9])
+            h, w = _jpeg_size(b) or (0, 0)
         else:
             return None
     except (struct.error, IndexError):
@@ -68,18 +108,42 @@ def header_size(content: bytes | None) -> tuple[int, int] | None:
     return (h, w) if h > 0 and w > 0 else None
 
 
+def is_whole(head: bytes, tail: bytes, length: int) -> bool:
+    """Whether a file of a known kind is not cut off: its end mark is there, or its stated size is."""
+    if head[:4] == b"\x89PNG":
+        return b"IEND" in tail
+    if head[:2] == b"\xff\xd8":
+        return tail.rstrip(b"\0").endswith(b"\xff\xd9")
+    if head[:2] == b"BM":
+        return int.from_bytes(head[2:6], "little") <= length
+    return int.from_bytes(head[4:8], "little") + 8 <= length
+
+
 def image_sizes(spark: SparkSession, root: str) -> DataFrame:
-    """path, stem, height, width; unreadable files are left out. Only headers are decoded."""
+    """path, stem, height, width as shown (JPEG's EXIF turn applied); unreadable and cut-off files are left out.
 
-    @F.pandas_udf("height int, width int")
-    def sizes(content: pd.Series) -> pd.DataFrame:
-        found = [header_size(c) or (None, None) for c in content]
-        return pd.DataFrame(found, columns=["height", "width"]).astype("Int32")
+    No pixels are decoded. The first bytes are enough for nearly all files; of those whose
+    frame header comes later, the whole content is read.
+    """
+
+    @F.pandas_udf("height int, width int, more boolean")
+    def sizes(heads: pd.Series, tails: pd.Series, lengths: pd.Series) -> pd.DataFrame:
+        out = []
+        for head, tail, length in zip(heads, tails, lengths, strict=True):
+            if head is None or not is_whole(head, tail, length):
+                out.append((None, None, False))
+                continue
+            found = header_size(head)
+            out.append((*(found or (None, None)), found is None and head[:2] == b"\xff\xd8" and len(head) < length))
+        return pd.DataFrame(out, columns=["height", "width", "more"]).astype({"height": "Int32", "width": "Int32"})
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     files = files.filter(F.lower(F.regexp_extract("path", NAME, 2)).isin(*EXTENSIONS))
-    sized = files.select("path", F.regexp_extract("path", NAME, 1).alias("stem"), sizes(F.substring("content", 1, 262_144)).alias("s"))
-    return sized.select("path", "stem", "s.height", "s.width").filter("height is not null")
+    tail = F.substring("content", -TAIL, TAIL)
+    first = files.withColumn("s", sizes(F.substring("content", 1, HEAD), tail, F.col("length")))
+    both = first.withColumn("t", sizes(F.when(F.col("s.more"), F.col("content")), tail, F.col("length")))
+    sized = both.select("path", F.regexp_extract("path", NAME, 1).alias("stem"), F.coalesce("s.height", "t.height").alias("height"), F.coalesce("s.width", "t.width").alias("width"))
+    return sized.filter("height is not null")
 
 
 def read_labels(spark: SparkSession, root: str) -> DataFrame:
@@ -90,21 +154,40 @@ def read_labels(spark: SparkSession, root: str) -> DataFrame:
     return lines.select("path", parts["stem"].alias("stem"), parts["split"].alias("split"), F.col("line_no").cast("long").alias("line_no"), F.regexp_replace("line", "\r$", "").alias("line"))
 
 
+def _file_system(path: str):
+    """(file system, its path) of a path that pyarrow knows, with or without a scheme."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
 def list_label_files(spark: SparkSession, root: str) -> DataFrame:
     """path, stem, split of the .txt files under root, empty ones too.
 
-    Spark's readers leave out zero-length files, so the file system is listed by
-    the driver, names only.
+    Spark's readers leave out zero-length files, so folders are listed by tasks, level by
+    level; only names of folders reach the driver.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    top = jvm.org.apache.hadoop.fs.Path(root)
-    found, walk = [], top.getFileSystem(conf).listFiles(top, True)
-    while walk.hasNext():
-        path = walk.next().getPath().toString()
-        if path.endswith(".txt"):
-            found.append((path,))
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch.path:
+                system, base = _file_system(folder)
+                found = system.get_file_info(fs.FileSelector(base))
+                prefix = folder.rstrip("/")
+                yield pd.DataFrame({"path": [f"{prefix}/{x.base_name}" for x in found], "folder": [x.type == fs.FileType.Directory for x in found]})
+
+    def entries(folders: list[str]) -> DataFrame:
+        rows = spark.createDataFrame([(f,) for f in folders], "path string")
+        return rows.repartition(len(folders), "path").mapInPandas(listed, "path string, folder boolean")
+
+    folders, level = [], [root]
+    while level:
+        folders += level
+        level = [r.path for r in entries(level).filter("folder").collect()]
     parts = path_parts(F.col("path"))
-    return spark.createDataFrame(found, "path string").select("path", parts["stem"].alias("stem"), parts["split"].alias("split"))
+    return entries(folders).filter("not folder").filter(F.col("path").endswith(".txt")).select("path", parts["stem"].alias("stem"), parts["split"].alias("split"))
 
 
 def parse_label_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -140,9 +223,7 @@ def write_labels(labels: DataFrame, images: DataFrame, path: str, per_file: bool
         return
 
     def write(rows) -> None:
-        from pyarrow import fs
-
-        system, base = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+        system, base = _file_system(path)
         system.create_dir(base, recursive=True)
         for row in rows:
             with system.open_output_stream(f"{base}/{row.stem}.txt") as out:
@@ -211,7 +292,10 @@ def write_per_class_csv(per_class: DataFrame, path: str) -> bool:
 
 
 def report_rows(per_class: DataFrame, overall: DataFrame) -> DataFrame:
-    """line_no, line: `name & AP50 & AP` per class, then the means; missing numbers are `--`."""
+    """line_no, line: `name & AP50 & AP` per class, then the means; missing numbers are `--`.
+
+    overall: one row with map50 and map.
+    """
     shown = lambda c: F.when(F.col(c).isNull(), "--").otherwise(F.format_string("%.3f", F.col(c)))
     rows = per_class.select("class_id", F.concat_ws(" & ", "class_name", shown("ap50"), shown("ap")).alias("line"))
     total = overall.select(F.lit(None).cast("long").alias("class_id"), F.concat_ws(" & ", F.lit("mean"), shown("map50"), shown("map")).alias("line"))

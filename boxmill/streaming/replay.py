@@ -2,57 +2,114 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.review import EDITED, Board, board_rows
+from ..operators.detections import small
+from ..operators.review import EDITED, SAVES, Board, board_rows, edited_frame
 
-STATE = "board string"
+BOARD = "board string"
+CHOICE = "class_id long, last_seq long"
+LOG = "image_id long, seq long, action string, class_id long, x double, y double"
 #: kind 'object' rows are the image's objects at a save; 'empty' says that there are none; 'late' names an edit that came after its turn.
 EMITTED = f"kind string, seq long, {EDITED}"
 
 
-def _emit(rows: pd.DataFrame, kind: str, seq: int) -> pd.DataFrame:
-    out = rows.copy()
+def _emit(rows: list[tuple], kind: str, seq: int) -> pd.DataFrame:
+    out = edited_frame(rows)
     out.insert(0, "seq", seq)
     out.insert(0, "kind", kind)
     return out
 
 
-def replay_edits_stream(edits: DataFrame, default_class: int = 0) -> DataFrame:
+def class_in_force_stream(edits: DataFrame, default_class: int = 0, classes: DataFrame | None = None) -> DataFrame:
+    """LOG rows with the class last chosen in their session, from a stream of edits.
+
+    Spark takes one such operator a query, so write the rows to a folder, and let
+    replay_edits_stream() read that as a stream.
+
+    edits: session, image_id, seq, action, class_id (a choice, or null), x, y. A
+    session's state is its class and last seq. Edits are ordered by seq inside a
+    trigger, so a trigger's edits of one session must fit a task. classes: as in
+    class_in_force().
+    """
+    if classes is not None:
+        known = small(classes.select(F.col("class_id").alias("known")).distinct())
+        edits = edits.join(known, F.col("class_id") == F.col("known"), "left").withColumn("class_id", F.col("known"))
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        chosen, _ = state.get if state.exists else (default_class, -1)
+        steps = pd.concat(list(batches)).sort_values("seq", kind="stable")
+        current = steps["class_id"].astype("Int64").ffill().fillna(chosen)
+        state.update((int(current.iloc[-1]), int(steps["seq"].iloc[-1])))
+        yield steps.assign(class_id=current)[["image_id", "seq", "action", "class_id", "x", "y"]]
+
+    columns = edits.select("session", "image_id", "seq", "action", F.col("class_id").cast("long").alias("class_id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    return columns.groupBy("session").applyInPandasWithState(step, LOG, CHOICE, "append", GroupStateTimeout.NoTimeout)
+
+
+def _per_image(objects: DataFrame, name: str) -> DataFrame:
+    """image_id and its objects as a JSON text, in order."""
+    rows = F.array_sort(F.collect_list(F.struct("object_index", "class_id", "source", "confidence", "corners")))
+    return objects.groupBy("image_id").agg(F.to_json(rows).alias(name))
+
+
+def _read(text: str | None) -> list[dict] | None:
+    if not isinstance(text, str):
+        return None
+    return [{"class_id": o["class_id"], "source": o["source"], "confidence": o["confidence"], "corners": [[p["x"], p["y"]] for p in o["corners"]]} for o in json.loads(text)]
+
+
+def replay_edits_stream(edits: DataFrame, default_class: int = 0, objects: DataFrame | None = None, proposals: DataFrame | None = None) -> DataFrame:
     """Objects of an image after each save, from a stream of its edits.
 
-    edits: image_id, seq, action, class_id (the class in force, or null), x, y. Edits
-    are ordered by seq inside a trigger; one whose seq is below the last applied one
-    changes nothing and comes out as a 'late' row, so nothing is lost silently. There
-    is no watermark: state stays until the image is saved and dropped by the caller.
+    edits: image_id, seq, action, class_id (the class in force, as class_in_force_stream()
+    gives it; null: default_class), x, y. objects, proposals: tables as in
+    replay_edits(), joined with every trigger; an image's are read when its first edit
+    comes. Edits are ordered by seq inside a trigger; one whose seq is below the last
+    applied one changes nothing and comes out as a 'late' row, so nothing is lost
+    silently. There is no watermark: a board stays until its image gets the action
+    `close`, which drops it; from then on the image begins with what `objects` says.
     Rows: kind, seq, then the objects' columns; a save of no objects gives one 'empty'
-    row. Append mode.
+    row. Append mode. On logs that come in order the last save of every image is that
+    of replay_edits().
     """
+    rows = edits.select("image_id", "seq", "action", F.coalesce(F.col("class_id").cast("long"), F.lit(default_class)).alias("class_id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    given = proposals is not None
+    for table, name in ((objects, "start"), (proposals, "proposed")):
+        rows = rows.withColumn(name, F.lit(None).cast("string")) if table is None else rows.join(_per_image(table, name), "image_id", "left")
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         image_id = int(key[0])
-        board = Board.load(state.get[0]) if state.exists else Board()
         steps = pd.concat(list(batches)).sort_values("seq", kind="stable")
+        fresh = lambda: Board.of(_read(steps["start"].iloc[0]) or [], (_read(steps["proposed"].iloc[0]) or []) if given else None)
+        board = Board.load(state.get[0]) if state.exists else fresh()
         for s in steps.itertuples():
-            none = board_rows(image_id, [{"class_id": None, "source": s.action, "confidence": None, "corners": []}])
-            if s.seq <= board.last_seq:
-                yield _emit(none, "late", int(s.seq))
+            seq = int(s.seq)
+            if seq <= board.last_seq:
+                yield _emit([(image_id, None, None, s.action, None, None)], "late", seq)
+                continue
+            board.last_seq = seq
+            if s.action == "close":
+                board = fresh()
+                board.last_seq = seq
                 continue
-            board.last_seq = int(s.seq)
-            chosen = default_class if pd.isna(s.class_id) else int(s.class_id)
-            board.apply(s.action, None if pd.isna(s.x) else s.x, None if pd.isna(s.y) else s.y, chosen)
-            if s.action in ("save", "next", "previous"):
-                rows = board_rows(image_id, board.saved)
-                yield _emit(rows, "object", int(s.seq)) if len(rows) else _emit(none, "empty", int(s.seq))
-        state.update((board.dump(),))
-
-    columns = edits.select("image_id", "seq", "action", "class_id", "x", "y")
-    return columns.groupBy("image_id").applyInPandasWithState(step, EMITTED, STATE, "append", GroupStateTimeout.NoTimeout)
+            board.apply(s.action, None if pd.isna(s.x) else s.x, None if pd.isna(s.y) else s.y, int(s.class_id))
+            if s.action in SAVES:
+                saved = board_rows(image_id, board.saved)
+                yield _emit(saved, "object", seq) if saved else _emit([(image_id, None, None, s.action, None, None)], "empty", seq)
+        if steps["action"].iloc[-1] == "close":
+            state.remove()
+        else:
+            state.update((board.dump(),))
+
+    return rows.groupBy("image_id").applyInPandasWithState(step, EMITTED, BOARD, "append", GroupStateTimeout.NoTimeout)
 
 
 def label_stream(detections: DataFrame, job: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, **trigger) -> StreamingQuery:

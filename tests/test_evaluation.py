@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from boxmill.functions import masks as m
 from boxmill.jobs.auto_label import auto_label
-from boxmill.jobs.evaluate import evaluate
+from boxmill.jobs.evaluate import evaluate, evaluate_by_domain
 from boxmill.operators import evaluation, fusion, suppression
 
 BOX = "cx double, cy double, w double, h double, deg double"
@@ -138,8 +138,50 @@ def test_auto_label_puts_fused_rows_first(spark):
     schema = f"image_id long, det_id long, source string, label string, score double, mask {m.MASK}"
     first = spark.createDataFrame([(1, 5, "yolo26_seg", " Sam", 0.5, mask(0, 1, 2, 3))], schema)
     second = spark.createDataFrame([(1, 6, "sam3", "buoy", 0.9, mask(4, 5, 6)), (1, 7, "sam3", "kite", 0.9, mask(0)), (1, 8, "sam3", "sam", 0.4, mask(0))], schema)
-    extra = spark.createDataFrame([(1, 9, "yolo11_obb", "lolo", 0.3, 4.0, 2.0, 4.0, 2.0, 0.0)], f"image_id long, det_id long, source string, label string, score double, {BOX}")
+    corners = [(2.0, 1.0), (6.0, 1.0), (6.0, 3.0), (2.0, 3.0)]
+    outputs = f"image_id long, det_id long, source string, label string, score double, kind string, mask {m.MASK}, corners array<struct<x:double,y:double>>, x1 double, y1 double, x2 double, y2 double"
+    extra = spark.createDataFrame([(1, 9, "yolo11", "lolo", 0.3, "obb", None, corners, None, None, None, None), (1, 10, "yolo11", "lolo", 0.9, "box", None, None, 1.0, 1.0, 2.0, 2.0)], outputs)
     images = spark.createDataFrame([(1, 8, 4)], "image_id long, width int, height int")
     got = auto_label(first, second, extra, images, spark.createDataFrame(CLASSES, "class_id long, label string"), min_area=4).orderBy("object_index").collect()
     assert [(r.object_index, r.class_id) for r in got] == [(0, 0), (1, 1), (2, 2)]
     assert got[0].line == "0 0.000000 0.000000 0.375000 0.000000 0.375000 0.750000 0.000000 0.750000"
+
+
+def test_auto_label_sizes_whitelists_and_kinds(spark):
+    """Masks of other sizes are fitted to the image; a class that a model is not asked for goes; boxes count where there is nothing better."""
+    schema = f"image_id long, det_id long, source string, label string, score double, mask {m.MASK}"
+    small = mask(0, 1, h=2, w=4)  # the left half
+    first = spark.createDataFrame([(1, 5, "yolo26_seg", "sam", 0.5, small), (1, 6, "yolo26_seg", "lolo", 0.9, small)], schema)
+    second = spark.createDataFrame([(1, 7, "sam3", "sam", 0.9, mask(2, 3, 4, 5, h=8, w=8))], schema)
+    outputs = "image_id long, det_id long, source string, label string, score double, kind string, x1 double, y1 double, x2 double, y2 double"
+    aux = spark.createDataFrame([(1, 9, "yolo11", "buoy", 0.3, "box", 4.0, 4.0, 8.0, 8.0), (2, 9, "yolo11", "buoy", 0.3, "box", 4.0, 4.0, 8.0, 8.0)], outputs)
+    aux = aux.withColumns({"mask": F.lit(None).cast(m.MASK), "corners": F.lit(None).cast("array<struct<x:double,y:double>>")})
+    images = spark.createDataFrame([(1, 16, 8)], "image_id long, width int, height int")
+    asked = spark.createDataFrame([("yolo26_seg", "sam"), ("sam3", "sam"), ("yolo11", "buoy")], "source string, label string")
+    got = auto_label(first, second, aux, images, spark.createDataFrame(CLASSES, "class_id long, label string"), asked, min_area=4).orderBy("object_index").collect()
+    # 8 of 16 columns and 4 to 11 overlap by a third, so they are one object of 12 columns: 11 wide through pixel centres.
+    assert [(r.class_id, [round(p.x * 16) for p in r.corners]) for r in got] == [(0, [0, 11, 11, 0]), (1, [4, 8, 8, 4])]
+
+
+def test_masks_of_different_sizes_are_not_compared(spark):
+    df = spark.createDataFrame([(mask(0), mask(0, h=8, w=4))], f"a {m.MASK}, b {m.MASK}")
+    assert df.select(m.mask_iou(F.col("a"), F.col("b"))).first()[0] is None
+    fitted = df.select(m.fit_mask(F.col("b"), F.lit(4), F.lit(8)).alias("b"), m.fit_mask(F.col("a"), F.lit(4), F.lit(8)).alias("a")).first()
+    assert (fitted.b.h, fitted.b.w, fitted.a.words) == (4, 8, mask(0)[2])
+
+
+def test_evaluation_of_a_split_is_written(spark, tmp_path):
+    truth = spark.createDataFrame(boxes(), f"image_id long, gt_id long, class_id long, {BOX}")
+    classes = spark.createDataFrame(CLASSES, "class_id long, label string")
+    images = spark.createDataFrame([(i, "test" if i < 2 else "train", "ab"[i % 2]) for i in range(5)], "image_id long, split string, domain string")
+    predictions = truth.withColumnRenamed("gt_id", "pred_id").withColumn("score", F.lit(0.9) - F.col("pred_id") / 100)
+    wrong = predictions.withColumn("cx", F.when(F.col("image_id") < 2, F.col("cx")).otherwise(F.col("cx") + 5000))
+    got = evaluate(wrong, truth, classes, images=images)
+    assert {r.class_name: r.ap for r in got.per_class.collect()} == {"sam": pytest.approx(1.0), "buoy": pytest.approx(1.0), "lolo": None}
+    got.write(str(tmp_path / "e"))
+    assert spark.read.text(str(tmp_path / "e" / "report")).collect()[-1].value == "mean & 1.000 & 1.000"
+    assert spark.read.json(str(tmp_path / "e" / "predictions")).count() == 12
+    assert spark.read.json(str(tmp_path / "e" / "metrics")).first()["map"] == pytest.approx(1.0)
+    assert spark.read.option("header", True).csv(str(tmp_path / "e" / "per_class")).count() == 3
+    domains = evaluate_by_domain(wrong, truth, images, classes).collect()
+    assert {(r.domain, r.class_name): r.ap for r in domains} == {(x, c): pytest.approx(1.0) for x in "ab" for c in ("sam", "buoy")}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from boxmill.functions.text import format_label_line
 from boxmill.jobs import assemble_dataset
+from boxmill.operators import datasets
 from boxmill.sources import files
 
 
@@ -57,6 +58,53 @@ def test_header_size_of_other_formats():
     assert files.header_size(None) is None and files.header_size(b"\xff\xd8\xff") is None
 
 
+def segment(kind, body):
+    return b"\xff" + bytes([kind]) + struct.pack(">H", len(body) + 2) + body
+
+
+def jpeg(h, w, before=b"", end=b"\xff\xd9"):
+    return b"\xff\xd8" + before + segment(0xC0, b"\x08" + struct.pack(">HH", h, w) + b"\x03" * 10) + segment(0xDA, b"\0" * 10) + b"\x12" * 50 + end
+
+
+def exif(orientation, order="<"):
+    mark = b"II*\0" if order == "<" else b"MM\0*"
+    return segment(0xE1, b"Exif\0\0" + mark + struct.pack(order + "I", 8) + struct.pack(order + "H", 1) + struct.pack(order + "HHIHH", 0x112, 3, 1, orientation, 0) + b"\0" * 4)
+
+
+def test_sizes_of_long_turned_and_cut_files(spark, tmp_path):
+    """Headers of over 1 MB, fill bytes, EXIF turns, and files that end too early."""
+    cases = {
+        "long": (jpeg(30, 40, segment(0xE2, b"x" * 65_000) * 17), (30, 40)),
+        "fill": (jpeg(30, 40, b"\xff\xff\xff" + segment(0xE0, b"JFIF\0")), (30, 40)),
+        "turned": (jpeg(30, 40, exif(6)), (40, 30)),
+        "turned_be": (jpeg(30, 40, segment(0xE0, b"JFIF\0") + exif(8, ">")), (40, 30)),
+        "upside": (jpeg(30, 40, exif(3)), (30, 40)),
+        "cut": (jpeg(30, 40)[:-20], None),
+        "cut_long": (jpeg(30, 40, segment(0xE2, b"x" * 65_000) * 17)[:900_000], None),
+        "none": (b"\xff\xd8\xff\xd9", None),
+        "padded": (jpeg(30, 40) + b"\0\0\0", (30, 40)),
+    }
+    for name, (content, _) in cases.items():
+        (tmp_path / f"{name}.jpg").write_bytes(content)
+    (tmp_path / "cut_png.png").write_bytes(png(7, 5)[:-20])
+    (tmp_path / "empty.png").write_bytes(b"")
+    (tmp_path / "cut_bmp.bmp").write_bytes(b"BM" + struct.pack("<I", 500) + b"\0" * 12 + struct.pack("<ii", 6, -4) + b"\0" * 20)
+    got = {r.stem: (r.height, r.width) for r in files.image_sizes(spark, str(tmp_path)).collect()}
+    assert got == {name: size for name, (_, size) in cases.items() if size}
+
+
+def test_label_files_of_many_folders(spark, tmp_path):
+    """10,000 files in 100 folders of two levels, every third one empty."""
+    for i in range(100):
+        folder = tmp_path / ("train" if i % 2 else "val") / f"part{i}"
+        folder.mkdir(parents=True)
+        for k in range(100):
+            (folder / f"{i}_{k}.txt").write_text("" if k % 3 == 0 else LINE)
+        (folder / "notes.md").write_text("no")
+    listed = files.list_label_files(spark, str(tmp_path))
+    assert listed.count() == 10_000 and listed.select("stem").distinct().count() == 10_000
+
+
 def test_empty_label_files_are_listed_but_have_no_lines(spark, root):
     listed = {(r.split, r.stem) for r in files.list_label_files(spark, f"{root}/labels").collect()}
     assert listed == {("train", "a"), ("train", "b"), ("val", "e")}
@@ -112,6 +160,45 @@ def test_reports(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "j")).count() == 2
 
 
+def test_augmented_labels(spark):
+    """No change without any reach; a sure flip mirrors; one map for each copy of an image; draws repeat."""
+    square = [(0.25, 0.25), (0.5, 0.25), (0.5, 0.5), (0.25, 0.5)]
+    df = spark.createDataFrame([(i, k, square) for i in (1, 2) for k in (0, 1)], "image_id long, k long, corners array<struct<x:double,y:double>>")
+    still = {"degrees": 0.0, "translate": 0.0, "scale": 0.0, "shear": 0.0}
+    points = lambda rows: {(r.image_id, r.k, r.copy): [(round(p.x, 9), round(p.y, 9)) for p in r.corners] for r in rows.collect()}
+    same = points(datasets.augment_labels(df, 3, **still, flip=0.0))
+    assert len(same) == 12 and all(v == square for v in same.values())
+    flipped = points(datasets.augment_labels(df, 1, **still, flip=1.0))
+    assert all(v == [(0.5, 0.25), (0.75, 0.25), (0.75, 0.5), (0.5, 0.5)] for v in flipped.values())
+    moved = points(datasets.augment_labels(df, 2, seed=3))
+    assert moved == points(datasets.augment_labels(df.repartition(3), 2, seed=3))
+    assert all(moved[i, 0, c] == moved[i, 1, c] for i in (1, 2) for c in (1, 2)) and moved[1, 0, 1] != moved[1, 0, 2] != moved[2, 0, 2]
+    assert all(0 <= v <= 1 for c in moved.values() for p in c for v in p)
+
+
+def test_stem_keys_do_not_depend_on_the_path(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",)], "stem string")
+    keys = [r[0] for r in df.select(datasets.stem_key(F.col("stem"), 5)).collect()]
+    assert keys[0] == keys[2] != keys[1] and keys != [r[0] for r in df.select(datasets.stem_key(F.col("stem"), 6)).collect()]
+
+
+def test_training_set_is_written(spark, tmp_path):
+    square = [(0.25, 0.25), (0.5, 0.25), (0.5, 0.5), (0.25, 0.5)]
+    images = spark.range(40).withColumnRenamed("id", "image_id")
+    labels = images.select("image_id", (F.col("image_id") % 3).alias("class_id"), F.lit(0).alias("k")).withColumn("corners", F.from_json(F.lit(json.dumps([{"x": x, "y": y} for x, y in square])), "array<struct<x:double,y:double>>"))
+    mapping = spark.createDataFrame([(0, 1), (2, 0)], "class_id long, new_id long")
+    made = assemble_dataset.build_training_set({"sim": (images, labels), "real": (images, labels)}, mapping, {"train": 0.5, "test": 0.5}, copies=2)
+    made.write(str(tmp_path / "set"))
+    found = spark.read.parquet(str(tmp_path / "set" / "labels"))
+    splits = {r.image_id: r.split for r in spark.read.parquet(str(tmp_path / "set" / "images")).collect()}
+    assert len(splits) == 80 and set(splits.values()) == {"train", "test"}
+    rows = found.collect()
+    assert {r.class_id for r in rows} == {0, 1} and all(splits[r.image_id] == r.split for r in rows)
+    assert all((r.copy == 0) or r.split == "train" for r in rows)
+    train = [r for r in rows if r.split == "train"]
+    assert len(train) == 3 * len([r for r in train if r.copy == 0])
+
+
 def test_assembled_dataset_reports_what_is_wrong(spark, root):
     classes = spark.createDataFrame([(0, "sam"), (1, "buoy")], "class_id long, label string")
     found = assemble_dataset.assemble(spark, root, classes)

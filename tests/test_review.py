@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import random
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from boxmill.jobs import review_labels
 from boxmill.operators import review
-from boxmill.streaming.replay import label_stream, replay_edits_stream
+from boxmill.streaming.replay import LOG, class_in_force_stream, label_stream, replay_edits_stream
 
 EDITS = "session long, image_id long, seq long, action string, class_id long, x double, y double"
 START = "image_id long, object_index long, class_id long, source string, confidence double, corners array<struct<x:double,y:double>>"
@@ -56,21 +59,114 @@ def random_edits(n=120, images=4, seed=2):
     return [(1, r.randrange(images), i, r.choice(actions), r.randrange(6), float(r.randrange(80)), float(r.randrange(80))) for i in range(n)]
 
 
+def in_order(edits, folder, files):
+    """edits as Parquet files whose times are in order of seq, so that a stream reads them so."""
+    step = -(-len(edits) // files)
+    for i in range(files):
+        table = pa.Table.from_pylist([dict(zip((c.split()[0] for c in EDITS.split(", ")), e, strict=True)) for e in edits[i * step : (i + 1) * step]], schema=pa.schema([("session", pa.int64()), ("image_id", pa.int64()), ("seq", pa.int64()), ("action", pa.string()), ("class_id", pa.int64()), ("x", pa.float64()), ("y", pa.float64())]))
+        folder.mkdir(exist_ok=True)
+        pq.write_table(table, folder / f"{i}.parquet")
+        os.utime(folder / f"{i}.parquet", (1_000_000 + 60 * i,) * 2)
+
+
+def run(stream, folder, name):
+    """Run a stream over all that is there, into folder/name."""
+    query = stream.coalesce(1).writeStream.format("parquet").option("checkpointLocation", str(folder / f"{name}-state")).option("path", str(folder / name)).trigger(availableNow=True).start()
+    assert query.awaitTermination(400) and query.exception() is None and len(query.recentProgress) > 3
+
+
 def test_stream_in_many_triggers_equals_one_batch(spark, tmp_path):
-    edits = random_edits()
-    for i in range(6):
-        spark.createDataFrame(edits[i * 20 : i * 20 + 20], EDITS).coalesce(1).write.parquet(str(tmp_path / "in" / f"{i}"))
-    source = spark.readStream.schema(EDITS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
-    query = replay_edits_stream(source).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start()
-    query.awaitTermination(240)
-    out = spark.read.parquet(str(tmp_path / "out"))
-    late = out.filter("kind = 'late'").count()
-    one = replay(spark, [], edits)
-    if late == 0:  # files came in order of seq
-        last = out.groupBy("image_id").agg(F.max("seq").alias("seq"))
-        got = out.join(last, ["image_id", "seq"]).filter("kind = 'object'").orderBy("image_id", "object_index").collect()
-        assert [(r.image_id, r.object_index, r.class_id, r.source) for r in got] == one
-    assert late + out.filter("kind <> 'late'").count() > 0
+    """With objects and proposals at the start, classes that are carried over, and choices outside the scheme."""
+    r = random.Random(4)
+    actions = ["add", "left_click", "middle_click", "undo", "delete_selected", "save", "reset", "load"]
+    edits = [(i % 2, 2 * r.randrange(2) + i % 2, i, r.choice(actions), r.choice([None, None, 0, 3, 77]), float(r.randrange(80)), float(r.randrange(80))) for i in range(120)]
+    in_order(edits, tmp_path / "in", 6)
+    start = spark.createDataFrame([(i, k, k, "file", 1.0, square(20 + 9 * k, 30, 8)) for i in range(3) for k in range(4)], START)
+    proposals = spark.createDataFrame([(0, 0, 5, "sam2_amg", 99.0, square(40, 40, 15))], START)
+    classes = spark.createDataFrame([(k, str(k)) for k in range(6)], "class_id long, label string")
+    source = spark.readStream.schema(EDITS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    run(class_in_force_stream(source, 2, classes), tmp_path, "log")
+    log = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
+    run(replay_edits_stream(log, 2, start, proposals), tmp_path, "out")
+    out = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [x for x in out if x.kind == "late"] == []
+    last = {}
+    for row in sorted(out, key=lambda x: x.seq):
+        last.setdefault(row.image_id, {}).setdefault(row.seq, []).append(row)
+    got = sorted(tuple(x)[2:] for rows in last.values() for x in rows[max(rows)] if x.kind == "object")
+    batch = review.replay_edits(start, spark.createDataFrame(edits, EDITS), 2, proposals, classes).collect()
+    assert got == sorted(map(tuple, batch)) and len(got) >= 3
+    assert {row.image_id for row in out} == {0, 1, 2, 3}
+
+
+def test_a_closed_image_leaves_the_state_and_late_edits_are_named(spark, tmp_path):
+    edits = [(1, 7, 1, "add", 4, 50.0, 50.0), (1, 7, 3, "save", None, None, None), (1, 7, 2, "undo", None, None, None), (1, 7, 4, "close", None, None, None), (1, 7, 5, "save", None, None, None)]
+    in_order(edits, tmp_path / "in", 5)
+    source = spark.readStream.schema(EDITS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    run(replay_edits_stream(source), tmp_path, "out")
+    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("seq").collect()
+    assert [(x.kind, x.seq) for x in rows] == [("late", 2), ("object", 3), ("empty", 5)]
+
+
+def test_load_and_reset(spark):
+    start = [(7, 0, 1, "file", 1.0, square(50, 50, 40)), (7, 1, 2, "file", 1.0, square(50, 50, 10))]
+    step = lambda seq, action: (1, 7, seq, action, None, 10.0, 10.0)
+    assert [r[2] for r in replay(spark, start, [step(1, "undo"), step(2, "load"), step(3, "save")])] == [1, 2]  # nothing saved yet
+    assert [r[2] for r in replay(spark, start, [step(1, "undo"), step(2, "save"), step(3, "undo"), step(4, "load"), step(5, "save")])] == [1]
+    objects, edits = spark.createDataFrame(start, START), spark.createDataFrame([step(1, "reset"), step(2, "save")], EDITS)
+    proposals = spark.createDataFrame([(7, 0, 5, "sam2_amg", 9.0, square(5, 5, 2))], START)
+    assert [(r.class_id, r.source) for r in review.replay_edits(objects, edits, proposals=proposals).collect()] == [(5, "sam2_amg")]
+    assert review.replay_edits(objects, edits, proposals=proposals.limit(0)).collect() == []
+
+
+def test_choices_outside_the_scheme_count_as_none(spark):
+    classes = spark.createDataFrame([(0, "a"), (1, "b")], "class_id long, label string")
+    edits = spark.createDataFrame([(1, 7, 1, "add", 1, 5.0, 5.0), (1, 7, 2, "add", 77, 5.0, 5.0), (1, 7, 3, "save", None, None, None)], EDITS)
+    assert [r.class_id for r in review.replay_edits(spark.createDataFrame([], START), edits, classes=classes).orderBy("object_index").collect()] == [1, 1]
+
+
+def test_an_image_saved_empty_has_an_empty_text(spark):
+    images = spark.createDataFrame([(7, 100, 100), (8, 100, 100)], "image_id long, width int, height int")
+    edits = spark.createDataFrame([(1, 7, 1, "undo", None, None, None), (1, 7, 2, "save", None, None, None), (1, 8, 3, "undo", None, None, None)], EDITS)
+    objects = spark.createDataFrame([(i, 0, 1, "file", 1.0, square(50, 50, 10)) for i in (7, 8)], START)
+    assert review.replay_edits(objects, edits).collect() == []
+    assert [tuple(r) for r in review_labels.reviewed_texts(objects, edits, images).collect()] == [(7, "")]
+
+
+def plain_replay(start, log):
+    """The rules of the edits, action by action, on lists."""
+    objects, selected, saved = list(start), 0, None
+    for _, _, _, action, class_id, x, y in log:
+        holds = [i for i, (_, (cx, cy, r)) in enumerate(objects) if abs(x - cx) <= r[0] and abs(y - cy) <= r[1]]
+        hit = min(holds, key=lambda i: (objects[i][1][2][0] * objects[i][1][2][1], i), default=None)
+        if action == "add":
+            objects.append((class_id, (x, y, (30, 10))))
+            selected = len(objects) - 1
+        elif action == "left_click" and hit is not None:
+            selected = hit
+        elif action == "middle_click" and hit is not None:
+            objects.pop(hit)
+            selected = max(0, min(hit, len(objects) - 1))
+        elif action == "delete_selected" and objects:
+            objects.pop(selected)
+            selected = min(selected, max(0, len(objects) - 1))
+        elif action == "undo" and objects:
+            objects.pop()
+            selected = min(selected, max(0, len(objects) - 1))
+        elif action == "save":
+            saved = list(objects)
+    return saved
+
+
+def test_replay_against_a_plain_loop(spark):
+    edits = random_edits(400, 5, 8)
+    start = {i: [(k, (15.0 * k, 40.0, (9, 9))) for k in range(5)] for i in range(5)}
+    rows = [(i, k, c, "file", 1.0, square(x, y, 9)) for i, objects in start.items() for k, (c, (x, y, _)) in enumerate(objects)]
+    got = review.replay_edits(spark.createDataFrame(rows, START), spark.createDataFrame(edits, EDITS)).collect()
+    for i in range(5):
+        mine = sorted((r for r in got if r.image_id == i), key=lambda r: r.object_index)
+        expected = plain_replay(start[i], [e for e in edits if e[1] == i])
+        assert [(r.class_id, (r.corners[0].x + r.corners[2].x) / 2, (r.corners[0].y + r.corners[2].y) / 2) for r in mine] == [(c, x, y) for c, (x, y, _) in expected or []]
 
 
 def test_labels_are_made_once_per_arriving_file(spark, tmp_path):
