@@ -368,7 +368,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, bands: int = 72, rows: int = 6, broadcast_ids: int = 2_000_000
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, bands: int = 72, rows: int = 6, broadcast_ids: int = 400_000
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs, each once.
 
@@ -381,7 +381,7 @@ def near_duplicates(
     return _classes(docs, id_col, text_col, k, percent, bands, rows, broadcast_ids).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, bands: int = 72, rows: int = 6, broadcast_ids: int = 2_000_000) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75, bands: int = 72, rows: int = 6, broadcast_ids: int = 400_000) -> DataFrame:
     """docs without the near copies: one document of each class stays, with all its columns.
 
     Of rows of one id with different texts, those go whose own text is a near copy.
