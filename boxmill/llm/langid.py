@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 GAP = 3
-SLICE = 500_000
+SLICE, CELLS = 500_000, 16_000_000
 UNKNOWN = "und"
 
 
@@ -31,27 +31,31 @@ def letter_table() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x10000)] + [True])
 
 
-def slices(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Code points of lower-cased texts in runs of about SLICE, where each text starts, and its index.
+def slices(texts: list[str | None], size: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Code points of lower-cased texts in runs of about `size`, where each text starts, and its index.
 
     Other signs than letters are spaces; GAP spaces stand before each text, so no n-gram
-    has letters of two texts. Texts over SLICE characters are scored in several slices.
+    has letters of two texts. A longer text comes in runs of its own that overlap by GAP:
+    as n-grams are taken at all places of a run but the last GAP, each counts once.
     """
-    parts, starts, owners, size = [], [], [], 0
+    parts, starts, owners, filled = [], [], [], 0
     table = letter_table()
     gap = np.full(GAP, 32, np.uint32)
     for i, text in enumerate(texts):
-        whole = text.lower() if text else ""
-        for at in range(0, max(1, len(whole)), SLICE):
-            codes = np.frombuffer(whole[at : at + SLICE].encode("utf-32-le", "surrogatepass"), np.uint32)
-            codes = np.where(table[np.minimum(codes, 0x10000)], codes, np.uint32(32))
-            starts.append(size)
-            owners.append(i)
-            parts += [gap, codes]
-            size += GAP + len(codes)
-            if size >= SLICE:
-                yield np.concatenate([*parts, gap]), np.array(starts), np.array(owners)
-                parts, starts, owners, size = [], [], [], 0
+        codes = np.frombuffer((text.lower() if text else "").encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.where(table[np.minimum(codes, 0x10000)], codes, np.uint32(32))
+        if len(codes) > size:
+            whole = np.concatenate([gap, codes, gap])
+            for at in range(0, len(whole) - GAP, size):
+                yield whole[at : at + size + GAP], np.zeros(1, np.int64), np.array([i])
+            continue
+        starts.append(filled)
+        owners.append(i)
+        parts += [gap, codes]
+        filled += GAP + len(codes)
+        if filled >= size:
+            yield np.concatenate([*parts, gap]), np.array(starts), np.array(owners)
+            parts, starts, owners, filled = [], [], [], 0
     if parts:
         yield np.concatenate([*parts, gap]), np.array(starts), np.array(owners)
 
@@ -78,10 +82,14 @@ class LanguageModel:
     bits: int
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Languages and posterior probabilities; no letter or no training: UNKNOWN and 0."""
+        """Languages and posterior probabilities; no letter or no training: UNKNOWN and 0.
+
+        Of equally likely languages the first by name. Runs are shorter the more languages
+        there are, so that a run's table of log probabilities has at most CELLS numbers.
+        """
         total = np.zeros((len(texts), max(1, len(self.languages))))
         letters = np.zeros(len(texts), bool)
-        for codes, starts, owners in slices(texts):
+        for codes, starts, owners in slices(texts, min(SLICE, max(1000, CELLS // max(1, len(self.languages))))):
             found = np.logical_or.reduceat(codes != 32, starts)
             np.logical_or.at(letters, owners, found)
             if self.languages:
@@ -146,7 +154,7 @@ def train(
 
 
 def identify(model: LanguageModel, text: Column) -> Column:
-    """A struct (lang_pred, score) of a text column; null or without letters: UNKNOWN, 0."""
+    """A struct (lang_pred, score) of a text column; null or without letters: UNKNOWN, 0. Equal texts get equal answers; see LanguageModel.predict on ties."""
     from pyspark.sql import SparkSession
 
     shared = SparkSession.getActiveSession().sparkContext.broadcast(model)

@@ -70,19 +70,27 @@ def fit_cumulative(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray
     return OrdinalModel(weights, theta, bits)
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str, label_cols: list[str], max_rows: int) -> DataFrame:
-    """Texts and labels of at most max_rows labelled ids, the same at every run."""
-    chosen = labels.select(F.col(id_col).alias("__id"), *[F.col(c).alias(f"__{c}") for c in label_cols]).dropna().dropDuplicates(["__id"])
-    chosen = chosen.orderBy(F.xxhash64(F.col("__id").cast("string"), F.lit("sample")), "__id").limit(max_rows)
+def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_cols: list[str], max_rows: int) -> DataFrame:
+    """label_cols and text of at most max_rows labelled rows, the same at every run.
+
+    A row for each of the chosen ids: of repeated labels the least counts, of repeated
+    documents the one of the least text hash.
+    """
+    given = labels.select(F.col(id_col).alias("__id"), *label_cols).dropna()
+    given = given.groupBy("__id").agg(F.min(F.struct(*label_cols)).alias("__labels"))
+    chosen = given.orderBy(F.xxhash64(F.col("__id").cast("string"), F.lit("sample")), "__id").limit(max_rows)
     # max_rows ids and labels: bounded by the parameter.
-    return docs.join(F.broadcast(chosen), docs[id_col] == F.col("__id"))
+    text = F.col(text_col).cast("string")
+    found = docs.select(F.col(id_col).alias("__id"), text.alias("text")).join(F.broadcast(chosen), "__id")
+    once = found.groupBy("__id").agg(F.min("__labels").alias("__labels"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return once.select("__labels.*", "text")
 
 
 def train(docs: DataFrame, graded: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", bits: int = 15, max_rows: int = 5_000, **how) -> OrdinalModel:
     """A model of at most max_rows graded rows (the bound of what reaches the driver).
 
-    Grades are whole numbers from 0; null ids and grades are left out. With no graded
-    row every text has the tail probability 0.5.
+    Grades are whole numbers from 0; null ids and grades are left out; repeated ids count
+    once (see sample_rows). With no graded row every text has the tail probability 0.5.
     """
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,8 +102,8 @@ def train(docs: DataFrame, graded: DataFrame, id_col: str = "doc_id", text_col:
                 [batch.column("grade"), pa.array([u for u, _ in summed], pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64()))], names=["grade", "index", "value"]
             )
 
-    sample = sample_rows(docs, graded, id_col, [grade_col], max_rows).select(F.col(f"__{grade_col}").cast("int").alias("grade"), F.col(text_col).cast("string").alias("text"))
-    found = sample.mapInArrow(features, "grade int, index array<long>, value array<double>").toPandas()
+    sample = sample_rows(docs, graded, id_col, text_col, [grade_col], max_rows).select(F.col(grade_col).cast("int").alias("grade"), "text")
+    found = sample.mapInArrow(features, "grade int, index array<long>, value array<double>").toArrow().to_pandas()
     if not len(found):
         return OrdinalModel(np.zeros(1 << bits), np.zeros(1), bits)
     return fit_cumulative(list(zip(found["index"], found["value"], strict=True)), found.grade.to_numpy(dtype=np.int64), bits, **how)
@@ -104,7 +112,8 @@ def train(docs: DataFrame, graded: DataFrame, id_col: str = "doc_id", text_col:
 def grade(model: OrdinalModel, text: Column) -> Column:
     """A struct (expected_grade, tails array) of a text column; tails[k - 1] is P(grade >= k).
 
-    Null or blank texts have no features and get the base rates of the sample.
+    Null or blank texts have no features and get the base rates of the sample. Equal texts
+    get equal grades.
     """
     from pyspark.sql import SparkSession
 
@@ -119,6 +128,6 @@ def grade(model: OrdinalModel, text: Column) -> Column:
     return score(text.cast("string"))
 
 
-def keep_good(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least_grade: int = 1, least_probability: float = 0.5) -> DataFrame:
-    """docs whose P(grade >= least_grade) is high enough; all columns stay."""
-    return docs.filter(grade(model, F.col(text_col))["tails"][least_grade - 1] >= least_probability)
+def keep_good(docs: DataFrame, model: OrdinalModel, text_col: str = "text", least_expected: float = 1.0) -> DataFrame:
+    """docs whose expected grade, the sum of all tails, is at least least_expected; all columns stay."""
+    return docs.filter(grade(model, F.col(text_col))["expected_grade"] >= least_expected)

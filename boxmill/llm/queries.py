@@ -15,8 +15,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Insults that mark the second link of the toxicity chain among labelled rows.
-INSULTS = r"(?i)\\b(idiot|stupid|moron|loser|trash|scum|clown|pathetic|worthless|disgusting)"
+#: The chain's categories, from the labels: the verdict `toxic` is the last link, which is fed with the out-of-fold probability of the first.
+CATEGORIES = {"toxic_prose": "toxic * quality", "toxic": "toxic"}
 
 
 def graded_labels(labels: DataFrame) -> DataFrame:
@@ -24,6 +24,10 @@ def graded_labels(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("toxic") == 0, 2).alias("grade"))
 
 
+#: Documents of this expected grade are kept: between poor ones near 0 and good ones, toxic near 1 or not near 2.
+LEAST_EXPECTED = 1.0
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> quality_ordinal.OrdinalModel:
     return quality_ordinal.train(_table(spark, sf_dir, "documents"), graded_labels(_table(spark, sf_dir, "labels")))
 
@@ -31,7 +35,7 @@ def quality_model(spark: SparkSession, sf_dir: str) -> quality_ordinal.OrdinalMo
 def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_model(spark, sf_dir)
     graded = _table(spark, sf_dir, "documents").select("doc_id", quality_ordinal.grade(model, F.col("text")).alias("g"))
-    return graded.select("doc_id", "g.expected_grade", F.col("g.tails")[0].alias("p_good"), (F.col("g.tails")[0] >= 0.5).alias("kept"))
+    return graded.select("doc_id", "g.expected_grade", F.col("g.tails")[0].alias("p_good"), F.get("g.tails", F.lit(1)).alias("p_good_and_clean"), (F.col("g.expected_grade") >= LEAST_EXPECTED).alias("kept"))
 
 
 def op2_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,10 +55,9 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    categories = {"toxic": "toxic", "insult": f"toxic * int(text rlike '{INSULTS}')"}
-    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), categories)
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), CATEGORIES)
     scored = docs.select("doc_id", toxicity.score(model, F.col("text")).alias("p"))
-    return scored.select("doc_id", F.col("p.toxic").alias("p_toxic"), F.col("p.insult").alias("p_insult"), (F.col("p.toxic") >= model.cuts[0]).alias("toxic"))
+    return scored.select("doc_id", F.col("p.toxic_prose").alias("p_toxic_prose"), F.col("p.toxic").alias("p_toxic"), (F.col("p.toxic") >= model.cuts[1]).alias("toxic"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,13 +142,13 @@ reach AS (SELECT a AS doc_id, a AS seen FROM edge UNION SELECT r.doc_id, e.b FRO
 low AS (SELECT doc_id, min(seen) AS c FROM reach GROUP BY 1)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, w.doc_id) AS component_id, coalesce(c, w.doc_id) = w.doc_id AS kept
 FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN low ON w.doc_id = low.doc_id""",
-    "op10_perspectives": """
-WITH t AS (SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+    "op10_perspectives": r"""
+WITH t AS (SELECT conv_id, turn, regexp_replace(coalesce(role, 'unknown'), '<(\\*)\|', '<\1\\|', 'g') AS speaker, regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\1\\|', 'g') AS text FROM conversations),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
-r AS (SELECT t.*, perspective, CASE WHEN speaker = perspective THEN '<|assistant|>' || chr(10) WHEN speaker = 'system' THEN '<|system|>' || chr(10) ELSE '<|user name=' || speaker || '|>' || chr(10) END AS head
+r AS (SELECT t.*, perspective, CASE WHEN speaker = perspective THEN '<|assistant|>' || chr(10) WHEN speaker = 'system' THEN '<|system|>' || chr(10) ELSE '<|user name=' || regexp_replace(speaker, '\|(\\*)>', '|\1\\>', 'g') || '|>' || chr(10) END AS head
   FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
 g AS (SELECT *, head || text || chr(10) || '<|end|>' || chr(10) AS segment FROM r),
-o AS (SELECT *, CAST(length(segment) AS BIGINT) AS length, CAST(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn, speaker, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(segment) AS BIGINT) AS start FROM g)
-SELECT conv_id, perspective, CASE WHEN turn >= 0 THEN turn END AS turn, speaker, segment, start, length, start + length(head) AS mask_start,
+o AS (SELECT *, CAST(length(segment) AS BIGINT) AS length, CAST(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(segment) AS BIGINT) AS start FROM g)
+SELECT conv_id, perspective, turn, speaker, segment, start, length, start + length(head) AS mask_start,
   CASE WHEN speaker = perspective THEN length(text) ELSE 0 END AS mask_length FROM o""",
 }

@@ -127,7 +127,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
 
     categories: name and a SQL expression of 0 or 1 over the columns of labels and over
     `text`. At most max_rows labelled rows reach the driver, as hashed features. Rows
-    with a null id or label are left out; texts that repeat word for word count once.
+    with a null id or label are left out; repeated ids (see sample_rows) and texts that
+    repeat word for word count once.
     With no labelled row every probability is 0.5.
     """
 
@@ -137,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
             yield pa.RecordBatch.from_arrays([batch.column("labels"), pa.array(rows, pa.list_(pa.int32()))], names=["labels", "index"])
 
     columns = [c for c in labels.columns if c not in (id_col, "text")]
-    sample = sample_rows(docs, labels, id_col, columns, max_rows).select(*[F.col(f"__{c}").alias(c) for c in columns], F.col(text_col).cast("string").alias("text"))
+    sample = sample_rows(docs, labels, id_col, text_col, columns, max_rows)
     sample = sample.select(F.array(*[F.expr(e).cast("int") for e in categories.values()]).alias("labels"), "text")
     found = sample.mapInArrow(features, "labels array<int>, index array<int>").toArrow()
     once = {}
@@ -154,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
 
 
 def score(model: Chain, text: Column) -> Column:
-    """A struct with the probability of each category; null or empty texts get the base rates."""
+    """A struct with the probability of each category; null or empty texts get the base rates, equal texts equal ones."""
     from pyspark.sql import SparkSession
 
     shared = SparkSession.getActiveSession().sparkContext.broadcast(model)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from boxmill.llm import decontaminate, neardup, packing, quality_ordinal, quality_rules
-from boxmill.llm.queries import quality_model
+from boxmill.llm.queries import LEAST_EXPECTED, quality_model
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,8 +15,8 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def good_grades(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of a grade above the lowest is one half at least."""
-    return quality_ordinal.keep_good(docs, quality_model(spark, sf_dir))
+    """Documents whose expected grade is high enough."""
+    return quality_ordinal.keep_good(docs, quality_model(spark, sf_dir), least_expected=LEAST_EXPECTED)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

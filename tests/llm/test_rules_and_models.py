@@ -143,6 +143,149 @@ def test_models_on_odd_rows(spark):
     assert {r.p.lang_pred for r in docs.select(langid.identify(lang, F.col("text")).alias("p")).collect()} == {"und"}
 
 
+def test_ordinal_fit_is_where_the_likelihood_is_greatest():
+    """Numeric slopes of the penalised likelihood, written out row by row, vanish at the fit."""
+    r = random.Random(7)
+    rows = [(np.array([r.randrange(6) for _ in range(4)]), np.full(4, 0.5)) for _ in range(90)]
+    grades = np.array([min(2, max(0, int((i[0] + i[1]) / 4 + r.random()))) for i, _ in rows])
+    model = quality_ordinal.fit_cumulative(rows, grades, 4, steps=3000, penalty=0.05, rate=0.02)
+
+    def loss(weights, first, gap):
+        cuts = [-40.0, first, first + gap, 40.0]
+        total = 0.0
+        for (index, value), grade in zip(rows, grades, strict=True):
+            score = sum(weights[i] * v for i, v in zip(index, value, strict=True))
+            upper, lower = (1 / (1 + np.exp(score - cuts[grade + k])) for k in (1, 0))
+            total -= np.log(upper - lower)
+        return total / len(rows) + 0.025 * sum(w * w for w in weights[1:])
+
+    first, gap = model.thresholds[0], model.thresholds[1] - model.thresholds[0]
+    point = np.array([*model.weights[:6], first, gap])
+    for k in [*range(1, 6), 6, 7]:
+        step = np.zeros(8)
+        step[k] = 1e-4
+        slope = (loss(point[:6] + step[:6], first + step[6], gap + step[7]) - loss(point[:6] - step[:6], first - step[6], gap - step[7])) / 2e-4
+        assert abs(slope) < 2e-3
+
+
+def bucketed(model, text):
+    """Weights by bucket as a plain dict of sums."""
+    out = {}
+    for i, v in zip(*text_features.graded_features(text, model.bits), strict=True):
+        out[int(i)] = out.get(int(i), 0.0) + float(v)
+    return out
+
+
+def test_ordinal_query_against_plain_sums(spark, sf_dir):
+    """Whole table: every expected grade and verdict, from one loop a document."""
+    model = queries.quality_model(spark, sf_dir)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = queries.op1_ordinal_quality(spark, sf_dir).collect()
+    assert len(got) == len(texts)
+    for row in got:
+        score = sum(model.weights[i] * v for i, v in bucketed(model, texts[row.doc_id]).items())
+        tails = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+        assert row.expected_grade == pytest.approx(sum(tails), abs=1e-6) and row.p_good_and_clean == pytest.approx(tails[1], abs=1e-6)
+        assert abs(sum(tails) - queries.LEAST_EXPECTED) < 1e-6 or row.kept == (sum(tails) >= queries.LEAST_EXPECTED)
+
+
+def test_toxicity_query_against_a_plain_chain(spark, sf_dir):
+    """Whole table, with the registered categories: each link by a loop, fed with the probabilities before it."""
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, queries.CATEGORIES)
+    assert model.models[1].links[0] != 0  # the verdict listens to the link before
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for row in queries.op5_toxicity_chain(spark, sf_dir).collect():
+        found, chain = set(text_features.presence_features(texts[row.doc_id], model.bits).tolist()), []
+        for link in model.models:
+            score = link.bias + sum(w for k, w in zip(link.kept.tolist(), link.weights.tolist(), strict=True) if k in found) + sum(p * w for p, w in zip(chain, link.links, strict=True))
+            chain.append(1 / (1 + np.exp(-score)))
+        assert (row.p_toxic_prose, row.p_toxic) == (pytest.approx(chain[0], abs=1e-6), pytest.approx(chain[1], abs=1e-6))
+        assert row.toxic == (row.p_toxic >= model.cuts[1])
+
+
+def test_a_later_link_is_fitted_on_probabilities_of_models_that_did_not_see_the_row():
+    """The chain's second model equals one that is fitted on out-of-fold probabilities made by a plain loop."""
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.integers(0, 60, 12)) for _ in range(120)]
+    y = np.array([[int(3 in x or 5 in x), int(3 in x)] for x in rows])
+    chain = toxicity.fit_chain(rows, y, ["a", "b"], 8, folds=3)
+    fold = np.random.default_rng(0).permutation(120) % 3
+    honest = np.zeros(120)
+    for i in range(120):
+        seen = [j for j in range(120) if fold[j] != fold[i]]
+        honest[i] = toxicity.fit_linear([rows[j] for j in seen], y[seen, 0].astype(float), np.zeros((len(seen), 0))).predict([rows[i]], np.zeros((1, 0)))[0]
+    expected = toxicity.fit_linear(rows, y[:, 1].astype(float), honest[:, None])
+    assert chain.models[1].links == pytest.approx(expected.links) and chain.models[1].weights == pytest.approx(expected.weights)
+
+
+def test_language_query_against_plain_counts(spark, sf_dir):
+    """Whole table: n-grams counted one by one, and every document scored by a loop over its own."""
+    import zlib
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+
+    def grams(text):
+        codes = np.array([ord(c) if c.isalpha() else 32 for c in f"   {text.lower()}   "], np.uint32)
+        return Counter(int(b) + (n << 20) for n in (1, 2, 3) for b in langid.buckets(codes, n, 16))
+
+    held = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 4 == 2 for d in docs}
+    counts, rows = {}, Counter()
+    for d in docs:
+        if d.text is not None and d.lang is not None and not held[d.doc_id]:
+            rows[d.lang] += 1
+            mine = counts.setdefault(d.lang, Counter())
+            for g, k in grams(d.text).items():
+                mine[g & 0xFFFFF] += k
+    langs = sorted(counts)
+    logs = {x: {g: np.log(k + 0.1) for g, k in counts[x].items()} for x in langs}
+    total = {x: np.log(sum(counts[x].values()) + 0.1 * (1 << 16)) for x in langs}
+    got = {r.doc_id: r for r in queries.op6_language(spark, sf_dir).collect()}
+    assert len(got) == len(docs)
+    for d in docs:
+        row = got[d.doc_id]
+        assert row.held_out == held[d.doc_id]
+        if d.text is None or not any(c.isalpha() for c in d.text):
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        found = grams(d.text)
+        score = {x: np.log(rows[x] / sum(rows.values())) + sum(k * (logs[x].get(g & 0xFFFFF, np.log(0.1)) - total[x]) for g, k in found.items()) for x in langs}
+        best = max(langs, key=lambda x: score[x])
+        second = sorted(score.values())[-2]
+        assert row.lang_pred == best or score[best] - second < 1e-2
+
+
+def test_a_long_text_has_the_n_grams_of_a_whole_one():
+    r = random.Random(0)
+    text = "".join(r.choice("ab é.ß") for _ in range(5000))
+    for size in (7, 64, 4999, 5000, 6000):
+        for n in (1, 2, 3):
+            found = Counter(b for codes, _, _ in langid.slices([text, "x"], size) for b in langid.buckets(codes, n, 16).tolist())
+            whole = Counter(b for t in (text, "x") for codes, _, _ in langid.slices([t], 1 << 20) for b in langid.buckets(codes, n, 16).tolist())
+            assert found == whole
+
+
+def test_columns_of_clashing_names(spark):
+    """Extra columns that are named like what the models make inside."""
+    docs = spark.createDataFrame([(i, "good words here " * 9 if i % 2 else "junk ! " * 9, "x", 1.5, "en") for i in range(12)], "doc_id long, text string, labels string, grade double, lang string")
+    labels = spark.createDataFrame([(i, i % 2, "z", "q") for i in range(12)], "doc_id long, grade int, text string, index string")
+    model = quality_ordinal.train(docs, labels)
+    assert docs.select(quality_ordinal.grade(model, F.col("text")).alias("tails")).count() == 12
+    assert quality_ordinal.keep_good(docs, model, least_expected=0.0).columns == docs.columns
+    chain = toxicity.train(docs, labels, {"text": "grade", "labels": "grade"})
+    assert docs.select(toxicity.score(chain, F.col("text")).alias("p")).count() == 12
+    lang = langid.train(docs.withColumn("bucket", F.lit(1)))
+    assert {r.p.lang_pred for r in docs.select(langid.identify(lang, F.col("text")).alias("p")).collect()} == {"en"}
+
+
+def test_samples_are_bounded_by_rows_and_do_not_depend_on_partitions(spark):
+    """One id holds most rows; conflicting labels of an id count as the least."""
+    docs = spark.createDataFrame([(1, f"a{i}") for i in range(300)] + [(i, f"b{i}") for i in range(2, 9)], SCHEMA)
+    labels = spark.createDataFrame([(i, g) for i in range(1, 9) for g in (1, 0)], "doc_id long, grade int")
+    sample = lambda d: sorted(map(tuple, quality_ordinal.sample_rows(d, labels, "doc_id", "text", ["grade"], 5).collect()))
+    assert sample(docs) == sample(docs.repartition(7)) and len(sample(docs)) == 5 and {g for g, _ in sample(docs)} == {0}
+
+
 def test_chain_learns_from_out_of_fold_probabilities():
     r = random.Random(5)
     texts, labels = [], []
