@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from boxmill.llm import html_wrapper as hw
 
@@ -152,3 +153,106 @@ def test_every_layout_of_a_host_has_its_template(spark):
 )
 def test_text_of_the_article_is_kept(html, expected):
     assert text(html) == expected
+
+
+def odd_host(k):
+    """Seven pages of a layout of its own, whose tags and classes tell nothing, and their whole main texts."""
+    r = random.Random(k)
+    words = [a + b for a in "brastekomi" for b in ("lan", "dor", "vik", "sum", "tep")]
+    say = lambda n: " ".join(r.choice(words) for _ in range(n)).capitalize() + "."
+    tag, names = r.choice(["div", "section"]), {p: r.choice("qxz") * n for n, p in enumerate(("menu", "advert", "banner", "side"), 1)}
+    wrap = lambda part, inner: f'<{tag} class="{names[part]}">{inner}</{tag}>'
+    links = lambda n: "".join(f'<li><a href="/{r.random()}">{r.choice(words)}</a>' for _ in range(n))
+    parts = r.sample(["menu", "advert", "banner", "side"], r.randint(2, 4))
+    pages = []
+    for i in range(7):
+        blocks = [("h1", say(5))] + [("p", say(r.randint(30, 60))) for _ in range(r.randint(2, 4))]
+        extra = r.choice(["ul", "table", "quote", "link", "same", "none"])
+        inner = "".join(f"<{t}>{x}</{t}>" for t, x in blocks)
+        text = [x for _, x in blocks]
+        if extra == "ul":
+            rows = [say(6) for _ in range(3)]
+            inner, text = inner + "<ul>" + "".join(f"<li>{x}" for x in rows) + "</ul>", text + rows
+        elif extra == "table":
+            cells = [say(2) for _ in range(4)]
+            inner, text = inner + f"<table><tr><td>{cells[0]}<td>{cells[1]}<tr><td>{cells[2]}<td>{cells[3]}</table>", text + cells
+        elif extra == "quote":
+            x = say(20)
+            inner, text = inner + f"<blockquote>{x}</blockquote>", text + [x]
+        elif extra == "link":
+            x = say(7)
+            inner, text = inner + f"<p><a href=/y>{x}</a></p>", text + [x]
+        if k % 3 == 0:  # a heading that all pages share, with a text of each
+            x = say(12)
+            inner, text = inner + f"<h2>Ingredients</h2><p>{x}</p>", text + ["Ingredients", x]
+        around = {"menu": f"<ul>{links(5)}</ul>", "advert": say(4), "banner": "Everything must go today", "side": f"<p>{say(3)}</p><ul>{links(4)}</ul>"}
+        before, after = ([wrap(p, around[p]) for p in parts[n::2]] for n in (0, 1))
+        cls = ["share-price", "legal-news", "ad-hoc", "m" + str(k)][k % 4]
+        pages.append((100 * k + i, f"http://h{k}.example/{i}", f"<html><body>{''.join(before)}<div class='{cls}'>{inner}</div>{''.join(after)}<div>&copy; h{k} {say(3)}</div></body></html>", "\n\n".join(text)))
+    return pages
+
+
+def test_whole_texts_of_thirty_odd_layouts(spark):
+    """No tag or name tells the parts apart: the comparison of a host's pages has to."""
+    rows = [p for k in range(1, 31) for p in odd_host(k)]
+    got = {r.page_id: r for r in hw.extract_text(spark.createDataFrame([p[:3] for p in rows], SCHEMA)).collect()}
+    wrong = [p[0] for p in rows if got[p[0]].text != p[3]]
+    assert not wrong, (wrong, got[wrong[0]].text, [p[3] for p in rows if p[0] == wrong[0]])
+    assert sum(r.n_furniture for r in got.values()) > 200 and sum(r.n_named for r in got.values()) == 0
+    assert all(r.n_template + r.n_furniture > 0 for r in got.values())
+
+
+def test_pages_of_the_table_with_names_taken_away(spark, sf_dir):
+    """Hosts of five pages or more give the same texts whatever their elements and classes are called."""
+    pages = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/pages.parquet")
+    plain = {r.page_id: r for r in hw.extract_text(pages).collect()}
+    html = F.col("html")
+    for a, b in (("<article>", '<div class="q1">'), ("</article>", "</div>"), ("<nav>", '<div class="q2">'), ("</nav>", "</div>"), ("<footer>", '<div class="q3">'), ("</footer>", "</div>"), ('class="ad"', 'class="q4"')):
+        html = F.regexp_replace(html, F.lit(a), F.lit(b))
+    renamed = {r.page_id: r for r in hw.extract_text(pages.withColumn("html", html)).collect()}
+    compared = [i for i, r in renamed.items() if r.n_furniture]
+    assert len(compared) > 100 and all(renamed[i].text == plain[i].text for i in compared)
+    assert all(plain[i].n_named == 0 for i in compared)
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<article class='share-price'><p>a b c</p></article>", "a b c"),
+        ("<article><div class='legal-news'><p>a</div><div class='ad-hoc'><p>b</div><div id='head-of-state'><p>c</div></article>", "a\n\nb\n\nc"),
+        ("<article><p>x</p><div class='ad-box'>y</div><div class='related-posts'><p>z</div></article>", "x"),
+        ("<article><div class='post-header'><h1>Title</h1></div><p>x</p></article>", "Title\n\nx"),
+        ("<article><p><a href=x>A link that is the whole paragraph</a></p></article>", "A link that is the whole paragraph"),
+        ("<p>x<div class='user-comments'><p>y</div><div class='newsletter-signup'>z</div>", "x"),
+    ],
+)
+def test_names_have_to_say_it_alone(html, expected):
+    assert text(html) == expected
+
+
+def test_wide_and_deep_pages_are_aligned_in_bounded_time():
+    import time
+
+    r = random.Random(2)
+    wide = [["r", [[f"d{r.randrange(500)}", [], i + 1] for i in range(3000)], 0] for _ in range(2)]
+    began = time.process_time()
+    pairs = hw.align(*wide)
+    assert len(pairs) > 100 and all(wide[0][1][a - 1][0] == wide[1][1][b - 1][0] for a, b in pairs[1:])
+    assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(sorted(pairs), sorted(pairs)[1:], strict=False))
+    deep = [hw.read_page("<div>" * n + "x")[0] for n in (3000, 2500)]
+    assert len(hw.align(*deep)) == 2501 and hw.read_back(hw.written(deep[1]))[1][0][0] == "div"
+    assert time.process_time() - began < 30
+
+
+def test_wide_tables_give_the_size_of_a_plain_one():
+    """Rows made again from saved ones give a matching of the size that a full table has."""
+    r = random.Random(3)
+    for _ in range(20):
+        a, b = ([[r.choice("abc"), [[r.choice("xy"), [], 0] for _ in range(r.randint(0, 2))], 0] for _ in range(r.randint(0, 9))] for _ in range(2))
+        trees = []
+        for kids in (a, b):
+            tree, n = ["r", kids, 0], 0
+            for node in hw.nodes_of(tree):
+                node[2], n = n, n + 1
+            trees.append(tree)
+        assert len(hw.align(*trees)) == best_matching(*trees)
