@@ -127,17 +127,20 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int,
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketch(bands, rows)
         for batch in batches:
-            sets = [shingle_set(text, k) for text in batch.column("text").to_pylist()]
-            keys = [sketch.keys(x) if len(x) else np.empty(0, np.int64) for x in sets]
-            ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
+            n = batch.num_rows
+            sizes, set_keys = np.zeros(n, np.int64), []
+            keys = np.zeros((n, bands), np.int64)
+            # One text and its set at a time: a batch may hold many long ones.
+            for i, text in enumerate(batch.column("text")):
+                found = shingle_set(text.as_py(), k)
+                sizes[i] = len(found)
+                set_keys.append(blake2b(found.tobytes(), digest_size=16).hexdigest())
+                if len(found):
+                    keys[i] = sketch.keys(found)
+            full = sizes > 0
+            ends = np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("text_key"),
-                    pa.array([len(x) for x in sets], pa.int64()),
-                    pa.array([blake2b(x.tobytes(), digest_size=16).hexdigest() for x in sets], pa.string()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *keys]))),
-                ],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes), pa.array(set_keys, pa.string()), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[full].ravel()))],
                 names=["doc_id", "text_key", "n_shingles", "set_key", "bands"],
             )
 
