@@ -17,12 +17,22 @@ MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 HOT_SHARE = 1000
 
 
+def hot_keys(rows: DataFrame, key: str | list[str]) -> DataFrame:
+    """The keys that more than 1 / HOT_SHARE of all rows have, as a written table."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    # Few keys are left, so the total comes with each of them.
+    total = rows.count()
+    return materialise(counts.filter(F.col("n") * HOT_SHARE > total).select(key))
+
+
 def join_lookup(rows: DataFrame, lookup: DataFrame, key: str | list[str], hot: DataFrame) -> DataFrame:
     """rows joined with lookup (one row a key) on a key, or columns, that every row has there.
 
     hot: the keys that many rows have (HOT_SHARE at most); they go by broadcast, so that
     no task gets all rows of one.
     """
+    if hot.isEmpty():
+        return rows.join(lookup, key)
     few = F.broadcast(hot.select(key))
     cold = rows.join(few, key, "left_anti").join(lookup, key)
     return cold.unionByName(rows.join(F.broadcast(lookup.join(few, key, "left_semi")), key))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, join_lookup, materialise
+from .common import hot_keys, join_lookup, materialise
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -516,9 +516,7 @@ def _lookup(rows: DataFrame, lookup: DataFrame, key: list[str], size: int, limit
     """rows with their one row of lookup: by broadcast if it has at most limit bytes, else with hot keys apart."""
     if size <= limit:
         return rows.join(F.broadcast(lookup), key)
-    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    total = rows.count()
-    return join_lookup(rows, lookup, key, counts.filter(F.col("n") * HOT_SHARE > total))
+    return join_lookup(rows, lookup, key, hot_keys(rows, key))
 
 
 def extract_text(

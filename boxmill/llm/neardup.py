@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, join_lookup, materialise, mix64
+from .common import HOT_SHARE, hot_keys, join_lookup, materialise, mix64
 
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
@@ -277,9 +277,9 @@ def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, ce
                 out |= _links_between(left, right, percent)
         return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
 
-    labelled = crowd.join(labels, "node")
+    labelled = materialise(crowd.join(labels, "node"))
     several = labelled.groupBy("band", "bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("band", "bucket")
-    open_sets = materialise(sets.join(labelled.join(several, ["band", "bucket"]).select("node", "comp").distinct(), "node"))
+    open_sets = materialise(sets.join(join_lookup(labelled, several, ["band", "bucket"], hot_keys(labelled, ["band", "bucket"])).select("node", "comp").distinct(), "node"))
     found = materialise(_prefixes(open_sets, percent, cells))
     groups = found.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least")).filter("low <> high")
     # The smallest set of the group that is large enough to be linked asks for the fewest shared shingles.
@@ -324,15 +324,17 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """node, comp of all nodes: the least node reachable over links (a, b); alone: itself.
 
     Each round takes the least label of the neighbours, then jumps to the label's own
-    label; every round is a written table. Hot nodes are pre-aggregated.
+    label; every round is a written table. Nodes with many links, and labels of many
+    nodes, are looked up by broadcast.
     """
     both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct())
+    hubs = hot_keys(both, "b")
     linked = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node"))
     while True:
-        near = both.join(linked.select(F.col("node").alias("b"), F.col("comp").alias("of_b")), "b").groupBy("a").agg(F.min("of_b").alias("low"))
-        lowered = linked.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("comp").alias("was"), F.least("comp", "low").alias("comp"))
+        near = join_lookup(both, linked.select(F.col("node").alias("b"), F.col("comp").alias("of_b")), "b", hubs).groupBy("a").agg(F.min("of_b").alias("low"))
+        lowered = materialise(linked.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("comp").alias("was"), F.least("comp", "low").alias("comp")))
         jump = linked.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        step = materialise(lowered.join(jump, "comp", "left").select("node", "was", F.least("comp", "next").alias("comp")))
+        step = materialise(join_lookup(lowered, jump, "comp", hot_keys(lowered, "comp")).select("node", "was", F.least("comp", "next").alias("comp")))
         changed = step.filter("comp <> was").limit(1).count()
         linked = step.select("node", "comp")
         if not changed:
@@ -348,8 +350,9 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     # Numbered as written, so the numbers stay whatever is run again.
     reps = materialise(reps.select(F.monotonically_increasing_id().alias("node"), "set_key", "bands", "least.doc_id", "least.text_key", "copies"))
     members = reps.select("node", F.posexplode("bands").alias("band", "bucket"))
-    hubs = members.groupBy("band", "bucket").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1").drop("m")
-    crowd = materialise(members.join(hubs, ["band", "bucket"]))
+    hubs = materialise(members.groupBy("band", "bucket").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1"))
+    places = bands * reps.count()
+    crowd = materialise(join_lookup(members, hubs.drop("m"), ["band", "bucket"], hubs.filter(F.col("m") * HOT_SHARE > places)))
     pairs = materialise(crowd.filter("a <> node").select("a", F.col("node").alias("b")).distinct())
     nodes = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
     wanted = reps.select("node", "doc_id", "text_key").join(nodes, "node", "left_semi")
@@ -360,7 +363,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     final = first if rest.isEmpty() else components(nodes, stars.union(rest))
     linked = materialise(final.join(reps.select("node", "set_key", "doc_id"), "node"))
     low = linked.groupBy("comp").agg(F.min("doc_id").alias("low"))
-    moved = linked.join(low, "comp").filter("low <> doc_id").select("set_key", "low")
+    moved = join_lookup(linked, low, "comp", hot_keys(linked, "comp")).filter("low <> doc_id").select("set_key", "low")
     classes = materialise(reps.select("set_key", "doc_id", "copies").join(moved, "set_key", "left").select("set_key", F.coalesce("low", "doc_id").alias("component_id"), "copies"))
     total = classes.agg(F.sum("copies")).first()[0] or 0
     placed = join_lookup(named.drop("bands"), classes.drop("copies"), "set_key", classes.filter(F.col("copies") * HOT_SHARE > total))
