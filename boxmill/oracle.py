@@ -16,9 +16,12 @@ def _inside(px: str, py: str, x: str, y: str) -> str:
 _RX, _RY, _SX, _SY = "(fx[(t // 4 + 1) % 4 + 1] - fx[t // 4 + 1])", "(fy[(t // 4 + 1) % 4 + 1] - fy[t // 4 + 1])", "(gx[(t % 4 + 1) % 4 + 1] - gx[t % 4 + 1])", "(gy[(t % 4 + 1) % 4 + 1] - gy[t % 4 + 1])"
 _DX, _DY = "(gx[t % 4 + 1] - fx[t // 4 + 1])", "(gy[t % 4 + 1] - fy[t // 4 + 1])"
 
+# Edges that run along each other cross nowhere; the corners inside stand for them.
+_DEN = f"CASE WHEN abs({_RX} * {_SY} - {_RY} * {_SX}) > 1e-6 THEN {_RX} * {_SY} - {_RY} * {_SX} END"
+
 #: overlap(image_id, first_id, second_id, iou) of the pairs pr(image_id, first_id, second_id, area_a, area_b, fx, fy, gx, gy).
 OVERLAPS = f""",
- cr AS (SELECT *, list_filter(list_transform(range(0, 16), lambda t: struct_pack(t := ({_DX} * {_SY} - {_DY} * {_SX}) / nullif({_RX} * {_SY} - {_RY} * {_SX}, 0), u := ({_DX} * {_RY} - {_DY} * {_RX}) / nullif({_RX} * {_SY} - {_RY} * {_SX}, 0), i := t // 4 + 1)), lambda c: c.t BETWEEN 0 AND 1 AND c.u BETWEEN 0 AND 1) AS cs FROM pr),
+ cr AS (SELECT *, list_filter(list_transform(range(0, 16), lambda t: struct_pack(t := ({_DX} * {_SY} - {_DY} * {_SX}) / ({_DEN}), u := ({_DX} * {_RY} - {_DY} * {_RX}) / ({_DEN}), i := t // 4 + 1)), lambda c: c.t BETWEEN 0 AND 1 AND c.u BETWEEN 0 AND 1) AS cs FROM pr),
  pt AS (SELECT *, list_concat(list_concat(
    list_filter(list_transform(range(1, 5), lambda i: struct_pack(x := fx[i], y := fy[i])), lambda p: {_inside('gx', 'gy', 'p.x', 'p.y')}),
    list_filter(list_transform(range(1, 5), lambda i: struct_pack(x := gx[i], y := gy[i])), lambda p: {_inside('fx', 'fy', 'p.x', 'p.y')})),
@@ -50,6 +53,14 @@ REPLAY = f""",
  edited AS (SELECT image_id, CAST(i - 1 AS INTEGER) AS object_index, saved[i].c AS class_id, saved[i].s AS source, saved[i].f AS confidence, saved[i].px AS px, saved[i].py AS py FROM ed, range(1, len(saved) + 1) r(i)
   UNION ALL SELECT image_id, NULL, NULL, NULL, NULL, NULL, NULL FROM ed WHERE len(saved) = 0)"""
 
+
+
+def half_even(value: str) -> str:
+    """The number with six decimals, halves to even, as written in a label line. Ten decimals tell a half."""
+    whole = f"CAST(round(abs({value}) * 1e10) AS BIGINT)"
+    return f"sign({value}) * ({whole} // 10000 + CASE WHEN {whole} % 10000 > 5000 OR ({whole} % 10000 = 5000 AND {whole} // 10000 % 2 = 1) THEN 1 ELSE 0 END) / 1e6"
+
+
 EDITED_CORNERS = ", ".join(f"round(p{k}[{i}], 4) AS {k}{i}" for i in range(1, 5) for k in ("x", "y"))
 
 #: obb(key, area, box): contour area and smallest rectangle of the largest outer contour of the pixels px(key, pos, h, w), pos = y * w + x.

@@ -15,7 +15,7 @@ from .jobs import assemble_dataset, review_labels
 from .jobs.auto_label import auto_label, label_boxes
 from .jobs.evaluate import evaluate, evaluate_by_domain
 from .operators import datasets, detections as d, evaluation, fusion, review, suppression
-from .oracle import EDITED_CORNERS, OUTLINES, OVERLAPS, REPLAY
+from .oracle import EDITED_CORNERS, OUTLINES, OVERLAPS, REPLAY, half_even
 from .scratch import materialise
 from .sources import files
 from .sources.derived import table, with_tables
@@ -878,7 +878,7 @@ REVIEWED = f"""{with_tables('edits', 'detections', 'images', 'candidates').repla
  pro AS (SELECT image_id, mask_idx, area + 800 * aspect + 1200 * rectangularity AS confidence FROM sh WHERE aspect >= 2 AND rectangularity BETWEEN 0.45 AND 1.05 QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY area + 800 * aspect + 1200 * rectangularity DESC, place) = 1),
  start AS (SELECT image_id, det_id AS place, det_id % 6 AS class_id, 'file' AS source, CAST(1 AS DOUBLE) AS confidence, list(x ORDER BY k) AS px, list(y ORDER BY k) AS py FROM fc GROUP BY 1, 2
   UNION ALL SELECT p.image_id, 0, 0, 'sam2_amg', confidence, list(x ORDER BY k), list(y ORDER BY k) FROM pro p JOIN crn c ON p.image_id = c.image_id AND p.mask_idx = c.det_id GROUP BY p.image_id, p.mask_idx, confidence){REPLAY}
- SELECT e.image_id, object_index AS line_no, class_id, {", ".join(f"round_even(p{k}[{i}] / {'width' if k == 'x' else 'height'}, 6) AS {k}{i}" for i in range(1, 5) for k in ("x", "y"))} FROM edited e JOIN images i ON e.image_id = i.image_id"""
+ SELECT e.image_id, object_index AS line_no, class_id, {", ".join(f"{half_even(f'p{k}[{i}] / ' + ('width' if k == 'x' else 'height'))} AS {k}{i}" for i in range(1, 5) for k in ("x", "y"))} FROM edited e JOIN images i ON e.image_id = i.image_id"""
 
 
 @query(REVIEWED)
