@@ -43,7 +43,7 @@ def order_corners(corners: Column) -> Column:
         )
         return let(
             mean,
-            lambda m: F.array_sort(F.transform(c, lambda p, i: F.struct(F.atan2(p["y"] - m["y"], p["x"] - m["x"]).alias("a"), i.alias("i"), p["x"].alias("x"), p["y"].alias("y")))),
+            lambda m: F.sort_array(F.transform(c, lambda p, i: F.struct(F.atan2(p["y"] - m["y"], p["x"] - m["x"]).alias("a"), i.alias("i"), p["x"].alias("x"), p["y"].alias("y")))),
         )
 
     def rotate(c: Column) -> Column:
@@ -109,19 +109,26 @@ def min_area_rect(corners: Column) -> Column:
         turn = F.when((dx == 0) & (dy == 0), None).otherwise(F.when(turn > 90 - 1e-9, 0.0).otherwise(turn))
 
         def rect(angle: Column) -> Column:
-            cos, sin = F.cos(F.radians(angle)), F.sin(F.radians(angle))
-            us = [c[k]["x"] * cos + c[k]["y"] * sin for k in range(4)]
-            vs = [c[k]["y"] * cos - c[k]["x"] * sin for k in range(4)]
-            u0, u1, v0, v1 = F.least(*us), F.greatest(*us), F.least(*vs), F.greatest(*vs)
-            mid_u, mid_v = (u0 + u1) / 2, (v0 + v1) / 2
-            return F.struct(
-                F.round((u1 - u0) * (v1 - v0), 9).alias("area"),
-                angle.alias("angle"),
-                (mid_u * cos - mid_v * sin).alias("cx"),
-                (mid_u * sin + mid_v * cos).alias("cy"),
-                (u1 - u0).alias("w"),
-                (v1 - v0).alias("h"),
-            )
+            # Each step is computed once: the direction, the points along and across it, their ends.
+            direction = F.struct(F.cos(F.radians(angle)).alias("c"), F.sin(F.radians(angle)).alias("s"))
+            spread = lambda d: F.struct(F.transform(c, lambda p: p["x"] * d["c"] + p["y"] * d["s"]).alias("u"), F.transform(c, lambda p: p["y"] * d["c"] - p["x"] * d["s"]).alias("v"))
+            ends = lambda t: F.struct(F.array_min(t["u"]).alias("u0"), F.array_max(t["u"]).alias("u1"), F.array_min(t["v"]).alias("v0"), F.array_max(t["v"]).alias("v1"))
+
+            def shape(d: Column) -> Callable[[Column], Column]:
+                def build(e: Column) -> Column:
+                    mid_u, mid_v, w, h = (e["u0"] + e["u1"]) / 2, (e["v0"] + e["v1"]) / 2, e["u1"] - e["u0"], e["v1"] - e["v0"]
+                    return F.struct(
+                        F.round(w * h, 9).alias("area"),
+                        angle.alias("angle"),
+                        (mid_u * d["c"] - mid_v * d["s"]).alias("cx"),
+                        (mid_u * d["s"] + mid_v * d["c"]).alias("cy"),
+                        w.alias("w"),
+                        h.alias("h"),
+                    )
+
+                return build
+
+            return let(direction, lambda d: let(let(spread(d), ends), shape(d)))
 
         return F.when(turn.isNotNull(), let(turn, rect))
 
