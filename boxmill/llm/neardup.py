@@ -323,23 +323,29 @@ def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, ce
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """node, comp of all nodes: the least node reachable over links (a, b); alone: itself.
 
-    Each round takes the least label of the neighbours, then jumps to the label's own
-    label; every round is a written table. Nodes with many links, and labels of many
-    nodes, are looked up by broadcast.
+    Each round every node goes over to its least neighbour and the links are contracted,
+    so that those inside a component vanish: the least node is what stays of it. Then the
+    rounds are put together from the last on. Every step is a written table; nodes with
+    many links are looked up by broadcast.
     """
-    both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct())
-    hubs = hot_keys(both, "b")
-    linked = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node"))
-    while True:
-        near = join_lookup(both, linked.select(F.col("node").alias("b"), F.col("comp").alias("of_b")), "b", hubs).groupBy("a").agg(F.min("of_b").alias("low"))
-        lowered = materialise(linked.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("comp").alias("was"), F.least("comp", "low").alias("comp")))
-        jump = linked.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        step = materialise(join_lookup(lowered, jump, "comp", hot_keys(lowered, "comp")).select("node", "was", F.least("comp", "next").alias("comp")))
-        changed = step.filter("comp <> was").limit(1).count()
-        linked = step.select("node", "comp")
-        if not changed:
-            break
-    return nodes.select("node").join(linked, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+    left = materialise(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
+    rounds: list[DataFrame] = []
+    while not left.isEmpty():
+        parent = materialise(left.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("parent")))
+        rounds.append(parent.withColumnRenamed("a", "node"))
+        # Links go both ways, so one side's parents are the other side's as well.
+        half = join_lookup(left, parent, "a", hot_keys(left, "a")).select(F.col("parent").alias("x"), F.col("b").alias("a")).distinct()
+        half = materialise(half)
+        left = materialise(join_lookup(half, parent, "a", hot_keys(half, "a")).select(F.col("x").alias("a"), F.col("parent").alias("b")).filter("a <> b").distinct())
+    if not rounds:
+        return nodes.select("node", F.col("node").alias("comp"))
+    final = rounds.pop().withColumnRenamed("parent", "comp")
+    while rounds:
+        step = rounds.pop()
+        later = final.select(F.col("node").alias("parent"), "comp")
+        of = step.select("parent").distinct().join(later, "parent", "left").select("parent", F.coalesce("comp", "parent").alias("comp"))
+        final = materialise(join_lookup(step, of, "parent", hot_keys(step, "parent")).select("node", "comp"))
+    return nodes.select("node").join(final, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, bands: int, rows: int, broadcast_ids: int) -> DataFrame:
