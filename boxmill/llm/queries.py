@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_wrapper, langid, neardup, packing, quality_ordinal, quality_rules, sharding, toxicity
+from . import chat, decontaminate, html_wrapper, langid, line_dedup, neardup, packing, quality_ordinal, quality_rules, sharding, toxicity, vector_codes, whitening
 from .common import crc32_of_id
 
 
@@ -84,6 +84,33 @@ def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate_perspectives(_table(spark, sf_dir, "conversations"))
 
 
+def op11_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_shared_lines(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    code = F.concat_ws("", F.transform("entries", lambda e: F.lpad(F.lower(F.hex(e)), 2, "0")))
+    digest = F.lit(books.digest() if books else None).cast("string")
+    return vector_codes.with_label_error(coded).select("vec_id", code.alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def op13_whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made, model = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    explained = F.lit(model.explained if model else []).cast("array<double>")
+    each = made.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).cast("int").alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened",
+        explained[F.col("place")].alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ordinal_quality,
@@ -96,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_duplicates,
         op9_main_text,
         op10_perspectives,
+        op11_shared_lines,
+        op12_vector_codes,
+        op13_whitened,
     )
 }
 
@@ -106,6 +136,15 @@ _SPACES = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{20
 _SEPARATORS = sorted(quality_rules.SEPARATORS)
 _ENDS = "".join("''" if c == "'" else "\\" + c if c in "]-\\^" else c for c in quality_rules.ENDS)
 
+
+def _rounds(rounds: int) -> str:
+    """n0..n<rounds>: each part with its least `64 * squared distance + entry`; c1..c<rounds>: the entries after each round."""
+    near = "n{0} AS MATERIALIZED (SELECT vec_id, p.part, any_value(label) AS label, any_value(p.a) AS a, any_value(p.b) AS b, any_value(p.c) AS c, any_value(p.d) AS d, min(64 * ((p.a - e.a) * (p.a - e.a) + (p.b - e.b) * (p.b - e.b) + (p.c - e.c) * (p.c - e.c) + (p.d - e.d) * (p.d - e.d)) + entry) AS least FROM p JOIN c{0} e ON p.part = e.part GROUP BY 1, 2)"
+    mean = "CAST(floor(sum({0})::DOUBLE / count(*)) AS BIGINT) AS {0}"
+    moved = "c{1} AS MATERIALIZED (SELECT o.part, o.entry, " + ", ".join(f"coalesce(m.{x}, o.{x}) AS {x}" for x in "abcd") + " FROM c{0} o LEFT JOIN (SELECT part, least % 64 AS entry, " + ", ".join(mean.format(x) for x in "abcd") + " FROM n{0} GROUP BY 1, 2) m ON o.part = m.part AND o.entry = m.entry)"
+    return ",\n".join([*(x for k in range(rounds) for x in (near.format(k), moved.format(k, k + 1))), near.format(rounds)])
+
+
 ORACLE_SQL: dict[str, str] = {
     # The counts, then every rule on every line; a line that repeats an earlier one fails too.
     "op3_line_rules": rf"""
@@ -151,4 +190,19 @@ g AS (SELECT *, head || text || chr(10) || '<|end|>' || chr(10) AS segment FROM
 o AS (SELECT *, CAST(length(segment) AS BIGINT) AS length, CAST(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(segment) AS BIGINT) AS start FROM g)
 SELECT conv_id, perspective, turn, speaker, segment, start, length, start + length(head) AS mask_start,
   CASE WHEN speaker = perspective THEN length(text) ELSE 0 END AS mask_length FROM o""",
+    "op11_shared_lines": rf"""
+WITH ln AS (SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{UPPER}', '{LOWER}') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)),
+hot AS (SELECT key, max(doc_id) AS last FROM ln WHERE length(key) >= 40 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (last <> doc_id) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (last IS NULL OR last = doc_id), '')) AS kept_sha256
+FROM ln LEFT JOIN hot ON ln.key = hot.key GROUP BY 1""",
+    "op12_vector_codes": f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, label, q.p AS part, x[4 * q.p + 1] AS a, x[4 * q.p + 2] AS b, x[4 * q.p + 3] AS c, x[4 * q.p + 4] AS d FROM v, range(16) q(p)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, a, b, c, d FROM p QUALIFY entry < 64),
+{_rounds(2)},
+w AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', least % 64), '' ORDER BY part) AS code, CAST(sum(least // 64) AS BIGINT) AS error FROM n2 GROUP BY 1)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(concat_ws(',', a, b, c, d), ',' ORDER BY part, entry)) FROM c2) AS codebooks_sha256 FROM w""",
 }
