@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -69,6 +71,63 @@ def test_pack_round_trip_and_components(h, w, random):
         assert len(pairs) == n
 
 
+def by_component(p, min_area):
+    """The box of the largest contour, each component by itself: its holes filled by a flood of the whole mask."""
+    seen, best = np.zeros(p.shape, bool), (-1.0, None)
+
+    def flood(start, free, steps):
+        mine, todo = np.zeros(free.shape, bool), [start]
+        mine[start] = True
+        while todo:
+            y, x = todo.pop()
+            for a, b in steps:
+                q = (y + a, x + b)
+                if 0 <= q[0] < free.shape[0] and 0 <= q[1] < free.shape[1] and free[q] and not mine[q]:
+                    mine[q] = True
+                    todo.append(q)
+        return mine
+
+    straight = [(0, 1), (1, 0), (0, -1), (-1, 0)]
+    for y, x in zip(*np.nonzero(p), strict=True):
+        if not seen[y, x]:
+            mine = flood((y, x), p, straight + [(1, 1), (1, -1), (-1, 1), (-1, -1)])
+            seen |= mine
+            filled = ~flood((0, 0), ~np.pad(mine, 1), straight)
+            cells = filled[:-1, :-1].astype(int) + filled[1:, :-1] + filled[:-1, 1:] + filled[1:, 1:]
+            area = (cells == 4).sum() + (cells == 3).sum() / 2
+            if area > best[0]:
+                best = (area, filled[1:-1, 1:-1])
+    if best[1] is None or best[0] < min_area:
+        return None
+    ys, xs = np.nonzero(best[1])
+    rect = m.smallest_rectangle(m.hull(np.column_stack([xs, ys])))
+    return rect and (*rect, float(best[0]))
+
+
+def test_largest_contours_of_random_masks():
+    """Noise of many densities, rings in rings, and blobs: as component by component."""
+    r = np.random.default_rng(1)
+    for k in range(1000):
+        h, w = r.integers(1, 15, 2)
+        p = r.random((h, w)) < r.choice([0.05, 0.3, 0.5, 0.7, 0.95])
+        if k % 4 == 0:
+            p = np.kron(p, np.ones((2, 2), bool))
+        if k % 7 == 0:
+            y, x = np.indices(p.shape)
+            p = (np.maximum(abs(y - p.shape[0] // 2), abs(x - p.shape[1] // 2)) % 2 == k % 2) ^ (r.random(p.shape) < 0.03)
+        got, expected = m.obb_of(p, 0.5), by_component(p, 0.5)
+        assert (got and got[:6]) == (expected and pytest.approx(expected)), p.astype(int)
+
+
+def test_a_large_mask_with_specks_takes_linear_time():
+    p = np.random.default_rng(2).random((1024, 1024)) < 0.02
+    p[200:700, 300:900] = True
+    began = time.perf_counter()
+    found = m.obb_of(p, 20)
+    assert time.perf_counter() - began < 1 and found[5] == pytest.approx(599 * 499, rel=0.01)
+    assert m.obb_of(np.zeros((1024, 1024), bool), 20) is None
+
+
 def test_iou_union_and_resize(spark):
     a, b = pixels(["##..", "##.."]), pixels([".##.", ".##."])
     df = spark.createDataFrame([(row(a), row(b))], f"a {m.MASK}, b {m.MASK}")
