@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import order_corners, point
+from ..functions.geometry import order_corners, point, polygon_area
 from .detections import small
 
 
@@ -123,6 +123,7 @@ def augment_labels(
     scale: float = 0.4,
     shear: float = 2.0,
     flip: float = 0.5,
+    min_area: float = 1e-9,
     draw: Callable[[str], Column] | None = None,
 ) -> DataFrame:
     """labels (image_id, corners in 0..1, and others) times copies, each image copy under one random affine map.
@@ -130,7 +131,9 @@ def augment_labels(
     Rotation and shear in degrees, shift and scale as shares, left-right flip with a
     probability. Draws are hashes of image, copy and seed (or those of `draw`: a name to
     a number in [0, 1) that depends on image_id and copy), so retries agree. Corners are
-    clipped to 0..1 and ordered again.
+    clipped to 0..1 and ordered again. Boxes of which no more than min_area (a share of
+    the image) is left inside are dropped, as those pushed out of the image; an image
+    copy may be left without boxes.
     """
     draw = draw or hashed_draw(seed)
     rows = labels.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
@@ -156,4 +159,4 @@ def augment_labels(
         return point(held(F.when(F.col("_flip"), 1 - x).otherwise(x)), held(y))
 
     out = rows.withColumn("corners", order_corners(F.transform("corners", moved)))
-    return out.drop("_turn", "_sx", "_sy", "_zoom", "_dx", "_dy", "_flip")
+    return out.filter(polygon_area(F.col("corners")) > min_area).drop("_turn", "_sx", "_sy", "_zoom", "_dx", "_dy", "_flip")

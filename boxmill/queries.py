@@ -773,7 +773,13 @@ MOVED = f"""sh AS (SELECT c.image_id, det_id * 10 + copy AS det_id, copy, k AS i
  hd AS (SELECT image_id, det_id, i, greatest(0, least(1, CASE WHEN flip THEN 1 - x ELSE x END)) AS x, greatest(0, least(1, y)) AS y FROM mv), {ordered('hd', 'od')}"""
 
 
-@query(f"{CORNERS_OF}, {MOVED} SELECT image_id, det_id // 10 AS det_id, det_id % 10 AS copy, {sql_corners(digits=6)} FROM od GROUP BY image_id, od.det_id")
+def sql_area() -> str:
+    """The shoelace area of grouped corners k, x, y."""
+    at = lambda c, k: f"max(CASE WHEN k = {k % 4 + 1} THEN {c} END)"
+    return "abs(" + " + ".join(f"{at('x', k)} * {at('y', k + 1)} - {at('x', k + 1)} * {at('y', k)}" for k in range(4)) + ") / 2"
+
+
+@query(f"{CORNERS_OF}, {MOVED} SELECT image_id, det_id // 10 AS det_id, det_id % 10 AS copy, {sql_corners(digits=6)} FROM od GROUP BY image_id, od.det_id HAVING {sql_area()} > 1e-9")
 def q70_augment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = d.attach_image_size(with_corners(table(spark, sf_dir, "detections")), table(spark, sf_dir, "images"))
     shares = rows.select("image_id", "det_id", g.normalize_corners(F.col("corners"), F.col("width"), F.col("height")).alias("corners"))
@@ -896,21 +902,28 @@ def job_review_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("image_id", F.col("line_no").cast("int").alias("line_no"), F.get(number, F.lit(0)).cast("long").alias("class_id"), *[F.get(number, F.lit(2 * i + j + 1)).cast("double").alias(f"{k}{i + 1}") for i in range(4) for j, k in enumerate("xy")])
 
 
-@query(
-    with_tables("truth", "images")
-    + """, sp AS (SELECT image_id, domain, CAST('0x' || substr(md5(concat(domain, '_', CAST(image_id AS VARCHAR))), 1, 6) AS BIGINT) % 10000 AS place FROM images),
- im AS (SELECT image_id, domain, CASE WHEN place < 7000 THEN 'train' WHEN place < 9000 THEN 'val' ELSE 'test' END AS split FROM sp),
- lb AS (SELECT domain, split, CASE class_id WHEN 4 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS class_id FROM truth t JOIN im ON t.image_id = im.image_id WHERE class_id IN (4, 1, 0))
- SELECT domain, split, class_id, copy, count(*) AS n FROM lb, range(0, 3) r(copy) WHERE copy = 0 OR split = 'train' GROUP BY ALL"""
-)
+# The corners of all boxes of the set, as shares of their image; those of the training split once more for each copy, moved.
+_OF_SET = "FROM crn c JOIN im ON c.image_id = im.id JOIN tr ON c.image_id = tr.image_id AND c.det_id = tr.det_id"
+_SHARE = "greatest(0, least(1, x / width)) {0} AS x, greatest(0, least(1, y / height)) {0} AS y"
+TRAINING = f"""{with_tables('truth', 'images')}, tr AS (SELECT image_id, gt_id AS det_id, class_id, cx, cy, w, h, deg FROM truth WHERE class_id IN (4, 1, 0)),
+ {POINTS.replace('FROM detections', 'FROM tr')}, {ordered('pts', 'crn')},
+ im AS (SELECT id, image_id, width, height, CASE WHEN place < 7000 THEN 'train' WHEN place < 9000 THEN 'val' ELSE 'test' END AS split FROM (
+  SELECT image_id AS id, concat(domain, '_', image_id) AS image_id, width, height, CAST('0x' || substr(md5(concat(domain, '_', image_id)), 1, 6) AS BIGINT) % 10000 AS place FROM images)),
+ {MOVED[MOVED.index('dr AS'):].replace('FROM sh)', f"FROM (SELECT im.image_id, c.det_id * 10 + copy AS det_id, copy, k AS i, {_SHARE.format('- 0.5')} {_OF_SET}, range(1, 3) r(copy) WHERE split = 'train'))", 1)},
+ al AS (SELECT image_id, det_id // 10 AS det_id, det_id % 10 AS copy, {sql_corners(digits=9)} FROM od GROUP BY image_id, od.det_id HAVING {sql_area()} > 1e-9
+  UNION ALL SELECT image_id, det_id, 0, {sql_corners(digits=9)} FROM (SELECT im.image_id, c.det_id, k, {_SHARE.format('')} {_OF_SET}) s GROUP BY image_id, s.det_id)
+ SELECT al.image_id, split, al.det_id, CASE class_id WHEN 4 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS class_id, copy, {', '.join(f'{k}{i}' for i in range(1, 5) for k in 'xy')} FROM al JOIN im ON al.image_id = im.image_id JOIN tr ON im.id = tr.image_id AND al.det_id = tr.det_id"""
+
+
+@query(TRAINING)
 def job_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two domains mixed, classes cut down to three, splits drawn, and two augmented copies of the training labels; its rows are counted."""
+    """Two domains mixed, classes cut down to three, splits drawn, and two augmented copies of the training labels."""
     images, labels = table(spark, sf_dir, "images"), with_corners(table(spark, sf_dir, "truth"))
-    labels = d.attach_image_size(labels, images).select("image_id", "class_id", g.normalize_corners(F.col("corners"), F.col("width"), F.col("height")).alias("corners"))
+    shares = g.normalize_corners(F.col("corners"), F.col("width"), F.col("height")).alias("corners")
+    labels = d.attach_image_size(labels, images).select("image_id", F.col("gt_id").alias("det_id"), "class_id", shares)
     of = lambda name: images.filter(F.col("domain") == name).select("image_id")
     domains = {name: (of(name), labels.join(of(name), "image_id", "left_semi")) for name in ("real", "sim")}
     mapping = datasets.subset_mapping(table(spark, sf_dir, "classes"), ["boat", "buoy", "sam"])
     key = lambda c: F.conv(F.substring(F.md5(c.cast("binary")), 1, 6), 16, 10).cast("long")
-    made = assemble_dataset.build_training_set(domains, mapping, {"train": 0.7, "val": 0.2, "test": 0.1}, key, copies=2, seed=7)
-    counts = made.labels.filter(F.size("corners") == 4).groupBy("domain", "split", "class_id", F.col("copy").cast("long").alias("copy")).agg(F.count("*").alias("n"))
-    return counts.withColumn("class_id", F.col("class_id").cast("int"))
+    made = assemble_dataset.build_training_set(domains, mapping, {"train": 0.7, "val": 0.2, "test": 0.1}, key, copies=2, draw=md5_draw)
+    return made.labels.select("image_id", "split", "det_id", F.col("class_id").cast("int").alias("class_id"), F.col("copy").cast("long").alias("copy"), *flat(F.col("corners"), 9))

@@ -6,11 +6,12 @@ import json
 import struct
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import parse_label_line
+from .stores import LabelTexts, LazyFile, file_system, files_under, is_known, spread
 
 EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "webp")
 NAME = r"([^/\\]+)\.([^./\\]+)$"
@@ -31,15 +32,24 @@ def images_among(files: DataFrame) -> DataFrame:
     return files.select("path", *[c.alias(n) for n, c in parts.items()]).filter(F.lower("ext").isin(*EXTENSIONS)).dropDuplicates(["path"])
 
 
+def _files(spark: SparkSession, root: str) -> DataFrame:
+    """path of all files under root: listed by tasks, or by Spark's reader (without empty files) in stores that only Spark knows."""
+    if is_known(root):
+        return files_under(spark, root).select("path")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+
+
 def list_images(spark: SparkSession, root: str) -> DataFrame:
-    """path, stem, ext, split of the image files under root, in order of path. No content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    return images_among(files).orderBy("path")
+    """path, stem, ext, split of the image files under root, in order of path. No content is read.
+
+    Names reach the driver in stores that only Spark's readers know, and nowhere else.
+    """
+    return images_among(_files(spark, root)).orderBy("path")
 
 
 #: EXIF orientations that turn an image on its side.
 SIDEWAYS = (5, 6, 7, 8)
-HEAD, TAIL = 65_536, 64
+TAIL = 64
 
 
 def _orientation(exif: bytes) -> int:
@@ -58,9 +68,12 @@ def _orientation(exif: bytes) -> int:
     return 1
 
 
-def _jpeg_size(b: bytes) -> tuple[int, int] | None:
-    """(height, width) as shown: turned if the EXIF block says so. IndexError if the frame header lies beyond b."""
-    at, turned = 2, False
+def _jpeg_size(b: bytes | LazyFile) -> tuple[int, int] | None:
+    """(height, width) as shown: turned if the first EXIF block says so. IndexError if b ends before the frame header.
+
+    Of the segments before the frame header only the beginnings are looked at.
+    """
+    at, turned = 2, None
     while True:
         if b[at] != 0xFF:
             return None
@@ -71,7 +84,7 @@ def _jpeg_size(b: bytes) -> tuple[int, int] | None:
             at += 2
             continue
         size = b[at + 2] << 8 | b[at + 3]
-        if kind == 0xE1 and b[at + 4 : at + 10] == b"Exif\0\0":
+        if turned is None and kind == 0xE1 and b[at + 4 : at + 10] == b"Exif\0\0":
             turned = _orientation(b[at + 10 : at + 2 + size]) in SIDEWAYS
         if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
             h, w = b[at + 5] << 8 | b[at + 6], b[at + 7] << 8 | b[at + 8]
@@ -81,8 +94,8 @@ def _jpeg_size(b: bytes) -> tuple[int, int] | None:
         at += 2 + size
 
 
-def header_size(content: bytes | None) -> tuple[int, int] | None:
-    """(height, width) from the beginning of a PNG, JPEG, BMP or WebP file, or None."""
+def header_size(content: bytes | LazyFile | None) -> tuple[int, int] | None:
+    """(height, width) of a PNG, JPEG, BMP or WebP file, or None."""
     b = content or b""
     try:
         if b[:8] == b"\x89PNG\r\n\x1a\n":
@@ -119,75 +132,98 @@ def is_whole(head: bytes, tail: bytes, length: int) -> bool:
     return int.from_bytes(head[4:8], "little") + 8 <= length
 
 
+def size_of(b: bytes | LazyFile) -> tuple[int, int] | None:
+    """(height, width) as shown of a whole image file, None for others and for files that are cut off."""
+    n = len(b)
+    return header_size(b) if n and is_whole(b[:16], b[max(0, n - TAIL) :], n) else None
+
+
 def image_sizes(spark: SparkSession, root: str) -> DataFrame:
     """path, stem, height, width as shown (JPEG's EXIF turn applied); unreadable and cut-off files are left out.
 
-    No pixels are decoded. The first bytes are enough for nearly all files; of those whose
-    frame header comes later, the whole content is read.
+    No pixels are decoded: a task opens a file and reads the ranges of bytes that it
+    needs, the beginning of each segment before the size, and the end. In stores that
+    only Spark's readers know, files are read whole.
     """
+    columns = ["path", "height", "width"]
 
-    @F.pandas_udf("height int, width int, more boolean")
-    def sizes(heads: pd.Series, tails: pd.Series, lengths: pd.Series) -> pd.DataFrame:
-        out = []
-        for head, tail, length in zip(heads, tails, lengths, strict=True):
-            if head is None or not is_whole(head, tail, length):
-                out.append((None, None, False))
-                continue
-            found = header_size(head)
-            out.append((*(found or (None, None)), found is None and head[:2] == b"\xff\xd8" and len(head) < length))
-        return pd.DataFrame(out, columns=["height", "width", "more"]).astype({"height": "Int32", "width": "Int32"})
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    files = files.filter(F.lower(F.regexp_extract("path", NAME, 2)).isin(*EXTENSIONS))
-    tail = F.substring("content", -TAIL, TAIL)
-    first = files.withColumn("s", sizes(F.substring("content", 1, HEAD), tail, F.col("length")))
-    both = first.withColumn("t", sizes(F.when(F.col("s.more"), F.col("content")), tail, F.col("length")))
-    sized = both.select("path", F.regexp_extract("path", NAME, 1).alias("stem"), F.coalesce("s.height", "t.height").alias("height"), F.coalesce("s.width", "t.width").alias("width"))
-    return sized.filter("height is not null")
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            found = []
+            for i, path in enumerate(paths):
+                try:
+                    if "content" in batch.schema.names:
+                        found.append(size_of(batch.column("content")[i].as_py() or b""))
+                    else:
+                        system, name = file_system(path)
+                        with system.open_input_file(name) as file:
+                            found.append(size_of(LazyFile(file, file.size())))
+                except OSError:  # gone, or not to be read
+                    found.append(None)
+            known = [(p, *x) for p, x in zip(paths, found, strict=True) if x]
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in known], kind) for i, kind in enumerate((pa.string(), pa.int32(), pa.int32()))], names=columns)
+
+    if is_known(root):
+        files = spread(images_among(files_under(spark, root)).select("path"))
+    else:
+        read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        files = read.filter(F.lower(F.regexp_extract("path", NAME, 2)).isin(*EXTENSIONS)).select("path", "content")
+    sized = files.mapInArrow(sizes, "path string, height int, width int")
+    return sized.select("path", F.regexp_extract("path", NAME, 1).alias("stem"), "height", "width")
+
+
+#: Bytes of label files in a frame, about.
+FRAME_BYTES = 4_000_000
+
+
+def _texts(files: DataFrame) -> DataFrame:
+    """path, value: the whole content of files (path), those that are gone left out."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, held = [], 0
+            for path in batch.column("path").to_pylist():
+                system, name = file_system(path)
+                try:
+                    with system.open_input_stream(name) as file:
+                        rows.append((path, file.read().decode("utf-8", "replace")))
+                except FileNotFoundError:
+                    continue
+                held += len(rows[-1][1])
+                if held > FRAME_BYTES:
+                    yield frame(rows)
+                    rows, held = [], 0
+            yield frame(rows)
+
+    def frame(rows: list[tuple[str, str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["path", "value"])
+
+    return files.mapInArrow(read, "path string, value string")
 
 
 def read_labels(spark: SparkSession, root: str) -> DataFrame:
     """path, stem, split, line_no, line of all lines of the .txt files under root; zero-length files have none."""
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root, wholetext=True)
-    lines = text.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
+    if is_known(root):
+        text = _texts(spread(files_under(spark, root).filter(F.col("path").endswith(".txt") & (F.col("length") > 0)).select("path")))
+    else:
+        text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    lines = text.select("path", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
     parts = path_parts(F.col("path"))
     return lines.select("path", parts["stem"].alias("stem"), parts["split"].alias("split"), F.col("line_no").cast("long").alias("line_no"), F.regexp_replace("line", "\r$", "").alias("line"))
 
 
-def _file_system(path: str):
-    """(file system, its path) of a path that pyarrow knows, with or without a scheme."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def list_label_files(spark: SparkSession, root: str) -> DataFrame:
     """path, stem, split of the .txt files under root, empty ones too.
 
-    Spark's readers leave out zero-length files, so folders are listed by tasks, level by
-    level; only names of folders reach the driver.
+    Spark's readers leave out zero-length files, so tasks list the folders themselves;
+    only names of folders reach the driver. A store that only Spark's readers know is an
+    error, as its empty files could not be seen.
     """
-
-    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        for batch in batches:
-            for folder in batch.path:
-                system, base = _file_system(folder)
-                found = system.get_file_info(fs.FileSelector(base))
-                prefix = folder.rstrip("/")
-                yield pd.DataFrame({"path": [f"{prefix}/{x.base_name}" for x in found], "folder": [x.type == fs.FileType.Directory for x in found]})
-
-    def entries(folders: list[str]) -> DataFrame:
-        rows = spark.createDataFrame([(f,) for f in folders], "path string")
-        return rows.repartition(len(folders), "path").mapInPandas(listed, "path string, folder boolean")
-
-    folders, level = [], [root]
-    while level:
-        folders += level
-        level = [r.path for r in entries(level).filter("folder").collect()]
+    if not is_known(root):
+        raise ValueError(f"tasks cannot list {root}, and Spark's readers leave out empty files")
     parts = path_parts(F.col("path"))
-    return entries(folders).filter("not folder").filter(F.col("path").endswith(".txt")).select("path", parts["stem"].alias("stem"), parts["split"].alias("split"))
+    return files_under(spark, root).filter(F.col("path").endswith(".txt")).select("path", parts["stem"].alias("stem"), parts["split"].alias("split"))
 
 
 def parse_label_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -204,32 +240,32 @@ def parse_label_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 def label_texts(labels: DataFrame, images: DataFrame) -> DataFrame:
     """stem, content: the lines of every image in order; empty for images without objects.
 
-    labels: stem, line_no, line.
+    labels: stem, line_no, line. Where images have a split, labels have one too, and a
+    text is that of a split and a stem: split, stem, content. Labels of no image are left
+    out; a null split is a split of its own.
     """
-    grouped = labels.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("rows"))
-    joined = images.select("stem").distinct().join(grouped, "stem", "left")
-    return joined.select("stem", F.coalesce(F.array_join(F.transform("rows", lambda r: r["line"]), "\n"), F.lit("")).alias("content"))
+    key = ["split", "stem"] if "split" in images.columns else ["stem"]
+    grouped = labels.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("rows"))
+    same = [F.col(f"i.{k}").eqNullSafe(F.col(f"l.{k}")) for k in key]
+    joined = images.select(key).distinct().alias("i").join(grouped.alias("l"), same, "left")
+    return joined.select(*[F.col(f"i.{k}").alias(k) for k in key], F.coalesce(F.array_join(F.transform("rows", lambda r: r["line"]), "\n"), F.lit("")).alias("content"))
 
 
 def write_labels(labels: DataFrame, images: DataFrame, path: str, per_file: bool = False) -> None:
-    """Label texts as Parquet rows (stem, content), or as one .txt file per image.
+    """Label texts as Parquet rows, one folder a split, or as one .txt file per image, path/<split>/<stem>.txt.
 
-    Files are written by the tasks through Hadoop's file systems where pyarrow knows the
-    path's scheme, so any shared store will do.
+    Without splits the rows and files lie in path itself. Files are written by tasks
+    under temporary names and appear when all are there; a job that fails leaves none.
     """
     texts = label_texts(labels, images)
-    if not per_file:
+    if per_file:
+        texts.sparkSession.dataSource.register(LabelTexts)
+        split = F.col("split") if "split" in texts.columns else F.lit(None).cast("string")
+        texts.select(split.alias("split"), "stem", "content").write.format("label_texts").mode("append").save(path)
+    elif "split" in texts.columns:
+        texts.write.mode("overwrite").partitionBy("split").parquet(path)
+    else:
         texts.write.mode("overwrite").parquet(path)
-        return
-
-    def write(rows) -> None:
-        system, base = _file_system(path)
-        system.create_dir(base, recursive=True)
-        for row in rows:
-            with system.open_output_stream(f"{base}/{row.stem}.txt") as out:
-                out.write((row.content + ("\n" if row.content else "")).encode())
-
-    texts.foreachPartition(write)
 
 
 def load_class_map(spark: SparkSession, source: str | dict | list) -> DataFrame:

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import json
 import struct
+import time
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from boxmill.functions.text import format_label_line
+from boxmill.functions.text import clean_label, format_label_line
 from boxmill.jobs import assemble_dataset
 from boxmill.operators import datasets
-from boxmill.sources import files
+from boxmill.sources import files, stores
 
 
 def png(w, h):
@@ -35,7 +36,7 @@ def root(tmp_path_factory):
     (top / "images/train/junk.jpg").write_bytes(b"not an image")
     (top / "images/train/B.WEBP").write_bytes(b"RIFF\0\0\0\0WEBPVP8X" + b"\0" * 8 + (8).to_bytes(3, "little") + (3).to_bytes(3, "little"))
     (top / "images/train/notes.txt").write_text("no")
-    (top / "labels/train/a.txt").write_text(f"{LINE}\n\n1 2 3\n3.7 0 0 1 0 1 1 0 1\nx 0 0 1 0 1 1 0 1\n")
+    (top / "labels/train/a.txt").write_text(f"{LINE}\n\n1 2 3\n3.7 0 0 1 0 1 1 0 1\nx 0 0 1 0 1 1 0 1\n1e30 0 0 1 0 1 1 0 1\n\u00a0\u20032 0 0 1 0 1 1 0\u00a01\u3000\n")
     (top / "labels/train/b.txt").write_text("")
     (top / "labels/val/e.txt").write_text(LINE)
     return str(top)
@@ -105,6 +106,110 @@ def test_label_files_of_many_folders(spark, tmp_path):
     assert listed.count() == 10_000 and listed.select("stem").distinct().count() == 10_000
 
 
+def test_a_flat_folder_comes_in_frames(spark, tmp_path):
+    """A million names of one folder, of which no more than a frame is held; and 25,000 real ones through Spark."""
+    held, most = 0, 0
+
+    def names(folder):
+        nonlocal held, most
+        for i in range(1_000_000):
+            held += 1
+            most = max(most, held)
+            yield f"{i}.txt", False, 0
+
+    total = 0
+    for page in stores.pages_of("/labels", 10_000, names):
+        held = 0
+        total += page.num_rows
+        assert page.num_rows == 10_000
+    assert (total, most) == (1_000_000, 10_000)
+    for i in range(25_000):
+        (tmp_path / f"{i}.txt").touch()
+    (tmp_path / "_temporary-x").mkdir()
+    (tmp_path / "_temporary-x" / "no.txt").touch()
+    assert files.list_label_files(spark, str(tmp_path)).count() == 25_000
+    assert files.list_label_files(spark, f"file://{tmp_path}").filter("path like 'file:%'").count() == 25_000
+    assert [p.num_rows for p in stores.pages_of(str(tmp_path), 10_000)] == [10_000, 10_000, 5_000]
+    assert list(stores.pages_of(str(tmp_path / "_temporary-x"), 1))[0].column("length").to_pylist() == [0]
+
+
+class Counted:
+    """A file in memory that counts what is read of it."""
+
+    def __init__(self, content):
+        self.content, self.taken = content, 0
+
+    def read_at(self, count, offset):
+        got = self.content[offset : offset + count]
+        self.taken += len(got)
+        return got
+
+
+def test_sizes_take_few_bytes():
+    big = {
+        "png": (png(7, 5)[:-12] + b"\0" * 3_000_000 + png(7, 5)[-12:], (5, 7)),
+        "jpeg": (jpeg(30, 40, exif(6) + segment(0xE2, b"x" * 65_000) * 40) + b"", (40, 30)),
+        "late": (jpeg(30, 40, segment(0xE2, b"x" * 65_000) * 40 + exif(6)), (40, 30)),
+        "bmp": (b"BM" + struct.pack("<I", 2_000_000) + b"\0" * 12 + struct.pack("<ii", 6, -4) + b"\0" * 2_000_000, (4, 6)),
+        "webp": (b"RIFF" + struct.pack("<I", 1_000_000) + b"WEBPVP8X" + b"\0" * 8 + (8).to_bytes(3, "little") + (3).to_bytes(3, "little") + b"\0" * 1_000_000, (4, 9)),
+        "cut": (jpeg(30, 40, segment(0xE2, b"x" * 65_000) * 40)[:-2], None),
+        "other": (b"no image" * 100_000, None),
+        "empty": (b"", None),
+    }
+    for content, size in big.values():
+        file = Counted(content)
+        assert files.size_of(stores.LazyFile(file, len(content))) == size == files.size_of(content)
+        assert file.taken < 100_000
+
+
+def test_lazy_files_are_like_bytes():
+    content = bytes(range(256)) * 20
+    lazy = stores.LazyFile(Counted(content), len(content))
+    for low, high in ((0, 0), (0, 10), (1000, 1100), (1023, 1025), (-64, None), (5000, 99_999), (6000, 7000), (0, 5120)):
+        assert lazy[low:high] == content[low:high]
+    assert lazy[1024] == content[1024]
+    with pytest.raises(IndexError):
+        lazy[len(content)]
+
+
+def test_labels_of_one_stem_in_two_splits(spark, tmp_path):
+    images = spark.createDataFrame([("train", "a"), ("val", "a"), ("val", "none"), (None, "free")], "split string, stem string")
+    lines = spark.createDataFrame([("train", "a", 1, "T2"), ("train", "a", 0, "T1"), ("val", "a", 0, "V"), ("test", "a", 0, "of no image"), (None, "free", 0, "F")], "split string, stem string, line_no long, line string")
+    files.write_labels(lines, images, str(tmp_path / "labels"), per_file=True)
+    found = {str(p.relative_to(tmp_path / "labels")): p.read_text() for p in (tmp_path / "labels").rglob("*") if p.is_file()}
+    assert found == {"train/a.txt": "T1\nT2\n", "val/a.txt": "V\n", "val/none.txt": "", "free.txt": "F\n"}
+    assert sorted(p.name for p in (tmp_path / "labels").iterdir()) == ["free.txt", "train", "val"]
+    # Written again, files are replaced.
+    files.write_labels(lines.withColumn("line", F.upper("stem")), images.filter("split = 'val'"), str(tmp_path / "labels"), per_file=True)
+    assert (tmp_path / "labels/val/a.txt").read_text() == "A\n" and (tmp_path / "labels/train/a.txt").read_text() == "T1\nT2\n"
+    files.write_labels(lines, images, str(tmp_path / "table"))
+    assert spark.read.parquet(str(tmp_path / "table")).filter("stem = 'a'").select("split", "content").orderBy("split").collect() == [("train", "T1\nT2"), ("val", "V")]
+
+
+def test_a_sink_that_fails_leaves_no_file(spark, tmp_path):
+    spark.dataSource.register(stores.LabelTexts)
+
+    @F.udf("string")
+    def content(k):
+        if k == 77:
+            raise ValueError("half-way")
+        return "x"
+
+    rows = spark.range(100).repartition(4, "id").select(F.lit("train").alias("split"), F.col("id").cast("string").alias("stem"), content("id").alias("content"))
+    (tmp_path / "labels").mkdir()
+    (tmp_path / "labels/old.txt").write_text("stays")
+    with pytest.raises(Exception, match="half-way"):
+        rows.write.format("label_texts").mode("append").save(str(tmp_path / "labels"))
+    assert [r.stem for r in files.list_label_files(spark, str(tmp_path)).collect()] == ["old"]
+    time.sleep(1)  # tasks that were still at work
+    assert [p.name for p in (tmp_path / "labels").rglob("*.txt")] == ["old.txt"]
+    # Files of an attempt that Spark does not accept stay out as well.
+    writer = stores.LabelWriter(str(tmp_path / "labels"))
+    first, second = (writer.write(iter([("val", s, "y")])) for s in ("lost", "kept"))
+    writer.commit([second, None])
+    assert first != second and sorted(p.name for p in (tmp_path / "labels").rglob("*.txt")) == ["kept.txt", "old.txt"]
+
+
 def test_empty_label_files_are_listed_but_have_no_lines(spark, root):
     listed = {(r.split, r.stem) for r in files.list_label_files(spark, f"{root}/labels").collect()}
     assert listed == {("train", "a"), ("train", "b"), ("val", "e")}
@@ -113,8 +218,8 @@ def test_empty_label_files_are_listed_but_have_no_lines(spark, root):
 
 def test_lines_are_parsed_dropped_or_rejected(spark, root):
     good, bad = files.parse_label_lines(files.read_labels(spark, f"{root}/labels"))
-    assert sorted((r.stem, r.line_no, r.class_id) for r in good.collect()) == [("a", 0, 1), ("a", 3, 3), ("e", 0, 1)]
-    assert [(r.stem, r.line_no) for r in bad.collect()] == [("a", 4)]
+    assert sorted((r.stem, r.line_no, r.class_id) for r in good.collect()) == [("a", 0, 1), ("a", 3, 3), ("a", 6, 2), ("e", 0, 1)]
+    assert sorted((r.stem, r.line_no) for r in bad.collect()) == [("a", 4), ("a", 5)]
 
 
 def test_labels_round_trip(spark, root, tmp_path):
@@ -136,6 +241,12 @@ def test_half_way_numbers_are_rounded_to_even(spark):
     assert got == ["2" + " 0.007812 0.500000" * 4, None]
 
 
+def test_labels_lose_all_that_strip_takes(spark):
+    odd = [" a\t", "\u00a0A b\u3000", "\x1cX\x85", "\u200ba", "", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "i int, x string")
+    assert [r[0] for r in df.orderBy("i").select(clean_label(F.col("x"))).collect()] == [None if x is None else x.strip().lower() for x in odd]
+
+
 def test_class_maps(spark, tmp_path):
     (tmp_path / "c.yaml").write_text("path: x\nnames:\n  0: sam\n  2: 'buoy'\nother: 1\n")
     (tmp_path / "d.yaml").write_text("names: [sam, buoy]\n")
@@ -174,6 +285,12 @@ def test_augmented_labels(spark):
     assert moved == points(datasets.augment_labels(df.repartition(3), 2, seed=3))
     assert all(moved[i, 0, c] == moved[i, 1, c] for i in (1, 2) for c in (1, 2)) and moved[1, 0, 1] != moved[1, 0, 2] != moved[2, 0, 2]
     assert all(0 <= v <= 1 for c in moved.values() for p in c for v in p)
+    # Boxes pushed out of the image go, and a threshold takes slivers.
+    edge = spark.createDataFrame([(i, 0, [(0.0, 0.4), (0.04, 0.4), (0.04, 0.6), (0.0, 0.6)]) for i in range(50)], df.schema)
+    rest = datasets.augment_labels(edge, 1, **(still | {"translate": 0.2}), flip=0.0)
+    areas = [(max(x for x, _ in c) - min(x for x, _ in c)) * (max(y for _, y in c) - min(y for _, y in c)) for c in points(rest).values()]
+    assert 10 < len(areas) < 45 and min(areas) > 1e-9
+    assert datasets.augment_labels(edge, 1, **(still | {"translate": 0.2}), flip=0.0, min_area=0.005).count() == sum(a > 0.005 for a in areas) > 5
 
 
 def test_stem_keys_do_not_depend_on_the_path(spark):
@@ -205,6 +322,6 @@ def test_assembled_dataset_reports_what_is_wrong(spark, root):
     assert {(r.split, r.stem, r.reason) for r in found.orphans.collect()} >= {("train", "c", "image without label"), ("val", "e", "label without image")}
     assert ("train", "b") not in {(r.split, r.stem) for r in found.orphans.collect()}
     assert [r.stem for r in found.leaks.collect()] == ["a"]
-    assert [(r.stem, r.class_id) for r in found.invalid.collect()] == [("a", 3)]
+    assert sorted((r.stem, r.class_id) for r in found.invalid.collect()) == [("a", 2), ("a", 3)]
     parts = assemble_dataset.split_by_stem(found.images.drop("split"), {"train": 0.5, "val": 0.5})
     assert parts.groupBy("stem").agg(F.countDistinct("split").alias("n")).filter("n > 1").count() == 0
