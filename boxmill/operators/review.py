@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import atan2, cos, radians, sin
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import candidate_score, point_in_obb
+from ..functions.geometry import candidate_score, min_area_rect, order_corners, point_in_obb, rect_to_corners
+from ..functions.masks import hull, smallest_rectangle
 from .detections import shape_filter, small
 
 NO_AREA = 1e9
@@ -112,7 +115,21 @@ def _area(corners: list[list[float]]) -> float:
     return round(abs(sum(ax * by - bx * ay for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1], strict=True))) / 2, 6)
 
 
+def box_of_four(points: list[list[float]]) -> list[list[float]] | None:
+    """Ordered corners of the smallest rectangle round four clicked points; None if it is flat."""
+    found = smallest_rectangle(hull(np.unique(np.array(points, float), axis=0)))
+    if found is None:
+        return None
+    cx, cy, w, h, angle = found
+    c, s = cos(radians(angle)), sin(radians(angle))
+    corners = [[cx + a * w / 2 * c - b * h / 2 * s, cy + a * w / 2 * s + b * h / 2 * c] for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1))]
+    corners.sort(key=lambda p: atan2(p[1] - cy, p[0] - cx))
+    first = min(range(4), key=lambda i: round(corners[i][0] + corners[i][1], 9))
+    return corners[first:] + corners[:first]
+
+
 SAVES = ("save", "next", "previous")
+CLICKS = ("left_click", "right_click", "middle_click")
 
 
 @dataclass
@@ -120,7 +137,10 @@ class Board:
     """Objects of one image under edit; saved holds them as of the last save, or None.
 
     start: the objects at the beginning, those of the label file or the proposals.
-    proposals: what `reset` puts in.
+    proposals: what `reset` puts in. prompts: open clicks for the prompted model, each x,
+    y and 1 (part of the object) or 0. quad: the corners clicked so far while a box is
+    made by hand, None at other times. until: the event time, in milliseconds, up to
+    which a stream keeps the board.
     """
 
     objects: list[dict] = field(default_factory=list)
@@ -129,6 +149,9 @@ class Board:
     start: list[dict] = field(default_factory=list)
     proposals: list[dict] = field(default_factory=list)
     last_seq: int = -1
+    prompts: list[list[float]] = field(default_factory=list)
+    quad: list[list[float]] | None = None
+    until: int = 0
 
     @classmethod
     def of(cls, start: list[dict], proposals: list[dict] | None = None) -> Board:
@@ -143,24 +166,64 @@ class Board:
     def _clamp(self) -> None:
         self.selected = min(self.selected, max(0, len(self.objects) - 1))
 
-    def apply(self, action: str, x: float | None, y: float | None, class_id: int) -> None:
-        """One edit. Unknown actions, and clicks that hit nothing, change no object."""
-        if action == "add":
-            if x is None or y is None:
-                return
-            # An upright box of fixed size round the point.
-            box = [[x - ADD_W / 2, y - ADD_H / 2], [x + ADD_W / 2, y - ADD_H / 2], [x + ADD_W / 2, y + ADD_H / 2], [x - ADD_W / 2, y + ADD_H / 2]]
-            self.objects.append({"class_id": class_id, "source": "manual_obb", "confidence": 1.0, "corners": box})
-            self.selected = len(self.objects) - 1
-        elif action in ("left_click", "right_click", "middle_click"):
-            at = self.hit(x, y) if x is not None and y is not None else None
-            if at is None:
-                return
-            if action == "middle_click":
+    def _add(self, corners: list[list[float]] | None, class_id: int, source: str, confidence: float) -> bool:
+        """A new object, selected; nothing without a box."""
+        if corners is None:
+            return False
+        self.objects.append({"class_id": class_id, "source": source, "confidence": confidence, "corners": corners})
+        self.selected = len(self.objects) - 1
+        return True
+
+    def _click(self, action: str, x: float, y: float, class_id: int) -> None:
+        if self.quad is not None:
+            # Four left clicks make a box by hand; other clicks count for nothing meanwhile.
+            if action == "left_click":
+                self.quad.append([x, y])
+            if len(self.quad) == 4:
+                self._add(box_of_four(self.quad), class_id, "manual_obb", 1.0)
+                self.quad = None
+            return
+        at = self.hit(x, y)
+        if action == "middle_click":
+            if at is not None:
                 del self.objects[at]
                 self.selected = max(0, min(at, len(self.objects) - 1))
-            else:
-                self.selected = at
+        elif at is not None:
+            self.selected = at
+        else:
+            self.prompts.append([x, y, 1 if action == "left_click" else 0])
+
+    def _begin(self, objects: list[dict]) -> None:
+        self.objects, self.selected, self.prompts, self.quad = [dict(o) for o in objects], 0, [], None
+
+    def apply(self, action: str, x: float | None, y: float | None, class_id: int, corners: list[list[float]] | None = None, confidence: float | None = None) -> None:
+        """One edit. Unknown actions change nothing; so do clicks without a place.
+
+        add: a box with these corners; without corners an upright one of fixed size round
+        (x, y), if they are given. accept: the box of the mask that the open prompts gave,
+        with its confidence; without prompts, without a box or while a box is made by
+        hand nothing happens, and the prompts stay. manual begins a box by hand, which
+        backspace takes a corner from and escape ends; clear drops the prompts.
+        """
+        if action in CLICKS:
+            if x is not None and y is not None:
+                self._click(action, x, y, class_id)
+        elif action == "add":
+            if corners is None and x is not None and y is not None:
+                corners = [[x - ADD_W / 2, y - ADD_H / 2], [x + ADD_W / 2, y - ADD_H / 2], [x + ADD_W / 2, y + ADD_H / 2], [x - ADD_W / 2, y + ADD_H / 2]]
+            self._add(corners, class_id, "manual_obb", 1.0)
+        elif action == "accept":
+            if self.quad is None and self.prompts and self._add(corners, class_id, "sam2", 1.0 if confidence is None else confidence):
+                self.prompts = []
+        elif action == "manual":
+            self.quad, self.prompts = [], []
+        elif action == "backspace":
+            if self.quad:
+                self.quad.pop()
+        elif action == "escape":
+            self.quad = None
+        elif action == "clear":
+            self.prompts = []
         elif action == "delete_selected":
             if self.objects:
                 del self.objects[self.selected]
@@ -170,13 +233,12 @@ class Board:
                 self.objects.pop()
             self._clamp()
         elif action == "reset":
-            self.objects, self.selected = [dict(p) for p in self.proposals], 0
+            self._begin(self.proposals)
         elif action in SAVES:
             self.saved = [dict(o) for o in self.objects]
         elif action in ("load", "close"):
             # The label file as last written; before the first save, what the image began with.
-            again = self.start if self.saved is None else [dict(o, source="file", confidence=1.0, corners=[[round(a, 6), round(b, 6)] for a, b in o["corners"]]) for o in self.saved]
-            self.objects, self.selected = [dict(o) for o in again], 0
+            self._begin(self.start if self.saved is None else [dict(o, source="file", confidence=1.0, corners=[[round(a, 6), round(b, 6)] for a, b in o["corners"]]) for o in self.saved])
 
     def dump(self) -> str:
         return json.dumps(self.__dict__)
@@ -202,11 +264,40 @@ START, PROPOSAL, EDIT = 0, 1, 2
 STEPS = ("image_id", "phase", "place", "action", "class_id", "x", "y", "confidence", "corners")
 
 
+def _numbers(corners: Column) -> Column:
+    """Corners as eight numbers."""
+    return F.flatten(F.transform(corners, lambda p: F.array(p["x"], p["y"])))
+
+
 def _objects(rows: DataFrame, phase: int) -> DataFrame:
     """Objects as rows of STEPS; corners as eight numbers."""
-    numbers = F.flatten(F.transform("corners", lambda p: F.array(p["x"], p["y"])))
     none = F.lit(None).cast("double")
-    return rows.select("image_id", F.lit(phase).alias("phase"), F.col("object_index").cast("long").alias("place"), F.col("source").alias("action"), "class_id", none.alias("x"), none.alias("y"), "confidence", numbers.alias("corners"))
+    return rows.select("image_id", F.lit(phase).alias("phase"), F.col("object_index").cast("long").alias("place"), F.col("source").alias("action"), "class_id", none.alias("x"), none.alias("y"), "confidence", _numbers(F.col("corners")).alias("corners"))
+
+
+def with_boxes(edits: DataFrame) -> DataFrame:
+    """edits with x, y, confidence and box (eight numbers, or null) of what each adds.
+
+    corners, if edits has them, are those of the accepted mask's box, or four points of
+    a box to add, of which the smallest rectangle is taken. Flat ones are no box, and
+    adding one adds nothing.
+    """
+    if "box" in edits.columns:
+        return edits
+    none, x, y = F.lit(None), F.col("x").cast("double"), F.col("y").cast("double")
+    confidence = F.col("confidence") if "confidence" in edits.columns else none
+    if "corners" not in edits.columns:
+        return edits.withColumns({"x": x, "y": y, "confidence": confidence.cast("double"), "box": none.cast("array<double>")})
+    given = edits.withColumns({"confidence": confidence.cast("double"), "_rect": F.when(F.size("corners") == 4, min_area_rect(F.col("corners")))})
+    round_it = order_corners(rect_to_corners(*[F.col(f"_rect.{c}") for c in ("cx", "cy", "w", "h", "angle")]))
+    box = F.when(F.col("_rect").isNotNull(), F.when(F.col("action") == "add", round_it).otherwise(order_corners(F.col("corners"))))
+    flat = (F.col("action") == "add") & F.col("corners").isNotNull()  # never the box of fixed size
+    return given.withColumns({"x": F.when(~flat, x), "y": F.when(~flat, y), "box": _numbers(box)}).drop("_rect", "corners")
+
+
+def corners_of(box: np.ndarray | list | None) -> list[list[float]] | None:
+    """Eight numbers as corners."""
+    return None if box is None or isinstance(box, float) else np.asarray(box, float).reshape(-1, 2).tolist()
 
 
 def replay_edits(objects: DataFrame, edits: DataFrame, default_class: int = 0, proposals: DataFrame | None = None, classes: DataFrame | None = None, empty: bool = False) -> DataFrame:
@@ -215,13 +306,14 @@ def replay_edits(objects: DataFrame, edits: DataFrame, default_class: int = 0, p
     objects: EDITED columns, the state at the start. proposals: EDITED columns, what
     `reset` puts in; None: the start objects. classes: the scheme that a choice of class
     must be in. edits: session, image_id, seq, action, class_id (a choice of class, or
-    null), x, y; the order is that of seq. empty: images that were saved without objects
+    null), x, y, and, where there are any, corners and confidence of what an edit adds
+    (see with_boxes() and Board.apply()); the order is that of seq. empty: images that were saved without objects
     get one row with a null object_index.
 
     Rows are dealt out by image and come sorted, so a task holds one board at a time and
     no image's log.
     """
-    log = class_in_force(edits, default_class, classes=classes).select(
+    log = with_boxes(class_in_force(edits, default_class, classes=classes)).select(
         "image_id",
         F.lit(EDIT).alias("phase"),
         F.col("seq").cast("long").alias("place"),
@@ -229,8 +321,8 @@ def replay_edits(objects: DataFrame, edits: DataFrame, default_class: int = 0, p
         F.col("current_class").cast("long").alias("class_id"),
         F.col("x").cast("double").alias("x"),
         F.col("y").cast("double").alias("y"),
-        F.lit(None).cast("double").alias("confidence"),
-        F.lit(None).cast("array<double>").alias("corners"),
+        "confidence",
+        F.col("box").alias("corners"),
     )
     steps = _objects(objects, START).unionByName(log)
     if proposals is not None:
@@ -257,9 +349,10 @@ def replay_edits(objects: DataFrame, edits: DataFrame, default_class: int = 0, p
                     image, start, proposed, board = image_id, [], [], None
                 if phase == EDIT:
                     board = board or Board.of(start, proposed if given else None)
-                    board.apply(action, None if x is None or x != x else x, None if y is None or y != y else y, int(class_id))
+                    x, y, confidence = (None if v is None or v != v else v for v in (x, y, confidence))
+                    board.apply(action, x, y, int(class_id), corners_of(corners), confidence)
                 else:
-                    box = corners.reshape(-1, 2).tolist()
+                    box = corners_of(corners)
                     (start if phase == START else proposed).append({"class_id": int(class_id), "source": action, "confidence": float(confidence), "corners": box})
             yield edited_frame(done)
             done.clear()

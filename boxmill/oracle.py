@@ -54,6 +54,38 @@ REPLAY = f""",
   UNION ALL SELECT image_id, NULL, NULL, NULL, NULL, NULL, NULL FROM ed WHERE len(saved) = 0)"""
 
 
+_NEWER = "struct_pack(c := c, s := {0}, f := {1}, px := px, py := py, a := a)"
+_ADDS = "(nw IS NOT NULL AND (act <> 'accept' OR np > 0))"
+
+#: Four clicks that make a box by hand, from box_edits. lg: the log; mm: the mode and its corners after each edit (it depends on no object);
+#: ef: the log with what each edit does then; qp: the corners of finished boxes (image_id, det_id, i, x, y), det_id being the edit's place.
+HAND_BOXES = """,
+ lg AS (SELECT *, coalesce(last_value(CASE WHEN class_id BETWEEN 0 AND 5 THEN class_id END IGNORE NULLS) OVER (PARTITION BY session ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS c, row_number() OVER (PARTITION BY image_id ORDER BY seq) AS n FROM box_edits),
+ mm AS (SELECT DISTINCT image_id, CAST(0 AS BIGINT) AS n, false AS open, CAST([] AS STRUCT(x DOUBLE, y DOUBLE)[]) AS pts, CAST(NULL AS STRUCT(x DOUBLE, y DOUBLE)[]) AS quad, false AS was FROM box_edits
+  UNION ALL SELECT mm.image_id, lg.n, CASE WHEN action = 'manual' THEN true WHEN action = 'escape' THEN false ELSE open AND (action <> 'left_click' OR len(pts) < 3) END,
+   CASE WHEN action IN ('manual', 'escape') OR NOT open THEN [] WHEN action = 'left_click' THEN CASE WHEN len(pts) = 3 THEN [] ELSE list_append(pts, struct_pack(x := x, y := y)) END WHEN action = 'backspace' THEN pts[1:len(pts) - 1] ELSE pts END,
+   CASE WHEN open AND action = 'left_click' AND len(pts) = 3 THEN list_append(pts, struct_pack(x := x, y := y)) END, open
+  FROM mm JOIN lg ON mm.image_id = lg.image_id AND lg.n = mm.n + 1),
+ ef AS (SELECT lg.*, CASE WHEN was AND (action LIKE '%click' OR action = 'accept') THEN CASE WHEN quad IS NULL THEN 'nothing' ELSE 'quad' END WHEN action = 'manual' THEN 'clear' ELSE action END AS act, quad FROM lg JOIN mm ON lg.image_id = mm.image_id AND lg.n = mm.n),
+ qp AS (SELECT image_id, n AS det_id, i, quad[i].x AS x, quad[i].y AS y FROM ef, range(1, 5) r(i) WHERE quad IS NOT NULL)"""
+
+#: edited as REPLAY gives it, from ef, from the boxes bl(image_id, n, px, py) of edits and from start. np counts the open prompts.
+REPLAY_BOXES = f""",
+ ba AS (SELECT *, round(abs(list_sum(list_transform(range(1, 5), lambda k: px[k] * py[k % 4 + 1] - px[k % 4 + 1] * py[k]))) / 2, 6) AS a FROM bl),
+ st AS (SELECT ef.image_id, ef.n, act, x, y, c, CASE WHEN act = 'add' AND NOT boxed THEN {_NEW} WHEN px IS NULL THEN NULL WHEN act IN ('add', 'quad') THEN {_NEWER.format("'manual_obb'", 'CAST(1 AS DOUBLE)')} WHEN act = 'accept' THEN {_NEWER.format("'sam2'", 'confidence')} END AS nw FROM ef LEFT JOIN ba ON ef.image_id = ba.image_id AND ef.n = ba.n),
+ bg AS (SELECT e.image_id, coalesce(list(struct_pack(c := class_id, s := source, f := confidence, px := px, py := py, a := round(abs(list_sum(list_transform(range(1, 5), lambda k: px[k] * py[k % 4 + 1] - px[k % 4 + 1] * py[k]))) / 2, 6)) ORDER BY place) FILTER (WHERE class_id IS NOT NULL), []) AS objs
+  FROM (SELECT DISTINCT image_id FROM ef) e LEFT JOIN start s ON e.image_id = s.image_id GROUP BY 1),
+ bo AS (SELECT image_id, CAST(0 AS BIGINT) AS n, objs, CAST(0 AS BIGINT) AS sel, CASE WHEN false THEN objs END AS saved, CAST(0 AS BIGINT) AS np FROM bg
+  UNION ALL SELECT image_id, n,
+   CASE WHEN {_ADDS} THEN list_append(objs, nw) WHEN act = 'middle_click' AND hit IS NOT NULL THEN list_concat(objs[1:hit - 1], objs[hit + 1:])
+    WHEN act = 'undo' THEN objs[1:len(objs) - 1] WHEN act = 'delete_selected' THEN list_concat(objs[1:sel], objs[sel + 2:]) ELSE objs END,
+   CASE WHEN {_ADDS} THEN len(objs) WHEN act IN ('left_click', 'right_click') AND hit IS NOT NULL THEN hit - 1 WHEN act = 'middle_click' AND hit IS NOT NULL THEN greatest(0, least(hit - 1, len(objs) - 2))
+    WHEN act IN ('undo', 'delete_selected') THEN least(sel, greatest(0, len(objs) - 2)) ELSE sel END,
+   CASE WHEN act = 'save' THEN objs ELSE saved END,
+   CASE WHEN act = 'clear' OR act = 'accept' AND {_ADDS} THEN 0 WHEN act IN ('left_click', 'right_click') AND hit IS NULL THEN np + 1 ELSE np END
+  FROM (SELECT bo.image_id, st.n, act, nw, x, y, objs, sel, saved, np, CASE WHEN act LIKE '%click' THEN {_HITS} END AS hit FROM bo JOIN st ON bo.image_id = st.image_id AND st.n = bo.n + 1)),
+{REPLAY[REPLAY.index(' ed AS'):]}"""
+
 
 def half_even(value: str) -> str:
     """The number with six decimals, halves to even, as written in a label line. Ten decimals tell a half."""

@@ -15,7 +15,7 @@ from .jobs import assemble_dataset, review_labels
 from .jobs.auto_label import auto_label, label_boxes
 from .jobs.evaluate import evaluate, evaluate_by_domain
 from .operators import datasets, detections as d, evaluation, fusion, review, suppression
-from .oracle import EDITED_CORNERS, OUTLINES, OVERLAPS, REPLAY, half_even
+from .oracle import EDITED_CORNERS, HAND_BOXES, OUTLINES, OVERLAPS, REPLAY, REPLAY_BOXES, half_even
 from .scratch import materialise
 from .sources import files
 from .sources.derived import table, with_tables
@@ -217,12 +217,19 @@ def q24_polygon_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 SKEW = "x + det_id * (i + 1) % 7 AS x, y - det_id * (i + 2) % 5 AS y"
 
 
-@query(
-    f"""{with_tables('detections')}, {POINTS}, sk AS (SELECT image_id, det_id, i, {SKEW} FROM pts),
- li AS (SELECT a.image_id, a.det_id, degrees(atan2(b.y - a.y, b.x - a.x)) AS d FROM sk a JOIN sk b ON a.image_id = b.image_id AND a.det_id = b.det_id AND a.i < b.i WHERE a.x <> b.x OR a.y <> b.y),
+
+
+def smallest(points: str) -> str:
+    """CTEs that end in best: angle and bounds u0, u1, v0, v1 of the smallest rectangle round a table's points (image_id, det_id, i, x, y)."""
+    return f"""
+ li AS (SELECT a.image_id, a.det_id, degrees(atan2(b.y - a.y, b.x - a.x)) AS d FROM {points} a JOIN {points} b ON a.image_id = b.image_id AND a.det_id = b.det_id AND a.i < b.i WHERE a.x <> b.x OR a.y <> b.y),
  an AS (SELECT DISTINCT image_id, det_id, CASE WHEN m > 90 - 1e-9 THEN 0 ELSE m END AS angle FROM (SELECT *, ((d % 90) + 90) % 90 AS m FROM li)),
- re AS (SELECT image_id, det_id, angle, min(u) AS u0, max(u) AS u1, min(v) AS v0, max(v) AS v1 FROM (SELECT sk.*, angle, x * cos(radians(angle)) + y * sin(radians(angle)) AS u, y * cos(radians(angle)) - x * sin(radians(angle)) AS v FROM sk JOIN an ON sk.image_id = an.image_id AND sk.det_id = an.det_id) GROUP BY 1, 2, 3),
- best AS (SELECT * FROM re QUALIFY row_number() OVER (PARTITION BY image_id, det_id ORDER BY round((u1 - u0) * (v1 - v0), 6), angle) = 1)
+ re AS (SELECT image_id, det_id, angle, min(u) AS u0, max(u) AS u1, min(v) AS v0, max(v) AS v1 FROM (SELECT p.*, angle, x * cos(radians(angle)) + y * sin(radians(angle)) AS u, y * cos(radians(angle)) - x * sin(radians(angle)) AS v FROM {points} p JOIN an ON p.image_id = an.image_id AND p.det_id = an.det_id) GROUP BY 1, 2, 3),
+ best AS (SELECT * FROM re QUALIFY row_number() OVER (PARTITION BY image_id, det_id ORDER BY round((u1 - u0) * (v1 - v0), 6), angle) = 1)"""
+
+
+@query(
+    f"""{with_tables('detections')}, {POINTS}, sk AS (SELECT image_id, det_id, i, {SKEW} FROM pts),{smallest('sk')}
  SELECT image_id, det_id, round((u1 - u0) * (v1 - v0), 3) AS area FROM best WHERE u1 - u0 > 1e-9 AND v1 - v0 > 1e-9"""
 )
 def q25_min_area_rect(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -818,6 +825,24 @@ def q73_replay_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replayed.select("image_id", "object_index", "class_id", "source", "confidence", *flat(F.col("corners")))
 
 
+# Boxes of edits: those that are given, and those round four clicks.
+_CLICKED = "SELECT image_id, det_id, i, a * cos(radians(angle)) - b * sin(radians(angle)) AS x, a * sin(radians(angle)) + b * cos(radians(angle)) AS y FROM (SELECT *, CASE WHEN i IN (1, 4) THEN u0 ELSE u1 END AS a, CASE WHEN i < 3 THEN v0 ELSE v1 END AS b FROM best, range(1, 5) r(i) WHERE u1 - u0 > 1e-9 AND v1 - v0 > 1e-9)"
+_GIVEN = POINTS[POINTS.index("SELECT") : POINTS.rindex(")")].replace("det_id", "n AS det_id").replace("FROM detections", "FROM (SELECT n, image_id, x AS cx, y AS cy, w, h, deg FROM ef WHERE act IN ('add', 'accept') AND boxed AND h > 0)")
+BOXED = f"""{ALL_OBJECTS.replace('WITH RECURSIVE ', with_tables('box_edits').replace('WITH ', 'WITH RECURSIVE ', 1) + ', ', 1)}{HAND_BOXES},{smallest('qp')},
+ bp AS ({_CLICKED} UNION ALL {_GIVEN}), {ordered('bp', 'bc')}, bl AS (SELECT image_id, det_id AS n, list(x ORDER BY k) AS px, list(y ORDER BY k) AS py FROM bc GROUP BY 1, 2){REPLAY_BOXES}"""
+
+
+@query(f"{BOXED} SELECT image_id, object_index, class_id, source, confidence, {EDITED_CORNERS} FROM edited WHERE object_index IS NOT NULL")
+def q73_replay_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log with boxes of masks, four clicked corners and open prompts, on all objects of the edited images."""
+    edits, rows = table(spark, sf_dir, "box_edits"), with_corners(table(spark, sf_dir, "detections"))
+    start = rows.select("image_id", F.col("det_id").alias("object_index"), (F.col("det_id") % 6).alias("class_id"), F.lit("file").alias("source"), F.lit(1.0).alias("confidence"), "corners")
+    has_box = F.col("action").isin("add", "accept") & F.col("boxed")
+    edits = edits.withColumn("corners", F.when(has_box, g.rect_to_corners(F.col("x"), F.col("y"), F.col("w"), F.col("h"), F.col("deg"))))
+    replayed = review.replay_edits(start.join(edits.select("image_id").distinct(), "image_id", "left_semi"), edits, classes=table(spark, sf_dir, "classes"))
+    return replayed.select("image_id", "object_index", "class_id", "source", "confidence", *flat(F.col("corners")))
+
+
 # ---- whole jobs -----------------------------------------------------------------------
 
 LINES = (

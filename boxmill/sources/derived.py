@@ -56,6 +56,18 @@ FROM (SELECT image_id, det_id,
             WHEN 'error' THEN CASE event_id % 2 WHEN 0 THEN 'undo' ELSE 'delete_selected' END ELSE 'save' END AS action,
        CASE WHEN event_id % 4 = 0 THEN event_id % 6 END AS class_id,
        CAST(event_id * 37 % 640 AS DOUBLE) AS x, CAST(event_id * 53 % 480 AS DOUBLE) AS y
+FROM {events}""",
+    "box_edits": """SELECT user_id % 10 AS session, user_id AS image_id, event_id AS seq, ts,
+       CASE event_type WHEN 'purchase' THEN CASE event_id % 6 WHEN 0 THEN 'manual' WHEN 1 THEN 'add' ELSE 'accept' END
+            WHEN 'view' THEN CASE event_id % 8 WHEN 7 THEN 'right_click' ELSE 'left_click' END
+            WHEN 'click' THEN CASE event_id % 4 WHEN 0 THEN 'middle_click' WHEN 1 THEN 'right_click' ELSE 'left_click' END
+            WHEN 'error' THEN CASE event_id % 6 WHEN 0 THEN 'undo' WHEN 1 THEN 'delete_selected' WHEN 2 THEN 'backspace'
+                                                WHEN 3 THEN 'escape' WHEN 4 THEN 'clear' ELSE 'manual' END
+            ELSE 'save' END AS action,
+       CASE WHEN event_id % 4 = 0 THEN event_id % 6 END AS class_id,
+       CAST(event_id * 37 % 640 AS DOUBLE) AS x, CAST(event_id * 53 % 480 AS DOUBLE) AS y, event_id % 7 > 0 AS boxed,
+       CAST(20 + event_id % 70 AS DOUBLE) AS w, CAST(CASE event_id % 9 WHEN 0 THEN 0 ELSE 10 + event_id % 31 END AS DOUBLE) AS h,
+       CAST(event_id % 180 AS DOUBLE) AS deg, CAST(event_id % 100 AS DOUBLE) / 100 AS confidence
 FROM {events}""",
 }
 

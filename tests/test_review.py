@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+from datetime import datetime, timedelta
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -169,6 +170,159 @@ def test_replay_against_a_plain_loop(spark):
         assert [(r.class_id, (r.corners[0].x + r.corners[2].x) / 2, (r.corners[0].y + r.corners[2].y) / 2) for r in mine] == [(c, x, y) for c, (x, y, _) in expected or []]
 
 
+BOXED = EDITS + ", confidence double, corners array<struct<x:double,y:double>>, ts timestamp"
+ALL = ["add", "accept", "accept", "manual", "left_click", "left_click", "left_click", "right_click", "middle_click", "backspace", "escape", "clear", "undo", "delete_selected", "reset", "load", "save"]
+
+
+def boxed_edits(n, images, seed):
+    """Edits of all kinds: upright boxes, flat ones, none; and four clicks that make an upright box by hand in one go."""
+    r = random.Random(seed)
+    out, at = [], {}
+    for i in range(n):
+        image = r.randrange(images)
+        action = r.choice(ALL)
+        x, y = float(r.randrange(80)), float(r.randrange(80))
+        if at.get(image):
+            action, (x, y) = "left_click", at[image].pop()
+        elif action == "manual" and r.random() < 0.7:
+            w, h = r.choice([0.0, 7.0, 20.0]), r.choice([5.0, 9.0])
+            at[image] = [(x - w, y), (x, y - h), (x - w, y - h), (x, y)]
+        corners = r.choice([None, square(x, y, 6), square(x, y, 9), [(x, y), (x + 5, y), (x + 9, y), (x + 2, y)], [(x, y)] * 3]) if action in ("add", "accept") else None
+        out.append((1, image, i, action, r.randrange(6), x, y, r.random() if action == "accept" else None, corners, datetime(2024, 1, 1) + timedelta(minutes=i)))
+    return out
+
+
+def plain_boxes(start, log):
+    """The rules of all edits on lists; boxes are upright: (class, source, confidence, (x0, y0, x1, y1))."""
+    objects, selected, saved, prompts, hand = list(start), 0, None, 0, None
+    upright = lambda ps: (min(x for x, _ in ps), min(y for _, y in ps), max(x for x, _ in ps), max(y for _, y in ps))
+    for _, _, _, action, class_id, x, y, confidence, corners, _ in log:
+        box = None
+        if corners is not None and len(corners) == 4:
+            box = upright(corners)
+            box = None if box[0] == box[2] or box[1] == box[3] else box
+        new = None
+        if "click" in action and hand is not None:
+            if action == "left_click":
+                hand.append((x, y))
+            if len(hand) == 4:
+                box, hand = upright(hand), None
+                new = None if box[0] == box[2] or box[1] == box[3] else (class_id, "manual_obb", 1.0, box)
+        elif "click" in action:
+            area = lambda b: (b[2] - b[0]) * (b[3] - b[1])
+            hit = min((i for i, (_, _, _, b) in enumerate(objects) if b[0] <= x <= b[2] and b[1] <= y <= b[3]), key=lambda i: (area(objects[i][3]), i), default=None)
+            if hit is None:
+                prompts += action != "middle_click"
+            elif action == "middle_click":
+                objects.pop(hit)
+                selected = max(0, min(hit, len(objects) - 1))
+            else:
+                selected = hit
+        elif action == "add":
+            box = (x - 30, y - 10, x + 30, y + 10) if corners is None else box
+            new = box and (class_id, "manual_obb", 1.0, box)
+        elif action == "accept" and hand is None and prompts and box:
+            new, prompts = (class_id, "sam2", confidence, box), 0
+        elif action == "manual":
+            hand, prompts = [], 0
+        elif action == "backspace" and hand:
+            hand.pop()
+        elif action == "escape":
+            hand = None
+        elif action == "clear":
+            prompts = 0
+        elif action == "undo" and objects:
+            objects.pop()
+            selected = min(selected, max(0, len(objects) - 1))
+        elif action == "delete_selected" and objects:
+            objects.pop(selected)
+            selected = min(selected, max(0, len(objects) - 1))
+        elif action in ("reset", "load"):
+            objects = list(start) if action == "reset" or saved is None else [(c, "file", 1.0, b) for c, _, _, b in saved]
+            selected, prompts, hand = 0, 0, None
+        elif action == "save":
+            saved = list(objects)
+        if new:
+            objects.append(new)
+            selected = len(objects) - 1
+    return saved
+
+
+def upright_rows(rows):
+    key = lambda r: (r.class_id, r.source, r.confidence, tuple(round(f(p[k] for p in r.corners), 6) for f, k in ((min, 0), (min, 1), (max, 0), (max, 1))))
+    return [key(r) for r in sorted(rows, key=lambda r: r.object_index)]
+
+
+def test_boxes_of_edits_against_a_plain_loop(spark):
+    edits = boxed_edits(1500, 5, 3)
+    start = {i: [(k, "file", 1.0, (15.0 * k, 31.0, 15.0 * k + 18, 49.0)) for k in range(5)] for i in range(5)}
+    rows = [(i, k, c, s, f, square((x0 + x1) / 2, 40, 9)) for i, objects in start.items() for k, (c, s, f, (x0, _, x1, _)) in enumerate(objects)]
+    got = review.replay_edits(spark.createDataFrame(rows, START), spark.createDataFrame(edits, BOXED)).collect()
+    expected = {i: plain_boxes(start[i], [e for e in edits if e[1] == i]) for i in range(5)}
+    for i in range(5):
+        assert upright_rows([r for r in got if r.image_id == i]) == (expected[i] or [])
+    made = {}
+    for k in range(20, 1500):  # every kind of object is there at some save
+        for i in range(5):
+            for _, source, _, box in plain_boxes(start[i], [e for e in edits[:k] if e[1] == i]) or []:
+                made.setdefault(source, set()).add(box[2] - box[0])
+    assert made["sam2"] >= {12} and {7, 12, 18, 20, 60} <= made["manual_obb"]
+
+
+def as_files(spark, edits, folder, files):
+    step = -(-len(edits) // files)
+    for i in range(files):
+        spark.createDataFrame(edits[i * step : (i + 1) * step], BOXED).coalesce(1).write.parquet(str(folder / "made" / str(i)))
+        part = next((folder / "made" / str(i)).glob("*.parquet"))
+        (folder / "in").mkdir(exist_ok=True)
+        part.rename(folder / "in" / f"{i}.parquet")
+        os.utime(folder / "in" / f"{i}.parquet", (1_000_000 + 60 * i,) * 2)
+
+
+def test_boxes_of_edits_in_a_stream(spark, tmp_path):
+    edits = boxed_edits(240, 4, 9)
+    as_files(spark, edits, tmp_path, 6)
+    source = lambda schema, name: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+    run(class_in_force_stream(source(BOXED, "in")), tmp_path, "log")
+    run(replay_edits_stream(source(LOG, "log")), tmp_path, "out")
+    out = [r for r in spark.read.parquet(str(tmp_path / "out")).collect() if r.kind != "late"]
+    last = {}
+    for r in out:
+        last[r.image_id] = max(last.get(r.image_id, -1), r.seq)
+    got = sorted(tuple(r)[2:] for r in out if r.kind == "object" and r.seq == last[r.image_id])
+    assert got == sorted(map(tuple, review.replay_edits(spark.createDataFrame([], START), spark.createDataFrame(edits, BOXED)).collect())) and got
+
+
+def test_idle_images_leave_the_state(spark, tmp_path):
+    """Image 1 ends early, image 2 goes on; two hours later 1 is closed, a late edit of it is named, and a new one begins anew."""
+    at = lambda minute: datetime(2024, 1, 1) + timedelta(minutes=minute)
+    edit = lambda image, seq, minute, action="add": (1, image, seq, action, 3, 10.0 * seq, 10.0, None, None, at(minute))
+    log = [
+        [edit(1, 1, 0), edit(2, 2, 1), edit(1, 3, 2, "save")],
+        [edit(1, 4, 3), edit(2, 5, 100)],
+        [edit(2, 6, 130, "save")],  # the watermark passes 3 + 60
+        [edit(1, 7, 20), edit(2, 8, 140, "save")],  # 20 + 60 is over: late
+        [edit(1, 9, 150, "save"), edit(2, 10, 151, "save")],
+    ]
+    for i, rows in enumerate(log):
+        spark.createDataFrame(rows, BOXED).coalesce(1).write.parquet(str(tmp_path / "made" / str(i)))
+        (tmp_path / "in").mkdir(exist_ok=True)
+        next((tmp_path / "made" / str(i)).glob("*.parquet")).rename(tmp_path / "in" / f"{i}.parquet")
+        os.utime(tmp_path / "in" / f"{i}.parquet", (1_000_000 + 60 * i,) * 2)
+    source = spark.readStream.schema(BOXED).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    stream = replay_edits_stream(source, idle="1 hour")
+    query = stream.coalesce(1).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start()
+    assert query.awaitTermination(400) and query.exception() is None
+    sizes = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(sizes) == 2 and any(b < a for a, b in zip(sizes, sizes[1:], strict=False))
+    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("seq", "image_id", "object_index").collect()
+    found = [(r.kind, r.image_id, r.seq) for r in rows]
+    assert ("closed", 1, 4) in found and ("late", 1, 7) in found and ("empty", 1, 9) in found
+    assert [f for f in found if f[:2] == ("object", 1)] == [("object", 1, 3)]
+    assert [f for f in found if f[:2] == ("object", 2)] == [("object", 2, k) for k in (6, 6, 8, 8, 10, 10)]
+    assert [f for f in found if f[0] == "closed" and f[1] == 2] == [] and len(found) == 10
+
+
 def test_labels_are_made_once_per_arriving_file(spark, tmp_path):
     for i in range(3):
         spark.createDataFrame([(i, k) for k in range(4)], "image_id long, det_id long").coalesce(1).write.parquet(str(tmp_path / "in" / f"{i}"))
