@@ -33,6 +33,8 @@ CASE = bytes.maketrans(UPPER, UPPER.lower())
 LATER = bytes(range(0x80, 0xC0))
 #: Hashes of a shard, and lines that are probed in one task, about.
 SHARD_KEYS, SHARD_PROBES = 100_000, 2_000_000
+#: Lines that are looked up at once.
+PROBED = 20_000
 #: Rows without an id count as one document of this id.
 NO_ID = -(1 << 63)
 LOW = (1 << 64) - 1
@@ -102,25 +104,35 @@ def _cleaned(docs: DataFrame, index: Index, least: int, min_docs: int) -> DataFr
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_lines, n_dropped, texts = [], [], []
             gone = batch.column("gone") if has_gone else None
-            for i, (doc, text) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("text"), strict=True)):
+            ids, docs_of = batch.column("doc_id"), batch.column("doc").to_numpy()
+            waiting: list[tuple[int, list[bytes], list[int | None]]] = []
+            keyed = 0
+            for i, text in enumerate(batch.column("text")):
                 lines = _lines(text.as_py())
                 keys = line_keys(lines, least)
-                places = [j for j, k in enumerate(keys) if k is not None]
-                dropped: set[int] = set()
-                if places:
-                    a, b = _halves([keys[j] for j in places])
-                    counts, last = shared.value.find(a, b)
-                    dropped = {places[j] for j in np.flatnonzero((counts >= min_docs) & (last != doc))}
-                if gone is not None and gone[i].is_valid:
-                    listed = {((k["a"] & LOW) << 64) | (k["b"] & LOW) for k in gone[i].as_py()}
-                    dropped |= {j for j in places if keys[j] in listed}
-                n_lines.append(len(lines))
-                n_dropped.append(len(dropped))
-                kept = [x for j, x in enumerate(lines) if j not in dropped] if dropped else lines
-                texts.append(b"\n".join(kept).decode("utf-8", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "n_lines", "n_dropped", "text"])
+                waiting.append((i, lines, keys))
+                keyed += len(keys)
+                if keyed >= PROBED:
+                    yield flush(waiting, ids, docs_of, gone)
+                    waiting, keyed = [], 0
+            yield flush(waiting, ids, docs_of, gone)
+
+    def flush(waiting: list[tuple[int, list[bytes], list[int | None]]], ids: pa.Array, docs_of: np.ndarray, gone: pa.Array | None) -> pa.RecordBatch:
+        """The rows of the waiting documents, all of whose lines are looked up together."""
+        flat = [k for _, _, keys in waiting for k in keys if k is not None]
+        owner = np.repeat([docs_of[i] for i, _, _ in waiting], [sum(k is not None for k in keys) for _, _, keys in waiting]) if flat else np.zeros(0, np.int64)
+        counts, last = shared.value.find(*_halves(flat))
+        drop = iter(((counts >= min_docs) & (last != owner)).tolist())
+        n_lines, n_dropped, texts = [], [], []
+        for i, lines, keys in waiting:
+            listed = {((k["a"] & LOW) << 64) | (k["b"] & LOW) for k in gone[i].as_py()} if gone is not None and gone[i].is_valid else ()
+            kept = [x for x, k in zip(lines, keys, strict=True) if k is None or not (next(drop) or k in listed)]
+            n_lines.append(len(lines))
+            n_dropped.append(len(lines) - len(kept))
+            texts.append(b"\n".join(kept).decode("utf-8", "surrogatepass"))
+        rows = ids.take(pa.array([i for i, _, _ in waiting], pa.int64()))
+        return pa.RecordBatch.from_arrays([rows, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "n_lines", "n_dropped", "text"])
 
     return docs.mapInArrow(clean, "doc_id long, n_lines long, n_dropped long, text string")
 
