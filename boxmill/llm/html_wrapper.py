@@ -12,7 +12,11 @@
    - A text that stands in the same slot on most pages is template.
    - The content region is the deepest container that holds nearly all varying text that
      is no link. Slots outside it that most pages have are the page's furniture: menus,
-     adverts, footers, whatever their tags and names.
+     adverts, footers, whatever their tags and names. A region with less than half of the
+     text is none; and slots whose texts stand on one page each are no furniture inside
+     article or main, or beside the region in a container that is less than the page.
+   - Versions of one article look like template. So no template takes more than half of
+     a page's region or article, nor of a slot whose other texts vary.
 4. What the comparison leaves open (hosts of few pages, slots that few pages have, parts
    inside the region such as reader comments) is decided by element names, roles, and
    class names, and by article elements.
@@ -39,8 +43,8 @@ from .common import hot_keys, join_lookup, materialise
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?:svg|math|iframe|object|select|canvas|video|audio)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
-    r"|<(script|style|noscript|template|textarea|title|svg|iframe|object|select|math|xmp|noframes|canvas|video|audio)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(?:svg|iframe|object|select|canvas|video|audio)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    r"|<(script|style|noscript|template|textarea|title|svg|iframe|object|select|annotation-xml|annotation|xmp|noframes|canvas|video|audio)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)",
@@ -75,9 +79,12 @@ NEUTRAL = frozenset(
     " primary secondary global local mobile desktop full width wide small large big post posts article articles entry entries story stories user users reader readers view module component zone region floating"
     " sticky fixed horizontal vertical first last button buttons icon icons text".split()
 )
+# Paragraphs of an article's own header whose class says so are text; its other parts, as the author's name, are not.
+STANDFIRST = frozenset("standfirst lede dek deck subtitle subheading subheadline summary intro introduction abstract".split())
 # A header of these is the article's own; its title is text.
 OWN = frozenset("article post entry story content text".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+WORD_OF = re.compile(r"[a-z]+")
 # Short blocks that name what follows them.
 LABELS = HEADINGS | {"dt", "th", "caption", "legend", "summary"}
 # Siblings of these tags are one node; of others, the first APART of a run are nodes of their own.
@@ -127,7 +134,7 @@ def names_of(attributes: str) -> tuple[str, str, bool]:
             mark = mark or next(filter(None, map(mark_of, tokens)), "")
         elif name == "role" and value.lower() in DROPPED_ROLES:
             mark = mark or value.lower()
-        elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
+        elif name == "hidden" or name == "style" and "display:none" in value.replace(" ", "").lower():
             hidden = True
     return signature, mark, hidden
 
@@ -135,27 +142,42 @@ def names_of(attributes: str) -> tuple[str, str, bool]:
 def read_page(html: str | None) -> tuple[list, list[tuple[int, str, int, int]]]:
     """The skeleton [label, children, number] and the blocks (node, text, flags, characters in links) in page order.
 
-    Hidden elements, scripts and the like are no blocks. Null: an empty skeleton.
+    Hidden elements, scripts and the like are no blocks; what is hidden from screen
+    readers only is seen, and a formula is the text of its signs. Null: an empty skeleton.
+
+    A menu entry is a block that is all but wholly links, outside articles and no
+    heading: one of several links, or one whose container has nothing else. A paragraph
+    that is one link is an entry only among others of its kind.
     """
     root: list = ["#", [], 0]
     count = 1
     stack = [Element("#", root, "", False)]
     opened: Counter[str] = Counter()
     blocks: list[tuple[int, str, int, int]] = []
+    paragraphs: list[bool] = []
+    several: list[Element | None] = []
+    entries: list[tuple[int, Element]] = []  # blocks that may be, and their containers
+    parts: Counter[Element] = Counter()
     text: list[str] = []
-    linked = length = in_link = 0
+    linked = length = in_link = links = 0
 
     def flush() -> None:
-        nonlocal linked, length
+        nonlocal linked, length, links
         if text:
             top = stack[-1]
             joined = " ".join(unescape("".join(text)).split())
             if joined and top.mark != "hidden":
-                entry = linked and linked * 10 >= length * 9 and len(joined) < 200 and not top.root and top.tag not in HEADINGS
                 share = len(joined) * linked // length if linked else 0
-                blocks.append((top.node[2], joined, (MARKED if top.mark else 0) | (INSIDE if top.root else 0) | (ENTRY if entry else 0), share))
+                of = stack[-2] if top.tag in RUNS and len(stack) > 1 else top
+                parts[of] += 1
+                alone = linked and linked * 10 >= length * 9 and not top.root and top.tag not in HEADINGS
+                if alone and links < 2:
+                    entries.append((len(blocks), of))
+                blocks.append((top.node[2], joined, (MARKED if top.mark else 0) | (INSIDE if top.root else 0) | (ENTRY if alone and links > 1 else 0), share))
+                paragraphs.append(top.tag == "p")
+                several.append(of if alone and links > 1 else None)
             text.clear()
-        linked = length = 0
+        linked = length = links = 0
 
     def close(depth: int) -> None:
         for e in stack[depth:]:
@@ -179,6 +201,7 @@ def read_page(html: str | None) -> tuple[list, list[tuple[int, str, int, int]]]:
         if tag not in BLOCKS:
             if tag == "a":
                 in_link = 0 if slash else 1
+                links += in_link
             elif tag == "br":
                 text.append(" ")
             continue
@@ -206,8 +229,8 @@ def read_page(html: str | None) -> tuple[list, list[tuple[int, str, int, int]]]:
         mark = above.mark or ("hidden" if hidden else named or (tag if tag in DROPPED_TAGS else ""))
         is_root = tag in ("article", "main") and not named and not hidden
         if tag == "header" and above.root and not above.mark:
-            mark = "byline"  # of an article: its headings are text
-        if is_root and above.mark not in LASTING and above.mark != "hidden" or above.mark == "byline" and tag in HEADINGS:
+            mark = "byline"  # of an article: its headings and its standfirst are text
+        if is_root and above.mark not in LASTING and above.mark != "hidden" or above.mark == "byline" and not hidden and (tag in HEADINGS or not STANDFIRST.isdisjoint(WORD_OF.findall(signature))):
             mark = ""  # an element left open before must not swallow the article
         elif tag in ("body", "html"):
             mark = ""
@@ -223,6 +246,11 @@ def read_page(html: str | None) -> tuple[list, list[tuple[int, str, int, int]]]:
     if at < len(html):
         text.append(html[at:].split("<", 1)[0] if re.match(r"<[a-zA-Z/!?]", html[at:]) else html[at:])
     flush()
+    like = Counter(of for _, of in entries) + Counter(filter(None, several))
+    for i, of in entries:
+        if like[of] == parts[of] and (like[of] > 1 or not paragraphs[i]):
+            node, joined, flags, share = blocks[i]
+            blocks[i] = node, joined, flags | ENTRY, share
     return root, blocks
 
 
@@ -406,48 +434,58 @@ def all_slots(own: list, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return list(slot.items())
 
 
-STATS = ("pages", "chars", "linked", "marked", "fixed", "template")
+STATS = ("pages", "chars", "linked", "marked", "single", "fixed", "template")
 
 
 def rules_of(skeleton: str, stats: list, host_pages: int, region_share: float) -> str:
     """What the comparison of a host's pages says of the nodes of a skeleton, as JSON.
 
     stats: (node, pages with its slot, characters there, of these in links, in parts left
-    out by name, and of template texts, hashes of the template texts), sums over distinct
-    pages. same: node to its template texts. region: first and last node of the content
+    out by name, outside links in texts of one page only, and of template texts, hashes of
+    the template texts), sums over distinct pages. same: node to its template texts. region: first and last node of the content
     region, or null. out: furniture outside it. labels: headings with template texts.
     """
     nodes = nodes_of(read_back(skeleton))
     n = len(nodes)
-    varying, raw, pages = np.zeros(n), np.zeros(n), np.zeros(n)
+    varying, raw, pages, plain = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+    own_text, rooted = np.zeros(n, bool), np.zeros(n, bool)
     heading = np.zeros(n, np.int64)
     same: dict[int, list[int]] = {}
-    for node, seen, chars, linked, marked, fixed, template in stats:
+    for node, seen, chars, linked, marked, single, fixed, template in stats:
         if not seen:
             continue
-        if len(template):
+        # A slot most of whose text is fixed while the rest varies is that of versions of one article.
+        if len(template) and not (2 * fixed > chars - linked > fixed and 2 * single > chars - linked - fixed):
             same[node] = sorted(map(int, template))
+        plain[node] = max(0, chars - linked - marked) / seen
+        own_text[node] = 2 * single > chars - linked > 0
         raw[node], pages[node] = chars, seen
         varying[node] = max(0, chars - linked - fixed) / seen
         heading[node] = nodes[node][0].split(".")[0] in HEADINGS and varying[node] > 0 and 2 * marked < chars and 2 * seen >= host_pages
     total, held, last = varying.copy(), raw.copy(), np.arange(n)
+    for node in nodes:
+        rooted[node[2]] |= node[0].split(".")[0] in ("article", "main")
+        for c in node[1]:
+            rooted[c[2]] = rooted[node[2]]
     for node in reversed(nodes):
         for c in node[1]:
             total[node[2]] += total[c[2]]
             held[node[2]] += held[c[2]]
             last[node[2]] = max(last[node[2]], last[c[2]])
     before = np.concatenate([[0], np.cumsum(heading)])  # varying headings with lower numbers
-    at = nodes[0]
+    at = above = nodes[0]
     while at[1] and total[0] > 0:
         down = max(at[1], key=lambda c: total[c[2]])
         # The region is a container, and the headings that lead up to the text are in it.
         leads = before[down[2]] - before[at[2]]
         if total[down[2]] < region_share * total[0] or held[down[2]] == raw[down[2]] or leads:
             break
-        at = down
-    found = at[0].split(".")[0] not in ("#", "html", "body")
+        at, above = down, at
     inside = range(at[2], int(last[at[2]]) + 1)
-    out = [i for i in range(n) if raw[i] and found and i not in inside and 2 * pages[i] >= host_pages]
+    found = at[0].split(".")[0] not in ("#", "html", "body") and 2 * plain[inside.start : inside.stop].sum() >= plain.sum()
+    # Beside the region, in a container that does not hold the whole page.
+    beside = range(above[2], int(last[above[2]]) + 1) if above[0].split(".")[0] not in ("#", "html", "body") and held[above[2]] < held[0] else range(0)
+    out = [i for i in range(n) if raw[i] and found and i not in inside and 2 * pages[i] >= host_pages and not (own_text[i] and (rooted[i] or i in beside))]
     return json.dumps({"region": [inside.start, inside.stop - 1] if found else None, "out": out, "same": {str(k): v for k, v in same.items()}, "labels": [i for i in same if nodes[i][0].split(".")[0] in LABELS]})
 
 
@@ -480,8 +518,12 @@ def main_text(blocks: list[dict], rules: str | None) -> tuple[str, int, int, int
         # A title that many pages share, as of a part of a recipe, stays with the text under it.
         if reasons[i] == "template" and blocks[i]["node"] in region and blocks[i]["node"] in labels and reasons[i + 1] == "kept":
             reasons[i] = "kept"
-    # Pages that differ in nothing else show no template: it never takes the whole text of the region or of an article.
-    if "kept" not in reasons and any(keep and (b["node"] in region or b["flags"] & INSIDE) for b, keep in zip(blocks, open_to, strict=True)):
+    # Pages that differ in little else show no template: it never takes more than half of the region or of an article.
+    within = [keep and (b["node"] in region or b["flags"] & INSIDE > 0) for b, keep in zip(blocks, open_to, strict=True)]
+    lost = sum(len(b["text"]) for b, own, r in zip(blocks, within, reasons, strict=True) if own and r == "template")
+    if 2 * lost > sum(len(b["text"]) for b, own in zip(blocks, within, strict=True) if own):
+        reasons = ["kept" if own and r == "template" else r for r, own in zip(reasons, within, strict=True)]
+    if "kept" not in reasons and any(within):
         reasons = ["kept" if keep and r == "template" else r for r, keep in zip(reasons, open_to, strict=True)]
     return "\n\n".join(b["text"] for b, r in zip(blocks, reasons, strict=True) if r == "kept"), reasons.count("template"), reasons.count("furniture"), reasons.count("")
 
@@ -539,9 +581,11 @@ def extract_text(
 
     Ids are whole numbers. Pages without a host are one host. Repeated rows are rows of
     their own; they and other copies count once among the pages of the host. Hosts with
-    under least_pages distinct pages are judged by names alone. No template takes the
-    whole text of a page's region or article, nor a heading inside the region whose text
-    below it stays. Other columns are ignored; an empty table gives no rows.
+    under least_pages distinct pages are judged by names alone. No template takes more
+    than half of a page's region or article, nor a heading inside the region whose text
+    below it stays; so versions of one article (near copies), which would pass for
+    template, stay whole wherever they share most of their text. An article's own header
+    goes but for its headings and what its class calls a standfirst. Other columns are ignored; an empty table gives no rows.
     """
     parsed = materialise(_parsed(pages, id_col, url_col, html_col))
     block = lambda b: F.struct(b["node"].alias("node"), b["hash"].alias("hash"), F.length(b["text"]).alias("chars"), b["linked"].alias("linked"), b["flags"].bitwiseAND(MARKED).alias("marked"))
@@ -581,9 +625,10 @@ def extract_text(
     template = _lookup(repeated, of_slot, ["host", "slot"], 32 * of_slot.count(), broadcast_bytes).filter((F.col("pages") >= least_pages) & (F.col("same") > template_share * F.col("pages")))
     # At most 1 / template_share times the texts that a page has there.
     template = template.groupBy("host", "slot").agg(F.sum(F.col("same") * F.col("length")).alias("fixed"), F.collect_list("hash").alias("template"))
-    stats = texts.groupBy("host", "slot").agg(*[F.sum(c).alias(c) for c in ("chars", "linked", "marked")])
+    single = F.sum(F.when(F.col("same") == 1, F.col("chars") - F.col("linked")).otherwise(0)).alias("single")
+    stats = texts.groupBy("host", "slot").agg(*[F.sum(c).alias(c) for c in ("chars", "linked", "marked")], single)
     stats = of_slot.join(stats, ["host", "slot"], "left").join(template, ["host", "slot"], "left")
-    stats = materialise(stats.select("host", "slot", "pages", "chars", "linked", "marked", F.coalesce("fixed", F.lit(0)).alias("fixed"), F.coalesce("template", F.array().cast("array<bigint>")).alias("template")))
+    stats = materialise(stats.select("host", "slot", "pages", "chars", "linked", "marked", "single", F.coalesce("fixed", F.lit(0)).alias("fixed"), F.coalesce("template", F.array().cast("array<bigint>")).alias("template")))
     size = stats.agg(F.sum(64 + F.length("host") + 8 * F.size("template"))).first()[0] or 0
     facts = _lookup(slots, stats, ["host", "slot"], size, broadcast_bytes)
     # A row per node: bounded by the skeleton.

@@ -230,6 +230,105 @@ def test_names_have_to_say_it_alone(html, expected):
     assert text(html) == expected
 
 
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<div><h1>T</h1><p>a b</p><p><a href=x>A whole paragraph that is one link</a></p></div>", "T\n\na b\n\nA whole paragraph that is one link"),
+        ("<p><a href=x>" + "long " * 60 + "</a></p><p>b</p>", ("long " * 60).strip() + "\n\nb"),
+        ("<div><p><a>Home</a></p><p><a>News</a></p></div><p>b</p>", "b"),
+        ("<div><a>" + "Home " * 60 + "</a></div><ul><li><a>One</a><li><a>Two</a></ul><p>b</p>", "b"),
+        ("<p>b</p><ul><li>see <a>One</a><li><a>Two</a></ul>", "b\n\nsee One\n\nTwo"),
+        ("<article><p>The area is <math><semantics><mrow><mi>a</mi><mo>=</mo><msup><mi>r</mi><mn>2</mn></msup></mrow><annotation encoding='application/x-tex'>a=r^2</annotation></semantics></math> in all.</p></article>", "The area is a=r2 in all."),
+        ("<p>a <math><mi>x</mi><mo>&lt;</mo><mn>2</mn></math></p>", "a x<2"),
+        ("<article><p>Rated <span aria-hidden=true>four</span> <p aria-hidden='true'>seen</p></article>", "Rated four\n\nseen"),
+        ("<article><header><h1>T</h1><p class='article-standfirst'>In short</p><p>By me</p><p hidden class=intro>no</p></header><p>x</article>", "T\n\nIn short\n\nx"),
+    ],
+)
+def test_blocks_of_the_article_that_look_like_others(html, expected):
+    assert text(html) == expected
+
+
+def say(r, n):
+    return " ".join(r.choice(["brast", "koml", "dorvik", "sumtep", "lan", "viktor", "estra"]) + str(r.randrange(99)) for _ in range(n)).capitalize() + "."
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main><div class=q>{}</div></main>", "<div class=q>{}</div><div>&copy; Somebody</div>"])
+def test_versions_of_an_article_stay_whole(spark, wrap):
+    """Five versions that differ in the title and one paragraph, alone on a host and among as many other pages."""
+    r = random.Random(4)
+    shared = [say(r, 30) for _ in range(6)]
+    version = lambda: [say(r, 5), *shared[:3], say(r, 30), *shared[3:]]
+    other = lambda: [say(r, 5)] + [say(r, 30) for _ in range(4)]
+    html = lambda b: "<body><div><ul><li><a>Home</a><li><a>News</a></ul></div>" + wrap.format(f"<h1>{b[0]}</h1>" + "".join(f"<p>{x}</p>" for x in b[1:]))
+    pages = [(i, "http://a.example/", version()) for i in range(5)] + [(10 + i, "http://b.example/", version() if i < 5 else other()) for i in range(9)]
+    got = {x.page_id: x.text for x in hw.extract_text(spark.createDataFrame([(i, u, html(b)) for i, u, b in pages], SCHEMA)).collect()}
+    tail = lambda t: t.removesuffix("\n\n© Somebody")  # noqa: E731  where a host has little else, names decide
+    assert {i: tail(t) for i, t in got.items()} == {i: "\n\n".join(b) for i, _, b in pages}
+
+
+@pytest.mark.parametrize("around", ["<main>{}</main>", "<nav>m</nav><div class=w>{}</div><div>Everything must go</div>"])
+def test_notes_beside_the_story_are_text(spark, around):
+    r = random.Random(6)
+    parts = [(say(r, 40), say(r, 40), say(r, 8)) for _ in range(6)]
+    rows = [(i, "http://a.example/", "<body>" + around.format(f"<div class=story><p>{a}</p><p>{b}</p></div><div class=notes><p>{c}</p></div>")) for i, (a, b, c) in enumerate(parts)]
+    got = {x.page_id: x.text for x in hw.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: "\n\n".join(p) for i, p in enumerate(parts)}
+
+
+def plain_extract(rows):
+    """page_id to main text, by dictionaries over the pages of each host."""
+    hosts, out = {}, {}
+    for page_id, url, html in rows:
+        tree, found = hw.read_page(html)
+        named = hw.by_names(found)
+        host = (url or "").split("://", 1)[-1].split("/")[0].split("?")[0].split("#")[0].lower() if "://" in (url or "") else ""
+        content = hw._hash("\0".join(t for (_, t, _, _), keep in zip(found, named, strict=True) if keep))
+        blocks = [{"node": n, "hash": hw._hash(t), "linked": share, "flags": f, "text": t} for n, t, f, share in found]
+        hosts.setdefault(host, []).append((page_id, hw.written(tree), content, blocks))
+    for pages in hosts.values():
+        once = {}  # a page for each content, that of the least skeleton
+        for _, skeleton, content, blocks in pages:
+            kept = sorted({(b["node"], b["hash"], len(b["text"]), b["linked"], b["flags"] & hw.MARKED) for b in blocks})
+            rank = (hw._hash(skeleton), [list(k) for k in kept])
+            if content not in once or rank[0] < once[content][0]:
+                once[content] = (rank[0], skeleton, kept)
+        if len(once) < 5:
+            out |= {i: hw.main_text(blocks, None)[0] for i, _, _, blocks in pages}
+            continue
+        n = {k: sum(s == k for _, s, _ in once.values()) for k in {p[1] for p in pages}}
+        wrapper = max(n, key=lambda k: (n[k], hw._hash(k)))
+        slots = {k: dict((x[2], x[2]) for x in hw.nodes_of(hw.read_back(k))) if k == wrapper else dict(hw.all_slots(hw.read_back(k), hw.align(hw.read_back(k), hw.read_back(wrapper)))) for k in n}
+        seen, texts = {}, {}
+        for k, own in slots.items():
+            for slot in own.values():
+                seen[slot] = seen.get(slot, 0) + n[k]
+        for _, k, kept in once.values():
+            for node, digest, chars, linked, marked in kept:
+                t = texts.setdefault(slots[k][node], {}).setdefault(digest, [0, 0, 0, 0, 0])
+                for j, v in enumerate((1, chars, linked, chars * marked)):
+                    t[j] += v
+                t[4] = max(t[4], chars)
+        for k in n:
+            stats = []
+            for node, slot in slots[k].items():
+                if slot in texts:
+                    of = texts[slot]
+                    fixed = {h for h, t in of.items() if 2 * t[0] > seen[slot] >= 5}
+                    add = lambda j, of=of: sum(t[j] for t in of.values())
+                    stats.append((node, seen[slot], add(1), add(2), add(3), sum(t[1] - t[2] for t in of.values() if t[0] == 1), sum(of[h][0] * of[h][4] for h in fixed), sorted(fixed)))
+            rules = hw.rules_of(k, stats, len(once), 0.8)
+            out |= {i: hw.main_text(blocks, rules)[0] for i, s, _, blocks in pages if s == k}
+    return out
+
+
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_every_page_against_a_plain_comparison(spark, sf_dir, size):
+    pages = spark.read.parquet(f"{sf_dir.replace('0.001', size)}/pages.parquet")
+    expected = plain_extract([(r.page_id, r.url, r.html) for r in pages.collect()])
+    got = {r.page_id: r.text for r in hw.extract_text(pages).collect()}
+    assert got == expected and len(got) == pages.count()
+
+
 def test_wide_and_deep_pages_are_aligned_in_bounded_time():
     import time
 
