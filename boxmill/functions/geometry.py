@@ -185,7 +185,7 @@ def gaussian_iou(a: dict[str, Column], b: dict[str, Column]) -> Column:
     far = F.try_divide(0.25 * (sa * dy * dy + sb * dx * dx), det) + F.try_divide(0.5 * sc * dx * dy, det)
     size = F.sqrt(F.greatest(F.lit(0.0), a1 * b1 - c1 * c1) * F.greatest(F.lit(0.0), a2 * b2 - c2 * c2))
     apart = F.greatest(F.lit(0.0), far + 0.5 * F.ln(F.try_divide(det, 4 * size)))
-    return 1 - F.sqrt(1 - F.exp(-apart))
+    return F.when((size > 0) & (det > 0), 1 - F.sqrt(1 - F.exp(-apart)))
 
 
 def clip_polygons(subject: np.ndarray, clip: np.ndarray) -> np.ndarray:

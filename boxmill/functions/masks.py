@@ -93,6 +93,38 @@ def _masks(n: int, made: dict[tuple[int, ...], tuple[np.ndarray, np.ndarray]]) -
     return pd.DataFrame({"h": pd.Series(h, dtype="Int32").mask(missing), "w": pd.Series(w, dtype="Int32").mask(missing), "words": pd.Series(words, dtype=object)})
 
 
+#: Tiles of a mask along each side.
+TILES = 8
+
+
+def tile_counts(mask: Column) -> Column:
+    """array<int>: the set pixels of each of TILES x TILES parts of a mask.
+
+    A part holds whole words, those whose first pixel lies in the tile, so masks of one
+    size are cut alike and only words are counted. Null for a null mask.
+    """
+
+    @F.pandas_udf("array<int>")
+    def counts(masks: pd.DataFrame) -> pd.Series:
+        out: list[np.ndarray | None] = []
+        for h, w, words in zip(masks["h"], masks["w"], masks["words"], strict=True):
+            if words is None or pd.isna(h) or pd.isna(w):
+                out.append(None)
+                continue
+            pixel = np.arange(len(words)) * 64
+            tile = pixel // max(w, 1) * TILES // max(h, 1) * TILES + pixel % max(w, 1) * TILES // max(w, 1)
+            bits = np.bitwise_count(np.asarray(words, np.int64).view(np.uint64))
+            out.append(np.bincount(np.minimum(tile, TILES * TILES - 1).astype(np.int64), weights=bits, minlength=TILES * TILES).astype(np.int32))
+        return pd.Series(out, index=masks.index, dtype=object)
+
+    return counts(mask)
+
+
+def shared_at_most(tiles_a: Column, tiles_b: Column) -> Column:
+    """A bound of the pixels that two masks of one size share, from their tile counts."""
+    return F.aggregate(F.zip_with(tiles_a, tiles_b, lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda s, n: s + n)
+
+
 def binarize_mask(values: Column, h: Column, w: Column, threshold: float = 0.5) -> Column:
     """A mask of the values (row-major array) over a threshold; null or NaN values are empty pixels."""
 

@@ -65,7 +65,7 @@ def auto_label(
     sized = lambda rows: d.attach_image_size(rows, images).withColumn("mask", fit_mask(F.col("mask"), F.col("height"), F.col("width")))
     segmented = d.keep_large_masks(sized(asked(first)), min_area)
     prompted = sized(d.keep_large_masks(asked(second), min_area))
-    fused = outlined(fusion.fuse_masks(segmented, prompted, iou), min_area)
+    fused = outlined(fusion.fuse_masks(fusion.with_tiles(segmented), fusion.with_tiles(prompted), iou), min_area)
     masks = fused.select("image_id", "det_id", "class_id", "part", "corners")
 
     # Which kind of output an image's aux rows are is settled before any of them is dropped.

@@ -7,11 +7,13 @@ auto-labeling run as defaults.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from ..functions.masks import mask_area
 from ..functions.text import clean_label
@@ -118,6 +120,22 @@ def run_detector(images: DataFrame, make: Callable[[], Callable[[pd.DataFrame],
     return images.mapInPandas(detect, schema)
 
 
+def predict_batches(
+    images: DataFrame, make: Callable[[], Callable[..., Any]], inputs: dict[str, tuple[int, ...]], output: DataType | str, column: str = "prediction", batch_size: int = 64
+) -> DataFrame:
+    """images with the output of a model of fixed shape, in `column`.
+
+    make is called once per worker and gives a function from arrays, a row per image, to
+    an array (or a dict of arrays for a struct) with as many rows. inputs: the array
+    columns that it takes, each with the shape of one image's value; () for single
+    numbers. At most batch_size images are in an array.
+    """
+    shapes = [list(shape) for shape in inputs.values()]
+    kind = DataType.fromDDL(output) if isinstance(output, str) else output
+    predict = predict_batch_udf(make, return_type=kind, batch_size=batch_size, input_tensor_shapes=shapes if any(shapes) else None)
+    return images.withColumn(column, predict(*inputs))
+
+
 def run_prompted_detector(images: DataFrame, prompts: DataFrame, make: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], schema: StructType | str, max_prompts: int = 1000) -> DataFrame:
     """Rows of a detector for every image and prompt; the prompts of an image are together.
 

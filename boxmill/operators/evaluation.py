@@ -31,15 +31,67 @@ def _side(prefix: str) -> dict[str, Column]:
     return {k: F.col(f"{prefix}_{k}") for k in ("cx", "cy", "w", "h", "deg")}
 
 
-def pair_predictions(predictions: DataFrame, truth: DataFrame) -> DataFrame:
+def reach(least: float) -> tuple[float, float]:
+    """(share, ratio): what an overlap of `least` asks of two rectangles with the longer sides L and M.
+
+    Their centres are at most sqrt(share * (L * L + M * M)) apart, and L is at most ratio
+    times M. The overlap is 1 - sqrt(1 - exp(-d)), so d is bounded; d is the sum of
+    x' (S + T)^-1 x / 4 with x between the centres, of which the greatest eigenvalue of
+    S + T, at most (L * L + M * M) / 12, gives the first bound, and of
+    ln(det(S + T) / (4 sqrt(det S det T))) / 2. For eigenvalues of given size det(S + T)
+    is least where the axes agree (Fiedler 1971), and then at least (L/M + M/L) / 2 times
+    the root: the second bound. Both leave room for rounding.
+    """
+    d = -math.log(2 * least - least * least)
+    q = math.exp(2 * d)
+    return d / 3 * (1 + 1e-6), (q + math.sqrt(q * q - 1)) * (1 + 1e-6)
+
+
+def _near(p: DataFrame, g: DataFrame, least: float) -> DataFrame:
+    """p joined with g on image and class where an overlap of least is possible, and some more.
+
+    A truth lies in one cell of the grid for its size (the power of two below its longer
+    side), whose cells are as wide as the reach there; a prediction looks into the one to
+    four cells that its reach touches, in the grids of all sizes that fit.
+    """
+    share, ratio = reach(least)
+    side = lambda k: F.greatest(f"{k}_w", f"{k}_h")
+    up = lambda k: F.pow(F.lit(2.0), F.col(k) + 1)
+    # Two of the greatest reach that a truth of the size has.
+    width = up("size") * (2 * math.sqrt(share * (1 + ratio * ratio)))
+    cell = lambda c: F.floor(c / width)
+    sized = g.filter((F.col("g_w") > 0) & (F.col("g_h") > 0)).withColumn("size", F.floor(F.log2(side("g"))))
+    placed = sized.withColumns({"ix": cell(F.col("g_cx")), "iy": cell(F.col("g_cy"))})
+    looks = p.filter((F.col("p_w") > 0) & (F.col("p_h") > 0))
+    looks = looks.withColumn("size", F.explode(F.sequence(F.floor(F.log2(side("p") / ratio)), F.floor(F.log2(side("p") * ratio)))))
+    far = F.sqrt(share * (up("size") * up("size") + side("p") * side("p")))
+    looks = looks.withColumn("ix", F.explode(F.sequence(cell(F.col("p_cx") - far), cell(F.col("p_cx") + far))))
+    looks = looks.withColumn("iy", F.explode(F.sequence(cell(F.col("p_cy") - far), cell(F.col("p_cy") + far))))
+    return looks.join(placed, ["image_id", "class_id", "size", "ix", "iy"]).drop("size", "ix", "iy")
+
+
+def pair_predictions(predictions: DataFrame, truth: DataFrame, least: float | None = None, dense: int = 1_000_000) -> DataFrame:
     """image_id, class_id, pred_id, score, gt_id, iou of all pairs of one image and class.
 
-    The score is carried along so that matching need not look it up again.
+    least: only pairs of this overlap or more. Then images and classes of over `dense`
+    pairs are paired by a grid, so that a crowded image makes no product of its objects;
+    the pairs are the same. The score is carried along so that matching need not look it
+    up again.
     """
-    shape = ("cx", "cy", "w", "h", "deg")
-    p = predictions.select("image_id", "class_id", "pred_id", "score", *[F.col(c).alias(f"p_{c}") for c in shape])
-    g = truth.select("image_id", "class_id", "gt_id", *[F.col(c).alias(f"g_{c}") for c in shape])
-    return p.join(g, ["image_id", "class_id"]).select("image_id", "class_id", "pred_id", "score", "gt_id", gaussian_iou(_side("p"), _side("g")).alias("iou"))
+    shape, keys = ("cx", "cy", "w", "h", "deg"), ["image_id", "class_id"]
+    p = predictions.select(*keys, "pred_id", "score", *[F.col(c).alias(f"p_{c}") for c in shape])
+    g = truth.select(*keys, "gt_id", *[F.col(c).alias(f"g_{c}") for c in shape])
+    overlap = [*keys, "pred_id", "score", "gt_id", gaussian_iou(_side("p"), _side("g")).alias("iou")]
+    if least is None:
+        return p.join(g, keys).select(*overlap)
+    counts = p.groupBy(keys).agg(F.count("*").alias("m")).join(g.groupBy(keys).agg(F.count("*").alias("n")), keys)
+    crowded = materialise(counts.filter(F.col("m") * F.col("n") > dense).select(keys))
+    if crowded.isEmpty():
+        both = p.join(g, keys)
+    else:
+        few = small(crowded)
+        both = p.join(few, keys, "left_anti").join(g, keys).unionByName(_near(p.join(few, keys, "left_semi"), g.join(few, keys, "left_semi"), least))
+    return both.select(*overlap).filter(F.col("iou") >= least)
 
 
 def match_predictions(pairs: DataFrame, predictions: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
@@ -47,7 +99,8 @@ def match_predictions(pairs: DataFrame, predictions: DataFrame, thresholds: tupl
 
     A prediction goes to its truth of greatest overlap. At each threshold the best of a
     truth's predictions that reach it is right: those before it by score must all have
-    stayed below the threshold, so one running maximum answers every threshold.
+    stayed below the threshold, so one running maximum answers every threshold. Pairs
+    below the least threshold decide nothing and may be missing.
     """
     best = Window.partitionBy("image_id", "pred_id").orderBy(F.desc("iou"), "gt_id")
     taken = pairs.withColumn("rank", F.row_number().over(best)).filter("rank = 1").drop("rank")

@@ -5,23 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.masks import MASK, mask_area, mask_iou, union_all
+from ..functions.masks import MASK, mask_area, mask_iou, shared_at_most, tile_counts, union_all
 
 FUSE_IOU = 0.15
 
 
+def with_tiles(rows: DataFrame) -> DataFrame:
+    """rows with `tiles`, a short header of their mask that tells most pairs apart before the masks are looked at."""
+    return rows.withColumn("tiles", tile_counts(F.col("mask")))
+
+
+def _possible(first: DataFrame, second: DataFrame, iou: float) -> DataFrame:
+    """All pairs of one image and class, with by_area and by_tiles: whether these leave an overlap of iou possible.
+
+    Areas are counted once a mask. Without the header (see with_tiles()) on both sides
+    by_tiles is by_area.
+    """
+    tiled = "tiles" in first.columns and "tiles" in second.columns
+    header = lambda name: [F.col("tiles").alias(name)] if tiled else []
+    a = first.select("image_id", "class_id", F.col("det_id").alias("first_id"), F.col("mask").alias("mask"), mask_area(F.col("mask")).alias("n_a"), *header("tiles_a"))
+    b = second.select("image_id", "class_id", F.col("det_id").alias("second_id"), F.col("score").alias("other_score"), F.col("mask").alias("other"), mask_area(F.col("mask")).alias("n_b"), *header("tiles_b"))
+    asked = F.lit(iou * (1 - 1e-9))
+    by_area = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * asked
+    by_tiles = by_area
+    if tiled:
+        # Overlap is at most bound / (n_a + n_b - bound).
+        bound = F.coalesce(shared_at_most(F.col("tiles_a"), F.col("tiles_b")), F.least("n_a", "n_b"))
+        by_tiles = F.when(by_area, bound * (1 + asked) >= (F.col("n_a") + F.col("n_b")) * asked).otherwise(False)
+    return a.join(b, ["image_id", "class_id"]).withColumns({"by_area": by_area, "by_tiles": by_tiles}).drop("tiles_a", "tiles_b")
+
+
 def _pairs(first: DataFrame, second: DataFrame, iou: float) -> DataFrame:
     """image_id, first_id, second_id, other_score, other (mask of second), iou of pairs that overlap enough.
 
-    Areas are counted once a mask; a pair whose areas alone rule the overlap out is not compared.
+    A pair whose areas or tiles alone rule the overlap out is not compared.
     """
-    a = first.select("image_id", "class_id", F.col("det_id").alias("first_id"), F.col("mask").alias("mask"), mask_area(F.col("mask")).alias("n_a"))
-    b = second.select("image_id", "class_id", F.col("det_id").alias("second_id"), F.col("score").alias("other_score"), F.col("mask").alias("other"), mask_area(F.col("mask")).alias("n_b"))
-    possible = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (iou * (1 - 1e-9))
-    pairs = a.join(b, ["image_id", "class_id"]).withColumn("iou", F.when(possible, mask_iou(F.col("mask"), F.col("other"))))
+    pairs = _possible(first, second, iou).withColumn("iou", F.when(F.col("by_tiles"), mask_iou(F.col("mask"), F.col("other"))))
     return pairs.filter(F.col("iou") >= iou)
 
 
+def compared_pairs(first: DataFrame, second: DataFrame, iou: float = FUSE_IOU) -> DataFrame:
+    """One row: n_pairs of one image and class, n_by_area and n_by_tiles that areas and tiles leave, n_matched."""
+    found = _possible(first, second, iou).withColumn("match", F.col("by_tiles") & (mask_iou(F.col("mask"), F.col("other")) >= iou))
+    return found.agg(F.count("*").alias("n_pairs"), *[F.count_if(c).alias(n) for c, n in (("by_area", "n_by_area"), ("by_tiles", "n_by_tiles"), ("match", "n_matched"))])
+
+
 def match_masks(first: DataFrame, second: DataFrame, iou: float = FUSE_IOU) -> DataFrame:
     """image_id, first_id, second_id, iou of pairs of one image and class that overlap enough."""
     return _pairs(first, second, iou).select("image_id", "first_id", "second_id", "iou")

@@ -524,7 +524,9 @@ MATCHED = (
 
 
 def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluation.match_predictions(paired(spark, sf_dir), table(spark, sf_dir, "predictions"))
+    predictions = table(spark, sf_dir, "predictions")
+    pairs = evaluation.pair_predictions(predictions, table(spark, sf_dir, "truth"), min(evaluation.THRESHOLDS))
+    return evaluation.match_predictions(pairs, predictions)
 
 
 @query(MATCHED + f" SELECT image_id, class_id, pred_id, {', '.join(NAMES)} FROM mt")

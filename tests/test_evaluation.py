@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from boxmill.functions import masks as m
 from boxmill.jobs.auto_label import auto_label
 from boxmill.jobs.evaluate import evaluate, evaluate_by_domain
-from boxmill.operators import evaluation, fusion, suppression
+from boxmill.operators import detections, evaluation, fusion, suppression
 
 BOX = "cx double, cy double, w double, h double, deg double"
 CLASSES = [(0, "sam"), (1, "buoy"), (2, "lolo")]
@@ -33,6 +33,34 @@ def test_one_mask_may_join_two_and_is_compared_with_the_original(spark):
     assert sorted(r.det_id for r in fusion.unmatched(second, pairs).collect()) == [11, 13]
 
 
+def test_tiles_rule_pairs_out_and_change_none(spark):
+    """Blobs and noise at sizes that 64 does not divide: the same pairs and masks, far fewer compared."""
+    r = np.random.default_rng(8)
+    schema = f"image_id long, class_id long, det_id long, score double, mask {m.MASK}"
+
+    def rows(start, h, w, image):
+        out = []
+        for k in range(30):
+            p = np.zeros((h, w), bool)
+            y, x = r.integers(0, h - 20), r.integers(0, w - 20)
+            p[y : y + r.integers(5, 40), x : x + r.integers(5, 40)] = True
+            p &= r.random((h, w)) < 0.95
+            out.append((image, k % 2, start + k, float(r.random()), (h, w, [int(v) for v in m.pack(p)])))
+        return out
+
+    first = spark.createDataFrame(rows(0, 90, 150, 1) + rows(30, 64, 128, 2) + [(3, 0, 60, 0.5, None), (3, 0, 61, 0.5, (90, 150, [0] * 211))], schema)
+    second = spark.createDataFrame(rows(100, 90, 150, 1) + rows(130, 64, 128, 2) + [(3, 0, 160, 0.5, None), (3, 0, 161, 0.5, (90, 150, [0] * 211))], schema)
+    tiled = fusion.with_tiles(first), fusion.with_tiles(second)
+    for iou in (0.15, 0.5):
+        plain, quick = (sorted(map(tuple, fusion.match_masks(*given, iou).collect())) for given in ((first, second), tiled))
+        assert plain == quick and plain
+        fused = [sorted((x.det_id, x.part, x.score, tuple(x.mask.words) if x.mask else None) for x in fusion.fuse_masks(*given, iou).collect()) for given in ((first, second), tiled)]
+        assert fused[0] == fused[1]
+        n = fusion.compared_pairs(*tiled, iou).first()
+        assert n.n_pairs == 904 and n.n_matched == len(plain) <= n.n_by_tiles < n.n_by_area / 2
+    assert fusion.compared_pairs(first, second).first().n_by_tiles == fusion.compared_pairs(first, second).first().n_by_area
+
+
 def test_greedy_suppression_against_a_loop(spark):
     r = random.Random(1)
     rows = [(i % 3, i % 2, i, round(r.random(), 2), x := r.uniform(0, 30), y := r.uniform(0, 30), x + r.uniform(2, 15), y + r.uniform(2, 15)) for i in range(120)]
@@ -56,6 +84,105 @@ def test_greedy_suppression_against_a_loop(spark):
     assert sorted(x.det_id for x in turned.collect()) == sorted(a[2] for a in kept)
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_suppression_in_blocks_is_that_of_the_whole_group(monkeypatch, turned):
+    """Small blocks, boxes of many sizes and ties: kept as by one pass over all, whatever is held at once."""
+    r = np.random.default_rng(5)
+    low, size = r.uniform(0, 200, (1500, 2)), np.exp(r.uniform(0, 4.5, (1500, 2)))
+    boxes = np.concatenate([low, low + size], axis=1)
+    boxes[100:120] = boxes[100]
+    boxes[120:125, 2] = boxes[120:125, 0]  # flat ones
+    if turned:
+        angle = r.uniform(0, np.pi, 1500)
+        c, s = np.cos(angle)[:, None], np.sin(angle)[:, None]
+        u, v = size[:, :1] / 2 * np.array([-1, 1, 1, -1]), size[:, 1:] / 2 * np.array([-1, -1, 1, 1])
+        boxes = np.stack([low[:, :1] + u * c - v * s, low[:, 1:] + u * s + v * c], axis=2)
+    whole = suppression.greedy_keep(boxes, np.arange(1500), 0.4)
+    monkeypatch.setattr(suppression.Kept, "PIECE", 50)
+    kept, places = suppression.Kept(), []
+    for start in range(0, 1500, 64):
+        at = np.arange(start, min(start + 64, 1500))
+        at = at[~kept.reaches(boxes[at], 0.4)]
+        own = at[suppression.greedy_keep(boxes[at], np.arange(len(at)), 0.4)]
+        places += own.tolist()
+        kept.add(boxes[own])
+    assert places == whole and 100 < len(whole) < 1450
+
+
+def test_a_crowd_of_one_class_in_one_image(spark):
+    """100,000 boxes in one group: what is kept overlaps nothing that is kept, and what is not overlaps something better."""
+    rows = spark.range(100_000).selectExpr("1L AS image_id", "2L AS class_id", "id AS det_id", "hash(id) % 1000 / 1000D AS score", "pmod(hash(id, 1), 40000) / 10D AS x1", "pmod(hash(id, 2), 40000) / 10D AS y1", "8 + pmod(hash(id, 3), 300) / 10D AS w", "8 + pmod(hash(id, 4), 300) / 10D AS h")
+    df = rows.selectExpr("*", "x1 + w AS x2", "y1 + h AS y2").drop("w", "h")
+    ids = {r.det_id for r in suppression.nms(df).collect()}
+    table = df.toPandas().sort_values(["score", "det_id"], ascending=[False, True])
+    boxes, kept = table[["x1", "y1", "x2", "y2"]].to_numpy(), table.det_id.isin(ids).to_numpy()
+    place = np.flatnonzero(kept)
+    index = suppression.Kept()
+    wrong = 0
+    for low in range(0, len(boxes), 20_000):
+        high = low + 20_000
+        mine = np.arange(low, min(high, len(boxes)))
+        better = index.reaches(boxes[mine], 0.45)
+        wrong += (better & kept[mine]).sum()
+        index.add(boxes[place[(place >= low) & (place < high)]])
+        wrong += (~index.reaches(boxes[mine], 0.45) & ~kept[mine]).sum()
+    assert wrong == 0 and 50_000 < len(ids) < 95_000
+
+
+def crowd(n, seed):
+    r = np.random.default_rng(seed)
+    rows = np.column_stack([r.uniform(-300, 300, (n, 2)), np.exp(r.uniform(-1, 5, (n, 2))), r.uniform(0, 180, n)])
+    rows[:3, 2] = 0  # flat
+    return [(1, int(k), k % 2, *map(float, row)) for k, row in enumerate(rows)]
+
+
+@pytest.mark.parametrize("least", [0.3, 0.5, 0.8])
+def test_pairs_by_grid_are_those_of_the_product(spark, least):
+    given = crowd(500, 1)
+    r = random.Random(3)
+    near = [(i, k, c, x + r.gauss(0, w / 6 + 0.01), y + r.gauss(0, h / 6 + 0.01), w * r.uniform(0.6, 1.6), h * r.uniform(0.6, 1.6), d + r.gauss(0, 10)) for i, k, c, x, y, w, h, d in given]
+    truth = spark.createDataFrame(given, f"image_id long, gt_id long, class_id long, {BOX}")
+    preds = spark.createDataFrame(near + [(1, 5000 + k, *row[2:]) for k, row in enumerate(crowd(300, 2))], f"image_id long, pred_id long, class_id long, {BOX}").withColumn("score", F.lit(0.5))
+    key = lambda rows: sorted((x.pred_id, x.gt_id, x.iou) for x in rows.collect())
+    expected = key(evaluation.pair_predictions(preds, truth).filter(F.col("iou") >= least))
+    assert key(evaluation.pair_predictions(preds, truth, least, dense=0)) == expected == key(evaluation.pair_predictions(preds, truth, least))
+    assert len(expected) > 15
+    flags = lambda pairs: sorted(map(tuple, evaluation.match_predictions(pairs, preds).collect()))
+    if least == 0.5:
+        assert flags(evaluation.pair_predictions(preds, truth)) == flags(evaluation.pair_predictions(preds, truth, 0.5, dense=0))
+
+
+def test_a_crowded_image_is_not_multiplied(spark):
+    """20,000 predictions and truths of one class in one image."""
+    spread = lambda name, shift: spark.range(20_000).selectExpr("1L AS image_id", f"id AS {name}", "0L AS class_id", f"(id % 150) * 40D + {shift} AS cx", "floor(id / 150) * 30D AS cy", "20D AS w", "10D AS h", "id % 180D AS deg")
+    preds, truth = spread("pred_id", 1).withColumn("score", F.lit(0.5)), spread("gt_id", 0)
+    got = evaluation.pair_predictions(preds, truth, 0.5).agg(F.count("*"), F.sum((F.col("pred_id") == F.col("gt_id")).cast("int"))).first()
+    assert tuple(got) == (20_000, 20_000)
+
+
+def test_batches_of_a_model(spark):
+    """A NumPy model: loaded once a worker, given arrays of bounded size, one output and several."""
+
+    def make():
+        import numpy as np
+
+        weights = np.arange(12).reshape(3, 4)
+
+        def predict(pixels):
+            assert pixels.shape[1:] == (3, 4) and len(pixels) <= 16
+            return {"mass": (pixels * weights).sum(axis=(1, 2)), "first": pixels[:, 0]}
+
+        return predict
+
+    images = spark.range(100).select("id", F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: (k + F.col("id")).cast("double")).alias("pixels"))
+    rows = detections.predict_batches(images, make, {"pixels": (3, 4)}, "struct<mass:double,first:array<double>>", batch_size=16).collect()
+    assert len(rows) == 100
+    for r in rows:
+        assert r.prediction.mass == sum(k * (k + r.id) for k in range(12)) and r.prediction.first == [r.id + k for k in range(4)]
+    doubled = detections.predict_batches(spark.range(9), lambda: lambda x: x * 2.0, {"id": ()}, "double").collect()
+    assert [r.prediction for r in doubled] == [2.0 * r.id for r in doubled]
+
+
 def plain_ap(points, n_truth):
     """101-point average precision of (tp, rank) pairs."""
     return sum(max((tp / rank for tp, rank in points if tp * 100 // n_truth >= k), default=0) for k in range(101)) / 101
