@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, hot_keys, materialise
+from .common import HOT_SHARE, hot_keys, join_lookup, materialise
 from .perfect_hash import Index, Shard
 
 SPACES = b"\t\n\x0b\x0c\r "
@@ -180,8 +180,5 @@ def drop_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # Few hashes are hot, so one shard holds them.
     hot = materialise(counted.filter(F.col("n") * HOT_SHARE > probes))
     found = materialise(_found_in_shards(rows.select("doc", "text"), shards, hot, count, min_chars, min_docs))
-    ids = hot_keys(rows, "doc")
-    cold = rows.join(F.broadcast(ids), "doc", "left_anti").join(found, "doc", "left")
-    busy = rows.join(F.broadcast(ids), "doc", "left_semi").join(F.broadcast(found.join(F.broadcast(ids), "doc", "left_semi")), "doc", "left")
-    both = cold.unionByName(busy).select("doc_id", "doc", "text", "gone")
+    both = join_lookup(rows, found, "doc", hot_keys(rows, "doc"), how="left").select("doc_id", "doc", "text", "gone")
     return _cleaned(both, _index(_shards(hot, 1), 1), min_chars, min_docs)

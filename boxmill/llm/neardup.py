@@ -11,7 +11,9 @@
    buckets whose members still lie in several components are compared where they share
    one of their rarest shingles (prefix and position filter: Chaudhuri et al. 2006,
    Xiao et al. 2008), in blocks of bounded size.
-5. Components by the least node, with pointer jumping; a class is named by its least id.
+5. Components: in each round every node goes over to its neighbour of the least hash,
+   which is another order each time, and the links are contracted. A bounded number of
+   links that is left is joined in one task. A class is named by its least id.
 
 Bands are chosen so that a pair at the threshold is missed by all with a probability
 under 2e-6 (72 bands of 6 bins: (1 - 0.75**6)**72 = 7e-7).
@@ -30,13 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, hot_keys, join_lookup, materialise, mix64
+from .common import hot_among, hot_keys, join_lookup, materialise, mix64
 
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
 CASE = bytes.maketrans(UPPER, LOWER)
 #: Blocks of an exact comparison: rows, and shingles of their sets together; and shingles for one task.
 BLOCK, BLOCK_SHINGLES, UNIT_SHINGLES = 512, 1_000_000, 4_000_000
+#: So many links, both ways, are joined in one task.
+FINISH = 400_000
 #: What a row of a comparison is: of a whole small group, or of one side of a block.
 WHOLE, OUTSIDE, ALL = 0, 1, 2
 
@@ -187,7 +191,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb").mapInPandas(check, "a long, b long")
+    # A hub has as many pairs as its bucket has members, and they take its set along: by members first.
+    whole = join_lookup(pairs.join(right, "b"), left, "a", hot_keys(pairs, "a"))
+    return whole.select("a", "b", "ha", "hb").mapInPandas(check, "a long, b long")
 
 
 def _links_between(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> set[tuple[int, int]]:
@@ -285,12 +291,13 @@ def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, ce
     # The smallest set of the group that is large enough to be linked asks for the fewest shared shingles.
     smallest = F.greatest("least", F.expr(f"(n * {percent} + 99) div 100"))
     asked = (F.col("n") + F.col("smallest")) * percent + (99 + percent)
-    placed = found.join(groups.select("token", "least"), "token").withColumn("smallest", smallest)
+    many = hot_keys(found, "token")
+    placed = join_lookup(found, groups.select("token", "least"), "token", many).withColumn("smallest", smallest)
     placed = materialise(placed.filter((F.col("n") - F.col("place")) >= F.floor(asked / (100 + percent))).select("token", "node", "comp", "n"))
     # Texts that share a passage share many shingles; those with the same members are one group.
     members = [F.count("*"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1)))]
     alike = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *[c.alias(f"mark_{i}") for i, c in enumerate(members)]).filter("low <> high")
-    placed = materialise(placed.join(alike.groupBy("mark_0", "mark_1", "mark_2").agg(F.min("token").alias("token")).select("token"), "token", "left_semi"))
+    placed = materialise(join_lookup(placed, alike.groupBy("mark_0", "mark_1", "mark_2").agg(F.min("token").alias("token")).select("token"), "token", many))
     by_comp = placed.groupBy("token", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("weight"))
     blocks = lambda rows, weight: F.ceil(F.greatest(rows / BLOCK, weight / BLOCK_SHINGLES)).cast("int")
     open_groups = (
@@ -299,7 +306,7 @@ def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, ce
         .filter("comps > 1")
         .select("token", F.col("top.comp").alias("top"), blocks(F.col("m"), F.col("weight")).alias("js"), blocks(F.col("m") - F.col("top.k"), F.col("weight") - F.col("top.weight")).alias("is"))
     )
-    dealt = materialise(placed.join(open_groups.join(placed.groupBy("token").agg(F.min("comp").alias("family")), "token"), "token"))
+    dealt = materialise(join_lookup(placed, open_groups.join(placed.groupBy("token").agg(F.min("comp").alias("family")), "token"), "token", many))
     mark = F.xxhash64("node")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ["key", "token", "i", "j", "side", "node", "comp", "n"]
@@ -320,23 +327,50 @@ def _rest(crowd: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, ce
     return both.select(unit, "token", "i", "j", "side", "node", "comp").groupBy("unit").cogroup(given).applyInPandas(links, "a long, b long").distinct()
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """node, comp of all nodes: the least node reachable over links (a, b); alone: itself.
+def _joined(links: DataFrame) -> DataFrame:
+    """node, parent of all nodes of a bounded number of links (a, b): the root of a union-find in one task."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+        nodes = list(parent)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(list(map(find, nodes)), pa.int64())], names=["node", "parent"])
+
+    return links.filter("a < b").repartition(1).mapInArrow(join, "node long, parent long")
 
-    Each round every node goes over to its least neighbour and the links are contracted,
-    so that those inside a component vanish: the least node is what stays of it. Then the
-    rounds are put together from the last on. Every step is a written table; nodes with
-    many links are looked up by broadcast.
+
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """node, comp of all nodes: one node of those reachable over links (a, b), the same for all of them; alone: itself.
+
+    Each round every node goes over to that of its neighbours and itself which has the
+    least hash, and the links are contracted, so that those inside a component vanish.
+    The hash is another one each round, so whatever the order of the nodes about half of
+    a path's go in each. Once FINISH links or fewer are left, one task joins them. Then
+    the rounds are put together from the last on. Every step is a written table; nodes
+    with many links are dealt out.
     """
     left = materialise(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
     rounds: list[DataFrame] = []
-    while not left.isEmpty():
-        parent = materialise(left.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("parent")))
+    while (count := left.count()) > FINISH:
+        rank = lambda c, k=len(rounds): F.struct(F.xxhash64(F.col(c), F.lit(k)).alias("h"), F.col(c).alias("to"))
+        parent = materialise(left.groupBy("a").agg(F.least(F.min(rank("b")), F.first(rank("a")))["to"].alias("parent")))
         rounds.append(parent.withColumnRenamed("a", "node"))
         # Links go both ways, so one side's parents are the other side's as well.
         half = join_lookup(left, parent, "a", hot_keys(left, "a")).select(F.col("parent").alias("x"), F.col("b").alias("a")).distinct()
         half = materialise(half)
         left = materialise(join_lookup(half, parent, "a", hot_keys(half, "a")).select(F.col("x").alias("a"), F.col("parent").alias("b")).filter("a <> b").distinct())
+    if count:
+        rounds.append(materialise(_joined(left)))
     if not rounds:
         return nodes.select("node", F.col("node").alias("comp"))
     final = rounds.pop().withColumnRenamed("parent", "comp")
@@ -358,7 +392,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     members = reps.select("node", F.posexplode("bands").alias("band", "bucket"))
     hubs = materialise(members.groupBy("band", "bucket").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1"))
     places = bands * reps.count()
-    crowd = materialise(join_lookup(members, hubs.drop("m"), ["band", "bucket"], hubs.filter(F.col("m") * HOT_SHARE > places)))
+    crowd = materialise(join_lookup(members, hubs.drop("m"), ["band", "bucket"], hot_among(hubs, ["band", "bucket"], "m", places)))
     pairs = materialise(crowd.filter("a <> node").select("a", F.col("node").alias("b")).distinct())
     nodes = materialise(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
     wanted = reps.select("node", "doc_id", "text_key").join(nodes, "node", "left_semi")
@@ -372,7 +406,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     moved = join_lookup(linked, low, "comp", hot_keys(linked, "comp")).filter("low <> doc_id").select("set_key", "low")
     classes = materialise(reps.select("set_key", "doc_id", "copies").join(moved, "set_key", "left").select("set_key", F.coalesce("low", "doc_id").alias("component_id"), "copies"))
     total = classes.agg(F.sum("copies")).first()[0] or 0
-    placed = join_lookup(named.drop("bands"), classes.drop("copies"), "set_key", classes.filter(F.col("copies") * HOT_SHARE > total))
+    placed = join_lookup(named.drop("bands"), classes.drop("copies"), "set_key", hot_among(classes, "set_key", "copies", total))
     placed = placed.withColumn("kept", F.col("doc_id") == F.col("component_id"))
     alone = sig.filter("doc_id is null or n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "kept": F.lit(True)})
     columns = ["doc_id", "text_key", "n_shingles", "component_id", "kept"]

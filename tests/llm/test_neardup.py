@@ -75,6 +75,60 @@ def test_a_chain_that_no_star_joins(spark):
     assert result(spark, rows, broadcast_ids=3) == classes(rows)
 
 
+def grouped(spark, links, nodes):
+    """The components as sets, and how many tables a run of components() writes."""
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    found = neardup.components(frame([(n,) for n in nodes], "node long"), frame(links, "a long, b long")).collect()
+    assert len(found) == len(nodes)
+    sets = {}
+    for r in found:
+        sets.setdefault(r.comp, set()).add(r.node)
+    assert all(comp in own for comp, own in sets.items())
+    return sorted(map(sorted, sets.values()))
+
+
+def test_components_of_random_links_and_hubs(spark, monkeypatch):
+    r = random.Random(3)
+    nodes = list(range(300))
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(7, x) for x in range(100, 140)] + [(5, 5), (9, 8), (8, 9)]
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    expected = sorted(sorted(n for n in nodes if find(n) == root) for root in {find(n) for n in nodes})
+    assert grouped(spark, links, nodes) == expected
+    monkeypatch.setattr(neardup, "FINISH", 20)
+    assert grouped(spark, links, nodes) == expected
+    assert grouped(spark, [], [1, 2]) == [[1], [2]]
+
+
+def test_an_ordered_path_takes_few_rounds(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "FINISH", 0)
+    rounds = []
+    monkeypatch.setattr(neardup, "hot_keys", lambda rows, key, of=neardup.hot_keys: rounds.append(key) or of(rows, key))
+    assert grouped(spark, [(i, i + 1) for i in range(4095)], list(range(4096))) == [list(range(4096))]
+    assert rounds.count("a") <= 2 * 15
+
+
+def test_hot_rows_of_a_lookup_are_dealt_out(spark):
+    from pyspark.sql import functions as F
+
+    from boxmill.llm.common import hot_keys, join_lookup
+
+    rows = spark.range(6000).select(F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("k"), "id", F.array("id").alias("held"))
+    lookup = spark.range(4000).select(F.col("id").alias("k"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
+    hot = hot_keys(rows, "k")
+    assert [tuple(r) for r in hot.collect()] == [(0, 500)]
+    assert sorted((r.k, r.id, r.v) for r in join_lookup(rows, lookup, "k", hot).collect()) == sorted((0 if i < 3000 else i, i, f"v{0 if i < 3000 else i}") for i in range(4000))
+    assert join_lookup(rows, lookup, "k", hot, how="left").filter("v is null").count() == 2000
+
+
 def test_odd_rows(spark):
     long = " ".join(f"v{i}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "a b"), (5, "A  B"), (6, "a b c"), (7, long), (8, long + " tail"), (9, None), (10, "É a"), (11, "é a"), (12, "a b")]
