@@ -3,8 +3,9 @@
 An item that may differ in k places from a passage is cut into k + 1 pieces: one of
 them must occur unchanged. All pieces of a block of items are looked for at once with
 an Aho-Corasick automaton; round every hit Myers' algorithm (1999) finds the passage
-of the least edit distance. Items are handled in blocks of bounded size, each against
-all documents, so the benchmark may be of any size.
+of the least edit distance. Items are handled in blocks of bounded size, each with a
+pass over all documents, so time grows with the benchmark. A block is on the driver
+while it is sent out, and a worker holds the automata of the blocks that it looks for.
 """
 
 from __future__ import annotations
@@ -59,14 +60,14 @@ def best_match(pattern: str, text: str) -> tuple[int, int]:
 class Matcher:
     """Looks for a block of items in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float, least_piece: int):
+    def __init__(self, items: list[tuple[int, str]], error_rate: float):
         self.items = []
         pieces: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             pattern = normalise(text)
             if not pattern:
                 continue
-            errors = min(int(len(pattern) * error_rate), max(0, len(pattern) // least_piece - 1))
+            errors = int(len(pattern) * error_rate)
             at = [len(pattern) * i // (errors + 1) for i in range(errors + 2)]
             for start, stop in zip(at, at[1:], strict=False):
                 pieces.setdefault(pattern[start:stop], []).append((len(self.items), start))
@@ -122,13 +123,12 @@ def find_passages(
     item_col: str = "item_id",
     item_text_col: str = "text",
     error_rate: float = 0.06,
-    least_piece: int = 12,
     block_bytes: int = 8_000_000,
 ) -> DataFrame:
     """doc_id, item_id, start, stop, distance: the best passage of each item in each document.
 
     Positions are those of the normalised text. Edits allowed: error_rate of the item's
-    length, fewer where pieces would be shorter than least_piece. Null or empty texts
+    length, rounded down, whatever its length. Null or empty texts
     hold nothing; null items are skipped; repeated items and rows each give their rows.
     Other columns are ignored; an empty table gives no rows.
     """
@@ -139,7 +139,7 @@ def find_passages(
         shared = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, error_rate, least_piece)
+            matcher = Matcher(shared.value, error_rate)
             for batch in batches:
                 rows, found = [], []
                 for i, text in enumerate(batch.column("text").to_pylist()):
@@ -154,10 +154,10 @@ def find_passages(
     return out
 
 
-def _is_clean(shared, error_rate: float, least_piece: int):
+def _is_clean(shared, error_rate: float):
     @F.pandas_udf("boolean")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(shared.value, error_rate, least_piece)
+        matcher = Matcher(shared.value, error_rate)
         for texts in batches:
             yield pd.Series([not matcher.find(t) for t in texts], dtype=bool)
 
@@ -171,12 +171,11 @@ def keep_uncontaminated(
     item_col: str = "item_id",
     item_text_col: str = "text",
     error_rate: float = 0.06,
-    least_piece: int = 12,
     block_bytes: int = 8_000_000,
 ) -> DataFrame:
     """docs without the rows that hold a benchmark passage; all columns stay."""
     for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        docs = docs.filter(_is_clean(shared, error_rate, least_piece)(F.col(text_col).cast("string")))
+        docs = docs.filter(_is_clean(shared, error_rate)(F.col(text_col).cast("string")))
     return docs

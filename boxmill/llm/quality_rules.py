@@ -80,7 +80,9 @@ def failing_rule(line: str) -> str | None:
     if n >= 5:
         if sum(map(str.isupper, words)) * 2 > n:
             return "shouting"
-        if len(set(words)) * 3 < n < 200 or sum(map(str.__eq__, words[1:], words[:-1])) * 4 > n:
+        # Long lines have fewer new words, about as the root of their length.
+        distinct = len(set(words))
+        if distinct * 3 < n and distinct * distinct < 9 * n or sum(map(str.__eq__, words[1:], words[:-1])) * 4 > n:
             return "repetition"
     if n < 4 and not line.rstrip().endswith(ENDS):
         return "punctuation"

@@ -161,7 +161,7 @@ fl AS (SELECT *, again
   OR marks > 1 AND marks * 5 >= n
   OR phrases > 0 AND phrases * 4 >= n
   OR letters * 2 < bytes - n + 1
-  OR n >= 5 AND (len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x))) * 2 > n OR len(list_distinct(w)) * 3 < n AND n < 200 OR len(list_filter(range(2, n + 1), lambda i: w[i] = w[i - 1])) * 4 > n)
+  OR n >= 5 AND (len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x))) * 2 > n OR len(list_distinct(w)) * 3 < n AND len(list_distinct(w)) * len(list_distinct(w)) < 9 * n OR len(list_filter(range(2, n + 1), lambda i: w[i] = w[i - 1])) * 4 > n)
   OR n < 4 AND NOT regexp_matches(line, '[{_ENDS}][{_SPACES}]*$') AS failed FROM ru),
 per AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (again) AS n_dup_lines, count(*) FILTER (failed) AS n_failed_lines, coalesce(sum(length(line)) FILTER (failed), 0) / CAST(sum(length(line)) AS DOUBLE) AS share FROM fl GROUP BY 1),
 al AS (SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,

@@ -1,7 +1,7 @@
 """Minimax contiguous partition of documents into shards, texts kept together.
 
 Equal texts are one atomic group; groups are ordered by a hash of the text and, at
-large scale, taken together by a prefix of that hash, so that the ordered list of
+large scale, taken together by a remainder of that hash, so that the ordered list of
 sizes is bounded whatever the data. The smallest capacity for which a greedy walk
 needs no more shards than there are is found by binary search, and the list is cut
 where that walk cuts. A group over an even share gets a shard of its own first, or

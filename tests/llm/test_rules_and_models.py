@@ -353,3 +353,18 @@ def test_no_n_gram_has_letters_of_two_texts():
         for i, (c, _, _) in enumerate(alone):
             own = langid.buckets(c, n, 16)
             assert found[i].tolist() == own[: len(found[i])].tolist() and owners[i] == i
+
+
+@pytest.mark.parametrize("n", [7, 60, 180, 201, 5_000])
+def test_lines_of_few_words_fail_whatever_their_length(n):
+    words = ["one", "two", "three"]
+    assert quality_rules.failing_rule(" ".join(words[i * i % 7 % 3] for i in range(n)) + ".") == "repetition" or n < 10
+    spread = [f"w{int(k ** 0.6 * 10)}" for k in range(n)]  # a text grows new words more slowly the longer it gets
+    assert quality_rules.failing_rule(" ".join(spread) + ".") is None
+
+
+def test_the_cut_is_that_of_best_f1():
+    cut = toxicity.best_cut(np.array([0.95, 0.9, 0.8, 0.1]), np.array([1, 1, 0, 0]))
+    assert cut == pytest.approx(0.85)
+    assert toxicity.best_cut(np.array([0.004, 0.002]), np.array([1, 0])) == pytest.approx(0.003)
+    assert toxicity.best_cut(np.array([0.4, 0.2]), np.array([0, 0])) == 0.5
