@@ -70,12 +70,12 @@ def _near(p: DataFrame, g: DataFrame, least: float) -> DataFrame:
     return looks.join(placed, ["image_id", "class_id", "size", "ix", "iy"]).drop("size", "ix", "iy")
 
 
-def pair_predictions(predictions: DataFrame, truth: DataFrame, least: float | None = None, dense: int = 1_000_000) -> DataFrame:
+def pair_predictions(predictions: DataFrame, truth: DataFrame, least: float | None = None, dense: int = 2_000) -> DataFrame:
     """image_id, class_id, pred_id, score, gt_id, iou of all pairs of one image and class.
 
     least: only pairs of this overlap or more. Then images and classes of over `dense`
-    pairs are paired by a grid, so that a crowded image makes no product of its objects;
-    the pairs are the same. The score is carried along so that matching need not look it
+    predictions are paired by a grid, so that a crowded image makes no product of its
+    objects; the pairs are the same. The score is carried along so that matching need not look it
     up again.
     """
     shape, keys = ("cx", "cy", "w", "h", "deg"), ["image_id", "class_id"]
@@ -84,14 +84,15 @@ def pair_predictions(predictions: DataFrame, truth: DataFrame, least: float | No
     overlap = [*keys, "pred_id", "score", "gt_id", gaussian_iou(_side("p"), _side("g")).alias("iou")]
     if least is None:
         return p.join(g, keys).select(*overlap)
-    counts = p.groupBy(keys).agg(F.count("*").alias("m")).join(g.groupBy(keys).agg(F.count("*").alias("n")), keys)
-    crowded = materialise(counts.filter(F.col("m") * F.col("n") > dense).select(keys))
+    crowded = materialise(predictions.groupBy(keys).agg(F.count("*").alias("n")).filter(F.col("n") > dense).select(keys))
     if crowded.isEmpty():
         both = p.join(g, keys)
     else:
         few = small(crowded)
         both = p.join(few, keys, "left_anti").join(g, keys).unionByName(_near(p.join(few, keys, "left_semi"), g.join(few, keys, "left_semi"), least))
-    return both.select(*overlap).filter(F.col("iou") >= least)
+    # A plain filter would move into the join, where the terms of the overlap are computed over and over.
+    far_enough = F.explode(F.filter(F.array("iou"), lambda v: v >= least)).alias("iou")
+    return both.select(*overlap).select(*overlap[:-1], far_enough)
 
 
 def match_predictions(pairs: DataFrame, predictions: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
@@ -158,17 +159,16 @@ def average_precision(curve: DataFrame, classes: DataFrame, thresholds: tuple[fl
     """
     keys = [*by, "class_id"]
     points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("threshold"), F.col(flag(t)).alias("tp")) for i, t in enumerate(thresholds)])
-    rows = curve.select(*keys, "rank", "n_truth", F.explode(F.transform("hits", lambda i: F.get(points, i))).alias("s")).select(*keys, "rank", "n_truth", "s.*")
+    rows = curve.select(*keys, "rank", "n_truth", F.explode_outer(F.transform("hits", lambda i: F.get(points, i))).alias("s")).select(*keys, "rank", "n_truth", "s.*")
     steps = rows.groupBy(*keys, "threshold", F.expr("tp * 100 div n_truth").alias("step")).agg(F.max(F.col("tp") / F.col("rank")).alias("precision"))
     beyond = Window.partitionBy(*keys, "threshold").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
     below = Window.partitionBy(*keys, "threshold").orderBy("step")
     # The envelope holds from the step below (exclusive) up to this one.
     hull = steps.withColumns({"envelope": F.max("precision").over(beyond), "width": F.col("step") - F.coalesce(F.lag("step").over(below), F.lit(-1))})
     per = hull.groupBy(*keys, "threshold").agg((F.sum(F.col("envelope") * F.col("width")) / 101).alias("ap"))
-    # A threshold without a hit has no row, and counts 0.
+    # A threshold without a hit has no row, and counts 0; rows that hit none are one row without a threshold for each class.
     at50 = F.sum(F.when(F.abs(F.col("threshold") - 0.5) < 1e-9, F.col("ap")))
-    seen = curve.select(*keys).distinct()
-    ap = seen.join(per.groupBy(*keys).agg(at50.alias("ap50"), (F.sum("ap") / len(thresholds)).alias("ap")), keys, "left").fillna(0.0, ["ap50", "ap"])
+    ap = per.groupBy(*keys).agg(at50.alias("ap50"), (F.sum("ap") / len(thresholds)).alias("ap")).fillna(0.0, ["ap50", "ap"])
     return ap.select(*keys, "ap50", "ap") if by else classes.select("class_id").join(ap, "class_id", "left")
 
 
