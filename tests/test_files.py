@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxmill.functions.text import clean_label, format_label_line
-from boxmill.jobs import assemble_dataset
+from boxmill.jobs import assemble_dataset, label_folder
 from boxmill.operators import datasets
 from boxmill.sources import files, stores
 
@@ -316,6 +316,51 @@ def test_training_set_is_written(spark, tmp_path):
     assert len(train) == 3 * len([r for r in train if r.copy == 0])
 
 
+def upper_half():
+    """A model that finds a class by the image's stem: a mask of the upper half."""
+    import numpy as np
+    import pandas as pd
+
+    from boxmill.functions import masks
+
+    def detect(batch):
+        rows = []
+        for x in batch.itertuples():
+            if x.stem == "a":
+                p = np.zeros((x.height, x.width), bool)
+                p[: x.height // 2] = True
+                rows.append((x.image_id, 1, "yolo26_seg", " Sam", 0.9, {"h": x.height, "w": x.width, "words": masks.pack(p).tolist()}))
+        return pd.DataFrame(rows, columns=["image_id", "det_id", "source", "label", "score", "mask"])
+
+    return detect
+
+
+def whole_image():
+    """A prompted model that finds its prompt `buoy` everywhere."""
+    import numpy as np
+    import pandas as pd
+
+    from boxmill.functions import masks
+
+    def detect(batch):
+        rows = [(x.image_id, 7, "sam3", "buoy", 0.8, {"h": x.height, "w": x.width, "words": masks.pack(np.ones((x.height, x.width), bool)).tolist()}) for x in batch.itertuples() if "buoy" in list(x.prompts) and "kite" not in list(x.prompts) and x.stem != "c"]
+        return pd.DataFrame(rows, columns=["image_id", "det_id", "source", "label", "score", "mask"])
+
+    return detect
+
+
+def test_a_folder_is_labeled(spark, root, tmp_path):
+    """From image files to label files by split: fused masks, known prompts only, empty texts, nothing for junk."""
+    classes = spark.createDataFrame([(0, "sam"), (1, "buoy")], "class_id long, label string")
+    prompts = spark.createDataFrame([("buoy",), ("kite",)], "prompt string")
+    label_folder.label_folder(spark, f"{root}/images", str(tmp_path / "labels"), classes, segment=upper_half, prompted=whole_image, prompts=prompts, min_area=1)
+    got = {str(p.relative_to(tmp_path / "labels")): p.read_text().splitlines() for p in (tmp_path / "labels").rglob("*.txt")}
+    full = "1 0.000000 0.000000 0.857143 0.000000 0.857143 0.800000 0.000000 0.800000"
+    half = "0 0.000000 0.000000 0.857143 0.000000 0.857143 0.200000 0.000000 0.200000"
+    large = "1 0.000000 0.000000 0.888889 0.000000 0.888889 0.750000 0.000000 0.750000"
+    assert got == {"train/a.txt": [half, full], "val/a.txt": [half, full], "train/b.txt": [full], "train/B.txt": [large], "train/c.txt": [], "val/d.txt": [full]}
+
+
 def test_assembled_dataset_reports_what_is_wrong(spark, root):
     classes = spark.createDataFrame([(0, "sam"), (1, "buoy")], "class_id long, label string")
     found = assemble_dataset.assemble(spark, root, classes)
