@@ -140,7 +140,8 @@ def pr_curve(matches: DataFrame, truth_counts: DataFrame, thresholds: tuple[floa
     ahead = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*keys, "bucket", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"o_{c}") for c in ["n", *flags]])
     # At most one row per class and bucket.
-    offsets = small(materialise(offsets.join(small(truth_counts.select(*keys, "n_truth")), keys)), 1_000_000)
+    truths = materialise(truth_counts.select(*keys, "n_truth"))  # counted, then joined
+    offsets = small(materialise(offsets.join(small(truths), keys)), 1_000_000)
     inside = Window.partitionBy(*keys, "bucket").orderBy(F.desc("score"), "image_id", "pred_id").rowsBetween(Window.unboundedPreceding, 0)
     joined = rows.join(offsets, [*keys, "bucket"])
     running = [(F.col(f"o_{f}") + F.sum(f).over(inside)).alias(f) for f in flags]
