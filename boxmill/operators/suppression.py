@@ -95,8 +95,32 @@ def _overlaps(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.where(union > 0, shared / np.where(union > 0, union, 1), 0.0)
 
 
+def keep_side_by_side(boxes: np.ndarray, place: np.ndarray, size: np.ndarray, iou: float) -> np.ndarray:
+    """Which boxes greedy suppression keeps, for many small groups in one pass.
+
+    boxes lie group by group, the best of a group first; place is a box's place in its
+    group and size the group's. All pairs that may touch are clipped together; a box is
+    settled when all places before its own are.
+    """
+    counts = size - 1 - place
+    mine = np.repeat(np.arange(len(boxes)), counts)
+    other = mine + 1 + np.arange(len(mine)) - np.repeat(np.cumsum(counts) - counts, counts)
+    bounds = _bounds(boxes)
+    near = ((bounds[other, :2] <= bounds[mine, 2:]) & (bounds[other, 2:] >= bounds[mine, :2])).all(axis=1)
+    mine, other = mine[near], other[near]
+    over = _overlaps(boxes[mine], boxes[other]) > iou
+    mine, other = mine[over], other[over]
+    kept = np.ones(len(boxes), bool)
+    for k in np.unique(place[mine]).tolist():
+        at = place[mine] == k
+        kept[other[at][kept[mine[at]]]] = False
+    return kept
+
+
 #: Boxes of a group that are compared with each other at once.
 BLOCK = 1024
+#: Groups of at most so many boxes are taken side by side.
+SMALL = 32
 
 
 def nms(detections: DataFrame, iou: float = 0.45, by: tuple[str, ...] = ("image_id", "class_id"), id_col: str = "det_id", corners_col: str | None = None) -> DataFrame:
@@ -104,10 +128,11 @@ def nms(detections: DataFrame, iou: float = 0.45, by: tuple[str, ...] = ("image_
 
     Best score first, then the lowest id. Boxes are the columns x1, y1, x2, y2, or
     polygons if corners_col is given. Groups do not touch each other; they are dealt out
-    by a hash and come sorted. A group passes by in blocks: those of a block that a kept
-    box reaches go, the others are compared with each other, and only what is kept is
-    held. So a crowded group takes the memory of its kept boxes, and each box is compared
-    with the kept ones near it.
+    by a hash and come sorted. The small groups that a batch holds whole are taken side by
+    side. Any other group passes by in blocks: those of a block that a kept box reaches
+    go, the others are compared with each other, and only what is kept is held. So a
+    crowded group takes the memory of its kept boxes, and each box is compared with the
+    kept ones near it.
     """
     if corners_col is None:
         numbers = [F.col(c).cast("double").alias(f"_{c}") for c in ("x1", "y1", "x2", "y2")]
@@ -123,10 +148,20 @@ def nms(detections: DataFrame, iou: float = 0.45, by: tuple[str, ...] = ("image_
             group = keys.groupby(list(by), dropna=False, sort=False).ngroup().to_numpy()
             goes_on = before is not None and len(group) > 1 and group[0] == group[1]
             group = group if before is None else group[1:]
-            ends = np.append(np.flatnonzero(np.diff(group)) + 1, len(group)) if len(group) else []
+            ends = np.append(np.flatnonzero(np.diff(group)) + 1, len(group)) if len(group) else np.array([], int)
             places: list[int] = []
-            start = 0
-            for end in ends:
+            sizes = np.diff(ends, prepend=0)
+            # The first may have begun in an earlier batch, the last may go on in a later one.
+            whole = sizes <= SMALL
+            whole[-1:] = False
+            if goes_on:
+                whole[:1] = False
+            rows = np.flatnonzero(np.repeat(whole, sizes))
+            if len(rows):
+                size = sizes[whole]
+                each = np.repeat(size, size)
+                places += rows[keep_side_by_side(boxes[rows], np.arange(len(rows)) - np.repeat(np.cumsum(size) - size, size), each, iou)].tolist()
+            for start, end in zip((ends - sizes)[~whole].tolist(), ends[~whole].tolist(), strict=True):
                 if start or not goes_on:
                     kept = Kept()
                 last = end == len(group)
@@ -137,7 +172,6 @@ def nms(detections: DataFrame, iou: float = 0.45, by: tuple[str, ...] = ("image_
                     places += own.tolist()
                     if len(own) and (last or low + BLOCK < end):  # more of the group may come
                         kept.add(boxes[own])
-                start = end
             before = batch[list(by)].tail(1) if len(batch) else before
             yield batch.iloc[places][[*by, id_col]]
 
