@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import order_corners, point, polygon_area
-from .detections import small
+from ..functions.geometry import order_corners, order_four, point, polygon_area
+from .detections import keep, small
 
 
 def dataset_orphans(images: DataFrame, labels: DataFrame) -> DataFrame:
@@ -149,14 +149,18 @@ def augment_labels(
             "_flip": draw("flip") < flip,
         }
     )
-    c, s = F.cos("_turn") * F.col("_zoom"), F.sin("_turn") * F.col("_zoom")
+    # Steps of their own, each computed once a row: the map, the four points, their order, their area.
+    rows = rows.withColumns({"_c": F.cos("_turn") * F.col("_zoom"), "_s": F.sin("_turn") * F.col("_zoom")})
     held = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
 
-    def moved(p: Column) -> Column:
+    def moved(p: Column) -> tuple[Column, Column]:
         x, y = p["x"] - 0.5, p["y"] - 0.5
         x, y = x + F.col("_sx") * y, y + F.col("_sy") * x
-        x, y = c * x - s * y + 0.5 + F.col("_dx"), s * x + c * y + 0.5 + F.col("_dy")
-        return point(held(F.when(F.col("_flip"), 1 - x).otherwise(x)), held(y))
-
-    out = rows.withColumn("corners", order_corners(F.transform("corners", moved)))
-    return out.filter(polygon_area(F.col("corners")) > min_area).drop("_turn", "_sx", "_sy", "_zoom", "_dx", "_dy", "_flip")
+        x, y = F.col("_c") * x - F.col("_s") * y + 0.5 + F.col("_dx"), F.col("_s") * x + F.col("_c") * y + 0.5 + F.col("_dy")
+        return held(F.when(F.col("_flip"), 1 - x).otherwise(x)), held(y)
+
+    four = [(f"_x{i}", f"_y{i}") for i in range(4)]
+    rows = rows.withColumns({name: value for i, names in enumerate(four) for name, value in zip(names, moved(F.get("corners", F.lit(i))), strict=True)})
+    ordered = order_four([(F.col(x), F.col(y)) for x, y in four], order_corners(F.transform("corners", lambda p: point(*moved(p)))), F.size("corners") == 4)
+    out = rows.withColumn("corners", ordered).withColumn("_area", polygon_area(F.col("corners")))
+    return keep(out, F.col("_area") > min_area).drop("_turn", "_sx", "_sy", "_zoom", "_dx", "_dy", "_flip", "_c", "_s", "_area", *[name for names in four for name in names])

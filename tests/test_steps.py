@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from boxmill.functions import geometry as g
-from boxmill.operators import suppression
+from boxmill.operators import datasets, detections, suppression
 
 
 def corners_of(rng, n):
@@ -43,3 +45,29 @@ def test_suppression_of_small_and_large_groups_in_one_batch(spark):
         finally:
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         assert got == expected
+
+
+def filters_of(df) -> list[str]:
+    return [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+
+
+def test_areas_of_augmented_labels_are_not_computed_again_by_their_filter(spark):
+    corners = [(0.2, 0.2), (0.4, 0.2), (0.4, 0.3), (0.2, 0.3)]
+    df = spark.createDataFrame([(i, corners) for i in range(20)], f"image_id long, corners {g.CORNERS}")
+    made = datasets.augment_labels(df, copies=2)
+    assert not any("xxhash64" in line or "corners" in line for line in filters_of(made))
+    large = detections.keep_large_obbs(df.withColumn("area", g.polygon_area(F.col("corners"))), 0.001, "corners")
+    assert not any("* " in line for line in filters_of(large))
+    assert large.count() == 20
+
+
+@pytest.mark.parametrize("flip", [False, True])
+def test_clear_quadrilaterals_are_ordered_as_any_points(spark, flip):
+    rng = np.random.default_rng(7)
+    boxes = corners_of(rng, 300)
+    boxes = np.concatenate([boxes, np.array([[[0, 0], [4, 0], [4, 2], [0, 2]], [[0, 0], [2, -2], [6, 2], [4, 4]], [[1, 1], [1, 1], [3, 1], [3, 1]], [[0, 0], [0, 9], [0, 0], [0, 9]]], float)])
+    boxes = boxes[:, ::-1] if flip else boxes
+    df = spark.createDataFrame([(i, [tuple(map(float, p)) for p in b]) for i, b in enumerate(boxes)], f"k int, c {g.CORNERS}")
+    xy = [(F.get("c", F.lit(i))["x"], F.get("c", F.lit(i))["y"]) for i in range(4)]
+    for r in df.select(g.order_corners(F.col("c")).alias("a"), g._order_any(F.col("c")).alias("b"), g.order_four(xy).alias("d")).collect():
+        assert r.a == r.b == r.d
