@@ -5,15 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from math import atan2, cos, radians, sin
+from math import atan2, cos, degrees, fmod, radians, sin
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import candidate_score, min_area_rect, order_corners, point_in_obb, rect_to_corners
-from ..functions.masks import hull, smallest_rectangle
+from ..functions.geometry import FLAT, candidate_score, min_area_rect, order_corners, point_in_obb, point_in_rect, polygon_area, rect_corners
 from .detections import shape_filter, small
 
 NO_AREA = 1e9
@@ -33,13 +32,27 @@ def smallest_hit(hits: DataFrame) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter("rank = 1").drop("rank")
 
 
+def holding(points: DataFrame, objects: DataFrame) -> DataFrame:
+    """Pairs of points and the objects of their image that hold them.
+
+    objects: image_id, object_index, area and the rectangle cx, cy, w, h, deg; or, where
+    there is none, corners (ordered). Points on an edge count; only a rectangle tells
+    them exactly.
+    """
+    shape = ["cx", "cy", "w", "h", "deg"]
+    if set(shape) <= set(objects.columns):
+        inside = point_in_rect(F.col("x"), F.col("y"), *map(F.col, shape))
+    else:
+        shape, inside = ["corners"], point_in_obb(F.col("x"), F.col("y"), F.col("corners"))
+    return points.join(objects.select("image_id", "object_index", "area", *shape), "image_id").filter(inside)
+
+
 def hit_test(points: DataFrame, objects: DataFrame) -> DataFrame:
     """points with the object_index of the smallest box that holds them, or null.
 
-    points: image_id, point_id, x, y; objects: image_id, object_index, corners (ordered), area.
+    points: image_id, point_id, x, y; objects: see holding().
     """
-    pairs = points.join(objects.select("image_id", "object_index", "corners", "area"), "image_id")
-    hits = pairs.filter(point_in_obb(F.col("x"), F.col("y"), F.col("corners"))).select("image_id", "point_id", "object_index", "area")
+    hits = holding(points, objects).select("image_id", "point_id", "object_index", "area")
     return points.join(smallest_hit(hits).drop("area"), ["image_id", "point_id"], "left")
 
 
@@ -117,13 +130,26 @@ def _area(corners: list[list[float]]) -> float:
 
 def box_of_four(points: list[list[float]]) -> list[list[float]] | None:
     """Ordered corners of the smallest rectangle round four clicked points; None if it is flat."""
-    found = smallest_rectangle(hull(np.unique(np.array(points, float), axis=0)))
-    if found is None:
+    angles = set()
+    for i, (ax, ay) in enumerate(points):
+        for bx, by in points[i + 1 :]:
+            if ax != bx or ay != by:
+                turn = fmod(fmod(degrees(atan2(by - ay, bx - ax)), 90) + 90, 90)
+                angles.add(0.0 if turn > 90 - FLAT else turn)
+    fits = []
+    for angle in angles:
+        c, s = cos(radians(angle)), sin(radians(angle))
+        u, v = [x * c + y * s for x, y in points], [y * c - x * s for x, y in points]
+        fits.append((round((max(u) - min(u)) * (max(v) - min(v)), 6), angle, min(u), max(u), min(v), max(v), c, s))
+    if not fits:
+        return None
+    _, _, u0, u1, v0, v1, c, s = min(fits)
+    if not (u1 - u0 > FLAT and v1 - v0 > FLAT):
         return None
-    cx, cy, w, h, angle = found
-    c, s = cos(radians(angle)), sin(radians(angle))
-    corners = [[cx + a * w / 2 * c - b * h / 2 * s, cy + a * w / 2 * s + b * h / 2 * c] for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1))]
-    corners.sort(key=lambda p: atan2(p[1] - cy, p[0] - cx))
+    # From the ends themselves and not from middle and size: clicks may come again on these very points.
+    corners = [[a * c - b * s, a * s + b * c] for a, b in ((u0, v0), (u1, v0), (u1, v1), (u0, v1))]
+    mx, my = sum(p[0] for p in corners) / 4, sum(p[1] for p in corners) / 4
+    corners.sort(key=lambda p: atan2(p[1] - my, p[0] - mx))
     first = min(range(4), key=lambda i: round(corners[i][0] + corners[i][1], 9))
     return corners[first:] + corners[:first]
 
@@ -289,8 +315,10 @@ def with_boxes(edits: DataFrame) -> DataFrame:
     if "corners" not in edits.columns:
         return edits.withColumns({"x": x, "y": y, "confidence": confidence.cast("double"), "box": none.cast("array<double>")})
     given = edits.withColumns({"confidence": confidence.cast("double"), "_rect": F.when(F.size("corners") == 4, min_area_rect(F.col("corners")))})
-    round_it = order_corners(rect_to_corners(*[F.col(f"_rect.{c}") for c in ("cx", "cy", "w", "h", "angle")]))
-    box = F.when(F.col("_rect").isNotNull(), F.when(F.col("action") == "add", round_it).otherwise(order_corners(F.col("corners"))))
+    round_it = rect_corners(*[F.col(f"_rect.{c}") for c in ("cx", "cy", "w", "h", "angle")])
+    # What fills its rectangle is one, and keeps its own corners to the last digit.
+    fills = polygon_area(F.col("corners")) >= F.col("_rect.w") * F.col("_rect.h") * (1 - 1e-12)
+    box = F.when(F.col("_rect").isNotNull(), F.when((F.col("action") == "add") & ~fills, round_it).otherwise(order_corners(F.col("corners"))))
     flat = (F.col("action") == "add") & F.col("corners").isNotNull()  # never the box of fixed size
     return given.withColumns({"x": F.when(~flat, x), "y": F.when(~flat, y), "box": _numbers(box)}).drop("_rect", "corners")
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxmill.functions import geometry as g
-from boxmill.operators import datasets, detections, suppression
+from boxmill.operators import datasets, detections, review, suppression
 
 
 def corners_of(rng, n):
@@ -71,3 +71,23 @@ def test_clear_quadrilaterals_are_ordered_as_any_points(spark, flip):
     xy = [(F.get("c", F.lit(i))["x"], F.get("c", F.lit(i))["y"]) for i in range(4)]
     for r in df.select(g.order_corners(F.col("c")).alias("a"), g._order_any(F.col("c")).alias("b"), g.order_four(xy).alias("d")).collect():
         assert r.a == r.b == r.d
+
+
+def test_rectangles_hold_the_points_of_their_edges(spark):
+    """At 30 degrees the point w below the middle is on an edge, off which the rounding of corners may move it."""
+    rows = [(k, k, float(20 + k * 37 % 601), float(20 + k * 53 % 441), float(10 + k % 90), float(20 + 2 * (k % 90)), 30.0) for k in range(400)]
+    boxes = spark.createDataFrame(rows, "image_id long, object_index long, cx double, cy double, w double, h double, deg double").withColumn("area", F.col("w") * F.col("h"))
+    points = boxes.select("image_id", F.col("object_index").alias("point_id"), F.col("cx").alias("x"), (F.col("cy") + F.col("w")).alias("y"))
+    assert review.hit_test(points, boxes).filter("object_index is null").count() == 0
+    by_corners = boxes.select("image_id", "object_index", "area", g.rect_corners(*[F.col(c) for c in ("cx", "cy", "w", "h", "deg")]).alias("corners"))
+    assert review.hit_test(points, by_corners).filter("object_index is null").count() > 0
+
+
+def test_boxes_keep_the_points_they_were_made_of(spark):
+    """The corners of a rectangle that is added, and whole numbers that were clicked, are those of the box."""
+    clicked = [[10.0, 20.0], [50.0, 20.0], [50.0, 90.0], [10.0, 90.0]]
+    assert review.box_of_four(clicked) == clicked
+    df = spark.createDataFrame([("add", 100.0 + k, 50.0, 31.0 + k % 7, 20.0, float(k)) for k in range(180)], "action string, x double, y double, w double, h double, deg double")
+    rect = [F.col(c) for c in ("x", "y", "w", "h", "deg")]
+    rows = review.with_boxes(df.withColumn("corners", g.rect_to_corners(*rect)).withColumn("own", review._numbers(g.rect_corners(*rect)))).collect()
+    assert all(r.box == r.own for r in rows)
