@@ -20,8 +20,10 @@ def label_boxes(detections: DataFrame, images: DataFrame, classes: DataFrame, th
     partitioning by image.
     """
     kept = d.attach_class_id(d.keep_confident(detections, thresholds), classes)
-    boxes = kept.select("image_id", "det_id", "class_id", g.order_corners(g.rect_to_corners(*[F.col(c) for c in ("cx", "cy", "w", "h", "deg")])).alias("corners"))
-    return finish(d.attach_image_size(boxes, images), ["det_id"])
+    # Corners are made after the join: five numbers go through it, not four points.
+    sized = d.attach_image_size(kept, images)
+    boxes = sized.select("image_id", "det_id", "class_id", "width", "height", g.rect_corners(*[F.col(c) for c in ("cx", "cy", "w", "h", "deg")]).alias("corners"))
+    return finish(boxes, ["det_id"])
 
 
 def finish(boxes: DataFrame, order: list[str]) -> DataFrame:
@@ -34,7 +36,7 @@ def finish(boxes: DataFrame, order: list[str]) -> DataFrame:
 def outlined(rows: DataFrame, min_area: float) -> DataFrame:
     """Rows with the ordered corners of their mask's box; rows without a box of min_area are dropped."""
     boxed = rows.withColumn("o", mask_to_obb(F.col("mask"), float(min_area))).filter("o is not null")
-    return boxed.withColumn("corners", g.order_corners(g.rect_to_corners(*[F.col(f"o.{c}") for c in ("cx", "cy", "w", "h", "angle")]))).drop("o", "mask")
+    return boxed.withColumn("corners", g.rect_corners(*[F.col(f"o.{c}") for c in ("cx", "cy", "w", "h", "angle")])).drop("o", "mask")
 
 
 def auto_label(

@@ -41,7 +41,7 @@ def counted(predictions: DataFrame, truth: DataFrame, images: DataFrame | None,
         chosen = images.filter(F.col("split") == split).select("image_id")
         kept, truth = kept.join(chosen, "image_id", "left_semi"), truth.join(chosen, "image_id", "left_semi")
     if iou is not None:
-        boxed = kept.withColumn("corners", g.order_corners(g.rect_to_corners(*[F.col(c) for c in ("cx", "cy", "w", "h", "deg")])))
+        boxed = kept.withColumn("corners", g.rect_corners(*[F.col(c) for c in ("cx", "cy", "w", "h", "deg")]))
         kept = kept.join(suppression.nms(boxed, iou, id_col="pred_id", corners_col="corners"), ["image_id", "class_id", "pred_id"], "left_semi")
     return kept, truth
 
