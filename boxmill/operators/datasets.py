@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,9 +79,26 @@ def count_objects(labels: DataFrame, images: DataFrame) -> DataFrame:
     Images without objects are counted under a null class with their bit clear.
     """
     joined = images.select("image_id", "split", "domain").join(labels.select("image_id", "class_id", F.lit(1).alias("one")), "image_id", "left")
-    # One row per image and class first, so distinct images need no second shuffle of rows.
-    per = joined.groupBy("image_id", "split", "domain", "class_id").agg(F.count("one").alias("n"))
-    return per.cube("split", "domain", "class_id").agg(F.grouping_id().alias("level"), F.sum("n").alias("n_objects"), F.countDistinct("image_id").alias("n_images"))
+    # One row per image and cell first. Of an image's few rows the first with given values counts
+    # the image there, so no grouping needs a set of images.
+    keys = ["split", "domain", "class_id"]
+    per = joined.groupBy("image_id", *keys).agg(F.count("one").alias("n"))
+    before = Window.partitionBy("image_id").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("seen", F.collect_list(F.struct(*keys)).over(before))
+
+    def first_of(level: int) -> Column:
+        own = [k for bit, k in zip((4, 2, 1), keys, strict=True) if not level & bit]
+        if len(own) == len(keys):
+            return F.lit(1)
+        if not own:
+            return (F.size("seen") == 0).cast("int")
+        return (~F.exists("seen", lambda e: reduce(and_, [e[k].eqNullSafe(F.col(k)) for k in own]))).cast("int")
+
+    # Cells are few; all groupings are sums of them.
+    cells = per.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.sum(first_of(i)).alias(f"first{i}") for i in range(8)])
+    cube = cells.cube(*keys).agg(F.grouping_id().alias("level"), F.sum("n").alias("n_objects"), *[F.sum(f"first{i}").alias(f"first{i}") for i in range(8)])
+    n_images = F.array(*[f"first{i}" for i in range(8)])[F.col("level").cast("int")].alias("n_images")
+    return cube.select(*keys, "level", "n_objects", n_images)
 
 
 def mix_datasets(datasets: dict[str, DataFrame]) -> DataFrame:
@@ -109,6 +128,14 @@ def stem_key(stem: Column, seed: int = 0) -> Column:
     return F.xxhash64(stem, F.lit(seed))
 
 
+def order_moved(rows: DataFrame, move: Callable[[Column], tuple[Column, Column]]) -> DataFrame:
+    """rows with their corners moved (a point to its new x and y) and ordered again; each number is computed once a row."""
+    four = [(f"_x{i}", f"_y{i}") for i in range(4)]
+    rows = rows.withColumns({name: value for i, names in enumerate(four) for name, value in zip(names, move(F.get("corners", F.lit(i))), strict=True)})
+    ordered = order_four([(F.col(x), F.col(y)) for x, y in four], order_corners(F.transform("corners", lambda p: point(*move(p)))), F.size("corners") == 4)
+    return rows.withColumn("corners", ordered).drop(*[name for names in four for name in names])
+
+
 def hashed_draw(seed: int) -> Callable[[str], Column]:
     """Numbers in [0, 1) by a hash of image_id, copy, seed and the draw's name."""
     return lambda name: F.pmod(F.xxhash64("image_id", "copy", F.lit(f"{seed}-{name}")), F.lit(1 << 24)) / float(1 << 24)
@@ -159,8 +186,5 @@ def augment_labels(
         x, y = F.col("_c") * x - F.col("_s") * y + 0.5 + F.col("_dx"), F.col("_s") * x + F.col("_c") * y + 0.5 + F.col("_dy")
         return held(F.when(F.col("_flip"), 1 - x).otherwise(x)), held(y)
 
-    four = [(f"_x{i}", f"_y{i}") for i in range(4)]
-    rows = rows.withColumns({name: value for i, names in enumerate(four) for name, value in zip(names, moved(F.get("corners", F.lit(i))), strict=True)})
-    ordered = order_four([(F.col(x), F.col(y)) for x, y in four], order_corners(F.transform("corners", lambda p: point(*moved(p)))), F.size("corners") == 4)
-    out = rows.withColumn("corners", ordered).withColumn("_area", polygon_area(F.col("corners")))
-    return keep(out, F.col("_area") > min_area).drop("_turn", "_sx", "_sy", "_zoom", "_dx", "_dy", "_flip", "_c", "_s", "_area", *[name for names in four for name in names])
+    out = order_moved(rows, moved).withColumn("_area", polygon_area(F.col("corners")))
+    return keep(out, F.col("_area") > min_area).drop("_turn", "_sx", "_sy", "_zoom", "_dx", "_dy", "_flip", "_c", "_s", "_area")

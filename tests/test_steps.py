@@ -91,3 +91,15 @@ def test_boxes_keep_the_points_they_were_made_of(spark):
     rect = [F.col(c) for c in ("x", "y", "w", "h", "deg")]
     rows = review.with_boxes(df.withColumn("corners", g.rect_to_corners(*rect)).withColumn("own", review._numbers(g.rect_corners(*rect)))).collect()
     assert all(r.box == r.own for r in rows)
+
+
+def test_counts_of_images_that_are_listed_under_several_splits(spark):
+    images = [(1, "train", "sim"), (1, "val", "sim"), (1, "val", "real"), (2, "train", "real"), (3, None, "real"), (3, None, "sim")]
+    labels = [(1, 0), (1, 0), (1, 4), (2, 4), (2, None)]
+    i = spark.createDataFrame(images, "image_id long, split string, domain string")
+    lab = spark.createDataFrame(labels, "image_id long, class_id long")
+    joined = i.join(lab.withColumn("one", F.lit(1)), "image_id", "left")
+    plain = joined.cube("split", "domain", "class_id").agg(F.grouping_id().alias("level"), F.count("one").alias("n_objects"), F.countDistinct("image_id").alias("n_images"))
+    made = datasets.count_objects(lab, i)
+    assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+    assert "Expand" not in made._jdf.queryExecution().optimizedPlan().toString().split("Window")[1]
