@@ -57,7 +57,7 @@ def evaluate(
     """
     kept, truth = counted(predictions, truth, images, split, confidence, iou)
     counts = truth.groupBy("class_id").agg(F.count("*").alias("n_truth"))
-    matches = evaluation.match_predictions(evaluation.pair_predictions(kept, truth, min(evaluation.THRESHOLDS)), kept)
+    matches = evaluation.match_truth(kept, truth)
     curve = materialise(evaluation.pr_curve(matches, counts))
     per_class = d.attach_class_name(evaluation.average_precision(curve, classes), classes)
     return Evaluation(per_class, evaluation.overall_metrics(curve, per_class), kept)
@@ -68,6 +68,6 @@ def evaluate_by_domain(predictions: DataFrame, truth: DataFrame, images: DataFra
     kept, truth = counted(predictions, truth, images, split, confidence, iou)
     domains = images.select("image_id", "domain")
     counts = truth.join(domains, "image_id").groupBy("domain", "class_id").agg(F.count("*").alias("n_truth"))
-    matches = evaluation.match_predictions(evaluation.pair_predictions(kept, truth, min(evaluation.THRESHOLDS)), kept).join(domains, "image_id")
+    matches = evaluation.match_truth(kept, truth).join(domains, "image_id")
     per_class = evaluation.average_precision(evaluation.pr_curve(matches, counts, by=("domain",)), classes, by=("domain",))
     return d.attach_class_name(per_class, classes)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import reduce
+from operator import add
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +22,8 @@ from .detections import small
 THRESHOLDS = tuple(t / 100 for t in range(50, 100, 5))
 BUCKETS = 200
 SUBS = 64
+#: Flags in one whole number.
+WORD = 62
 
 
 def flag(threshold: float) -> str:
@@ -70,6 +74,13 @@ def _near(p: DataFrame, g: DataFrame, least: float) -> DataFrame:
     return looks.join(placed, ["image_id", "class_id", "size", "ix", "iy"]).drop("size", "ix", "iy")
 
 
+def _crowded(predictions: DataFrame, dense: int) -> DataFrame | None:
+    """image_id, class_id of over dense predictions; None if there are none."""
+    keys = ["image_id", "class_id"]
+    crowded = materialise(predictions.groupBy(keys).agg(F.count("*").alias("n")).filter(F.col("n") > dense).select(keys))
+    return None if crowded.isEmpty() else small(crowded)
+
+
 def pair_predictions(predictions: DataFrame, truth: DataFrame, least: float | None = None, dense: int = 2_000) -> DataFrame:
     """image_id, class_id, pred_id, score, gt_id, iou of all pairs of one image and class.
 
@@ -84,11 +95,10 @@ def pair_predictions(predictions: DataFrame, truth: DataFrame, least: float | No
     overlap = [*keys, "pred_id", "score", "gt_id", gaussian_iou(_side("p"), _side("g")).alias("iou")]
     if least is None:
         return p.join(g, keys).select(*overlap)
-    crowded = materialise(predictions.groupBy(keys).agg(F.count("*").alias("n")).filter(F.col("n") > dense).select(keys))
-    if crowded.isEmpty():
+    few = _crowded(predictions, dense)
+    if few is None:
         both = p.join(g, keys)
     else:
-        few = small(crowded)
         both = p.join(few, keys, "left_anti").join(g, keys).unionByName(_near(p.join(few, keys, "left_semi"), g.join(few, keys, "left_semi"), least))
     # A plain filter would move into the join, where the terms of the overlap are computed over and over.
     far_enough = F.explode(F.filter(F.array("iou"), lambda v: v >= least)).alias("iou")
@@ -113,6 +123,42 @@ def match_predictions(pairs: DataFrame, predictions: DataFrame, thresholds: tupl
     return every.select("image_id", "class_id", "pred_id", "score", *[F.coalesce(n, F.lit(0)).alias(n) for n in flags])
 
 
+def match_truth(predictions: DataFrame, truth: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, dense: int = 2_000) -> DataFrame:
+    """match_predictions() of the pairs of predictions and truth, in one exchange of each by image and class.
+
+    A prediction keeps a row through the join, so none is looked up afterwards, and
+    truths have their class in the key, so both windows stay where the join was. Ids are
+    unique in an image. Images and classes of over `dense` predictions are paired by a
+    grid and matched by match_predictions().
+    """
+    few = _crowded(predictions, dense)
+    if few is None:
+        return _match_groups(predictions, truth, thresholds)
+    keys = ["image_id", "class_id"]
+    crowd = predictions.join(few, keys, "left_semi")
+    pairs = pair_predictions(crowd, truth.join(few, keys, "left_semi"), min(thresholds), dense)
+    return _match_groups(predictions.join(few, keys, "left_anti"), truth, thresholds).unionByName(match_predictions(pairs, crowd, thresholds))
+
+
+def _match_groups(predictions: DataFrame, truth: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
+    """match_truth() where no image and class is crowded."""
+    shape, keys = ("cx", "cy", "w", "h", "deg"), ["image_id", "class_id"]
+    p = predictions.select(*keys, "pred_id", "score", *[F.col(c).alias(f"p_{c}") for c in shape])
+    # Pairs that decide nothing leave after the join, all but those with one of the truths.
+    lead = (F.row_number().over(Window.partitionBy(*keys).orderBy("gt_id")) == 1).alias("lead")
+    g = truth.select(*keys, "gt_id", *[F.col(c).alias(f"g_{c}") for c in shape], lead)
+    pairs = p.join(g, keys, "left").select(*keys, "pred_id", "score", "gt_id", "lead", gaussian_iou(_side("p"), _side("g")).alias("iou"))
+    reached = F.coalesce(F.col("iou") >= min(thresholds), F.lit(False))
+    held = F.when(reached, F.array("iou")).when(F.coalesce("lead", F.lit(True)), F.array(F.lit(None).cast("double")))
+    rows = pairs.select(*keys, "pred_id", "score", "gt_id", F.explode(held).alias("iou"))
+    best = Window.partitionBy(*keys, "pred_id").orderBy(F.desc_nulls_last("iou"), "gt_id")
+    taken = rows.withColumn("rank", F.row_number().over(best)).filter("rank = 1")
+    before = Window.partitionBy(*keys, "gt_id").orderBy(F.desc("score"), "pred_id").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = taken.withColumn("before", F.coalesce(F.max("iou").over(before), F.lit(-1.0)))
+    flags = [F.coalesce(((F.col("before") < t) & (F.col("iou") >= t)).cast("int"), F.lit(0)).alias(flag(t)) for t in thresholds]
+    return ranked.select("image_id", "class_id", "pred_id", "score", *flags)
+
+
 def pr_curve(matches: DataFrame, truth_counts: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, buckets: int = BUCKETS, by: tuple[str, ...] = ()) -> DataFrame:
     """class_id, pred_id, score, rank, n_truth, the running number of right predictions per threshold, and hits.
 
@@ -127,7 +173,11 @@ def pr_curve(matches: DataFrame, truth_counts: DataFrame, thresholds: tuple[floa
     no rows; a table without predictions gives none.
     """
     flags, keys = [flag(t) for t in thresholds], [*by, "class_id"]
-    matches = materialise(matches)  # read for quantiles, sums and windows
+    # Flags are written and dealt out as bits of whole numbers.
+    words = [flags[i : i + WORD] for i in range(0, len(flags), WORD)]
+    packed = [reduce(add, [F.when(F.col(f) > 0, F.lit(1 << i).cast("long")).otherwise(0) for i, f in enumerate(w)]).alias(f"_word{k}") for k, w in enumerate(words)]
+    bits = {f: F.shiftright(f"_word{k}", i).bitwiseAND(F.lit(1).cast("long")) for k, w in enumerate(words) for i, f in enumerate(w)}
+    matches = materialise(matches.select(*keys, "image_id", "pred_id", "score", *packed))  # read for quantiles, sums and windows
     cuts = matches.agg(F.percentile_approx("score", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or [0.0]
     # A score that is several quantiles gets a bucket of its own, dealt out by a hash of the image.
     heavy = {float(c) for c, n in Counter(cuts).items() if n > 1}
@@ -136,17 +186,20 @@ def pr_curve(matches: DataFrame, truth_counts: DataFrame, thresholds: tuple[floa
     sub = F.when(F.col("score").isin(*heavy), F.pmod(F.xxhash64("image_id"), F.lit(SUBS))).otherwise(0) if heavy else F.lit(0)
     # Numbered from the best scores on; equal scores share a bucket.
     rows = cut.transform(matches).withColumn("bucket", ((len(splits) - F.col("place")) * SUBS + sub).cast("int")).drop("place")
-    sums = rows.groupBy(*keys, "bucket").agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags])
+    sums = rows.groupBy(*keys, "bucket").agg(F.count("*").alias("n"), *[F.sum(c).alias(f) for f, c in bits.items()])
     ahead = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*keys, "bucket", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"o_{c}") for c in ["n", *flags]])
     # At most one row per class and bucket.
     truths = materialise(truth_counts.select(*keys, "n_truth"))  # counted, then joined
     offsets = small(materialise(offsets.join(small(truths), keys)), 1_000_000)
     inside = Window.partitionBy(*keys, "bucket").orderBy(F.desc("score"), "image_id", "pred_id").rowsBetween(Window.unboundedPreceding, 0)
-    joined = rows.join(offsets, [*keys, "bucket"])
-    running = [(F.col(f"o_{f}") + F.sum(f).over(inside)).alias(f) for f in flags]
+    # Dealt out with the bits; the flags and the offsets are made behind the exchange.
+    dealt = rows.repartition(*keys, "bucket").select(*keys, "bucket", "image_id", "pred_id", "score", *[c.alias(f) for f, c in bits.items()])
     hits = F.filter(F.array(*[F.when(F.col(f) > 0, F.lit(i)) for i, f in enumerate(flags)]), lambda i: i.isNotNull())
-    return joined.select(*keys, "image_id", "pred_id", "score", (F.col("o_n") + F.count("*").over(inside)).alias("rank"), "n_truth", *running, hits.alias("hits"))
+    summed = dealt.withColumns({"s_n": F.count("*").over(inside)} | {f"s_{f}": F.sum(f).over(inside) for f in flags})
+    joined = summed.join(offsets, [*keys, "bucket"])
+    running = [(F.col(f"o_{f}") + F.col(f"s_{f}")).alias(f) for f in flags]
+    return joined.select(*keys, "image_id", "pred_id", "score", (F.col("o_n") + F.col("s_n")).alias("rank"), "n_truth", *running, hits.alias("hits"))
 
 
 def average_precision(curve: DataFrame, classes: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, by: tuple[str, ...] = ()) -> DataFrame:
@@ -159,8 +212,9 @@ def average_precision(curve: DataFrame, classes: DataFrame, thresholds: tuple[fl
     that have predictions and truth there.
     """
     keys = [*by, "class_id"]
-    points = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("threshold"), F.col(flag(t)).alias("tp")) for i, t in enumerate(thresholds)])
-    rows = curve.select(*keys, "rank", "n_truth", F.explode_outer(F.transform("hits", lambda i: F.get(points, i))).alias("s")).select(*keys, "rank", "n_truth", "s.*")
+    hit = curve.select(*keys, "rank", "n_truth", *[flag(t) for t in thresholds], F.explode_outer("hits").alias("i"))
+    of_hit = [F.get(F.array(*c), F.col("i")) for c in ([F.lit(t) for t in thresholds], [F.col(flag(t)) for t in thresholds])]
+    rows = hit.select(*keys, "rank", "n_truth", of_hit[0].alias("threshold"), of_hit[1].alias("tp"))
     steps = rows.groupBy(*keys, "threshold", F.expr("tp * 100 div n_truth").alias("step")).agg(F.max(F.col("tp") / F.col("rank")).alias("precision"))
     beyond = Window.partitionBy(*keys, "threshold").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
     below = Window.partitionBy(*keys, "threshold").orderBy("step")

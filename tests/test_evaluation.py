@@ -12,6 +12,8 @@ from boxmill.functions import masks as m
 from boxmill.jobs.auto_label import auto_label
 from boxmill.jobs.evaluate import evaluate, evaluate_by_domain
 from boxmill.operators import detections, evaluation, fusion, suppression
+from boxmill.queries import QUERIES
+from boxmill.sources import derived
 
 BOX = "cx double, cy double, w double, h double, deg double"
 CLASSES = [(0, "sam"), (1, "buoy"), (2, "lolo")]
@@ -160,6 +162,38 @@ def test_a_crowded_image_is_not_multiplied(spark):
     assert tuple(got) == (20_000, 20_000)
 
 
+def test_matching_by_groups_is_that_of_the_pairs(spark):
+    """Rivals, misses, other classes, flat boxes, images and classes without truth, a null image; with and without crowds."""
+    r = random.Random(8)
+    given = [(k % 9, k, r.randrange(3), r.uniform(0, 60), r.uniform(0, 60), r.choice([0.0, 9.0, 30.0]), r.uniform(5, 20), r.uniform(0, 180)) for k in range(150)]
+    near = [(i, 1000 * j + k, c, x + r.gauss(0, 1 + j), y + r.gauss(0, 1), w * r.uniform(0.8, 1.3), h, d) for j in range(3) for i, k, c, x, y, w, h, d in given]
+    lone = [(i, 9000 + k, c, 5.0, 5.0, 9.0, 9.0, 0.0) for k, (i, c) in enumerate([(None, 1), (50, 1), (1, 7)])]
+    truth = spark.createDataFrame(given, f"image_id long, gt_id long, class_id long, {BOX}")
+    preds = spark.createDataFrame(near + lone, f"image_id long, pred_id long, class_id long, {BOX}").withColumn("score", F.col("pred_id") % 7 / 10)
+    key = lambda rows: sorted(map(str, rows.collect()))
+    expected = key(evaluation.match_predictions(evaluation.pair_predictions(preds, truth), preds))
+    assert len(expected) == 453 and 40 < sum("tp50=1" in x for x in expected) < 150
+    assert key(evaluation.match_truth(preds, truth)) == expected == key(evaluation.match_truth(preds, truth, dense=15))
+
+
+def test_matching_deals_out_each_side_once(spark):
+    truth = spark.range(50).selectExpr("id % 5 AS image_id", "id AS gt_id", "id % 2 AS class_id", *[f"5D AS {c}" for c in ("cx", "cy", "w", "h", "deg")])
+    preds = truth.withColumnRenamed("gt_id", "pred_id").withColumn("score", F.lit(0.5))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = evaluation.match_truth(preds, truth)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("name", ["q10_report_rows", "q53_pr_curve", "q54_average_precision", "q55_overall_metrics"])
+def test_evaluations_make_their_detections_once(spark, sf_dir, monkeypatch, name):
+    made, plain = [], derived.table
+    monkeypatch.setattr(derived, "table", lambda s, d, n: made.append(n) or plain(s, d, n))
+    QUERIES[name](spark, sf_dir)
+    assert made.count("lineitem") == 1
+
+
 def test_batches_of_a_model(spark):
     """A NumPy model: loaded once a worker, given arrays of bounded size, one output and several."""
 
