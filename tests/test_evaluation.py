@@ -249,6 +249,28 @@ def test_curve_and_average_precision_against_one_window(spark, parts):
     assert per[2] == (None, None)
 
 
+def test_averages_run_compiled_and_all_metrics_in_one_pass(spark):
+    """No lambda for each prediction; what all metrics need is one row a class and step."""
+    names = [evaluation.flag(t) for t in evaluation.THRESHOLDS]
+    rows = [(i, i % 2, i, i % 5 / 5, *[int(i % 3 > 0)] * 5, *[0] * 5) for i in range(60)]
+    df = spark.createDataFrame(rows, "image_id long, class_id long, pred_id long, score double, " + ", ".join(f"{n} int" for n in names))
+    curve = evaluation.pr_curve(df, spark.createDataFrame([(0, 30), (1, 40)], "class_id long, n_truth long"))
+    classes = spark.createDataFrame(CLASSES, "class_id long, label string")
+    assert "lambda" not in evaluation.average_precision(curve, classes)._jdf.queryExecution().optimizedPlan().toString()
+    points = evaluation.curve_points(curve)
+    assert points.filter("place = -1").groupBy("class_id").count().orderBy("class_id").collect() == [(0, 5), (1, 5)]
+    assert {r.place for r in points.collect()} == {-1, 0, 1, 2, 3, 4}
+    last = points.filter("place = -1 and step = 0").orderBy("class_id").select("rank", "tp50", "n_truth").collect()
+    assert last == [(30, 20, 30), (30, 20, 40)]
+    per = evaluation.average_precision(curve, classes)
+    assert evaluation.overall_metrics(curve, per).collect() == evaluation.overall_points(points, per).collect()
+
+
+def test_overall_metrics_of_a_query_make_one_curve(spark, sf_dir):
+    plan = QUERIES["q55_overall_metrics"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "pred_id" not in plan
+
+
 def test_curve_of_one_score(spark):
     """Every row has the same score: it is dealt out, and ranks are still 1 to n."""
     names = [evaluation.flag(t) for t in evaluation.THRESHOLDS]
