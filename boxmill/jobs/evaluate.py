@@ -58,9 +58,9 @@ def evaluate(
     kept, truth = counted(predictions, truth, images, split, confidence, iou)
     counts = truth.groupBy("class_id").agg(F.count("*").alias("n_truth"))
     matches = evaluation.match_truth(kept, truth)
-    curve = materialise(evaluation.pr_curve(matches, counts))
-    per_class = d.attach_class_name(evaluation.average_precision(curve, classes), classes)
-    return Evaluation(per_class, evaluation.overall_metrics(curve, per_class), kept)
+    points = materialise(evaluation.curve_points(evaluation.pr_curve(matches, counts)))
+    per_class = d.attach_class_name(evaluation.average_points(points, classes), classes)
+    return Evaluation(per_class, evaluation.overall_points(points, per_class), kept)
 
 
 def evaluate_by_domain(predictions: DataFrame, truth: DataFrame, images: DataFrame, classes: DataFrame, confidence: float = d.EVALUATION_CONFIDENCE, iou: float | None = None, split: str = "test") -> DataFrame:
